@@ -12,6 +12,35 @@ from factorfall.functions.rwa import capped_ratio
 from factorfall.functions.values import filled_sum, left_join, text
 
 
+EXPOSURE_DIMS = (
+    "quarter_id",
+    "projected_quarter",
+    "seg_l4_code",
+    "seg_l3_code",
+    "seg_l2_code",
+    "seg_l4_desc",
+    "seg_l3_desc",
+    "seg_l2_desc",
+    "geo_l4_desc",
+    "geo_l3_desc",
+    "pmf_l5",
+    "exposure_type",
+    *[e.flag for e in rules.ENTITIES],
+)
+
+
+def exposure_totals(convergence: DataFrame) -> DataFrame:
+    """The exposure history at the grain of everything a run asks of it, with row counts.
+
+    All later steps filter and add up these columns only, so a run reads the
+    source table once; what follows works on the totals. ``n_rows`` weighs the
+    quality checks.
+    """
+    dims = [d for d in EXPOSURE_DIMS if d in convergence.columns]
+    amounts = ["gaap_amt", "sa_rwa_amt", *[e.adv_rwa for e in rules.ENTITIES]]
+    return convergence.groupBy(*dims).agg(F.count("*").alias("n_rows"), *[F.sum(a).alias(a) for a in amounts])
+
+
 def by_entity(convergence: DataFrame) -> DataFrame:
     """One row per entity a record is reported for, with that entity's advanced RWA.
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from factorfall import rules
+from factorfall.session import stage_table
 
 
 def _c(name: str) -> Column:
@@ -79,9 +80,11 @@ def diff_rows(a: DataFrame, b: DataFrame, key: Sequence[str]) -> DataFrame:
     return joined.withColumn("presence", presence).drop("__in_a", "__in_b")
 
 
+PRESENCE = ("both", "left_only", "right_only")
+
+
 def presence_counts(joined: DataFrame) -> DataFrame:
-    tags = ("both", "left_only", "right_only")
-    return joined.agg(*[F.count(F.when(F.col("presence") == t, 1)).alias(t) for t in tags])
+    return joined.agg(*[F.count(F.when(F.col("presence") == t, 1)).alias(t) for t in PRESENCE])
 
 
 def values_equal(a: Column, b: Column, numeric: bool, atol: float, rtol: float) -> Column:
@@ -97,49 +100,86 @@ def values_equal(a: Column, b: Column, numeric: bool, atol: float, rtol: float)
     return F.coalesce(same, F.lit(False))
 
 
-def diff_columns(
-    a: DataFrame,
-    b: DataFrame,
-    key: Sequence[str],
-    atol: float = rules.DIFF_ATOL,
-    rtol: float = rules.DIFF_RTOL,
-) -> DataFrame:
-    """Per shared column: unequal matched rows, and the totals of both sides for numbers.
+def _compared(a: DataFrame, b: DataFrame, key: Sequence[str]) -> dict[str, bool]:
+    """Shared value columns, and whether both sides are numbers."""
+    return {c: _is_number(a, c) and _is_number(b, c) for c in a.columns if c in b.columns and c not in key}
+
 
-    All columns come from one aggregation over the joined rows. With unique
-    keys the outer join holds every row of each side once, so its totals are
-    those of the full tables.
+def diff_counts(joined: DataFrame, compared: dict[str, bool], atol: float, rtol: float) -> DataFrame:
+    """One row from one pass: rows by side, and per column its unequal rows and both totals.
+
+    With unique keys the outer join holds every row of each side once, so the
+    totals are those of the full tables.
     """
-    compared = [c for c in a.columns if c in b.columns and c not in key]
-    joined = diff_rows(a, b, key)
     matched = F.col("presence") == "both"
-    aggregates, rows = [], []
-    for i, c in enumerate(compared):
-        numeric = _is_number(a, c) and _is_number(b, c)
+    aggregates = [F.count(F.when(F.col("presence") == t, 1)).alias(t) for t in PRESENCE]
+    for i, (c, numeric) in enumerate(compared.items()):
         x, y = _c(f"{c}__a"), _c(f"{c}__b")
         aggregates.append(F.count(F.when(matched & ~values_equal(x, y, numeric, atol, rtol), 1)).alias(f"d{i}"))
         if numeric:
             aggregates += [
                 F.coalesce(F.sum(v), F.lit(0)).cast("double").alias(f"{s}{i}") for s, v in (("a", x), ("b", y))
             ]
-        total_a, total_b = (F.col(f"a{i}"), F.col(f"b{i}")) if numeric else (F.lit(None).cast("double"),) * 2
-        rows += [F.lit(c), F.lit(numeric), F.col(f"d{i}"), total_a, total_b]
-    if not compared:
+    return joined.agg(*aggregates)
+
+
+def column_report(counts: DataFrame, compared: dict[str, bool]) -> DataFrame:
+    """Counts to one row per column."""
+    rows = []
+    for i, (c, numeric) in enumerate(compared.items()):
+        totals = (F.col(f"a{i}"), F.col(f"b{i}")) if numeric else (F.lit(None).cast("double"),) * 2
+        rows += [F.lit(c), F.col(f"d{i}"), *totals]
+    if not rows:
         empty = "column_name string, n_diffs bigint, sum_a double, sum_b double, delta double, status string"
-        return a.sparkSession.createDataFrame([], empty)
-    totals = joined.agg(*aggregates).select(
-        F.stack(F.lit(len(compared)), *rows).alias("column_name", "numeric", "n_diffs", "sum_a", "sum_b")
+        return counts.sparkSession.createDataFrame([], empty)
+    listed = counts.select(F.stack(F.lit(len(compared)), *rows).alias("column_name", "n_diffs", "sum_a", "sum_b"))
+    return listed.withColumns(
+        {
+            "delta": F.col("sum_b") - F.col("sum_a"),
+            "status": F.when(F.col("n_diffs") == 0, "PASS").otherwise("FAIL"),
+        }
+    )
+
+
+def verdict(counts: DataFrame, compared: dict[str, bool], same_schema: bool, atol: float, rtol: float) -> DataFrame:
+    """Counts to the verdict row."""
+
+    def how_many(conditions: list[Column]) -> Column:
+        total = F.lit(0).cast("bigint")
+        for condition in conditions:
+            total = total + condition.cast("bigint")
+        return total
+
+    failed = how_many([F.col(f"d{i}") > 0 for i in range(len(compared))])
+    off = how_many(
+        [
+            ~values_equal(F.col(f"a{i}"), F.col(f"b{i}"), True, atol, rtol)
+            for i, numeric in enumerate(compared.values())
+            if numeric
+        ]
     )
-    return totals.select(
-        "column_name",
-        "n_diffs",
-        "sum_a",
-        "sum_b",
-        (F.col("sum_b") - F.col("sum_a")).alias("delta"),
-        F.when(F.col("n_diffs") == 0, "PASS").otherwise("FAIL").alias("status"),
+    rows_equal = (F.col("left_only") == 0) & (F.col("right_only") == 0)
+    return counts.select(
+        *PRESENCE,
+        failed.alias("failed_columns"),
+        off.alias("failed_totals"),
+        F.lit(same_schema).alias("same_schema"),
+        (F.lit(same_schema) & rows_equal & (failed == 0) & (off == 0)).alias("invariant"),
     )
 
 
+def diff_columns(
+    a: DataFrame,
+    b: DataFrame,
+    key: Sequence[str],
+    atol: float = rules.DIFF_ATOL,
+    rtol: float = rules.DIFF_RTOL,
+) -> DataFrame:
+    """Per shared column: unequal matched rows, and the totals of both sides for numbers."""
+    compared = _compared(a, b, key)
+    return column_report(diff_counts(diff_rows(a, b, key), compared, atol, rtol), compared)
+
+
 def diff_totals(a: DataFrame, b: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Totals of each shared number column over the full tables, without matching rows."""
     shared = [c for c in a.columns if c in b.columns and _is_number(a, c) and _is_number(b, c)]
@@ -170,38 +210,36 @@ def diff_verdict(
     rtol: float = rules.DIFF_RTOL,
 ) -> DataFrame:
     """One row: row counts by side, failing columns and totals, schema match, and the verdict."""
-    same_schema = set(a.columns) == set(b.columns)
-    rows = presence_counts(diff_rows(a, b, key))
-    off_total = ~values_equal(F.col("sum_a"), F.col("sum_b"), True, atol, rtol)
-    columns = diff_columns(a, b, key, atol, rtol).agg(
-        F.count(F.when(F.col("n_diffs") > 0, 1)).alias("failed_columns"),
-        F.count(F.when(off_total, 1)).alias("failed_totals"),
-    )
-    merged = rows.unionByName(columns, allowMissingColumns=True).agg(
-        *[
-            F.max(c).alias(c)
-            for c in ("both", "left_only", "right_only", "failed_columns", "failed_totals")
-        ]
-    )
-    same_rows = (F.col("left_only") == 0) & (F.col("right_only") == 0)
-    same_values = (F.col("failed_columns") == 0) & (F.col("failed_totals") == 0)
-    return merged.withColumns(
-        {"same_schema": F.lit(same_schema), "invariant": F.lit(same_schema) & same_rows & same_values}
-    )
+    compared = _compared(a, b, key)
+    counts = diff_counts(diff_rows(a, b, key), compared, atol, rtol)
+    return verdict(counts, compared, set(a.columns) == set(b.columns), atol, rtol)
 
 
-def compare_tables(a: DataFrame, b: DataFrame, key: Sequence[str] | None = None, **tolerance) -> dict[str, DataFrame]:
-    """The whole comparison; refuses a key that does not identify rows."""
+def compare_tables(
+    a: DataFrame,
+    b: DataFrame,
+    key: Sequence[str] | None = None,
+    atol: float = rules.DIFF_ATOL,
+    rtol: float = rules.DIFF_RTOL,
+) -> dict[str, DataFrame]:
+    """The whole comparison from one staged join; refuses a key that does not identify rows."""
     key = diff_key_detect(a.columns, b.columns, key)
     duplicates = {r["side"]: r["duplicate_rows"] for r in diff_dup_keys(a, b, key).collect()}
     if any(duplicates.values()):
         raise ValueError(f"key {key} is not unique: duplicate rows {duplicates}")
-    joined = diff_rows(a, b, key)
-    return {
+    joined = stage_table(diff_rows(a, b, key), "diff")
+    compared = _compared(a, b, key)
+    counts = stage_table(diff_counts(joined, compared, atol, rtol), "diff_counts")
+    keys = [_c(k) for k in key]
+    out = {
         "schema": diff_schema(a, b),
-        "presence": presence_counts(joined),
-        "columns": diff_columns(a, b, key, **tolerance),
-        "only_in_a": diff_samples(joined, key, F.col("presence") == "left_only").select(*[_c(k) for k in key]),
-        "only_in_b": diff_samples(joined, key, F.col("presence") == "right_only").select(*[_c(k) for k in key]),
-        "verdict": diff_verdict(a, b, key, **tolerance),
+        "columns": column_report(counts, compared),
+        "only_in_a": diff_samples(joined, key, F.col("presence") == "left_only").select(*keys),
+        "only_in_b": diff_samples(joined, key, F.col("presence") == "right_only").select(*keys),
+        "verdict": verdict(counts, compared, set(a.columns) == set(b.columns), atol, rtol),
     }
+    for c, numeric in compared.items():
+        x, y = _c(f"{c}__a"), _c(f"{c}__b")
+        unequal = (F.col("presence") == "both") & ~values_equal(x, y, numeric, atol, rtol)
+        out[f"differing:{c}"] = diff_samples(joined, key, unequal).select(*keys, x.alias("A"), y.alias("B"))
+    return out

@@ -62,8 +62,15 @@ def _report(counts: DataFrame, dataset: Column, checks: Sequence[Column]) -> Dat
     return exploded.withColumn("pct_failing", pct).select(*REPORT_COLUMNS)
 
 
-def _count_if(condition: Column) -> Column:
-    return F.count(F.when(condition, 1))
+def _rows(weight: str | None = None) -> Column:
+    """Row count; of pre-aggregated rows, the sum of their counts."""
+    return F.count("*") if weight is None else F.coalesce(F.sum(weight), F.lit(0))
+
+
+def _count_if(condition: Column, weight: str | None = None) -> Column:
+    if weight is None:
+        return F.count(F.when(condition, 1))
+    return F.coalesce(F.sum(F.when(condition, F.col(weight))), F.lit(0))
 
 
 def _per_entity(df: DataFrame, aggregates: Sequence[Column]) -> DataFrame:
@@ -160,12 +167,14 @@ def sample_values(df: DataFrame, column: str, allowed: Sequence[str]) -> DataFra
     return few.agg(F.array_join(F.array_sort(F.collect_list("v")), ", ").alias("samples"))
 
 
-def dq_allowed_values(df: DataFrame, column: str, allowed: Sequence[str], dataset: str, check_name: str) -> DataFrame:
+def dq_allowed_values(
+    df: DataFrame, column: str, allowed: Sequence[str], dataset: str, check_name: str, weight: str | None = None
+) -> DataFrame:
     """Share of non-null values outside ``allowed``."""
     if column not in df.columns:
         return _report(df.sparkSession.range(1), F.lit(dataset), [skipped_check(check_name, column)])
     bad = F.col(column).isNotNull() & ~F.col(column).isin(*allowed)
-    counts = df.agg(F.count("*").alias("n"), _count_if(bad).alias("bad"))
+    counts = df.agg(_rows(weight).alias("n"), _count_if(bad, weight).alias("bad"))
     # Two single rows, told apart by which columns they carry.
     merged = counts.unionByName(sample_values(df, column, allowed), allowMissingColumns=True).agg(
         F.max("n").alias("n"), F.max("bad").alias("bad"), F.max("samples").alias("samples")
@@ -179,20 +188,24 @@ def dq_allowed_values(df: DataFrame, column: str, allowed: Sequence[str], datase
     return _report(merged, F.lit(dataset), [_check(check_name, F.col("bad"), F.col("n"), detail)])
 
 
-def dq_null_rate(df: DataFrame, columns: dict[str, str], dataset: str) -> DataFrame:
-    """Null share of several columns (check name -> column) in one pass."""
+def dq_null_rate(
+    df: DataFrame, columns: dict[str, str], dataset: str, weight: str | None = None, count_rows: bool = False
+) -> DataFrame:
+    """Null share of several columns (check name -> column) in one pass, and the row count if asked."""
     present = {name: c for name, c in columns.items() if c in df.columns}
-    counts = df.agg(F.count("*").alias("n"), *[_count_if(F.col(c).isNull()).alias(name) for name, c in present.items()])
-    checks = [
+    nulls = [_count_if(F.col(c).isNull(), weight).alias(name) for name, c in present.items()]
+    counts = df.agg(_rows(weight).alias("n"), *nulls)
+    checks = [row_count_check(F.col("n"))] if count_rows else []
+    checks += [
         null_rate_check(name, c, F.col(name), F.col("n")) if name in present else skipped_check(name, c)
         for name, c in columns.items()
     ]
     return _report(counts, F.lit(dataset), checks)
 
 
-def dq_waterfall(outlook: DataFrame, n_keys: int) -> DataFrame:
-    """Match rate of each key and the share of rows no key matched."""
-    aggregates, checks = [F.count("*").alias("n")], []
+def dq_waterfall(outlook: DataFrame, n_keys: int, count_rows: bool = False) -> DataFrame:
+    """Match rate of each key and the share of rows no key matched; the row count if asked."""
+    aggregates, checks = [F.count("*").alias("n")], [row_count_check(F.col("n"))] if count_rows else []
     n = F.col("n")
     for calc in ("sa", "aa"):
         label = calc.upper()
@@ -215,8 +228,8 @@ def dq_waterfall(outlook: DataFrame, n_keys: int) -> DataFrame:
                 F.lit(f"%) rows fell through all {n_keys} {label} RWF keys"),
             )
             checks.append(_check(f"waterfall_{calc}_fallthrough_rate", lost, n, detail))
-    counts = _per_entity(outlook, aggregates).filter(n > 0)
-    return _report(counts, _dataset("outlook"), checks)
+    # An entity without rows has no rates.
+    return _report(_per_entity(outlook, aggregates), _dataset("outlook"), checks).filter(F.col("n_total") > 0)
 
 
 def dq_adjustments(adjustments: DataFrame) -> DataFrame:
@@ -301,32 +314,33 @@ def dq_report(
     adjustments: DataFrame,
     frm: DataFrame,
     n_keys: int,
-    required: Sequence[str],
+    required: DataFrame,
     run_timestamp: str,
+    weight: str | None = None,
 ) -> DataFrame:
-    """All checks, one row each. ``adjustments`` are the raw ones, before nulls are filled."""
-    parts = [
-        dq_row_count({"convergence": convergence}),
-        _report(
-            _per_entity(outlook, [F.count("*").alias("n")]), _dataset("outlook"), [row_count_check(F.col("n"))]
-        ),
-        dq_required_cols(convergence, required, "convergence"),
-        *[dq_allowed_values(convergence, e.flag, ["Y", "N"], "convergence", "entity_flag_values") for e in rules.ENTITIES],
-        dq_null_rate(
-            convergence,
-            {
-                "projected_quarter_nulls": "projected_quarter",
-                "finance_pmf_l5_nulls": "pmf_l5",
-                "mngd_sgmt_l2_nulls": "seg_l2_desc",
-            },
-            "convergence",
-        ),
-        dq_waterfall(outlook, n_keys),
+    """All checks, one row each.
+
+    ``adjustments`` are the raw ones, before nulls are filled; ``required`` is
+    the report of ``dq_required_cols``; ``weight`` names the row count of a
+    pre-aggregated ``convergence``.
+    """
+    nulls = {
+        "projected_quarter_nulls": "projected_quarter",
+        "finance_pmf_l5_nulls": "pmf_l5",
+        "mngd_sgmt_l2_nulls": "seg_l2_desc",
+    }
+    flags = [
+        dq_allowed_values(convergence, e.flag, ["Y", "N"], "convergence", "entity_flag_values", weight)
+        for e in rules.ENTITIES
+    ]
+    report = required
+    for part in (
+        dq_null_rate(convergence, nulls, "convergence", weight, count_rows=True),
+        *flags,
+        dq_waterfall(outlook, n_keys, count_rows=True),
         dq_adjustments(adjustments),
         dq_join_match(frm),
         dq_quarter_coverage(frm),
-    ]
-    report = parts[0]
-    for part in parts[1:]:
+    ):
         report = report.unionByName(part)
     return report.withColumn("run_timestamp", F.lit(run_timestamp))

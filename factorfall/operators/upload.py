@@ -120,7 +120,10 @@ def format_upload(pivot: DataFrame, q0: str, n_quarters: int) -> DataFrame:
 
 
 def upload_sort(template: DataFrame) -> DataFrame:
-    return template.orderBy("Managed Segment L2 Descr", "Managed Segment L3 Descr")
+    """By segment; the further columns split the rows of one segment over many tasks."""
+    first = ["Managed Segment L2 Descr", "Managed Segment L3 Descr"]
+    rest = ["Managed Segment L4 Descr", "PMF Account L5 Descr", "RWA Calc", "Comment", "RWA Exposure Type"]
+    return template.orderBy(*first, *[c for c in rest if c in template.columns])
 
 
 def rwa_long(frm: DataFrame, q0: str, n_quarters: int) -> DataFrame:

@@ -7,11 +7,11 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factorfall import rules
 from factorfall.functions.quarters import ordered_quarters, quarter_labels, quarter_map
 from factorfall.operators import controls as K
 from factorfall.operators import convergence as C
 from factorfall.operators import dq as D
+from factorfall.operators import frm as M
 from factorfall.operators import outlook as O
 from factorfall.operators import upload as U
 from factorfall.plans import stages as S
@@ -64,10 +64,13 @@ def run_pipeline(
 ) -> dict[str, str]:
     """Write every table of a run below ``output_dir``; returns their paths.
 
-    Tables with several readers are written once and read back: the factors
-    (five lookups), the outlook, the add-ons and the mapped union. Nothing is
-    cached, so a lost executor costs a task, not a stage.
+    The two large inputs are read once each, for their totals. Tables with
+    several readers are written and read back: the totals, the factors (five
+    lookups), the outlook, the add-ons and the mapped union. Nothing is cached,
+    so a lost executor costs a task, not a stage.
     """
+    source_columns = inputs.convergence
+    inputs = S.prepared(inputs)
     n_quarters = S.calendar_size(inputs, params)
     stamp = run_timestamp or datetime.now(timezone.utc).isoformat(timespec="seconds")
     calendar = quarter_map(spark, params.q0, n_quarters)
@@ -75,15 +78,10 @@ def run_pipeline(
     lookups = stage_table(S.factors(inputs, params), "factors")
     outlook = stage_table(S.stage1_outlook(inputs, params, n_quarters, lookups), "outlook")
     addon = stage_table(S.stage1_addon(inputs, params, n_quarters), "addon")
-    raw = S.raw_data(inputs, outlook, addon)
+    raw = stage_table(S.raw_data(inputs, outlook, addon), "raw")
     frm = stage_table(S.stage2_frm(inputs, raw), "frm")
     template = stage_table(S.upload_template(frm, params, n_quarters), "template")
-    rows = C.by_entity(inputs.convergence)
 
-    required = [c for c in REQUIRED]
-    report = D.dq_report(
-        inputs.convergence, outlook, inputs.adjustments, frm, len(params.keys), required, stamp
-    )
     outputs = {
         "outlook": U.with_headers(outlook),
         "addon": addon,
@@ -91,18 +89,27 @@ def run_pipeline(
         "raw_data": U.with_headers(raw),
         "upload_template": U.upload_sort(template),
         "rwa_long": U.with_headers(U.rwa_long(frm, params.q0, n_quarters)),
-        "dq_results": report,
+        "dq_results": quality_report(inputs, source_columns, outlook, frm, params, stamp),
         "parameters": parameter_table(spark, params, output_dir=output_dir, n_quarters=str(n_quarters)),
-        **control_file(rows, template, raw, params, n_quarters),
+        **control_file(C.by_entity(inputs.convergence), template, raw, params, n_quarters),
     }
     sinks.sink_parquet(outputs, output_dir)
     return {name: f"{output_dir}/{name}.parquet" for name in outputs}
 
 
+def quality_report(
+    inputs: S.Inputs, source: DataFrame, outlook: DataFrame, frm: DataFrame, params: Parameters, stamp: str
+) -> DataFrame:
+    """Every check; ``source`` is the exposure table as it came, for its columns only."""
+    weight = "n_rows" if "n_rows" in inputs.convergence.columns else None
+    required = D.dq_required_cols(source, REQUIRED, "convergence")
+    return D.dq_report(
+        inputs.convergence, outlook, inputs.adjustments, frm, len(params.keys), required, stamp, weight
+    )
+
+
 def pug_and_pmf_reports(inputs: S.Inputs, raw: DataFrame) -> dict[str, DataFrame]:
     """Unmatched shares and row growth of both mapping joins."""
-    from factorfall.operators import frm as M
-
     layered = M.legacy_layer(raw)
     pugged = M.pug_join(layered, inputs.pug)
     mapped = M.pmf_join(pugged, inputs.pmf)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +27,27 @@ class Inputs:
     adjustments: DataFrame
     pug: DataFrame
     pmf: DataFrame
+    quarterly: DataFrame | None = None
+
+
+def quarterly(inputs: Inputs) -> DataFrame:
+    """Balances per outlook grain."""
+    if inputs.quarterly is not None:
+        return inputs.quarterly
+    return O.quarterly_sum(O.month_columns(C.string_normalise(inputs.balance_sheet)))
+
+
+def prepared(inputs: Inputs) -> Inputs:
+    """Both large tables reduced to their totals and staged, each read once.
+
+    Every later step gives the same result on the totals as on the rows.
+    """
+    totals = C.geo_enrich(C.exposure_totals(inputs.convergence), inputs.balance_sheet)
+    return replace(
+        inputs,
+        convergence=stage_table(totals, "exposures"),
+        quarterly=stage_table(quarterly(inputs), "quarterly"),
+    )
 
 
 def enriched(inputs: Inputs) -> DataFrame:
@@ -38,8 +59,7 @@ def calendar_size(inputs: Inputs, params: Parameters) -> int:
     """Quarters of the run: the parameter, or the largest count in the inputs (one row is fetched)."""
     if params.n_quarters is not None:
         return params.n_quarters
-    balances = C.string_normalise(inputs.balance_sheet)
-    return O.quarter_counts(inputs.convergence, balances).first()["max_quarters"]
+    return O.quarter_counts(inputs.convergence, quarterly(inputs)).first()["max_quarters"]
 
 
 def factors(inputs: Inputs, params: Parameters) -> DataFrame:
@@ -49,8 +69,7 @@ def factors(inputs: Inputs, params: Parameters) -> DataFrame:
 
 def outlook_long(inputs: Inputs) -> DataFrame:
     """Summed balances, one row per grain and month."""
-    balances = C.string_normalise(inputs.balance_sheet)
-    return O.melt_balances(O.quarterly_sum(O.month_columns(balances)))
+    return O.melt_balances(quarterly(inputs))
 
 
 def outlook_quarters(inputs: Inputs, params: Parameters, n_quarters: int) -> DataFrame:

@@ -26,7 +26,7 @@ from factorfall.plans import pipeline, stages, summary
 from factorfall.plans.config import Parameters
 from factorfall.session import stage_table, staging_path
 from factorfall.sources import catalog, sinks
-from verification.views import given_tables, view
+from verification.views import view
 
 Q0 = "Mar 2025"
 N_QUARTERS = 8
@@ -55,25 +55,40 @@ class Tables:
     """Input tables and shared steps for one session and data folder."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark = spark
-        self.given = given_tables(spark, sf_dir)
+        self.spark, self.sf_dir = spark, sf_dir
 
     def view(self, name: str) -> DataFrame:
-        return view(self.spark, self.given, name)
+        return view(self.spark, self.sf_dir, name)
+
+    @cached_property
+    def convergence(self) -> DataFrame:
+        return self.view("convergence")
+
+    @cached_property
+    def balance_sheet(self) -> DataFrame:
+        return self.view("balance_sheet")
+
+    @cached_property
+    def adjustments(self) -> DataFrame:
+        return self.view("adjustments")
+
+    @cached_property
+    def pug(self) -> DataFrame:
+        return self.view("pug_mapping")
+
+    @cached_property
+    def pmf(self) -> DataFrame:
+        return self.view("pmf_mapping")
 
     @cached_property
     def inputs(self) -> stages.Inputs:
-        return stages.Inputs(
-            self.view("convergence"),
-            self.view("balance_sheet"),
-            self.view("adjustments"),
-            self.view("pug_mapping"),
-            self.view("pmf_mapping"),
-        )
+        """Inputs of a run, the large ones reduced to staged totals as a run does."""
+        given = stages.Inputs(self.convergence, self.balance_sheet, self.adjustments, self.pug, self.pmf)
+        return stages.prepared(given)
 
     @cached_property
     def rows(self) -> DataFrame:
-        return C.by_entity(self.inputs.convergence)
+        return C.by_entity(self.convergence)
 
     @cached_property
     def calendar(self) -> DataFrame:
@@ -81,15 +96,15 @@ class Tables:
 
     @cached_property
     def balances(self) -> DataFrame:
-        return C.string_normalise(self.inputs.balance_sheet)
+        return C.string_normalise(self.balance_sheet)
 
     @cached_property
     def long(self) -> DataFrame:
-        return stages.outlook_long(self.inputs)
+        return O.melt_balances(O.quarterly_sum(O.month_columns(self.balances)))
 
     @cached_property
     def dated(self) -> DataFrame:
-        return stages.outlook_quarters(self.inputs, PARAMS, N_QUARTERS)
+        return O.quarter_join(self.long, self.calendar)
 
     @cached_property
     def lookups(self) -> DataFrame:
@@ -132,14 +147,14 @@ class Tables:
     @cached_property
     def steps(self) -> dict[str, DataFrame]:
         return summary.summary_steps(
-            self.inputs.convergence, self.inputs.balance_sheet, self.calendar, list(range(N_QUARTERS))
+            self.convergence, self.balance_sheet, self.calendar, list(range(N_QUARTERS))
         )
 
     @cached_property
     def pair(self) -> tuple[DataFrame, DataFrame]:
         """A balance table and an edited copy: changed, missing and added rows, blank text, a new column."""
         a = (
-            self.inputs.balance_sheet.dropna(subset=DIFF_KEY)
+            self.balance_sheet.dropna(subset=DIFF_KEY)
             .groupBy(*DIFF_KEY)
             .agg(F.sum("m3").alias("m3"), F.sum("m6").alias("m6"), F.max("seg_l2_desc").alias("seg_l2_desc"))
             .withColumn("note", F.when(F.col("year") == 2026, F.lit("")).otherwise(F.lit("x")))
@@ -183,7 +198,7 @@ def landed_sheet(t: Tables) -> DataFrame:
     """Balance rows under source headers, every value as text."""
     text = {"year": "YEAR", "seg_l4_desc": "Managed Segment L4  Descr", "seg_l4_id": "Managed Segment L4 Id"}
     text |= {"m3": "M3_USDOLLAR", "m12": "M12_USDOLLAR"}
-    return t.inputs.balance_sheet.select(*[F.col(c).cast("string").alias(h) for c, h in text.items()])
+    return t.balance_sheet.select(*[F.col(c).cast("string").alias(h) for c, h in text.items()])
 
 
 def sheet_totals(df: DataFrame) -> DataFrame:
@@ -229,7 +244,7 @@ def scan_fallback(t: Tables) -> DataFrame:
 
 @register
 def blank_to_null(t: Tables) -> DataFrame:
-    cleaned = V.blank_to_null(t.inputs.adjustments)
+    cleaned = V.blank_to_null(t.adjustments)
     return cleaned.groupBy("entity", "exposure_type").agg(
         F.count("*").alias("n_rows"), F.count("comment").alias("n_comment")
     )
@@ -238,7 +253,7 @@ def blank_to_null(t: Tables) -> DataFrame:
 @register
 def sink_parquet(t: Tables) -> DataFrame:
     folder = staging_path(t.spark, "sink")
-    sinks.sink_parquet({"balances": t.inputs.balance_sheet}, folder, partition_by="entity")
+    sinks.sink_parquet({"balances": t.balance_sheet}, folder, partition_by="entity")
     back = t.spark.read.parquet(f"{folder}/balances.parquet")
     return plain(back.groupBy("entity", "year").agg(F.count("*").alias("n_rows"), F.sum("m3").alias("m3")))
 
@@ -256,7 +271,7 @@ def sink_long(t: Tables) -> DataFrame:
 
 @register
 def load_tables(t: Tables) -> DataFrame:
-    catalog.load_tables({"loaded_balance_sheet": t.inputs.balance_sheet, "loaded_quarter_map": t.calendar})
+    catalog.load_tables({"loaded_balance_sheet": t.balance_sheet, "loaded_quarter_map": t.calendar})
     return plain(
         t.spark.sql(
             """SELECT b.entity, q.quarter_id, COUNT(*) AS n_rows, SUM(b.m3) AS m3
@@ -271,7 +286,7 @@ def load_tables(t: Tables) -> DataFrame:
 
 @register
 def month_columns(t: Tables) -> DataFrame:
-    months = O.month_columns(t.inputs.balance_sheet)
+    months = O.month_columns(t.balance_sheet)
     return plain(months.groupBy("entity", "year").agg(*[F.sum(m).alias(m) for m in rules.MONTHS]))
 
 
@@ -284,7 +299,7 @@ def rename_addon(t: Tables) -> DataFrame:
 
 @register
 def coerce_adjustments(t: Tables) -> DataFrame:
-    done = M.coerce_adjustments(V.blank_to_null(t.inputs.adjustments))
+    done = M.coerce_adjustments(V.blank_to_null(t.adjustments))
     return plain(
         done.select(
             "entity", "year", "seg_l4_id", "geo_l4_desc", "pmf_l5", "quarter_id", "balances", "sa_rwa", "aa_rwa",
@@ -303,18 +318,18 @@ def coerce_before_pivot(t: Tables) -> DataFrame:
 
 @register
 def string_normalise(t: Tables) -> DataFrame:
-    return C.string_normalise(t.inputs.convergence).groupBy("pmf_l5").agg(F.count("*").alias("n_rows"))
+    return C.string_normalise(t.convergence).groupBy("pmf_l5").agg(F.count("*").alias("n_rows"))
 
 
 @register
 def int_str(t: Tables) -> DataFrame:
-    ids = t.inputs.balance_sheet.select(V.int_str(F.col("seg_l4_id").cast("double")).alias("id_text"))
+    ids = t.balance_sheet.select(V.int_str(F.col("seg_l4_id").cast("double")).alias("id_text"))
     return ids.groupBy("id_text").agg(F.count("*").alias("n_rows"))
 
 
 @register
 def fill_zero_all(t: Tables) -> DataFrame:
-    filled = V.fill_zero(t.inputs.balance_sheet.select("entity", "seg_l4_desc", "pmf_l5", "seg_l4_id", "m12"))
+    filled = V.fill_zero(t.balance_sheet.select("entity", "seg_l4_desc", "pmf_l5", "seg_l4_id", "m12"))
     return plain(
         filled.groupBy("entity", "seg_l4_desc", "pmf_l5", "seg_l4_id").agg(
             F.count("m12").alias("n_m12"), F.sum("m12").alias("m12")
@@ -371,7 +386,7 @@ def exclude_discontinued(t: Tables) -> DataFrame:
 
 @register
 def drop_unknown_quarter(t: Tables) -> DataFrame:
-    known = M.drop_unknown_quarter(t.inputs.adjustments)
+    known = M.drop_unknown_quarter(t.adjustments)
     return plain(known.select("entity", "quarter_id", "seg_l4_id", "geo_l4_desc", "sa_rwa"))
 
 
@@ -398,13 +413,13 @@ def quarter_join(t: Tables) -> DataFrame:
 
 @register
 def quarter_inverse_join(t: Tables) -> DataFrame:
-    dated = O.quarter_inverse_join(M.drop_unknown_quarter(t.inputs.adjustments), t.calendar)
+    dated = O.quarter_inverse_join(M.drop_unknown_quarter(t.adjustments), t.calendar)
     return dated.groupBy("quarter_id", "year", "month").agg(F.count("*").alias("n_rows"))
 
 
 @register
 def geo_enrich(t: Tables) -> DataFrame:
-    done = C.geo_enrich(t.inputs.convergence.drop("geo_l3_desc"), t.inputs.balance_sheet)
+    done = C.geo_enrich(t.convergence.drop("geo_l3_desc"), t.balance_sheet)
     return plain(
         done.groupBy("geo_l3_desc", "geo_l4_desc").agg(F.count("*").alias("n_rows"), F.sum("gaap_amt").alias("gaap_amt"))
     )
@@ -412,7 +427,7 @@ def geo_enrich(t: Tables) -> DataFrame:
 
 @register
 def adjustment_join(t: Tables) -> DataFrame:
-    joined = O.adjustment_join(O.outlook_keys(t.dated), t.inputs.adjustments)
+    joined = O.adjustment_join(O.outlook_keys(t.dated), t.adjustments)
     return plain(
         joined.select(*LONG, "quarter_id", "balances", "exposure_type", "sa_rwf", "aa_rwf", "sa_rwf_key2", "aa_rwf_key2")
     )
@@ -420,12 +435,12 @@ def adjustment_join(t: Tables) -> DataFrame:
 
 @register
 def pug_join(t: Tables) -> DataFrame:
-    return M.pug_join(t.rows, t.inputs.pug).groupBy("entity", "seg_l4_desc", "pug").agg(F.count("*").alias("n_rows"))
+    return M.pug_join(t.rows, t.pug).groupBy("entity", "seg_l4_desc", "pug").agg(F.count("*").alias("n_rows"))
 
 
 @register
 def pmf_join(t: Tables) -> DataFrame:
-    joined = M.pmf_join(C.string_normalise(t.rows), t.inputs.pmf)
+    joined = M.pmf_join(C.string_normalise(t.rows), t.pmf)
     return joined.groupBy("entity", "pmf_l5", "sa_account", "aa_account").agg(F.count("*").alias("n_rows"))
 
 
@@ -438,7 +453,7 @@ def table_diff(t: Tables) -> DataFrame:
 
 @register
 def lateral_unpivot(t: Tables) -> DataFrame:
-    return plain(summary.lateral_unpivot(t.inputs.balance_sheet))
+    return plain(summary.lateral_unpivot(t.balance_sheet))
 
 
 # -- aggregations -----------------------------------------------------------
@@ -505,19 +520,19 @@ def control_raw(t: Tables) -> DataFrame:
 
 @register
 def quarter_counts(t: Tables) -> DataFrame:
-    return O.quarter_counts(t.inputs.convergence, t.balances)
+    return O.quarter_counts(t.convergence, t.balances)
 
 
 @register
 def quarter_map(t: Tables) -> DataFrame:
-    counts = O.quarter_counts(t.inputs.convergence, t.balances)
+    counts = O.quarter_counts(t.convergence, t.balances)
     ids = counts.select(F.explode(F.sequence(F.lit(0), F.col("max_quarters") - 1)).alias("quarter_id"))
     return Q.calendar_rows(ids, Q0)
 
 
 @register
 def duplicate_keys(t: Tables) -> DataFrame:
-    return M.duplicate_keys(t.inputs.pug, "pug")
+    return M.duplicate_keys(t.pug, "pug")
 
 
 # -- reshape ----------------------------------------------------------------
@@ -577,7 +592,7 @@ def outlook_keys(t: Tables) -> DataFrame:
 
 @register
 def legacy_layer(t: Tables) -> DataFrame:
-    layers = M.legacy_layer(t.inputs.balance_sheet)
+    layers = M.legacy_layer(t.balance_sheet)
     return plain(
         layers.groupBy("reporting_layer", "seg_l3_desc", "seg_l4_desc", "geo_l3_desc").agg(
             F.count("*").alias("n_rows"), F.sum("m3").alias("m3")
@@ -635,7 +650,7 @@ def concat_addon(t: Tables) -> DataFrame:
 
 @register
 def frm_concat(t: Tables) -> DataFrame:
-    adjustments = M.coerce_adjustments(V.blank_to_null(t.inputs.adjustments))
+    adjustments = M.coerce_adjustments(V.blank_to_null(t.adjustments))
     stacked = M.frm_concat(adjustments, V.blank_to_null(t.outlook), A.rename_addon(V.blank_to_null(t.addon)))
     return stacked.groupBy("entity", "quarter_id", "month", "comment", "exposure_type").agg(
         F.count("*").alias("n_rows"),
@@ -652,14 +667,14 @@ def frm_base(t: Tables) -> DataFrame:
 
 @register
 def entity_union(t: Tables) -> DataFrame:
-    whole = t.inputs.balance_sheet
+    whole = t.balance_sheet
     sheets = {e.name: whole.filter(F.col("entity") == e.name).drop("entity") for e in rules.ENTITIES}
     return plain(O.entity_union(sheets))
 
 
 @register
 def distinct_pairs(t: Tables) -> DataFrame:
-    return C.distinct_pairs(t.inputs.balance_sheet)
+    return C.distinct_pairs(t.balance_sheet)
 
 
 @register
@@ -674,7 +689,7 @@ def sample_rows(t: Tables) -> DataFrame:
 
 @register
 def dq_status(t: Tables) -> DataFrame:
-    counts = t.inputs.convergence.groupBy("quarter_id", "exposure_type").agg(
+    counts = t.convergence.groupBy("quarter_id", "exposure_type").agg(
         F.count("*").alias("n_total"), F.count(F.when(F.col("seg_l2_desc").isNull(), 1)).alias("n_failing")
     )
     return counts.withColumn("status", D.dq_status(F.col("n_failing"), F.col("n_total"), 1.9))
@@ -682,25 +697,25 @@ def dq_status(t: Tables) -> DataFrame:
 
 @register
 def dq_row_count(t: Tables) -> DataFrame:
-    return D.dq_row_count({"convergence": t.inputs.convergence, "balance_sheet": t.inputs.balance_sheet})
+    return D.dq_row_count({"convergence": t.convergence, "balance_sheet": t.balance_sheet})
 
 
 @register
 def dq_required_cols(t: Tables) -> DataFrame:
-    checked = D.dq_required_cols(t.inputs.convergence, pipeline.REQUIRED, "convergence")
-    return checked.unionByName(D.dq_required_cols(t.inputs.convergence, ["quarter_id", "pmf_l5"], "convergence"))
+    checked = D.dq_required_cols(t.convergence, pipeline.REQUIRED, "convergence")
+    return checked.unionByName(D.dq_required_cols(t.convergence, ["quarter_id", "pmf_l5"], "convergence"))
 
 
 @register
 def dq_null_rate(t: Tables) -> DataFrame:
     columns = {"pmf_nulls": "pmf_l5", "l2_nulls": "seg_l2_desc", "type_nulls": "exposure_type", "no_column": "absent"}
-    return D.dq_null_rate(t.inputs.convergence, columns, "convergence")
+    return D.dq_null_rate(t.convergence, columns, "convergence")
 
 
 @register
 def dq_allowed_values(t: Tables) -> DataFrame:
-    good = D.dq_allowed_values(t.inputs.convergence, "is_cg", ["Y", "N"], "convergence", "flags")
-    bad = D.dq_allowed_values(t.inputs.convergence, "geo_l4_desc", ["NATION_1", "NATION_2"], "convergence", "geo")
+    good = D.dq_allowed_values(t.convergence, "is_cg", ["Y", "N"], "convergence", "flags")
+    bad = D.dq_allowed_values(t.convergence, "geo_l4_desc", ["NATION_1", "NATION_2"], "convergence", "geo")
     return good.unionByName(bad)
 
 
@@ -721,10 +736,8 @@ def dq_quarter_coverage(t: Tables) -> DataFrame:
 
 @register
 def dq_report(t: Tables) -> DataFrame:
-    i = t.stage("outlook", "frm").inputs
-    return D.dq_report(
-        i.convergence, t.outlook, i.adjustments, t.frm, len(rules.WATERFALL_KEYS), pipeline.REQUIRED, RUN_TIMESTAMP
-    )
+    t.stage("outlook", "frm")
+    return pipeline.quality_report(t.inputs, t.convergence, t.outlook, t.frm, PARAMS, RUN_TIMESTAMP)
 
 
 @register
@@ -749,7 +762,7 @@ def pmf_unmatched(t: Tables) -> DataFrame:
 
 @register
 def diff_key_normalise(t: Tables) -> DataFrame:
-    ids = t.inputs.balance_sheet.select(
+    ids = t.balance_sheet.select(
         F.col("seg_l4_id").cast("double").alias("id"),
         F.concat(F.lit(" "), "geo_l4_desc", F.lit(" ")).alias("geo"),
         F.col("pmf_l5").alias("account"),
@@ -765,7 +778,7 @@ def diff_schema(t: Tables) -> DataFrame:
 
 @register
 def diff_dup_keys(t: Tables) -> DataFrame:
-    return X.diff_dup_keys(t.inputs.balance_sheet, t.pair[1], DIFF_KEY)
+    return X.diff_dup_keys(t.balance_sheet, t.pair[1], DIFF_KEY)
 
 
 @register
@@ -793,12 +806,12 @@ def diff_verdict(t: Tables) -> DataFrame:
 
 @register
 def profile_columns(t: Tables) -> DataFrame:
-    return P.profile_columns(t.business(t.inputs.balance_sheet))
+    return P.profile_columns(t.business(t.balance_sheet))
 
 
 @register
 def mapping_log(t: Tables) -> DataFrame:
-    return P.mapping_log(t.inputs.adjustments)
+    return P.mapping_log(t.adjustments)
 
 
 # -- pipelines --------------------------------------------------------------
@@ -847,7 +860,7 @@ def raw_data(t: Tables) -> DataFrame:
 def control_file(t: Tables) -> DataFrame:
     """The three controls side by side in long form."""
     t.stage("raw")
-    tables = pipeline.control_file(t.rows, t.template, t.raw, PARAMS, N_QUARTERS)
+    tables = pipeline.control_file(C.by_entity(t.inputs.convergence), t.template, t.raw, PARAMS, N_QUARTERS)
     labels = Q.quarter_labels(Q0, N_QUARTERS)
     upload = tables["control_upload"].withColumnsRenamed(
         {"Managed Segment L2 Descr": "seg_l2_desc", "RWA Calc": "rwa_calc", "Entity": "entity"}

@@ -112,13 +112,10 @@ NEEDS = {
 }
 
 
-def given_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in GIVEN}
-
-
-def view(spark: SparkSession, given: dict[str, DataFrame], name: str) -> DataFrame:
+def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table as a DataFrame."""
     ctes = ", ".join(f"{n} AS ({VIEWS[n]})" for n in NEEDS[name])
+    given = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in GIVEN if f"{{{t}}}" in ctes}
     return spark.sql(f"WITH {ctes} SELECT * FROM {name}", **given)
 
 
