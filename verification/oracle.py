@@ -115,7 +115,7 @@ def control(rows: str, sa: str, aa: str, extra: str = "") -> str:
 
 
 def cents(names: list[str]) -> str:
-    return ", ".join(f'round(CAST("{n}" AS DOUBLE), 2) AS "{n}"' for n in names)
+    return ", ".join(f'round("{n}") AS "{n}"' for n in names)
 
 
 def grouped(n: str) -> str:
@@ -433,7 +433,7 @@ CTES = {
     "pair_a": f"""SELECT {cols(DIFF_KEY)}, SUM(m3) AS m3, SUM(m6) AS m6, MAX(seg_l2_desc) AS seg_l2_desc,
         CASE WHEN year = 2026 THEN '' ELSE 'x' END AS note
         FROM balance_sheet WHERE {present(DIFF_KEY)} GROUP BY {cols(DIFF_KEY)}""",
-    "pair_b": """SELECT * REPLACE (CASE WHEN geo_l3_desc = 'EUROPE' THEN m3 + 1 ELSE m3 END AS m3, NULLIF(note, '') AS note,
+    "pair_b": """SELECT * REPLACE (CASE WHEN geo_l3_desc = 'EUROPE' THEN m3 * 2 ELSE m3 END AS m3, NULLIF(note, '') AS note,
           CASE WHEN geo_l4_desc = 'NATION_3' THEN year + 10 ELSE year END AS year), 1 AS added
         FROM pair_a WHERE year <> 2027 OR pmf_l5 <> 'Investments (L2)'""",
     "paired": f"""SELECT {', '.join(f'COALESCE(CAST(a.{k} AS VARCHAR), CAST(b.{k} AS VARCHAR)) AS {k}' for k in DIFF_KEY)},
@@ -462,7 +462,7 @@ BIG = {  # upload columns of the profile, in source order
 
 
 def profile(table: str, kinds: dict[str, str], headers: dict[str, str], position: bool) -> str:
-    """Column profile; ``kinds`` maps columns to text, long or decimal(p,s)."""
+    """Column profile; ``kinds`` maps columns to string, bigint or double."""
     parts = []
     for i, (c, kind) in enumerate(kinds.items(), 1):
         header = headers.get(c, c)
@@ -482,7 +482,7 @@ def profile(table: str, kinds: dict[str, str], headers: dict[str, str], position
 
 
 BALANCE_KINDS = {
-    c: "decimal(18,2)" if c.startswith("m") else "bigint" if c.endswith("_id") or c == "year" else "string" for c in BIG
+    c: "double" if c.startswith("m") else "bigint" if c.endswith("_id") or c == "year" else "string" for c in BIG
 }
 ADJUSTMENT_KINDS = {
     c: "bigint" if c.endswith("_id") and c != "quarter_id" or c == "year" else "string"
@@ -491,7 +491,7 @@ ADJUSTMENT_KINDS = {
         "seg_l4_id", "seg_l3_id", "seg_l2_id", "month", "balances", "quarter_id", "sa_rwa", "aa_rwa", "erba_rwa",
         "comment", "exposure_type", "sa_rwf", "aa_rwf", "sa_rwf_key2", "aa_rwf_key2",
     )
-} | {c: "decimal(18,2)" for c in ("sa_rwa", "aa_rwa", "erba_rwa")}
+} | {c: "double" for c in ("sa_rwa", "aa_rwa", "erba_rwa")}
 
 STEP_COUNTS = {
     "conv_credit_risk": ("credit_risk", "sa_rwa_amt"),
@@ -613,7 +613,7 @@ CHECKS = {
         seg_l3_desc, seg_l4_desc, geo_l3_desc, COUNT(*) AS n_rows, CAST(SUM(m3) AS DOUBLE) AS m3
         FROM balance_sheet GROUP BY 1, 2, 3, 4""",
     "account_derive": """SELECT entity_code, rwa_calc, pmf_l5, account AS "Account", COUNT(*) AS n_rows FROM labelled GROUP BY 1, 2, 3, 4""",
-    "quarter_headers": f"""SELECT entity_code, rwa_calc, {', '.join(f'round(SUM({Q_NAMES[q]}), 2) AS "{n}"' for q, n in Q_LABELS.items())}
+    "quarter_headers": f"""SELECT entity_code, rwa_calc, {', '.join(f'round(SUM({Q_NAMES[q]})) AS "{n}"' for q, n in Q_LABELS.items())}
         FROM calc_pivot GROUP BY 1, 2""",
     "format_upload": TEMPLATE_SQL,
     "upload_sort": TEMPLATE_SQL,
@@ -692,12 +692,12 @@ CHECKS = {
     "stage2_frm": """SELECT entity_code, reporting_layer, seg_l4_desc, geo_l4_desc, pmf_l5, quarter_id, exposure_type, comment, pug,
         sa_account, aa_account, balances, sa_rwa, aa_rwa, erba_rwa FROM frm""",
     "upload_template": f"""SELECT "Entity", "Reporting Layer", "Managed Segment L2 Descr", "RWA Calc", "Account", "Markets Filter",
-        COUNT(*) AS n_rows, {', '.join(f'round(SUM("{n}"), 2) AS "{n}"' for n in LABELS)} FROM template GROUP BY 1, 2, 3, 4, 5, 6""",
-    "raw_data": """SELECT entity_code, seg_l2_desc, pmf_l5, quarter_id, COUNT(*) AS n_rows, round(SUM(sa_rwa), 2) AS sa_rwa,
-        round(SUM(aa_rwa), 2) AS aa_rwa FROM raw GROUP BY 1, 2, 3, 4""",
+        COUNT(*) AS n_rows, {', '.join(f'round(SUM("{n}")) AS "{n}"' for n in LABELS)} FROM template GROUP BY 1, 2, 3, 4, 5, 6""",
+    "raw_data": """SELECT entity_code, seg_l2_desc, pmf_l5, quarter_id, COUNT(*) AS n_rows, round(SUM(sa_rwa)) AS sa_rwa,
+        round(SUM(aa_rwa)) AS aa_rwa FROM raw GROUP BY 1, 2, 3, 4""",
     "control_file": union(
         [
-            f"""SELECT '{name}' AS control, {dims}, '{Q_NAMES[q]}' AS quarter, round(CAST("{columns[q]}" AS DOUBLE), 2) AS amount FROM {table}"""
+            f"""SELECT '{name}' AS control, {dims}, '{Q_NAMES[q]}' AS quarter, round("{columns[q]}") AS amount FROM {table}"""
             for name, table, dims, columns in (
                 ("upload", "control_template",
                  '"Entity" AS entity, "Managed Segment L2 Descr" AS seg_l2_desc, "RWA Calc" AS rwa_calc', Q_LABELS),

@@ -40,15 +40,9 @@ RWF = [*rules.rwf_columns("sa", 5), *rules.rwf_columns("aa", 5)]
 DIFF_KEY = ["entity", "year", "seg_l4_desc", "geo_l4_desc", "geo_l3_desc", "pmf_l5"]
 
 
-def plain(df: DataFrame) -> DataFrame:
-    """Decimals as doubles, once all exact sums are done."""
-    wide = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DecimalType)]
-    return df.withColumns({c: F.col(f"`{c}`").cast("double") for c in wide})
-
-
 def cents(df: DataFrame, *columns: str) -> DataFrame:
-    """Sums of doubles depend on order in their last digits; reports show cents."""
-    return df.withColumns({c: F.round(F.col(f"`{c}`").cast("double"), 2) for c in columns})
+    """Sums of fractions depend on order in their last digits; reports show whole cents."""
+    return df.withColumns({c: F.round(F.col(f"`{c}`")) for c in columns})
 
 
 class Tables:
@@ -161,7 +155,7 @@ class Tables:
         )
         b = (
             a.filter((F.col("year") != 2027) | (F.col("pmf_l5") != "Investments (L2)"))
-            .withColumn("m3", F.when(F.col("geo_l3_desc") == "EUROPE", F.col("m3") + 1).otherwise(F.col("m3")))
+            .withColumn("m3", F.when(F.col("geo_l3_desc") == "EUROPE", F.col("m3") * 2).otherwise(F.col("m3")))
             .withColumn("note", F.when(F.col("note") == "", F.lit(None)).otherwise(F.col("note")))
             .withColumn("year", F.when(F.col("geo_l4_desc") == "NATION_3", F.col("year") + 10).otherwise(F.col("year")))
             .withColumn("added", F.lit(1))
@@ -255,7 +249,7 @@ def sink_parquet(t: Tables) -> DataFrame:
     folder = staging_path(t.spark, "sink")
     sinks.sink_parquet({"balances": t.balance_sheet}, folder, partition_by="entity")
     back = t.spark.read.parquet(f"{folder}/balances.parquet")
-    return plain(back.groupBy("entity", "year").agg(F.count("*").alias("n_rows"), F.sum("m3").alias("m3")))
+    return back.groupBy("entity", "year").agg(F.count("*").alias("n_rows"), F.sum("m3").alias("m3"))
 
 
 @register
@@ -272,13 +266,11 @@ def sink_long(t: Tables) -> DataFrame:
 @register
 def load_tables(t: Tables) -> DataFrame:
     catalog.load_tables({"loaded_balance_sheet": t.balance_sheet, "loaded_quarter_map": t.calendar})
-    return plain(
-        t.spark.sql(
+    return t.spark.sql(
             """SELECT b.entity, q.quarter_id, COUNT(*) AS n_rows, SUM(b.m3) AS m3
                FROM loaded_balance_sheet b JOIN loaded_quarter_map q ON b.year = q.year AND q.month = 'Mar'
                GROUP BY b.entity, q.quarter_id"""
         )
-    )
 
 
 # -- projections and coercion -----------------------------------------------
@@ -287,25 +279,23 @@ def load_tables(t: Tables) -> DataFrame:
 @register
 def month_columns(t: Tables) -> DataFrame:
     months = O.month_columns(t.balance_sheet)
-    return plain(months.groupBy("entity", "year").agg(*[F.sum(m).alias(m) for m in rules.MONTHS]))
+    return months.groupBy("entity", "year").agg(*[F.sum(m).alias(m) for m in rules.MONTHS])
 
 
 @register
 def rename_addon(t: Tables) -> DataFrame:
     renamed = A.rename_addon(t.addon)
     dims = ["entity", "quarter_id", "seg_l4_id", "seg_l3_id", "seg_l2_id", "pmf_l5", "exposure_type", "geo_l4_desc"]
-    return plain(renamed.select(*dims, "sa_rwa", "aa_rwa", "erba_rwa"))
+    return renamed.select(*dims, "sa_rwa", "aa_rwa", "erba_rwa")
 
 
 @register
 def coerce_adjustments(t: Tables) -> DataFrame:
     done = M.coerce_adjustments(V.blank_to_null(t.adjustments))
-    return plain(
-        done.select(
+    return done.select(
             "entity", "year", "seg_l4_id", "geo_l4_desc", "pmf_l5", "quarter_id", "balances", "sa_rwa", "aa_rwa",
             "comment", "exposure_type", "sa_rwf", "aa_rwf", "sa_rwf_key2", "aa_rwf_key2",
         )
-    )
 
 
 @register
@@ -330,11 +320,9 @@ def int_str(t: Tables) -> DataFrame:
 @register
 def fill_zero_all(t: Tables) -> DataFrame:
     filled = V.fill_zero(t.balance_sheet.select("entity", "seg_l4_desc", "pmf_l5", "seg_l4_id", "m12"))
-    return plain(
-        filled.groupBy("entity", "seg_l4_desc", "pmf_l5", "seg_l4_id").agg(
+    return filled.groupBy("entity", "seg_l4_desc", "pmf_l5", "seg_l4_id").agg(
             F.count("m12").alias("n_m12"), F.sum("m12").alias("m12")
         )
-    )
 
 
 @register
@@ -354,14 +342,12 @@ def entity_tag(t: Tables) -> DataFrame:
 
 
 def bucket_totals(rows: DataFrame) -> DataFrame:
-    return plain(
-        rows.groupBy("entity", "seg_l2_desc", "pmf_l5", "quarter_id").agg(
+    return rows.groupBy("entity", "seg_l2_desc", "pmf_l5", "quarter_id").agg(
             F.count("*").alias("n_rows"),
             F.sum("gaap_amt").alias("gaap_amt"),
             F.sum("sa_rwa_amt").alias("sa_rwa_amt"),
             F.sum("adv_rwa_amt").alias("adv_rwa_amt"),
         )
-    )
 
 
 @register
@@ -387,7 +373,7 @@ def exclude_discontinued(t: Tables) -> DataFrame:
 @register
 def drop_unknown_quarter(t: Tables) -> DataFrame:
     known = M.drop_unknown_quarter(t.adjustments)
-    return plain(known.select("entity", "quarter_id", "seg_l4_id", "geo_l4_desc", "sa_rwa"))
+    return known.select("entity", "quarter_id", "seg_l4_id", "geo_l4_desc", "sa_rwa")
 
 
 @register
@@ -403,12 +389,12 @@ def markets_filter(t: Tables) -> DataFrame:
 
 @register
 def waterfall_join(t: Tables) -> DataFrame:
-    return plain(t.with_factors.select(*LONG, *SEG_IDS, "quarter_id", "balances", *RWF))
+    return t.with_factors.select(*LONG, *SEG_IDS, "quarter_id", "balances", *RWF)
 
 
 @register
 def quarter_join(t: Tables) -> DataFrame:
-    return plain(t.dated.select(*LONG, "quarter_id", "balances"))
+    return t.dated.select(*LONG, "quarter_id", "balances")
 
 
 @register
@@ -420,17 +406,13 @@ def quarter_inverse_join(t: Tables) -> DataFrame:
 @register
 def geo_enrich(t: Tables) -> DataFrame:
     done = C.geo_enrich(t.convergence.drop("geo_l3_desc"), t.balance_sheet)
-    return plain(
-        done.groupBy("geo_l3_desc", "geo_l4_desc").agg(F.count("*").alias("n_rows"), F.sum("gaap_amt").alias("gaap_amt"))
-    )
+    return done.groupBy("geo_l3_desc", "geo_l4_desc").agg(F.count("*").alias("n_rows"), F.sum("gaap_amt").alias("gaap_amt"))
 
 
 @register
 def adjustment_join(t: Tables) -> DataFrame:
     joined = O.adjustment_join(O.outlook_keys(t.dated), t.adjustments)
-    return plain(
-        joined.select(*LONG, "quarter_id", "balances", "exposure_type", "sa_rwf", "aa_rwf", "sa_rwf_key2", "aa_rwf_key2")
-    )
+    return joined.select(*LONG, "quarter_id", "balances", "exposure_type", "sa_rwf", "aa_rwf", "sa_rwf_key2", "aa_rwf_key2")
 
 
 @register
@@ -448,12 +430,12 @@ def pmf_join(t: Tables) -> DataFrame:
 def table_diff(t: Tables) -> DataFrame:
     a, b = t.pair
     joined = X.diff_rows(a, b, DIFF_KEY)
-    return plain(joined.select(*DIFF_KEY, "m3__a", "m3__b", "presence"))
+    return joined.select(*DIFF_KEY, "m3__a", "m3__b", "presence")
 
 
 @register
 def lateral_unpivot(t: Tables) -> DataFrame:
-    return plain(summary.lateral_unpivot(t.balance_sheet))
+    return summary.lateral_unpivot(t.balance_sheet)
 
 
 # -- aggregations -----------------------------------------------------------
@@ -461,12 +443,12 @@ def lateral_unpivot(t: Tables) -> DataFrame:
 
 @register
 def quarterly_sum(t: Tables) -> DataFrame:
-    return plain(O.quarterly_sum(O.month_columns(t.balances)))
+    return O.quarterly_sum(O.month_columns(t.balances))
 
 
 @register
 def key_pivots(t: Tables) -> DataFrame:
-    return plain(t.pivots)
+    return t.pivots
 
 
 @register
@@ -482,28 +464,28 @@ def markets_null_rwf(t: Tables) -> DataFrame:
 @register
 def markets_addon_sum(t: Tables) -> DataFrame:
     rows = A.projected_quarter_parse(C.string_normalise(C.split_markets_addon(t.rows)), t.calendar)
-    return plain(A.markets_addon_sum(rows))
+    return A.markets_addon_sum(rows)
 
 
 @register
 def addon_sum(t: Tables) -> DataFrame:
     rows = A.projected_quarter_parse(C.string_normalise(C.split_non_waterfall(t.rows)), t.calendar)
-    return plain(A.addon_sum(rows))
+    return A.addon_sum(rows)
 
 
 @register
 def addon_sum_sql(t: Tables) -> DataFrame:
-    return plain(t.steps["addon_pivot"])
+    return t.steps["addon_pivot"]
 
 
 @register
 def control_convergence(t: Tables) -> DataFrame:
-    return plain(K.control_convergence(t.rows, sorted(QUARTERS)))
+    return K.control_convergence(t.rows, sorted(QUARTERS))
 
 
 @register
 def control_summary(t: Tables) -> DataFrame:
-    return plain(t.steps["control_summary"])
+    return t.steps["control_summary"]
 
 
 @register
@@ -540,7 +522,7 @@ def duplicate_keys(t: Tables) -> DataFrame:
 
 @register
 def melt_balances(t: Tables) -> DataFrame:
-    return plain(t.long)
+    return t.long
 
 
 @register
@@ -566,38 +548,36 @@ def rwa_long(t: Tables) -> DataFrame:
 @register
 def first_valid_rwf(t: Tables) -> DataFrame:
     final = O.final_factors(t.with_factors)
-    return plain(final.select(*LONG, "quarter_id", "final_sa_rwf", "final_aa_rwf"))
+    return final.select(*LONG, "quarter_id", "final_sa_rwf", "final_aa_rwf")
 
 
 @register
 def sa_rwa(t: Tables) -> DataFrame:
-    return plain(t.outlook.select(*LONG, "quarter_id", "balances", "final_sa_rwf", "sa_rwa"))
+    return t.outlook.select(*LONG, "quarter_id", "balances", "final_sa_rwf", "sa_rwa")
 
 
 @register
 def aa_rwa(t: Tables) -> DataFrame:
-    return plain(t.outlook.select(*LONG, "quarter_id", "balances", "final_aa_rwf", "aa_rwa"))
+    return t.outlook.select(*LONG, "quarter_id", "balances", "final_aa_rwf", "aa_rwa")
 
 
 @register
 def erba_rwa(t: Tables) -> DataFrame:
-    return plain(t.outlook.select(*LONG, "quarter_id", "balances", "erba_rwa", "comment"))
+    return t.outlook.select(*LONG, "quarter_id", "balances", "erba_rwa", "comment")
 
 
 @register
 def outlook_keys(t: Tables) -> DataFrame:
     keyed = O.outlook_keys(t.dated)
-    return plain(keyed.select("entity", "key1", "key2", "key3", "key4", "key5", "quarter_id", "balances"))
+    return keyed.select("entity", "key1", "key2", "key3", "key4", "key5", "quarter_id", "balances")
 
 
 @register
 def legacy_layer(t: Tables) -> DataFrame:
     layers = M.legacy_layer(t.balance_sheet)
-    return plain(
-        layers.groupBy("reporting_layer", "seg_l3_desc", "seg_l4_desc", "geo_l3_desc").agg(
+    return layers.groupBy("reporting_layer", "seg_l3_desc", "seg_l4_desc", "geo_l3_desc").agg(
             F.count("*").alias("n_rows"), F.sum("m3").alias("m3")
         )
-    )
 
 
 @register
@@ -629,11 +609,9 @@ def upload_sort(t: Tables) -> DataFrame:
 @register
 def projected_quarter_parse(t: Tables) -> DataFrame:
     parsed = A.projected_quarter_parse(t.rows, t.calendar)
-    return plain(
-        parsed.groupBy("entity", "projected_quarter", "year", "month", "quarter_id").agg(
+    return parsed.groupBy("entity", "projected_quarter", "year", "month", "quarter_id").agg(
             F.count("*").alias("n_rows"), F.sum("sa_rwa_amt").alias("sa_rwa_amt")
         )
-    )
 
 
 # -- set operations ---------------------------------------------------------
@@ -645,7 +623,7 @@ def concat_addon(t: Tables) -> DataFrame:
     for split in (C.split_markets_addon, C.split_non_waterfall):
         rows = A.projected_quarter_parse(C.string_normalise(split(t.rows)), t.calendar)
         buckets.append(A.addon_sum(rows))
-    return plain(A.concat_addon(*buckets))
+    return A.concat_addon(*buckets)
 
 
 @register
@@ -669,7 +647,7 @@ def frm_base(t: Tables) -> DataFrame:
 def entity_union(t: Tables) -> DataFrame:
     whole = t.balance_sheet
     sheets = {e.name: whole.filter(F.col("entity") == e.name).drop("entity") for e in rules.ENTITIES}
-    return plain(O.entity_union(sheets))
+    return O.entity_union(sheets)
 
 
 @register
@@ -819,17 +797,15 @@ def mapping_log(t: Tables) -> DataFrame:
 
 @register
 def stage1_outlook(t: Tables) -> DataFrame:
-    return plain(
-        t.outlook.select(
+    return t.outlook.select(
             *LONG, *SEG_IDS, "quarter_id", "balances", "key1", *RWF, "final_sa_rwf", "final_aa_rwf", "sa_rwa", "aa_rwa",
             "erba_rwa", "comment", "exposure_type",
         )
-    )
 
 
 @register
 def stage1_addon(t: Tables) -> DataFrame:
-    return plain(t.addon)
+    return t.addon
 
 
 @register
@@ -908,12 +884,12 @@ def sql_pipeline(t: Tables) -> DataFrame:
 @register
 def outlook_rwa_sql(t: Tables) -> DataFrame:
     columns = ["final_sa_rwf", "final_aa_rwf", "sa_rwa", "aa_rwa", "erba_rwa"]
-    return plain(t.steps["outlook_rwa"].select(*LONG, "quarter_id", "key1", "balances", *columns))
+    return t.steps["outlook_rwa"].select(*LONG, "quarter_id", "key1", "balances", *columns)
 
 
 @register
 def waterfall_rwf_sql(t: Tables) -> DataFrame:
-    return plain(t.steps["waterfall_rwf"])
+    return t.steps["waterfall_rwf"]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -1,9 +1,10 @@
 """Input tables of the engine, derived from the given star schema.
 
 One SQL text per table, in the dialect Spark and the checking engine share.
-``{name}`` stands for a given table. Amounts are exact decimals. Rows are never
-selected by id: every given row takes part, and expressions of ids only choose
-column values, so that nulls, misses and odd values all occur.
+``{name}`` stands for a given table. Amounts are doubles holding whole cents, so
+that sums are exact in any order. Rows are never selected by id: every given row
+takes part, and expressions of ids only choose column values, so that nulls,
+misses and odd values all occur.
 """
 
 from __future__ import annotations
@@ -46,14 +47,12 @@ VIEWS = {
           CASE WHEN l_linestatus = 'O' THEN 'Y' ELSE 'N' END AS is_cbna,
           CASE WHEN l_suppkey % 10 = 3 THEN 'Securitization' WHEN l_suppkey % 10 = 4 THEN NULL
             ELSE 'Direct' END AS exposure_type,
-          CAST(CASE WHEN l_partkey % 41 = 0 THEN 0 WHEN l_partkey % 43 = 0 THEN l_quantity
-            WHEN l_linenumber = 5 THEN -l_extendedprice ELSE l_extendedprice END AS DECIMAL(18,2)) AS gaap_amt,
-          CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(round(l_discount * 100) AS INTEGER)
-            AS DECIMAL(18,2)) AS sa_rwa_amt,
-          CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(round(l_tax * 100) AS INTEGER)
-            AS DECIMAL(18,2)) AS adv_cg_amt,
-          CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(round(l_tax * 80) AS INTEGER)
-            AS DECIMAL(18,2)) AS adv_cbna_amt
+          CAST(CASE WHEN l_partkey % 41 = 0 THEN 0 WHEN l_partkey % 43 = 0 THEN round(l_quantity * 100)
+            WHEN l_linenumber = 5 THEN -round(l_extendedprice * 100)
+            ELSE round(l_extendedprice * 100) END AS DOUBLE) AS gaap_amt,
+          round(l_extendedprice * 100) * round(l_discount * 100) AS sa_rwa_amt,
+          round(l_extendedprice * 100) * round(l_tax * 100) AS adv_cg_amt,
+          round(l_extendedprice * 100) * round(l_tax * 80) AS adv_cbna_amt
         FROM {lineitem} JOIN seg ON l_partkey % 36 = l4 JOIN {supplier} ON l_suppkey = s_suppkey
           JOIN geo ON s_nationkey = n_nationkey JOIN pmf ON pid = (l_partkey + l_linenumber) % 8""",
     "balance_sheet": """
@@ -61,10 +60,10 @@ VIEWS = {
           CAST(2025 + o_orderkey % 3 AS BIGINT) AS year,
           seg_l4_desc, seg_l3_desc, seg_l2_desc, geo_l4_desc, geo_l3_desc, pmf_l5,
           seg_l4_code AS seg_l4_id, seg_l3_code AS seg_l3_id, seg_l2_code AS seg_l2_id,
-          CAST(o_totalprice AS DECIMAL(18,2)) AS m3,
-          CAST(CAST(o_totalprice AS DECIMAL(12,2)) * 2 AS DECIMAL(18,2)) AS m6,
-          CAST(-o_totalprice AS DECIMAL(18,2)) AS m9,
-          CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE CAST(o_totalprice AS DECIMAL(18,2)) END AS m12
+          round(o_totalprice * 100) AS m3,
+          round(o_totalprice * 100) * 2 AS m6,
+          -round(o_totalprice * 100) AS m9,
+          CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE round(o_totalprice * 100) END AS m12
         FROM {orders} JOIN {customer} ON o_custkey = c_custkey JOIN geo ON c_nationkey = n_nationkey
           LEFT JOIN seg ON (o_orderkey * 7) % 40 = l4 JOIN pmf ON pid = o_orderkey % 8""",
     "adjustments": """
@@ -77,9 +76,9 @@ VIEWS = {
             ELSE CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR(30)) END AS balances,
           CASE WHEN c_custkey % 17 = 0 THEN 'Unknown' WHEN c_custkey % 19 = 0 THEN NULL
             ELSE CAST((c_custkey * 3 + c_nationkey) % 8 AS VARCHAR(9)) END AS quarter_id,
-          CAST(c_acctbal AS DECIMAL(18,2)) AS sa_rwa,
-          CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE CAST(c_acctbal AS DECIMAL(18,2)) END AS aa_rwa,
-          CAST(CAST(c_acctbal AS DECIMAL(12,2)) * 2 AS DECIMAL(18,2)) AS erba_rwa,
+          round(c_acctbal * 100) AS sa_rwa,
+          CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE round(c_acctbal * 100) END AS aa_rwa,
+          round(c_acctbal * 100) * 2 AS erba_rwa,
           CASE WHEN c_custkey % 5 = 0 THEN '' ELSE c_mktsegment END AS comment,
           CASE WHEN c_custkey % 3 = 0 THEN 'Banking Book' WHEN c_custkey % 3 = 1 THEN '' ELSE NULL END AS exposure_type,
           CASE WHEN c_custkey % 4 = 0 THEN '2' ELSE NULL END AS sa_rwf,
