@@ -17,7 +17,7 @@ from factorfall.operators import upload as U
 from factorfall.plans import stages as S
 from factorfall.plans.config import Parameters
 from factorfall.schemas import REGISTRY, canonical
-from factorfall.session import stage_table
+from factorfall.session import stage_table, stage_tables
 from factorfall.sources import catalog, sinks
 
 # The exposure columns every run needs, in canonical names.
@@ -76,8 +76,12 @@ def run_pipeline(
     calendar = quarter_map(spark, params.q0, n_quarters)
 
     lookups = stage_table(S.factors(inputs, params), "factors")
-    outlook = stage_table(S.stage1_outlook(inputs, params, n_quarters, lookups), "outlook")
-    addon = stage_table(S.stage1_addon(inputs, params, n_quarters), "addon")
+    outlook, addon = stage_tables(
+        {
+            "outlook": S.stage1_outlook(inputs, params, n_quarters, lookups),
+            "addon": S.stage1_addon(inputs, params, n_quarters),
+        }
+    )
     raw = stage_table(S.raw_data(inputs, outlook, addon), "raw")
     frm = stage_table(S.stage2_frm(inputs, raw), "frm")
     template = stage_table(S.upload_template(frm, params, n_quarters), "template")

@@ -15,7 +15,7 @@ from factorfall.operators import frm as M
 from factorfall.operators import outlook as O
 from factorfall.operators import upload as U
 from factorfall.plans.config import Parameters
-from factorfall.session import stage_table
+from factorfall.session import stage_table, stage_tables
 
 
 @dataclass(frozen=True)
@@ -43,11 +43,8 @@ def prepared(inputs: Inputs) -> Inputs:
     Every later step gives the same result on the totals as on the rows.
     """
     totals = C.geo_enrich(C.exposure_totals(inputs.convergence), inputs.balance_sheet)
-    return replace(
-        inputs,
-        convergence=stage_table(totals, "exposures"),
-        quarterly=stage_table(quarterly(inputs), "quarterly"),
-    )
+    exposures, balances = stage_tables({"exposures": totals, "quarterly": quarterly(inputs)})
+    return replace(inputs, convergence=exposures, quarterly=balances)
 
 
 def enriched(inputs: Inputs) -> DataFrame:

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution re-plans joins from measured sizes and splits skewed
@@ -64,3 +67,15 @@ def stage_table(df: DataFrame, name: str, partition_by: str | None = None) -> Da
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def run_together(spark: SparkSession, actions: Sequence[Callable[[], object]], at_once: int = 8) -> list:
+    """Submit independent jobs side by side, so that the short ones fill idle executors."""
+    with ThreadPoolExecutor(max_workers=max(1, min(at_once, len(actions)))) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(a)) for a in actions]]
+
+
+def stage_tables(tables: dict[str, DataFrame]) -> list[DataFrame]:
+    """Stage several independent tables side by side; returns them in order."""
+    spark = next(iter(tables.values())).sparkSession
+    return run_together(spark, [lambda n=n, t=t: stage_table(t, n) for n, t in tables.items()])

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from factorfall.functions.values import blank_to_null
 from factorfall.schemas import REGISTRY, canonical, clean_header
+from factorfall.session import run_together
 
 
 @dataclass(frozen=True)
@@ -79,11 +80,14 @@ def scan_typed(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
 
 
 def ingest_to_parquet(spark: SparkSession, specs: list[SourceSpec], output_dir: str) -> None:
-    """Landed files to typed zstd Parquet; datasets already there are left alone."""
-    for spec in specs:
+    """Landed files to typed zstd Parquet, side by side; datasets already there are left alone."""
+
+    def write(spec: SourceSpec) -> None:
         typed = scan_csv(spark, spec.path, REGISTRY[spec.schema_key])
         typed.write.mode("ignore").option("compression", "zstd").parquet(f"{output_dir}/{spec.output_name}")
 
+    run_together(spark, [lambda s=s: write(s) for s in specs])
+
 
 def scan_fallback(spark: SparkSession, spec: SourceSpec, parquet_dir: str) -> DataFrame:
     """The Parquet copy; built when absent; the landed file when unreadable. Blank text is null."""

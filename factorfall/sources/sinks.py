@@ -7,16 +7,22 @@ from pyspark.sql import functions as F
 
 from factorfall import rules
 from factorfall.operators.profile import mapping_log
+from factorfall.session import run_together
 
 
 def sink_parquet(outputs: dict[str, DataFrame], folder: str, partition_by: str | None = None) -> None:
-    """Each named table to zstd Parquet, replacing an earlier run's."""
-    for name, df in outputs.items():
+    """Each named table to zstd Parquet, replacing an earlier run's; tables are written side by side."""
+
+    def write(name: str, df: DataFrame) -> None:
         writer = df.write.mode("overwrite").option("compression", "zstd")
         if partition_by and partition_by in df.columns:
             writer = writer.partitionBy(partition_by)
         writer.parquet(f"{folder}/{name}.parquet")
 
+    if outputs:
+        spark = next(iter(outputs.values())).sparkSession
+        run_together(spark, [lambda n=n, d=d: write(n, d) for n, d in outputs.items()])
+
 
 def sink_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)

@@ -127,7 +127,7 @@ class Tables:
     def stage(self, *names: str) -> Tables:
         """Write steps that the rest of a query reads more than once."""
         for name in names:
-            setattr(self, name, stage_table(getattr(self, name), name))
+            self.__dict__[name] = stage_table(getattr(self, name), name)
         return self
 
     @cached_property
@@ -162,9 +162,6 @@ class Tables:
         )
         return a, b
 
-    def business(self, df: DataFrame) -> DataFrame:
-        return U.with_headers(df)
-
 
 Query = Callable[[Tables], DataFrame]
 REGISTERED: dict[str, Query] = {}
@@ -784,7 +781,7 @@ def diff_verdict(t: Tables) -> DataFrame:
 
 @register
 def profile_columns(t: Tables) -> DataFrame:
-    return P.profile_columns(t.business(t.balance_sheet))
+    return P.profile_columns(U.with_headers(t.balance_sheet))
 
 
 @register
