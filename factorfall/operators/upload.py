@@ -138,5 +138,10 @@ def rwa_long(frm: DataFrame, q0: str, n_quarters: int) -> DataFrame:
 
 
 def with_headers(df: DataFrame) -> DataFrame:
-    """Canonical names to business headers, for tables handed to readers."""
+    """Canonical names to business headers, for tables handed to readers.
+
+    The header of the entity code is 'Entity', so the plain name makes way.
+    """
+    if "entity_code" in df.columns:
+        df = df.drop("entity")
     return df.withColumnsRenamed({c: output_header(c) for c in df.columns})

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -101,7 +102,7 @@ def scan_fallback(spark: SparkSession, spec: SourceSpec, parquet_dir: str) -> Da
                 raise
             ingest_to_parquet(spark, [spec], parquet_dir)
             df = scan_typed(spark, path, schema)
-    except PySparkException:
+    except (PySparkException, Py4JJavaError):
         df = scan_csv(spark, spec.path, schema)
     return blank_to_null(df)
 

@@ -472,7 +472,7 @@ def addon_sum(t: Tables) -> DataFrame:
 
 @register
 def addon_sum_sql(t: Tables) -> DataFrame:
-    return t.steps["addon_pivot"]
+    return summary.addon_sum_sql(t.rows)
 
 
 @register
@@ -482,7 +482,7 @@ def control_convergence(t: Tables) -> DataFrame:
 
 @register
 def control_summary(t: Tables) -> DataFrame:
-    return t.steps["control_summary"]
+    return K.control_summary(t.rows)
 
 
 @register
@@ -886,7 +886,7 @@ def outlook_rwa_sql(t: Tables) -> DataFrame:
 
 @register
 def waterfall_rwf_sql(t: Tables) -> DataFrame:
-    return t.steps["waterfall_rwf"]
+    return summary.key1_factors(t.rows)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
