@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from factorfall import rules
 from factorfall.functions.values import filled_sum, whole
 from factorfall.operators.convergence import exclude_discontinued
-from factorfall.operators.upload import _calc_rows, quarter_column
+from factorfall.operators.upload import calc_rows, quarter_column
 
 CONTROL_CALCS = {"SA RWA": "sa_rwa", "AA RWA": "aa_rwa"}
 
@@ -19,14 +19,12 @@ def _control_totals(rows: DataFrame, quarters: Sequence[int]) -> DataFrame:
     """SA and AA totals per entity and segment, one column per quarter; no rows, no total."""
     dims = ["entity", "seg_l2_desc"]
     sums = [
-        F.sum(F.when(F.col("quarter_id") == q, F.coalesce(F.col(column), F.lit(0)))).alias(
-            f"{calc}_{quarter_column(q)}"
-        )
+        F.expr(f"sum(CASE WHEN quarter_id = {q} THEN coalesce({column}, 0) END) AS `{calc}_{quarter_column(q)}`")
         for calc, column in CONTROL_CALCS.items()
         for q in quarters
     ]
     wide = rows.dropna(subset=[*dims, "quarter_id"]).groupBy(*dims).agg(*sums)
-    return wide.select(*_calc_rows(dims, list(CONTROL_CALCS), [quarter_column(q) for q in quarters]))
+    return wide.select(*calc_rows(dims, list(CONTROL_CALCS), [quarter_column(q) for q in quarters]))
 
 
 def control_convergence(rows: DataFrame, quarters: Sequence[int]) -> DataFrame:

@@ -35,12 +35,10 @@ def quarter_column(quarter: int) -> str:
     return f"q{quarter}"
 
 
-def _calc_rows(dims: Sequence[str], calcs: Sequence[str], names: Sequence[str]) -> list[Column | str]:
+def calc_rows(dims: Sequence[str], calcs: Sequence[str], names: Sequence[str]) -> list[Column | str]:
     """Turn columns '<calc>_<name>' into one row per calc."""
-    parts = []
-    for calc in calcs:
-        parts += [F.lit(calc), *[F.col(f"{calc}_{n}") for n in names]]
-    return [*dims, F.stack(F.lit(len(calcs)), *parts).alias("rwa_calc", *names)]
+    rows = ", ".join(f"'{calc}', " + ", ".join(f"`{calc}_{n}`" for n in names) for calc in calcs)
+    return [*dims, F.expr(f"stack({len(calcs)}, {rows})").alias("rwa_calc", *names)]
 
 
 def upload_pivot(df: DataFrame, quarters: Sequence[int]) -> DataFrame:
@@ -54,14 +52,12 @@ def upload_pivot(df: DataFrame, quarters: Sequence[int]) -> DataFrame:
     keep = df.select(*dims, "quarter_id", *CALCS.values())
     filled = fill_zero(keep.withColumn("quarter_id", whole("quarter_id")))
     sums = [
-        F.coalesce(F.sum(F.when(F.col("quarter_id") == q, F.col(column).cast("double"))), F.lit(0.0)).alias(
-            f"{calc}_{quarter_column(q)}"
-        )
+        F.expr(f"coalesce(sum(CASE WHEN quarter_id = {q} THEN double({column}) END), 0D) AS {calc}_{quarter_column(q)}")
         for calc, column in CALCS.items()
         for q in quarters
     ]
     wide = filled.groupBy(*dims).agg(*sums)
-    return wide.select(*_calc_rows(dims, list(CALCS), [quarter_column(q) for q in quarters]))
+    return wide.select(*calc_rows(dims, list(CALCS), [quarter_column(q) for q in quarters]))
 
 
 def upload_pivot_sql(frm_base: DataFrame, quarters: Sequence[int]) -> DataFrame:
@@ -72,14 +68,12 @@ def upload_pivot_sql(frm_base: DataFrame, quarters: Sequence[int]) -> DataFrame:
         return "rwa_actuals" if q == 0 else quarter_column(q)
 
     sums = [
-        F.sum(F.when(F.col("quarter_id") == q, F.coalesce(F.col(column).cast("double"), F.lit(0.0)))).alias(
-            f"{calc}_{name(q)}"
-        )
+        F.expr(f"sum(CASE WHEN quarter_id = {q} THEN coalesce(double({column}), 0D) END) AS {calc}_{name(q)}")
         for calc, column in CALCS.items()
         for q in sorted(quarters)
     ]
     wide = frm_base.groupBy(*dims).agg(*sums)
-    return wide.select(*_calc_rows(dims, list(CALCS), [name(q) for q in sorted(quarters)]))
+    return wide.select(*calc_rows(dims, list(CALCS), [name(q) for q in sorted(quarters)]))
 
 
 def markets_filter(pivot: DataFrame) -> DataFrame:
@@ -129,12 +123,8 @@ def upload_sort(template: DataFrame) -> DataFrame:
 def rwa_long(frm: DataFrame, q0: str, n_quarters: int) -> DataFrame:
     """Tidy table: one row per source row and calc, with the quarter's label."""
     labelled = frm.withColumn("period", period_label(q0, n_quarters, whole("quarter_id")))
-    parts = []
-    for column in ("sa_rwa", "aa_rwa", "erba_rwa"):
-        parts += [F.lit(column.split("_")[0].upper()), F.col(column).cast("double")]
-    return labelled.select(
-        *LONG_DIMS, "period", F.stack(F.lit(3), *parts).alias("rwa_calc", "rwa_amount")
-    )
+    calcs = F.expr("stack(3, 'SA', double(sa_rwa), 'AA', double(aa_rwa), 'ERBA', double(erba_rwa))")
+    return labelled.select(*LONG_DIMS, "period", calcs.alias("rwa_calc", "rwa_amount"))
 
 
 def with_headers(df: DataFrame) -> DataFrame:

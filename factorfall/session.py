@@ -11,8 +11,10 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution re-plans joins from measured sizes and splits skewed
-# partitions; the rest follows from UTC dates and zstd output.
+# partitions. Plans here are built from many small expressions, so recording
+# the Python call site of each would take a quarter of the planning time.
 SETTINGS = {
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
