@@ -1,0 +1,73 @@
+"""Left joins that hold up when one key has a large share of the rows."""
+
+from __future__ import annotations
+
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# Up to this many rows a lookup is broadcast: at some hundred bytes a row, well
+# within an executor.
+BROADCAST_ROWS = 500_000
+# A key is hot when it holds more than one in this many rows, so there are
+# fewer hot keys than this, whatever the data.
+HOT_SHARE = 1_000
+SALTS = 64
+
+
+def _equal(left: list[str], right: list[str]) -> Column:
+    condition = F.lit(True)
+    for a, b in zip(left, right):
+        condition = condition & (F.col(a) == F.col(b))
+    return condition
+
+
+def hot_keys(left: DataFrame, keys: list[str], n_rows: int, hot_share: int = HOT_SHARE) -> DataFrame:
+    """Keys holding more than 1/``hot_share`` of the rows; at most ``hot_share`` of them."""
+    renamed = [F.col(k).alias(f"__hot_{k}") for k in keys]
+    counts = left.dropna(subset=keys).groupBy(*renamed).agg(F.count("*").alias("__n"))
+    return counts.filter(F.col("__n") * hot_share > n_rows).drop("__n")
+
+
+def lookup_join(
+    left: DataFrame,
+    lookup: DataFrame,
+    on: Mapping[str, str],
+    n_lookup: int,
+    broadcast_rows: int = BROADCAST_ROWS,
+    counted: DataFrame | None = None,
+    n_counted: int | None = None,
+    hot_share: int = HOT_SHARE,
+    salts: int = SALTS,
+) -> DataFrame:
+    """Left join of a lookup with ``n_lookup`` rows; ``on`` maps left to lookup columns.
+
+    A lookup within ``broadcast_rows`` is broadcast and ``left`` stays where it
+    is. A larger one is shuffled, and hot keys are split: their left rows spread
+    over ``salts`` parts, their few lookup rows are repeated for each part.
+    Every row and match is kept either way. The lookup's key columns drop out.
+
+    Hot keys are looked for in ``counted`` (of ``n_counted`` rows): a table with
+    the keys of ``left`` that costs less to read than ``left`` itself.
+    """
+    mine, theirs = list(on), list(on.values())
+    if n_lookup <= broadcast_rows:
+        return left.join(F.broadcast(lookup), _equal(mine, theirs), "left").drop(*theirs)
+
+    counted = left if counted is None else counted
+    n_rows = counted.count() if n_counted is None else n_counted
+    hot = F.broadcast(hot_keys(counted, mine, n_rows, hot_share))
+    flags = [f"__hot_{k}" for k in mine]
+    is_hot = F.col(flags[0]).isNotNull()
+    # The part follows from the row, so a task that runs again gives the same.
+    part = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(salts))
+    salted = left.join(hot, _equal(mine, flags), "left").withColumn("__salt", F.when(is_hot, part).otherwise(0))
+    parts = F.expr(f"CASE WHEN {flags[0]} IS NOT NULL THEN sequence(0L, {salts - 1}L) ELSE array(0L) END")
+    repeated = (
+        lookup.join(hot, _equal(theirs, flags), "left")
+        .withColumn("__part", F.explode(parts))
+        .drop(*flags)
+    )
+    joined = salted.drop(*flags).join(repeated, _equal([*mine, "__salt"], [*theirs, "__part"]), "left")
+    return joined.drop(*theirs, "__salt", "__part")

@@ -26,6 +26,13 @@ def whole(c: str | Column) -> Column:
     return F.coalesce(c.try_cast("bigint"), c.try_cast("double").try_cast("bigint"))
 
 
+def id_of(df: DataFrame, column: str) -> Column:
+    """An id column as whole number, converted only where it is not one already."""
+    if isinstance(df.schema[column].dataType, T.IntegralType):
+        return F.col(column).cast("bigint")
+    return whole(column)
+
+
 def int_str(c: str | Column) -> Column:
     """Id as whole-number text; a missing id reads 'nan'."""
     return F.coalesce(whole(c).cast("string"), F.lit("nan"))

@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factorfall import rules
+from factorfall.functions.joins import BROADCAST_ROWS, lookup_join
 from factorfall.functions.rwa import erba_rwa, first_valid, projected_rwa
 from factorfall.functions.values import (
     grouped_sum,
+    id_of,
     int_str,
-    left_join,
     number,
     quarter_text,
     text,
@@ -116,32 +117,37 @@ def outlook_keys(outlook: DataFrame, keys=rules.WATERFALL_KEYS) -> DataFrame:
     return outlook.withColumns(columns)
 
 
-def waterfall_join(outlook: DataFrame, factors: DataFrame, keys=rules.WATERFALL_KEYS) -> DataFrame:
+def waterfall_join(
+    outlook: DataFrame,
+    factors: DataFrame,
+    keys=rules.WATERFALL_KEYS,
+    broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
     """Left join every key level's factors, most specific first.
 
     A key that holds several segments keeps one row per segment, as a lookup
-    with repeated keys does. Levels are read from one factor table whose size
-    Catalyst knows when it was staged: small levels are broadcast and the
-    outlook is not shuffled at all; large ones are sort-merge joined.
+    with repeated keys does. ``factors`` should be a staged table: its levels
+    are counted first (one number each), and only those within
+    ``broadcast_rows`` are broadcast.
     """
+    sizes = {r["key_level"]: r["n"] for r in factors.groupBy("key_level").agg(F.count("*").alias("n")).collect()}
+    ids = {f"__left_{f.outlook}": id_of(outlook, f.outlook) for key in keys for f in key if f.outlook and f.whole}
+    outlook = base = outlook.withColumns(ids)
+    n_base = base.count() if any(n > broadcast_rows for n in sizes.values()) else None
     for i, key in enumerate(keys, 1):
         suffix = "" if i == 1 else f"_key{i}"
         joined = [f for f in key if f.outlook is not None]
         lookup = factors.filter(F.col("key_level") == i).select(
             F.col("entity").alias("__entity"),
             F.col("quarter_id").cast("bigint").alias("__quarter"),
-            *[(whole(f.lookup) if f.whole else F.col(f.lookup)).alias(f"__{f.lookup}") for f in joined],
+            *[(id_of(factors, f.lookup) if f.whole else F.col(f.lookup)).alias(f"__{f.lookup}") for f in joined],
             F.col("sa_rwf").alias(f"sa_rwf{suffix}"),
             F.col("aa_rwf").alias(f"aa_rwf{suffix}"),
         )
-        condition = (F.col("entity") == F.col("__entity")) & (F.col("quarter_id") == F.col("__quarter"))
-        for f in joined:
-            left = whole(f.outlook) if f.whole else F.col(f.outlook)
-            condition = condition & (left == F.col(f"__{f.lookup}"))
-        outlook = outlook.join(lookup, condition, "left").drop(
-            "__entity", "__quarter", *[f"__{f.lookup}" for f in joined]
-        )
-    return outlook
+        on = {"entity": "__entity", "quarter_id": "__quarter"}
+        on |= {f"__left_{f.outlook}" if f.whole else f.outlook: f"__{f.lookup}" for f in joined}
+        outlook = lookup_join(outlook, lookup, on, sizes.get(i, 0), broadcast_rows, base, n_base)
+    return outlook.drop(*ids)
 
 
 def adjustment_join(outlook: DataFrame, adjustments: DataFrame, keys=rules.WATERFALL_KEYS) -> DataFrame:
@@ -156,13 +162,13 @@ def adjustment_join(outlook: DataFrame, adjustments: DataFrame, keys=rules.WATER
     right = adjustments.select(
         F.col("entity").alias("__entity"),
         whole("quarter_id").alias("__quarter"),
-        *[(whole(f.outlook) if f.whole else text(f.outlook)).alias(f"__{f.outlook}") for f in joined],
+        *[(id_of(adjustments, f.outlook) if f.whole else text(f.outlook)).alias(f"__{f.outlook}") for f in joined],
         "exposure_type",
         *carried,
     )
     condition = (F.col("entity") == F.col("__entity")) & (F.col("quarter_id") == F.col("__quarter"))
     for f in joined:
-        left = whole(f.outlook) if f.whole else F.col(f.outlook)
+        left = id_of(outlook, f.outlook) if f.whole else F.col(f.outlook)
         condition = condition & (left == F.col(f"__{f.outlook}"))
     return outlook.join(right, condition, "left").drop(
         "__entity", "__quarter", *[f"__{f.outlook}" for f in joined]

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from factorfall import rules
+from factorfall.functions import joins as J
 from factorfall.functions.quarters import quarter_map
 from factorfall.operators import addon as A
 from factorfall.operators import convergence as C
@@ -153,8 +154,8 @@ def test_outlook_keys(spark, rows):
     ]
 
 
-@pytest.mark.parametrize("threshold", ["10MB", "-1"])
-def test_waterfall_falls_through_and_fans_out(spark, rows, threshold):
+@pytest.mark.parametrize("broadcast_rows", [1000, 0])
+def test_waterfall_falls_through_and_fans_out(spark, rows, broadcast_rows):
     df = C.by_entity(
         exposures(
             spark,
@@ -165,12 +166,9 @@ def test_waterfall_falls_through_and_fans_out(spark, rows, threshold):
         )
     )
     factors = C.factor_table(C.split_credit_risk(df))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-    try:
-        joined = O.final_factors(O.waterfall_join(dated(spark, balances(spark, dict())), factors))
-        got = rows(joined, "quarter_id", "sa_rwf", "sa_rwf_key2", "final_sa_rwf")
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    outlook = dated(spark, balances(spark, dict()))
+    joined = O.final_factors(O.waterfall_join(outlook, factors, broadcast_rows=broadcast_rows))
+    got = rows(joined, "quarter_id", "sa_rwf", "sa_rwf_key2", "final_sa_rwf")
     assert [g for g in got if g[0] == 0] == [(0, 0.0, 0.0, 0.0)]
     assert [g for g in got if g[0] == 1] == [(1, None, 0.5, 0.5)]
     assert [g for g in got if g[0] == 2] == [(2, None, None, None)]
@@ -182,13 +180,19 @@ def test_hot_key_without_broadcast_keeps_every_row(spark):
     many = F.explode(F.sequence(F.lit(1), F.lit(500)))
     sheet = balances(spark, dict()).withColumn("i", many).withColumn("seg_l4_desc", F.concat(F.lit("s"), "i"))
     factors = C.factor_table(C.split_credit_risk(C.by_entity(exposures(spark, dict()))))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        joined = O.waterfall_join(dated(spark, sheet), factors)
-        counts = joined.agg(F.count("*"), F.count("sa_rwf_key5")).first()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert tuple(counts) == (2000, 500)
+    joined = O.waterfall_join(dated(spark, sheet), factors, broadcast_rows=0)
+    assert tuple(joined.agg(F.count("*"), F.count("sa_rwf_key5")).first()) == (2000, 500)
+
+
+def test_salted_join_equals_broadcast_join(spark, rows):
+    left = spark.range(300).select("id", F.when(F.col("id") < 200, "hot").when(F.col("id") < 290, F.concat(F.lit("k"), F.col("id") % 40)).alias("k"))
+    lookup = spark.createDataFrame([("hot", 1), ("hot", 2), ("k1", 3), ("k2", None), ("unused", 5)], "lk string, v int")
+    assert rows(J.hot_keys(left, ["k"], 300, 10)) == [("hot",)]
+    plain = J.lookup_join(left, lookup, {"k": "lk"}, 5)
+    salted = J.lookup_join(left, lookup, {"k": "lk"}, 5, broadcast_rows=0, hot_share=10, salts=7)
+    assert salted.columns == plain.columns == ["id", "k", "v"]
+    assert rows(salted) == rows(plain)
+    assert salted.count() == 500
 
 
 def test_adjustment_join_by_quarter_number(spark, rows):
