@@ -74,11 +74,19 @@ class Tables:
     def pmf(self) -> DataFrame:
         return self.view("pmf_mapping")
 
+    @cached_property
+    def given(self) -> stages.Inputs:
+        return stages.Inputs(self.convergence, self.balance_sheet, self.adjustments, self.pug, self.pmf)
+
     @cached_property
     def inputs(self) -> stages.Inputs:
         """Inputs of a run, the large ones reduced to staged totals as a run does."""
-        given = stages.Inputs(self.convergence, self.balance_sheet, self.adjustments, self.pug, self.pmf)
-        return stages.prepared(given)
+        return stages.prepared(self.given)
+
+    @property
+    def source(self) -> stages.Inputs:
+        """The staged totals where a query reads the inputs more than once, else the tables themselves."""
+        return self.__dict__.get("inputs", self.given)
 
     @cached_property
     def rows(self) -> DataFrame:
@@ -102,23 +110,24 @@ class Tables:
 
     @cached_property
     def lookups(self) -> DataFrame:
-        return stage_table(stages.factors(self.inputs, PARAMS), "factors")
+        return stage_table(stages.factors(self.source, PARAMS), "factors")
 
     @cached_property
     def with_factors(self) -> DataFrame:
-        return stages.outlook_factors(self.inputs, PARAMS, N_QUARTERS, self.lookups)
+        return stages.outlook_factors(self.source, PARAMS, N_QUARTERS, self.lookups)
 
     @cached_property
     def outlook(self) -> DataFrame:
-        return stages.stage1_outlook(self.inputs, PARAMS, N_QUARTERS, self.lookups)
+        return stages.stage1_outlook(self.source, PARAMS, N_QUARTERS, self.lookups)
 
     @cached_property
     def addon(self) -> DataFrame:
-        return stages.stage1_addon(self.inputs, PARAMS, N_QUARTERS)
+        return stages.stage1_addon(self.source, PARAMS, N_QUARTERS)
 
     @cached_property
     def raw(self) -> DataFrame:
-        return stages.raw_data(self.inputs, self.outlook, self.addon)
+        inputs = self.inputs  # factors and add-ons both read the exposures
+        return stages.raw_data(inputs, self.outlook, self.addon)
 
     @cached_property
     def frm(self) -> DataFrame:
@@ -711,8 +720,9 @@ def dq_quarter_coverage(t: Tables) -> DataFrame:
 
 @register
 def dq_report(t: Tables) -> DataFrame:
+    inputs = t.inputs
     t.stage("outlook", "frm")
-    return pipeline.quality_report(t.inputs, t.convergence, t.outlook, t.frm, PARAMS, RUN_TIMESTAMP)
+    return pipeline.quality_report(inputs, t.convergence, t.outlook, t.frm, PARAMS, RUN_TIMESTAMP)
 
 
 @register
