@@ -190,7 +190,7 @@ def final_factors(outlook: DataFrame) -> DataFrame:
     return outlook.withColumns({f"final_{c}_rwf": first_valid(waterfall_columns(outlook, c)) for c in ("sa", "aa")})
 
 
-def outlook_rwa(outlook: DataFrame) -> DataFrame:
+def project_rwa(outlook: DataFrame) -> DataFrame:
     """SA, AA and ERBA RWA and an empty comment."""
     return (
         outlook.withColumns({"sa_rwa": projected_rwa("final_sa_rwf"), "aa_rwa": projected_rwa("final_aa_rwf")})

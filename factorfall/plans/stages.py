@@ -88,7 +88,7 @@ def outlook_factors(inputs: Inputs, params: Parameters, n_quarters: int, staged:
 def stage1_outlook(inputs: Inputs, params: Parameters, n_quarters: int, staged: DataFrame | None = None) -> DataFrame:
     """Outlook with adjustments attached, final factors and RWA."""
     joined = O.adjustment_join(outlook_factors(inputs, params, n_quarters, staged), inputs.adjustments, params.keys)
-    return O.outlook_rwa(O.final_factors(joined))
+    return O.project_rwa(O.final_factors(joined))
 
 
 def addon_input(inputs: Inputs, params: Parameters, n_quarters: int) -> DataFrame:

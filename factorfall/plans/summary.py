@@ -106,9 +106,9 @@ def summary_steps(
     }
     steps["outlook_with_keys"] = outlook_with_keys(steps["outlook_long"], calendar)
     steps["outlook_with_rwf"] = outlook_with_rwf(steps["outlook_with_keys"], steps["waterfall_rwf"])
-    steps["outlook_rwa"] = O.outlook_rwa(steps["outlook_with_rwf"]).drop("comment")
+    steps["projected_rwa"] = O.project_rwa(steps["outlook_with_rwf"]).drop("comment")
     steps["addon_pivot"] = addon_sum_sql(rows)
-    steps["frm_base"] = frm_base(steps["outlook_rwa"], steps["addon_pivot"])
+    steps["frm_base"] = frm_base(steps["projected_rwa"], steps["addon_pivot"])
     steps["upload_template_pivot"] = upload_pivot_sql(steps["frm_base"], quarters)
     steps["control_summary"] = control_summary(rows)
     return steps

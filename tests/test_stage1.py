@@ -209,7 +209,7 @@ def test_adjustment_join_by_quarter_number(spark, rows):
     )
     factors = C.factor_table(C.split_credit_risk(C.by_entity(exposures(spark, dict(quarter_id=7)))))
     joined = O.adjustment_join(O.waterfall_join(dated(spark, balances(spark, dict())), factors), adjustments)
-    final = O.outlook_rwa(O.final_factors(joined))
+    final = O.project_rwa(O.final_factors(joined))
     assert rows(final, "quarter_id", "exposure_type", "sa_rwf_adj", "final_sa_rwf", "sa_rwa") == [
         (0, "Overlay", 2.0, None, None),
         (1, None, None, None, None),

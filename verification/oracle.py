@@ -501,7 +501,7 @@ STEP_COUNTS = {
     "outlook_long": ("coarse_long", "balances"),
     "outlook_with_keys": ("coarse_keyed", "key1"),
     "outlook_with_rwf": ("coarse_rwf", "final_sa_rwf"),
-    "outlook_rwa": ("coarse_rwa", "sa_rwa"),
+    "projected_rwa": ("coarse_rwa", "sa_rwa"),
     "addon_pivot": ("coarse_addon", "erba_rwa"),
     "frm_base": ("coarse_frm", "sa_rwa"),
     "upload_template_pivot": ("coarse_pivot", "q1"),
@@ -511,9 +511,6 @@ LONG_SQL = cols(LONG)
 Q_LIST = list(Q_NAMES.values())
 TEMPLATE_SQL = f'SELECT * REPLACE ({cents(LABELS)}) FROM template'
 DQ_SQL = f"SELECT *, '{STAMP}' AS run_timestamp FROM ({DQ_REPORT}) r"
-DIFF_VALUES = """SELECT {pair} AS pair, {both} AS "both", {left} AS left_only, {right} AS right_only,
-  CAST({columns} AS BIGINT) AS failed_columns, CAST({totals} AS BIGINT) AS failed_totals, {schema} AS same_schema, {verdict} AS invariant"""
-
 CHECKS = {
     "scan_typed": SHEET,
     "scan_csv": SHEET,
@@ -713,7 +710,7 @@ CHECKS = {
             for step, (source, column) in STEP_COUNTS.items()
         ]
     ),
-    "outlook_rwa_sql": f"""SELECT {LONG_SQL}, quarter_id, key1, {dbl('balances')}, final_sa_rwf, final_aa_rwf, sa_rwa, aa_rwa, erba_rwa
+    "projected_rwa_sql": f"""SELECT {LONG_SQL}, quarter_id, key1, {dbl('balances')}, final_sa_rwf, final_aa_rwf, sa_rwa, aa_rwa, erba_rwa
         FROM coarse_rwa""",
     "waterfall_rwf_sql": f"""SELECT entity, quarter_id, seg_l4_code, geo_l4_desc, pmf_l5, seg_l2_desc,
         {dbl('gaap_amt', 'sa_rwa_amt', 'adv_rwa_amt')}, sa_rwf, aa_rwf FROM coarse_factors""",

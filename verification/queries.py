@@ -874,7 +874,7 @@ def sql_pipeline(t: Tables) -> DataFrame:
         "outlook_long": "balances",
         "outlook_with_keys": "key1",
         "outlook_with_rwf": "final_sa_rwf",
-        "outlook_rwa": "sa_rwa",
+        "projected_rwa": "sa_rwa",
         "addon_pivot": "erba_rwa",
         "frm_base": "sa_rwa",
         "upload_template_pivot": "q1",
@@ -889,9 +889,9 @@ def sql_pipeline(t: Tables) -> DataFrame:
 
 
 @register
-def outlook_rwa_sql(t: Tables) -> DataFrame:
+def projected_rwa_sql(t: Tables) -> DataFrame:
     columns = ["final_sa_rwf", "final_aa_rwf", "sa_rwa", "aa_rwa", "erba_rwa"]
-    return t.steps["outlook_rwa"].select(*LONG, "quarter_id", "key1", "balances", *columns)
+    return t.steps["projected_rwa"].select(*LONG, "quarter_id", "key1", "balances", *columns)
 
 
 @register
