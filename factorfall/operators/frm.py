@@ -7,7 +7,6 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factorfall import rules
 from factorfall.functions.rwa import entity_code, reporting_layer
 from factorfall.functions.values import (
     left_join,

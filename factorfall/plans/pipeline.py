@@ -5,7 +5,6 @@ from __future__ import annotations
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from factorfall.functions.quarters import ordered_quarters, quarter_labels, quarter_map
 from factorfall.operators import controls as K

@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from factorfall.functions.quarters import ordered_quarters, quarter_map
 from factorfall.functions.values import blank_to_null

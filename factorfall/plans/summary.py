@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factorfall import rules
-from factorfall.functions.rwa import capped_ratio, erba_rwa, projected_rwa
+from factorfall.functions.rwa import capped_ratio, erba_rwa
 from factorfall.functions.values import whole
 from factorfall.operators import convergence as C
 from factorfall.operators import outlook as O
