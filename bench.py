@@ -10,6 +10,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -45,6 +46,7 @@ def main() -> None:
             "spark.ui.showConsoleProgress": "false",
             "spark.sql.shuffle.partitions": cpus,
             "spark.driver.memory": "16g",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="staging-"),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -2,20 +2,31 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Up to this many rows a lookup is broadcast: at some hundred bytes a row, well
-# within an executor.
-BROADCAST_ROWS = 500_000
 # A key is hot when it holds more than one in this many rows, so there are
 # fewer hot keys than this, whatever the data.
 HOT_SHARE = 1_000
 SALTS = 64
 
 
+def broadcast_limit(spark: SparkSession) -> int:
+    """Bytes up to which the session lets a table be broadcast."""
+    text = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold")).strip().lower()
+    number, unit = re.fullmatch(r"(-?\d+)\s*([kmgt]?)i?b?", text).groups()
+    return int(number) * 1024 ** " kmgt".index(unit or " ")
+
+
+def row_bytes(df: DataFrame) -> int:
+    """Size of a row in memory: a header, words for fixed-width columns, some tens of bytes for a text."""
+    return 16 + sum(48 if isinstance(f.dataType, T.StringType) else 8 for f in df.schema.fields)
+
+
 def _equal(left: list[str], right: list[str]) -> Column:
     condition = F.lit(True)
     for a, b in zip(left, right):
@@ -34,17 +45,16 @@ def lookup_join(
     left: DataFrame,
     lookup: DataFrame,
     on: Mapping[str, str],
-    n_lookup: int,
-    broadcast_rows: int = BROADCAST_ROWS,
+    small: bool,
     counted: DataFrame | None = None,
     n_counted: int | None = None,
     hot_share: int = HOT_SHARE,
     salts: int = SALTS,
 ) -> DataFrame:
-    """Left join of a lookup with ``n_lookup`` rows; ``on`` maps left to lookup columns.
+    """Left join of a lookup; ``on`` maps left to lookup columns.
 
-    A lookup within ``broadcast_rows`` is broadcast and ``left`` stays where it
-    is. A larger one is shuffled, and hot keys are split: their left rows spread
+    A lookup that was measured to be ``small`` is broadcast and ``left`` stays
+    where it is. A larger one is shuffled, and hot keys are split: their left rows spread
     over ``salts`` parts, their few lookup rows are repeated for each part.
     Every row and match is kept either way. The lookup's key columns drop out.
 
@@ -52,7 +62,7 @@ def lookup_join(
     the keys of ``left`` that costs less to read than ``left`` itself.
     """
     mine, theirs = list(on), list(on.values())
-    if n_lookup <= broadcast_rows:
+    if small:
         return left.join(F.broadcast(lookup), _equal(mine, theirs), "left").drop(*theirs)
 
     counted = left if counted is None else counted

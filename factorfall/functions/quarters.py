@@ -10,14 +10,9 @@ from pyspark.sql import functions as F
 from factorfall.functions.values import as_column
 from factorfall.rules import ACTUALS_LABEL, QUARTER_END_MONTHS
 
-# A calendar holds at most this many quarters, which bounds what is broadcast.
-MAX_QUARTERS = 4000
-
 
 def quarter_map(spark: SparkSession, q0: str, n_quarters: int) -> DataFrame:
     """(quarter_id, year, month) for quarter 0 = ``q0`` ('Mar 2025') onwards."""
-    if not 0 <= n_quarters <= MAX_QUARTERS:
-        raise ValueError(f"a calendar of {n_quarters} quarters is out of range")
     return calendar_rows(spark.range(n_quarters).withColumnRenamed("id", "quarter_id"), q0)
 
 
@@ -58,7 +53,7 @@ def period_label(q0: str, n_quarters: int, quarter: str | Column = "quarter_id")
 
 def projected_year(c: str | Column) -> Column:
     """Year of a projected quarter such as '3Q25'."""
-    return F.concat(F.lit("20"), F.substring(as_column(c), 3, 100)).try_cast("bigint")
+    return F.concat(F.lit("20"), as_column(c).substr(F.lit(3), F.length(as_column(c)))).try_cast("bigint")
 
 
 def projected_month(c: str | Column) -> Column:

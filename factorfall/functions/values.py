@@ -16,8 +16,8 @@ def as_column(c: str | Column) -> Column:
 
 
 def number(c: str | Column) -> Column:
-    """Double value; anything that is not a number is null."""
-    return as_column(c).try_cast("double")
+    """Double value; anything that is not a number, the text NaN included, is null."""
+    return F.nullif(as_column(c).try_cast("double"), F.lit(float("nan")))
 
 
 def whole(c: str | Column) -> Column:

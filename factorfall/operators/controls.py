@@ -11,26 +11,35 @@ from factorfall import rules
 from factorfall.functions.values import filled_sum, whole
 from factorfall.operators.convergence import exclude_discontinued
 from factorfall.operators.upload import calc_rows, quarter_column
+from factorfall.session import stage_table
 
 CONTROL_CALCS = {"SA RWA": "sa_rwa", "AA RWA": "aa_rwa"}
 
 
-def _control_totals(rows: DataFrame, quarters: Sequence[int]) -> DataFrame:
-    """SA and AA totals per entity and segment, one column per quarter; no rows, no total."""
+def _control_totals(rows: DataFrame) -> DataFrame:
+    """SA and AA totals per entity and segment, one column per quarter that occurs; no rows, no total.
+
+    The rows shrink to one per (entity, segment, quarter) first; the quarters
+    are then read off that small table, so none can be left out.
+    """
     dims = ["entity", "seg_l2_desc"]
-    sums = [
-        F.expr(f"sum(CASE WHEN quarter_id = {q} THEN coalesce({column}, 0) END) AS `{calc}_{quarter_column(q)}`")
-        for calc, column in CONTROL_CALCS.items()
-        for q in quarters
-    ]
-    wide = rows.dropna(subset=[*dims, "quarter_id"]).groupBy(*dims).agg(*sums)
+    sums = [F.sum(F.coalesce(F.col(column), F.lit(0))).alias(calc) for calc, column in CONTROL_CALCS.items()]
+    totals = stage_table(rows.dropna(subset=[*dims, "quarter_id"]).groupBy(*dims, "quarter_id").agg(*sums), "control")
+    quarters = sorted(r["quarter_id"] for r in totals.select("quarter_id").distinct().collect())
+    wide = totals.groupBy(*dims).agg(
+        *[
+            F.expr(f"sum(CASE WHEN quarter_id = {q} THEN `{calc}` END) AS `{calc}_{quarter_column(q)}`")
+            for calc in CONTROL_CALCS
+            for q in quarters
+        ]
+    )
     return wide.select(*calc_rows(dims, list(CONTROL_CALCS), [quarter_column(q) for q in quarters]))
 
 
-def control_convergence(rows: DataFrame, quarters: Sequence[int]) -> DataFrame:
+def control_convergence(rows: DataFrame) -> DataFrame:
     """Totals of the entity rows of the exposure history, discontinued operations left out."""
     named = exclude_discontinued(rows).withColumnsRenamed({"sa_rwa_amt": "sa_rwa", "adv_rwa_amt": "aa_rwa"})
-    return _control_totals(named, quarters)
+    return _control_totals(named)
 
 
 def control_summary(rows: DataFrame) -> DataFrame:
@@ -43,9 +52,9 @@ def control_summary(rows: DataFrame) -> DataFrame:
     return totals.select("entity", "segment_l2", "quarter_id", calcs.alias("rwa_calc", "rwa_amount"))
 
 
-def control_raw(raw: DataFrame, quarters: Sequence[int]) -> DataFrame:
+def control_raw(raw: DataFrame) -> DataFrame:
     """Totals of the stacked raw rows."""
-    return _control_totals(raw.withColumn("quarter_id", whole("quarter_id")), quarters)
+    return _control_totals(raw.withColumn("quarter_id", whole("quarter_id")))
 
 
 def control_upload(template: DataFrame, value_columns: Sequence[str]) -> DataFrame:

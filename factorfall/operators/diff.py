@@ -54,6 +54,18 @@ def diff_schema(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.sparkSession.createDataFrame(rows, "column_name string, side string")
 
 
+def filled_counts(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Every column with its side and how many values each side holds."""
+    sides = {"a": a, "b": b}
+    listed = diff_schema(a, b)
+    for tag, df in sides.items():
+        counts = df.agg(*[F.count(_c(c)).alias(f"n{i}") for i, c in enumerate(df.columns)])
+        parts = [x for i, c in enumerate(df.columns) for x in (F.lit(c), F.col(f"n{i}"))]
+        long = counts.select(F.stack(F.lit(len(df.columns)), *parts).alias("column_name", f"n_filled_{tag}"))
+        listed = listed.join(long, "column_name", "left")
+    return listed
+
+
 def diff_dup_keys(a: DataFrame, b: DataFrame, key: Sequence[str]) -> DataFrame:
     """Rows beyond the first of each key, per side."""
     out = None
@@ -65,8 +77,22 @@ def diff_dup_keys(a: DataFrame, b: DataFrame, key: Sequence[str]) -> DataFrame:
     return out
 
 
+def require_unique(a: DataFrame, b: DataFrame, key: Sequence[str]) -> None:
+    """Refuse a key that does not identify rows; null keys count as one key, so at most one row may have it.
+
+    Otherwise every row of a key on one side would meet every one on the other.
+    """
+    duplicates = {r["side"]: r["duplicate_rows"] for r in diff_dup_keys(a, b, key).collect()}
+    if any(duplicates.values()):
+        raise ValueError(f"key {list(key)} is not unique: duplicate rows {duplicates}")
+
+
 def diff_rows(a: DataFrame, b: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Full outer join on the key: value columns as '<name>__a' / '<name>__b' and a presence tag."""
+    """Full outer join on the key: value columns as '<name>__a' / '<name>__b' and a presence tag.
+
+    The key has to identify rows on both sides; this is checked first.
+    """
+    require_unique(a, b, key)
 
     def side(df: DataFrame, tag: str) -> DataFrame:
         normal = diff_key_normalise(df, key)
@@ -224,9 +250,6 @@ def compare_tables(
 ) -> dict[str, DataFrame]:
     """The whole comparison from one staged join; refuses a key that does not identify rows."""
     key = diff_key_detect(a.columns, b.columns, key)
-    duplicates = {r["side"]: r["duplicate_rows"] for r in diff_dup_keys(a, b, key).collect()}
-    if any(duplicates.values()):
-        raise ValueError(f"key {key} is not unique: duplicate rows {duplicates}")
     joined = stage_table(diff_rows(a, b, key), "diff")
     compared = _compared(a, b, key)
     counts = stage_table(diff_counts(joined, compared, atol, rtol), "diff_counts")

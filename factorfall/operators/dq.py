@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from factorfall import rules
-from factorfall.functions.quarters import MAX_QUARTERS
+from factorfall.session import stage_table
 from factorfall.functions.values import number, whole
 from factorfall.rules import rwf_columns
 
@@ -74,9 +74,10 @@ def _count_if(condition: Column, weight: str | None = None) -> Column:
 
 
 def _per_entity(df: DataFrame, aggregates: Sequence[Column]) -> DataFrame:
-    """Aggregates per entity, with a row for an entity that has no data (counts null there)."""
+    """Aggregates per entity that occurs, with zeros for a known entity that has no data."""
     names = df.sparkSession.createDataFrame([(e.name,) for e in rules.ENTITIES], "entity string")
-    return names.join(df.groupBy("entity").agg(*aggregates), "entity", "left").na.fill(0)
+    found = df.filter("entity IS NOT NULL").groupBy("entity").agg(*aggregates)
+    return names.join(found, "entity", "full").na.fill(0)
 
 
 def _dataset(suffix: str) -> Column:
@@ -167,6 +168,11 @@ def sample_values(df: DataFrame, column: str, allowed: Sequence[str]) -> DataFra
     return few.agg(F.array_join(F.array_sort(F.collect_list("v")), ", ").alias("samples"))
 
 
+def allowed_totals(df: DataFrame, columns: Sequence[str], weight: str | None = None) -> DataFrame:
+    """Rows per combination of the columns, staged: several checks of values then cost one read of the table."""
+    return stage_table(df.groupBy(*columns).agg(_rows(weight).alias("n_rows")), "values")
+
+
 def dq_allowed_values(
     df: DataFrame, column: str, allowed: Sequence[str], dataset: str, check_name: str, weight: str | None = None
 ) -> DataFrame:
@@ -275,16 +281,13 @@ def dq_join_match(frm: DataFrame) -> DataFrame:
 def dq_quarter_coverage(frm: DataFrame) -> DataFrame:
     """Whether every projected quarter occurs, per entity.
 
-    The rows shrink to distinct quarters before they meet, and ids beyond any
-    calendar are left out, so the list stays short however large the table is.
+    The rows shrink to distinct quarters, which the report names one by one,
+    before they meet.
     """
-    present = (
-        frm.select("entity", whole("quarter_id").alias("q"))
-        .filter(F.col("q").between(-MAX_QUARTERS, MAX_QUARTERS))
-        .distinct()
-    )
+    present = frm.select("entity", whole("quarter_id").alias("q")).distinct()
     names = frm.sparkSession.createDataFrame([(e.name,) for e in rules.ENTITIES], "entity string")
-    lists = names.join(present.groupBy("entity").agg(F.collect_list("q").alias("qs")), "entity", "left").select(
+    found = present.filter("entity IS NOT NULL").groupBy("entity").agg(F.collect_list("q").alias("qs"))
+    lists = names.join(found, "entity", "full").select(
         "entity", F.array_sort(F.coalesce("qs", F.array().cast("array<bigint>"))).alias("present")
     )
     expected = F.array(*[F.lit(q).cast("bigint") for q in rules.COVERED_QUARTERS])
@@ -329,8 +332,10 @@ def dq_report(
         "finance_pmf_l5_nulls": "pmf_l5",
         "mngd_sgmt_l2_nulls": "seg_l2_desc",
     }
+    flag_columns = [e.flag for e in rules.ENTITIES if e.flag in convergence.columns]
+    values = allowed_totals(convergence, flag_columns, weight)
     flags = [
-        dq_allowed_values(convergence, e.flag, ["Y", "N"], "convergence", "entity_flag_values", weight)
+        dq_allowed_values(values, e.flag, ["Y", "N"], "convergence", "entity_flag_values", "n_rows")
         for e in rules.ENTITIES
     ]
     report = required

@@ -95,6 +95,23 @@ def match_report(before: DataFrame, after: DataFrame, column: str, key: str | No
     )
 
 
+def mapping_matches(raw: DataFrame, frm: DataFrame) -> DataFrame:
+    """Per entity, both mapping joins at once: rows before and after, and the rows left without a match.
+
+    ``frm`` is ``raw`` with both mappings joined; the left joins keep every row,
+    so rows beyond those of ``raw`` come from repeated mapping keys.
+    """
+    no_account = F.col("sa_account").isNull() & F.col("pmf_l5").isNotNull()
+    after = frm.groupBy("entity").agg(
+        F.count("*").alias("n_rows"),
+        F.count(F.when(F.col("pug").isNull(), 1)).alias("n_without_pug"),
+        F.count(F.when(no_account, 1)).alias("n_without_account"),
+    )
+    before = raw.groupBy("entity").agg(F.count("*").alias("n_before"))
+    share = {f"pct_{c}": F.col(f"n_{c}") * F.lit(100.0) / (F.col("n_rows") + 1) for c in ("without_pug", "without_account")}
+    return before.join(after, "entity", "left").withColumns({"expanded": F.col("n_rows") != F.col("n_before"), **share})
+
+
 def coerce_before_pivot(df: DataFrame) -> DataFrame:
     """RWA to numbers; null pivot keys get a text token, since null keys would drop out."""
     amounts = {c: number(c) for c in ("sa_rwa", "aa_rwa", "erba_rwa")}

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factorfall import rules
-from factorfall.functions.joins import BROADCAST_ROWS, lookup_join
+from factorfall.functions.joins import broadcast_limit, lookup_join, row_bytes
 from factorfall.functions.rwa import erba_rwa, first_valid, projected_rwa
 from factorfall.functions.values import (
     grouped_sum,
@@ -60,27 +60,21 @@ def melt_balances(pivot: DataFrame) -> DataFrame:
 
 
 def quarter_join(rows: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Quarter id from year and month; null outside the calendar.
-
-    The calendar is a few rows by construction, so broadcasting it is safe.
-    """
-    return rows.join(F.broadcast(calendar), ["year", "month"], "left")
+    """Quarter id from year and month; null outside the calendar, which Catalyst broadcasts while it is small."""
+    return rows.join(calendar, ["year", "month"], "left")
 
 
 def quarter_inverse_join(rows: DataFrame, calendar: DataFrame) -> DataFrame:
     """Year and month from the quarter id; null where it is not in the calendar."""
     rows = rows.drop("year", "month")
-    return rows.join(F.broadcast(calendar), ["quarter_id"], "left")
+    return rows.join(calendar, ["quarter_id"], "left")
 
 
-def bad_quarters(rows: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Rows per quarter id that the calendar does not know."""
-    return (
-        rows.filter(F.col("quarter_id").isNotNull())
-        .groupBy("quarter_id")
-        .agg(F.count("*").alias("n_rows"))
-        .join(F.broadcast(calendar), ["quarter_id"], "left_anti")
-    )
+def bad_quarters(parsed: DataFrame) -> DataFrame:
+    """Projected quarters as written that are in no calendar, with their rows; ``parsed`` may hold totals with ``n_rows``."""
+    rows = F.sum("n_rows") if "n_rows" in parsed.columns else F.count("*")
+    unknown = parsed.filter(F.col("quarter_id").isNull())
+    return unknown.groupBy("projected_quarter").agg(rows.alias("n_rows"))
 
 
 def quarter_counts(convergence: DataFrame, balance_sheet: DataFrame) -> DataFrame:
@@ -117,23 +111,37 @@ def outlook_keys(outlook: DataFrame, keys=rules.WATERFALL_KEYS) -> DataFrame:
     return outlook.withColumns(columns)
 
 
+def _first_segment(lookup: DataFrame, factors: list[str]) -> DataFrame:
+    """One row per key: the factors of the segment that comes first by name."""
+    keys = [c for c in lookup.columns if c not in ("__segment", *factors)]
+    first = lookup.groupBy(*keys).agg(F.min(F.struct("__segment", *factors)).alias("__first"))
+    return first.select(*keys, *[F.col("__first")[c].alias(c) for c in factors])
+
+
 def waterfall_join(
     outlook: DataFrame,
     factors: DataFrame,
     keys=rules.WATERFALL_KEYS,
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int | None = None,
+    dedupe: bool = False,
 ) -> DataFrame:
     """Left join every key level's factors, most specific first.
 
     A key that holds several segments keeps one row per segment, as a lookup
-    with repeated keys does. ``factors`` should be a staged table: its levels
-    are counted first (one number each), and only those within
-    ``broadcast_rows`` are broadcast.
+    with repeated keys does; over the levels these rows multiply. With
+    ``dedupe`` each key keeps the segment that comes first by name, and no row
+    is repeated. ``factors`` should be a staged table: its levels are counted
+    first (one number each), and they are broadcast as long as all of them
+    together stay within ``broadcast_bytes``, by default the session's
+    broadcast threshold.
     """
+    limit = broadcast_limit(factors.sparkSession) if broadcast_bytes is None else broadcast_bytes
     sizes = {r["key_level"]: r["n"] for r in factors.groupBy("key_level").agg(F.count("*").alias("n")).collect()}
     ids = {f"__left_{f.outlook}": id_of(outlook, f.outlook) for key in keys for f in key if f.outlook and f.whole}
     outlook = base = outlook.withColumns(ids)
-    n_base = base.count() if any(n > broadcast_rows for n in sizes.values()) else None
+    # Broadcast tables of all levels are held side by side.
+    small = sum(sizes.values()) * row_bytes(factors) <= limit
+    n_base = None if small else base.count()
     for i, key in enumerate(keys, 1):
         suffix = "" if i == 1 else f"_key{i}"
         joined = [f for f in key if f.outlook is not None]
@@ -141,12 +149,17 @@ def waterfall_join(
             F.col("entity").alias("__entity"),
             F.col("quarter_id").cast("bigint").alias("__quarter"),
             *[(id_of(factors, f.lookup) if f.whole else F.col(f.lookup)).alias(f"__{f.lookup}") for f in joined],
+            F.col("seg_l2_desc").alias("__segment"),
             F.col("sa_rwf").alias(f"sa_rwf{suffix}"),
             F.col("aa_rwf").alias(f"aa_rwf{suffix}"),
         )
+        if dedupe:
+            lookup = _first_segment(lookup, [f"sa_rwf{suffix}", f"aa_rwf{suffix}"])
+        else:
+            lookup = lookup.drop("__segment")
         on = {"entity": "__entity", "quarter_id": "__quarter"}
         on |= {f"__left_{f.outlook}" if f.whole else f.outlook: f"__{f.lookup}" for f in joined}
-        outlook = lookup_join(outlook, lookup, on, sizes.get(i, 0), broadcast_rows, base, n_base)
+        outlook = lookup_join(outlook, lookup, on, small, base, n_base)
     return outlook.drop(*ids)
 
 

@@ -1,9 +1,8 @@
-"""Run parameters: a base file with optional local overrides."""
+"""Run parameters."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from pathlib import Path
 
 from factorfall import rules
 from factorfall.schemas import canonical
@@ -11,20 +10,12 @@ from factorfall.schemas import canonical
 
 @dataclass(frozen=True)
 class Parameters:
-    """``n_quarters`` None means: as many as the inputs hold."""
+    """``n_quarters`` None means: as many as the inputs hold; ``dedupe`` keeps one segment per lookup key."""
 
     q0: str = "Mar 2025"
     keys: tuple[tuple[rules.KeyField, ...], ...] = rules.WATERFALL_KEYS
     n_quarters: int | None = None
-
-
-def merge(base: dict, override: dict) -> dict:
-    """Nested dictionaries combined; the override wins."""
-    out = dict(base)
-    for key, value in override.items():
-        both = isinstance(value, dict) and isinstance(out.get(key), dict)
-        out[key] = merge(out[key], value) if both else value
-    return out
+    dedupe: bool = False
 
 
 def key_fields(definitions: list[dict]) -> tuple[tuple[rules.KeyField, ...], ...]:
@@ -42,23 +33,12 @@ def key_fields(definitions: list[dict]) -> tuple[tuple[rules.KeyField, ...], ...
     )
 
 
-def load_config(folder: str | Path) -> dict:
-    """config.yaml, with config.local.yaml on top where it exists."""
-    import yaml
-
-    folder = Path(folder)
-    config = yaml.safe_load((folder / "config.yaml").read_text(encoding="utf-8")) or {}
-    local = folder / "config.local.yaml"
-    if local.exists():
-        config = merge(config, yaml.safe_load(local.read_text(encoding="utf-8")) or {})
-    return config
-
-
-def parameters(config: dict) -> Parameters:
-    section = config.get("parameters", {})
+def parameters(section: dict) -> Parameters:
+    """From the ``parameters`` section of a configuration, however it was read."""
     keys = section.get("waterfall_keys")
     return Parameters(
         q0=section.get("Q0", Parameters.q0),
         keys=key_fields(keys) if keys else rules.WATERFALL_KEYS,
         n_quarters=section.get("n_quarters"),
+        dedupe=bool(section.get("dedupe", False)),
     )

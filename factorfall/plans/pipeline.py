@@ -5,8 +5,10 @@ from __future__ import annotations
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from factorfall.functions.quarters import ordered_quarters, quarter_labels, quarter_map
+from factorfall.functions.quarters import quarter_labels
+from factorfall.operators import addon as A
 from factorfall.operators import controls as K
 from factorfall.operators import convergence as C
 from factorfall.operators import dq as D
@@ -23,10 +25,20 @@ from factorfall.sources import catalog, sinks
 REQUIRED = [canonical(f.name) for f in REGISTRY["convergence"].fields]
 
 
-def read_inputs(spark: SparkSession, input_dir: str, parquet_dir: str) -> S.Inputs:
-    """Landed files, or their Parquet copies, as canonical tables with an entity column."""
+# Inputs of the second stage, where blank text reads as null; the first keeps it.
+SECOND_STAGE = ("pug", "pmf")
+
+
+def read_inputs(spark: SparkSession, input_dir: str, parquet_dir: str, registry: dict | None = None) -> S.Inputs:
+    """Landed files, or their Parquet copies, as canonical tables with an entity column.
+
+    ``registry`` (from ``load_registry``) replaces the built-in schemas.
+    """
     specs = catalog.source_catalog(input_dir)
-    tables = {k: catalog.to_canonical(catalog.scan_fallback(spark, v, parquet_dir)) for k, v in specs.items()}
+    tables = {
+        k: catalog.to_canonical(catalog.scan_fallback(spark, v, parquet_dir, k in SECOND_STAGE, registry))
+        for k, v in specs.items()
+    }
     return S.Inputs(
         convergence=tables["convergence"],
         balance_sheet=O.entity_union({"CG": tables["cg"], "CBNA": tables["cbna"]}),
@@ -40,12 +52,11 @@ def control_file(
     rows: DataFrame, template: DataFrame, raw: DataFrame, params: Parameters, n_quarters: int
 ) -> dict[str, DataFrame]:
     """The three control tables; ``rows`` are the entity rows of the exposure history."""
-    quarters = sorted(ordered_quarters(n_quarters))
     labels = quarter_labels(params.q0, n_quarters)
     return {
-        "control_upload": K.control_upload(template, [labels[q] for q in quarters]),
-        "control_convergence": K.control_convergence(rows, quarters),
-        "control_raw": K.control_raw(raw, quarters),
+        "control_upload": K.control_upload(template, list(labels.values())),
+        "control_convergence": K.control_convergence(rows),
+        "control_raw": K.control_raw(raw),
     }
 
 
@@ -72,7 +83,6 @@ def run_pipeline(
     inputs = S.prepared(inputs)
     n_quarters = S.calendar_size(inputs, params)
     stamp = run_timestamp or datetime.now(timezone.utc).isoformat(timespec="seconds")
-    calendar = quarter_map(spark, params.q0, n_quarters)
 
     lookups = stage_table(S.factors(inputs, params), "factors")
     outlook, addon = stage_tables(
@@ -87,8 +97,11 @@ def run_pipeline(
 
     outputs = {
         "outlook": U.with_headers(outlook),
-        "addon": addon,
-        "bad_quarters": O.bad_quarters(addon, calendar),
+        "addon": U.with_headers(A.rename_addon(addon)),
+        "bad_quarters": O.bad_quarters(S.addon_input(inputs, params, n_quarters)),
+        "quarter_counts": O.quarter_counts(inputs.convergence, S.quarterly(inputs)),
+        "mapping_matches": M.mapping_matches(raw, frm),
+        "mapping_repeats": mapping_repeats(inputs),
         "raw_data": U.with_headers(raw),
         "upload_template": U.upload_sort(template),
         "rwa_long": U.with_headers(U.rwa_long(frm, params.q0, n_quarters)),
@@ -100,6 +113,13 @@ def run_pipeline(
     return {name: f"{output_dir}/{name}.parquet" for name in outputs}
 
 
+def mapping_repeats(inputs: S.Inputs) -> DataFrame:
+    """Keys that occur more than once in a mapping; each repeats the rows it matches."""
+    pug = M.duplicate_keys(inputs.pug, "seg_l4_desc").select(F.lit("pug").alias("mapping"), F.col("seg_l4_desc").alias("key"), "n_rows")
+    pmf = M.duplicate_keys(inputs.pmf, "pmf_l5").select(F.lit("pmf").alias("mapping"), F.col("pmf_l5").alias("key"), "n_rows")
+    return pug.unionByName(pmf)
+
+
 def quality_report(
     inputs: S.Inputs, source: DataFrame, outlook: DataFrame, frm: DataFrame, params: Parameters, stamp: str
 ) -> DataFrame:

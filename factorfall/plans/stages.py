@@ -81,7 +81,7 @@ def outlook_factors(inputs: Inputs, params: Parameters, n_quarters: int, staged:
     """
     lookups = stage_table(factors(inputs, params), "factors") if staged is None else staged
     keyed = O.outlook_keys(outlook_quarters(inputs, params, n_quarters), params.keys)
-    return O.waterfall_join(keyed, lookups, params.keys)
+    return O.waterfall_join(keyed, lookups, params.keys, dedupe=params.dedupe)
 
 
 def stage1_outlook(inputs: Inputs, params: Parameters, n_quarters: int, staged: DataFrame | None = None) -> DataFrame:

@@ -16,7 +16,12 @@ from factorfall.operators import convergence as C
 from factorfall.operators import outlook as O
 from factorfall.operators.controls import control_summary
 from factorfall.operators.upload import upload_pivot_sql
+from factorfall.session import stage_table
 
+# What the steps read of an exposure row.
+ROW_COLUMNS = (
+    "entity", "quarter_id", "seg_l4_code", "geo_l4_desc", "pmf_l5", "seg_l2_desc", "gaap_amt", "sa_rwa_amt", "adv_rwa_amt",
+)
 FACTOR_DIMS = ("entity", "quarter_id", "seg_l4_code", "geo_l4_desc", "pmf_l5", "seg_l2_desc")
 
 
@@ -91,23 +96,29 @@ def frm_base(outlook: DataFrame, addon: DataFrame) -> DataFrame:
 
 
 def summary_steps(
-    convergence: DataFrame, balance_sheet: DataFrame, calendar: DataFrame, quarters: list[int]
+    convergence: DataFrame, balance_sheet: DataFrame, calendar: DataFrame, quarters: list[int], staged: bool = False
 ) -> dict[str, DataFrame]:
-    """Every step by name, in order; each builds on the ones before."""
-    rows = C.by_entity(convergence)
+    """Every step by name, in order; each builds on the ones before.
+
+    ``staged`` writes what several steps read: the entity rows of the exposures,
+    with the columns the steps use, and each step that another one builds on.
+    The two large inputs are then read once, whatever is asked of the steps.
+    """
+    keep = stage_table if staged else lambda df, name: df
+    rows = keep(C.by_entity(convergence).select(*ROW_COLUMNS), "rows")
     steps = {
         "conv_credit_risk": C.split_credit_risk(rows),
         "conv_markets_addon": C.split_markets_addon(rows),
         "conv_non_waterfall": rows.filter(
             ~F.col("pmf_l5").isin(*rules.FACTOR_ACCOUNTS) & (F.col("seg_l2_desc") != rules.MARKETS_L2)
         ),
-        "waterfall_rwf": key1_factors(rows),
-        "outlook_long": lateral_unpivot(balance_sheet),
+        "waterfall_rwf": keep(key1_factors(rows), "waterfall_rwf"),
+        "outlook_long": keep(lateral_unpivot(balance_sheet), "outlook_long"),
     }
     steps["outlook_with_keys"] = outlook_with_keys(steps["outlook_long"], calendar)
     steps["outlook_with_rwf"] = outlook_with_rwf(steps["outlook_with_keys"], steps["waterfall_rwf"])
-    steps["projected_rwa"] = O.project_rwa(steps["outlook_with_rwf"]).drop("comment")
-    steps["addon_pivot"] = addon_sum_sql(rows)
+    steps["projected_rwa"] = keep(O.project_rwa(steps["outlook_with_rwf"]).drop("comment"), "projected_rwa")
+    steps["addon_pivot"] = keep(addon_sum_sql(rows), "addon_pivot")
     steps["frm_base"] = frm_base(steps["projected_rwa"], steps["addon_pivot"])
     steps["upload_template_pivot"] = upload_pivot_sql(steps["frm_base"], quarters)
     steps["control_summary"] = control_summary(rows)

@@ -4,140 +4,143 @@ from __future__ import annotations
 
 import re
 
+from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 # ---------------------------------------------------------------------------
 # Source headers and types, single-spaced.
 # ---------------------------------------------------------------------------
 
-_BALANCE_SHEET = """
-FRS BU (Leaf)|long
-AFFILIATE|long
-PMF Account (Leaf)|long
-SCENARIO|string
-YEAR|long
-Balance Type|string
-Managed Segment L1 Descr|string
-Managed Segment L2 Descr|string
-Managed Segment L3 Descr|string
-Managed Segment L4 Descr|string
-Managed Segment L5 Descr|string
-Managed Segment L1 Id|long
-Managed Segment L2 Id|long
-Managed Segment L3 Id|long
-Managed Segment L4 Id|long
-Managed Segment L5 Id|long
-Managed Geography L1 Descr|string
-Managed Geography L2 Descr|string
-Managed Geography L3 Descr|string
-Managed Geography L4 Descr|string
-Managed Geography L5 Descr|string
-Managed Geography L1 Id|long
-Managed Geography L2 Id|string
-Managed Geography L3 Id|long
-Managed Geography L4 Id|string
-Managed Geography L5 Id|string
-PMF Account L1 Descr|string
-PMF Account L2 Descr|string
-PMF Account L3 Descr|string
-PMF Account L4 Descr|string
-PMF Account L5 Descr|string
-PMF Account L6 Descr|string
-PMF Account L7 Descr|string
-PMF Account L8 Descr|string
-PMF Account L2 Id|long
-PMF Account L3 Id|long
-PMF Account L4 Id|long
-PMF Account L5 Id|long
-PMF Account L6 Id|long
-PMF Account L7 Id|long
-PMF Account L8 Id|long
-PMF_FLIP_SIGN|long
-FRS BU (Node)|long
-FRS BU (Node) Descr|string
-M3_USDOLLAR|double
-M6_USDOLLAR|double
-M9_USDOLLAR|double
-M12_USDOLLAR|double
-"""
+LONG, TEXT, DOUBLE = T.LongType(), T.StringType(), T.DoubleType()
 
-_CONVERGENCE = """
-CCAR Cycle|string
-Scope|string
-Managed Segment Level 1 Code|long
-Managed Segment Level 2 Code|long
-Managed Segment Level 3 Code|long
-Managed Segment Level 4 Code|long
-Version Number|long
-Data Category|string
-RWA Exposure Type Description|string
-Projected Quarter|string
-Fiscal Year Accounting Period|long
-Scenario Id|string
-Scenario Name|string
-Quarter Id|long
-Error Flag|string
-Reportable Entity is CBNA|string
-Reportable Entity is CG|string
-GAAP Amount|double
-Adv. CG Total RWA Amount with 1.06 Multiplier|double
-Adv. CBNA Total RWA Amount with 1.06 Multiplier|double
-SA RWA Amount|double
-Managed Segment Level 1 Description|string
-Managed Segment Level 2 Description|string
-Managed Segment Level 3 Description|string
-Managed Segment Level 4 Description|string
-Managed Geography Level 3 Description|string
-Managed Geography Level 4 Description|string
-Finance PMF Level 5 Description|string
-Comments|string
-"""
+_BALANCE_SHEET = [
+    ("FRS BU (Leaf)", LONG),
+    ("PMF Account (Leaf)", LONG),
+    ("YEAR", LONG),
+    ("Managed Segment L1 Id", LONG),
+    ("Managed Segment L2 Id", LONG),
+    ("Managed Segment L3 Id", LONG),
+    ("Managed Segment L4 Id", LONG),
+    ("Managed Segment L5 Id", LONG),
+    ("Managed Geography L1 Id", LONG),
+    ("Managed Geography L2 Id", TEXT),
+    ("Managed Geography L3 Id", LONG),
+    ("Managed Geography L4 Id", TEXT),
+    ("Managed Geography L5 Id", TEXT),
+    ("PMF Account L2 Id", LONG),
+    ("PMF Account L3 Id", LONG),
+    ("PMF Account L4 Id", LONG),
+    ("PMF Account L5 Id", LONG),
+    ("PMF Account L6 Id", LONG),
+    ("PMF Account L7 Id", LONG),
+    ("PMF Account L8 Id", LONG),
+    ("PMF_FLIP_SIGN", LONG),
+    ("AFFILIATE", LONG),
+    ("FRS BU (Node)", LONG),
+    ("M3_USDOLLAR", DOUBLE),
+    ("M6_USDOLLAR", DOUBLE),
+    ("M9_USDOLLAR", DOUBLE),
+    ("M12_USDOLLAR", DOUBLE),
+    ("SCENARIO", TEXT),
+    ("Managed Segment L1 Descr", TEXT),
+    ("Managed Segment L2 Descr", TEXT),
+    ("Managed Segment L3 Descr", TEXT),
+    ("Managed Segment L4 Descr", TEXT),
+    ("Managed Segment L5 Descr", TEXT),
+    ("Managed Geography L1 Descr", TEXT),
+    ("Managed Geography L2 Descr", TEXT),
+    ("Managed Geography L3 Descr", TEXT),
+    ("Managed Geography L4 Descr", TEXT),
+    ("Managed Geography L5 Descr", TEXT),
+    ("PMF Account L1 Descr", TEXT),
+    ("PMF Account L2 Descr", TEXT),
+    ("PMF Account L3 Descr", TEXT),
+    ("PMF Account L4 Descr", TEXT),
+    ("PMF Account L5 Descr", TEXT),
+    ("PMF Account L6 Descr", TEXT),
+    ("PMF Account L7 Descr", TEXT),
+    ("PMF Account L8 Descr", TEXT),
+    ("Balance Type", TEXT),
+    ("FRS BU (Node) Descr", TEXT),
+]
 
-_ADJUSTMENTS = """
-YEAR|long
-Managed Segment L4 Descr|string
-Managed Segment L3 Descr|string
-Managed Segment L2 Descr|string
-Managed Geography L4 Descr|string
-Managed Geography L3 Descr|string
-PMF Account L5 Descr|string
-Managed Segment L4 Id|long
-Managed Segment L3 Id|long
-Managed Segment L2 Id|long
-Month|string
-Balances|string
-Quarter Id|string
-SA RWA|double
-AA RWA|double
-ERBA RWA|double
-Comment|string
-RWA Exposure Type|string
-SA RWF|string
-AA RWF|string
-"""
+_CONVERGENCE = [
+    ("CCAR Cycle", TEXT),
+    ("Scope", TEXT),
+    ("Managed Segment Level 1 Code", LONG),
+    ("Managed Segment Level 2 Code", LONG),
+    ("Managed Segment Level 3 Code", LONG),
+    ("Managed Segment Level 4 Code", LONG),
+    ("Version Number", LONG),
+    ("Fiscal Year Accounting Period", LONG),
+    ("Quarter Id", LONG),
+    ("RWA Exposure Type Description", TEXT),
+    ("Data Category", TEXT),
+    ("Projected Quarter", TEXT),
+    ("Scenario Id", TEXT),
+    ("Scenario Name", TEXT),
+    ("Error Flag", TEXT),
+    ("Reportable Entity is CBNA", TEXT),
+    ("Reportable Entity is CG", TEXT),
+    ("Managed Segment Level 1 Description", TEXT),
+    ("Managed Segment Level 2 Description", TEXT),
+    ("Managed Segment Level 3 Description", TEXT),
+    ("Managed Segment Level 4 Description", TEXT),
+    ("Managed Geography Level 3 Description", TEXT),
+    ("Managed Geography Level 4 Description", TEXT),
+    ("Finance PMF Level 5 Description", TEXT),
+    ("Comments", TEXT),
+    ("GAAP Amount", DOUBLE),
+    ("Adv. CG Total RWA Amount with 1.06 Multiplier", DOUBLE),
+    ("Adv. CBNA Total RWA Amount with 1.06 Multiplier", DOUBLE),
+    ("SA RWA Amount", DOUBLE),
+]
 
-_PUG = """
-Managed Segment L2 Descr|string
-Managed Segment L3 Id|long
-Managed Segment L3 Descr|string
-Managed Segment L4 Id|long
-Managed Segment L4 Descr|string
-PUG|string
-"""
+_ADJUSTMENTS = [
+    ("YEAR", LONG),
+    ("Managed Segment L4 Descr", TEXT),
+    ("Managed Segment L3 Descr", TEXT),
+    ("Managed Segment L2 Descr", TEXT),
+    ("Managed Geography L4 Descr", TEXT),
+    ("Managed Geography L3 Descr", TEXT),
+    ("PMF Account L5 Descr", TEXT),
+    ("Managed Segment L4 Id", LONG),
+    ("Managed Segment L3 Id", LONG),
+    ("Managed Segment L2 Id", LONG),
+    ("Month", TEXT),
+    ("Balances", TEXT),
+    ("Quarter Id", TEXT),
+    ("SA RWA", DOUBLE),
+    ("AA RWA", DOUBLE),
+    ("ERBA RWA", DOUBLE),
+    ("Comment", TEXT),
+    ("RWA Exposure Type", TEXT),
+    ("SA RWF", TEXT),
+    ("AA RWF", TEXT),
+]
 
-_PMF = """
-PMF L5|string
-SA Account #|string
-SA Leaf Account Name|string
-AA Account #|string
-AA Leaf Account Name|string
-"""
+_PUG = [
+    ("Managed Segment L2 Descr", TEXT),
+    ("Managed Segment L3 Id", LONG),
+    ("Managed Segment L3 Descr", TEXT),
+    ("Managed Segment L4 Id", LONG),
+    ("Managed Segment L4 Descr", TEXT),
+    ("PUG", TEXT),
+]
 
-_QUARTER_MAP = """
-quarter_id|long
-year|long
-month|string
-"""
+_PMF = [
+    ("PMF L5", TEXT),
+    ("SA Account #", TEXT),
+    ("SA Leaf Account Name", TEXT),
+    ("AA Account #", TEXT),
+    ("AA Leaf Account Name", TEXT),
+]
+
+_QUARTER_MAP = [
+    ("quarter_id", LONG),
+    ("year", LONG),
+    ("month", TEXT),
+]
 
 # Canonical names of the columns the operators use; other headers follow the
 # rule in ``canonical``.
@@ -193,8 +196,6 @@ CANONICAL = {
     "Markets Filter": "markets_filter",
 }
 
-_TYPES = {"long": T.LongType(), "double": T.DoubleType(), "string": T.StringType()}
-
 
 def clean_header(header: str) -> str:
     """Collapse runs of blanks; source files disagree on double spaces."""
@@ -209,12 +210,8 @@ def canonical(header: str) -> str:
     return re.sub(r"[^0-9a-z]+", "_", header.lower()).strip("_")
 
 
-def _struct(text: str) -> T.StructType:
-    schema = T.StructType()
-    for line in text.strip().splitlines():
-        header, kind = line.split("|")
-        schema.add(header, _TYPES[kind])
-    return schema
+def _struct(fields: list[tuple[str, T.DataType]]) -> T.StructType:
+    return T.StructType([T.StructField(header, kind) for header, kind in fields])
 
 
 REGISTRY: dict[str, T.StructType] = {
@@ -275,15 +272,16 @@ def output_header(name: str) -> str:
     return name
 
 
-def load_registry(rows) -> dict[str, T.StructType]:
-    """Schemas from registry rows (schema key, column name, type name).
+def load_registry(spark: SparkSession, path: str) -> dict[str, T.StructType]:
+    """Schemas from a registry CSV: schema key, column name and type name, one row per column.
 
     Type names follow the usual column-store spelling (Int64, Float64, Utf8,
-    String); anything else reads as text.
+    String); anything else reads as text. The file has a row per column of a
+    schema, so it fits the driver.
     """
-    kinds = {"int64": "long", "float64": "double", "utf8": "string", "string": "string"}
+    kinds = {"int64": LONG, "float64": DOUBLE}
     registry: dict[str, T.StructType] = {}
-    for key, column, kind in rows:
+    for key, column, kind in spark.read.option("header", True).csv(path).collect():
         schema = registry.setdefault(key, T.StructType())
-        schema.add(clean_header(column), _TYPES[kinds.get(kind.lower(), "string")])
+        schema.add(clean_header(column), kinds.get(kind.lower(), TEXT))
     return registry

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Sequence
@@ -35,14 +36,13 @@ def build_session(app_name: str = "factorfall", master: str | None = None, **set
 def staging_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    A local session without the setting gets a folder of its own; a cluster
-    without it is an error, since a machine-local folder would not survive the
-    loss of an executor.
+    Where it is unset, a session that runs in one process gets a folder of its
+    own; anything with executors is refused, as they would not share it.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     folder = tempfile.mkdtemp(prefix="factorfall-")
     spark.conf.set("spark.checkpoint.dir", folder)

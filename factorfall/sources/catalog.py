@@ -80,19 +80,26 @@ def scan_typed(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return cast_to_schema(spark.read.parquet(path), schema)
 
 
-def ingest_to_parquet(spark: SparkSession, specs: list[SourceSpec], output_dir: str) -> None:
+def ingest_to_parquet(
+    spark: SparkSession, specs: list[SourceSpec], output_dir: str, registry: dict | None = None
+) -> None:
     """Landed files to typed zstd Parquet, side by side; datasets already there are left alone."""
 
     def write(spec: SourceSpec) -> None:
-        typed = scan_csv(spark, spec.path, REGISTRY[spec.schema_key])
+        typed = scan_csv(spark, spec.path, (registry or REGISTRY)[spec.schema_key])
         typed.write.mode("ignore").option("compression", "zstd").parquet(f"{output_dir}/{spec.output_name}")
 
     run_together(spark, [lambda s=s: write(s) for s in specs])
 
 
-def scan_fallback(spark: SparkSession, spec: SourceSpec, parquet_dir: str) -> DataFrame:
-    """The Parquet copy; built when absent; the landed file when unreadable. Blank text is null."""
-    schema = REGISTRY[spec.schema_key]
+def scan_fallback(
+    spark: SparkSession, spec: SourceSpec, parquet_dir: str, blank_is_null: bool = True, registry: dict | None = None
+) -> DataFrame:
+    """The Parquet copy; built when absent; the landed file when unreadable.
+
+    Blank text becomes null unless the first stage reads it, which keeps it.
+    """
+    schema = (registry or REGISTRY)[spec.schema_key]
     path = f"{parquet_dir}/{spec.output_name}"
     try:
         try:
@@ -100,11 +107,11 @@ def scan_fallback(spark: SparkSession, spec: SourceSpec, parquet_dir: str) -> Da
         except AnalysisException as error:
             if "PATH_NOT_FOUND" not in str(error):
                 raise
-            ingest_to_parquet(spark, [spec], parquet_dir)
+            ingest_to_parquet(spark, [spec], parquet_dir, registry)
             df = scan_typed(spark, path, schema)
     except (PySparkException, Py4JJavaError):
         df = scan_csv(spark, spec.path, schema)
-    return blank_to_null(df)
+    return blank_to_null(df) if blank_is_null else df
 
 
 def load_tables(tables: dict[str, DataFrame]) -> None:

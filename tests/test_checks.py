@@ -48,6 +48,11 @@ def test_quarter_coverage_and_absent_entity(spark, rows):
         ("cbna_frm_output", "FAIL", 7, "Quarters present: []; missing: [1, 2, 3, 4, 5, 6, 7]"),
         ("cg_frm_output", "PASS", 0, "Quarters present: [0, 1, 2, 3, 4, 5, 6, 7]; missing: none"),
     ]
+    far = spark.createDataFrame([("CG", 1), ("CG", 5000), ("NEW", 2), (None, 3)], "entity string, quarter_id long")
+    assert rows(D.dq_quarter_coverage(far), "dataset", "detail")[1:] == [
+        ("cg_frm_output", "Quarters present: [1, 5000]; missing: [2, 3, 4, 5, 6, 7]"),
+        ("new_frm_output", "Quarters present: [2]; missing: [1, 3, 4, 5, 6, 7]"),
+    ]
 
 
 def test_waterfall_rates(spark, rows):
@@ -115,21 +120,28 @@ def test_compare_tables(spark, rows):
     assert rows(out["only_in_a"]) == [("4",)] and rows(out["only_in_b"]) == [("5",)]
     assert rows(out["differing:v"]) == [("2", 100.0, 101.0)]
     assert rows(out["schema"], "column_name", "side")[0] == ("added", "B")
+    for compare in (X.compare_tables, X.diff_rows, X.diff_columns, X.diff_verdict):
+        with pytest.raises(ValueError, match="not unique"):
+            compare(a.union(a), b, ["id"])
+
+
+def test_repeated_null_keys_are_refused(spark):
+    a = spark.createDataFrame([(None, 1), (None, 2)], "k string, v int")
     with pytest.raises(ValueError, match="not unique"):
-        X.compare_tables(a.union(a), b, ["id"])
+        X.diff_rows(a, a.limit(1), ["k"])
 
 
 def test_identifiers():
-    assert P.sanitise_name("SA Account #") == "SA_ACCOUNT__"
-    assert P.sanitise_name("1st") == "COL_1ST"
-    assert P.sanitise_name("") == "COL"
+    assert P.identifier("SA Account #") == "SA_ACCOUNT__"
+    assert P.identifier("1st") == "COL_1ST"
+    assert P.identifier("") == "COL"
     long = "Reportable Entity Amount with a Multiplier"
-    names = P.sanitise_names([long + " A", long + " B", long + " C"])
+    names = P.identifiers([long + " A", long + " B", long + " C"])
     assert len(set(names.values())) == 3 and all(len(n) <= 30 for n in names.values())
     assert names[long + " B"].endswith("_1")
 
 
-def test_profile_types_and_ddl(spark, rows):
+def test_profile_types(spark, rows):
     df = spark.createDataFrame([], "i long, d double, b boolean, ts timestamp, t string").unionByName(
         spark.sql("SELECT 1L AS i, 1D AS d, true AS b, timestamp'2024-01-01' AS ts, 'abcde' AS t")
     )
@@ -137,7 +149,6 @@ def test_profile_types_and_ddl(spark, rows):
         ("I", "NUMBER(18,0)", None), ("D", "FLOAT", None), ("B", "CHAR(1)", None), ("TS", "TIMESTAMP(6)", None),
         ("T", "VARCHAR2(15)", 5),
     ]
-    assert P.ddl_text(df.select("i", "t"), "THINGS", "RWA") == "CREATE TABLE RWA.THINGS (\n    I NUMBER(18,0),\n    T VARCHAR2(15)\n)"
     empty = P.mapping_log(df.filter("i = 2").select("t")).first()
     assert empty["target_type"] == "VARCHAR2(11)"
     wide = P.mapping_log(spark.range(1).select(F.repeat(F.lit("x"), 5000).alias("t"))).first()

@@ -18,8 +18,9 @@ def test_canonical_names():
     assert len(REGISTRY["convergence"].fields) == 29
 
 
-def test_load_registry():
-    registry = load_registry([("a", "Managed  Id", "Int64"), ("a", "Amount", "Float64"), ("b", "Text", "Utf8")])
+def test_load_registry(spark, tmp_path):
+    (tmp_path / "registry.csv").write_text("schema_key,column_name,type\na,Managed  Id,Int64\na,Amount,Float64\nb,Text,Utf8\n")
+    registry = load_registry(spark, str(tmp_path / "registry.csv"))
     assert registry["a"].simpleString() == "struct<Managed Id:bigint,Amount:double>"
     assert registry["b"].simpleString() == "struct<Text:string>"
 
@@ -67,19 +68,13 @@ def test_jdbc_options(spark):
     }
 
 
-def test_config(tmp_path):
-    pytest.importorskip("yaml")
-    (tmp_path / "config.yaml").write_text(
-        "parameters:\n  Q0: Mar 2025\n  waterfall_keys:\n    - fields:\n"
-        "        - {convergence_col: Managed Segment Level 4 Code, outlook_col: Managed Segment L4 Id, int_str: true}\n"
-        "        - {convergence_col: Managed Segment Level 2 Description, pivot_only: true}\n"
-        "paths: {data_dir: a, other: b}\n"
-    )
-    (tmp_path / "config.local.yaml").write_text("parameters: {Q0: Jun 2026}\npaths: {data_dir: c}\n")
-    merged = config.load_config(tmp_path)
-    assert merged["paths"] == {"data_dir": "c", "other": "b"}
-    params = config.parameters(merged)
-    assert params.q0 == "Jun 2026"
+def test_config():
+    fields = [
+        {"convergence_col": "Managed Segment Level 4 Code", "outlook_col": "Managed Segment L4 Id", "int_str": True},
+        {"convergence_col": "Managed Segment Level 2 Description", "pivot_only": True},
+    ]
+    params = config.parameters({"Q0": "Jun 2026", "waterfall_keys": [{"fields": fields}], "dedupe": True})
+    assert params.q0 == "Jun 2026" and params.dedupe
     assert params.keys == ((rules.KeyField("seg_l4_code", "seg_l4_id", True), rules.KeyField("seg_l2_desc")),)
     assert config.parameters({}).keys == rules.WATERFALL_KEYS
 
@@ -111,6 +106,8 @@ def landed_inputs(spark, folder):
                     history.append((f"{q + 1}Q25", q, l2, l2id, l3, l3id, l4, l4id, g4, g3, account, "Y", "Y" if n % 2 else "N", "Direct", 100.0, 10.0 * n, 5.0 * n, 4.0 * n))
     adjustments.append((2025, "Lending [L4]", "Corporate [L3]", "Banking [L2]", "US", "NAM", LOANS, 4000, 3000, 2000, "Mar", "12.5", "3", 7.0, 8.0, None, "", "Overlay", "0.5", None))
     adjustments.append((2025, "Lending [L4]", "Corporate [L3]", "Banking [L2]", "US", "NAM", LOANS, 4000, 3000, 2000, "Mar", "n/a", "Unknown", 7.0, 8.0, None, "", "Overlay", None, None))
+    # An unparseable quarter; the mappings lack a segment and repeat a key.
+    history.append(("9Q99", 0, "Markets [L2]", 2001, "Rates [L3]", 3001, "Swaps [L4]", 4001, "US", "NAM", accounts[2], "Y", "Y", "Direct", 1.0, 1.0, 1.0, 1.0))
     headers = {
         "balance": ["YEAR", "Managed Segment L4 Descr", "Managed Segment L3 Descr", "Managed Segment L2 Descr", "Managed Geography L4 Descr", "Managed Geography L3 Descr", "PMF Account L5 Descr", "Managed Segment L4 Id", "Managed Segment L3  Id", "Managed Segment L2 Id", "M3_USDOLLAR", "M6_USDOLLAR", "M9_USDOLLAR", "M12_USDOLLAR"],
         "history": ["Projected Quarter", "Quarter Id", "Managed Segment Level 2 Description", "Managed Segment Level 2 Code", "Managed Segment Level 3 Description", "Managed Segment Level 3 Code", "Managed Segment Level 4 Description", "Managed Segment Level 4 Code", "Managed Geography Level 4 Description", "Managed Geography Level 3 Description", "Finance PMF Level 5 Description", "Reportable Entity is CG", "Reportable Entity is CBNA", "RWA Exposure Type Description", "GAAP Amount", "SA RWA Amount", "Adv. CG Total RWA Amount with 1.06 Multiplier", "Adv. CBNA Total RWA Amount with 1.06 Multiplier"],
@@ -127,7 +124,7 @@ def landed_inputs(spark, folder):
         write(f"adjustments_{entity}.csv", adjustments, headers["adjustments"])
     write("aggregator_for_convergence.csv", history, headers["history"])
     write("pug_mapping.csv", [("Lending [L4]", "CL"), ("Swaps [L4]", "MKT")], ["Managed Segment L4 Descr", "PUG"])
-    write("pmf_rwa_mapping.csv", [(LOANS, "SA-1", "AA-1")], ["PMF L5", "SA Account #", "AA Account #"])
+    write("pmf_rwa_mapping.csv", [(LOANS, "SA-1", "AA-1"), ("Other (L2)", "SA-2", "AA-2"), ("Other (L2)", "SA-3", "AA-3")], ["PMF L5", "SA Account #", "AA Account #"])
 
 
 def test_end_to_end(spark, tmp_path, rows):
@@ -135,7 +132,13 @@ def test_end_to_end(spark, tmp_path, rows):
     inputs = pipeline.read_inputs(spark, str(tmp_path / "input"), str(tmp_path / "parquet"))
     paths = pipeline.run_pipeline(spark, inputs, config.Parameters(), str(tmp_path / "out"), "now")
     out = {name: spark.read.parquet(path) for name, path in paths.items()}
-    assert all(df.count() > 0 for name, df in out.items() if name != "bad_quarters")
+    assert all(df.count() > 0 for name, df in out.items())
+    assert rows(out["bad_quarters"]) == [("9Q99", 2)]
+    assert rows(out["mapping_repeats"]) == [("pmf", "Other (L2)", 2)]
+    matches = {r["entity"]: r for r in out["mapping_matches"].collect()}
+    assert not matches["CG"]["expanded"] and matches["CG"]["n_without_pug"] > 0 and matches["CG"]["n_without_account"] > 0
+    assert not out["quarter_counts"].first()["agree"] or out["quarter_counts"].first()["max_quarters"] == 4
+    assert "SA RWA" in out["addon"].columns
 
     template = out["upload_template"]
     assert len(template.columns) == 31 and template.columns[24:28] == ["RWA Actuals", "Jun 2025", "Sep 2025", "Dec 2025"]

@@ -154,8 +154,8 @@ def test_outlook_keys(spark, rows):
     ]
 
 
-@pytest.mark.parametrize("broadcast_rows", [1000, 0])
-def test_waterfall_falls_through_and_fans_out(spark, rows, broadcast_rows):
+@pytest.mark.parametrize("broadcast_bytes", [None, 0])
+def test_waterfall_falls_through_and_fans_out(spark, rows, broadcast_bytes):
     df = C.by_entity(
         exposures(
             spark,
@@ -167,20 +167,31 @@ def test_waterfall_falls_through_and_fans_out(spark, rows, broadcast_rows):
     )
     factors = C.factor_table(C.split_credit_risk(df))
     outlook = dated(spark, balances(spark, dict()))
-    joined = O.final_factors(O.waterfall_join(outlook, factors, broadcast_rows=broadcast_rows))
+    joined = O.final_factors(O.waterfall_join(outlook, factors, broadcast_bytes=broadcast_bytes))
     got = rows(joined, "quarter_id", "sa_rwf", "sa_rwf_key2", "final_sa_rwf")
     assert [g for g in got if g[0] == 0] == [(0, 0.0, 0.0, 0.0)]
     assert [g for g in got if g[0] == 1] == [(1, None, 0.5, 0.5)]
     assert [g for g in got if g[0] == 2] == [(2, None, None, None)]
     # Two lookup rows at each of five levels.
     assert len([g for g in got if g[0] == 3]) == 2**5
+    once = O.final_factors(O.waterfall_join(outlook, factors, broadcast_bytes=broadcast_bytes, dedupe=True))
+    # The segment that comes first by name, Banking, with 25 over 100.
+    assert [g for g in rows(once, "quarter_id", "sa_rwf", "sa_rwf_key2", "final_sa_rwf") if g[0] == 3] == [(3, 0.25, 0.25, 0.25)]
+
+
+def test_broadcast_limit_reads_sizes(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for text, size in (("256k", 256 << 10), ("10MB", 10 << 20), ("10485760b", 10 << 20), ("-1", -1)):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", text)
+        assert J.broadcast_limit(spark) == size
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_hot_key_without_broadcast_keeps_every_row(spark):
     many = F.explode(F.sequence(F.lit(1), F.lit(500)))
     sheet = balances(spark, dict()).withColumn("i", many).withColumn("seg_l4_desc", F.concat(F.lit("s"), "i"))
     factors = C.factor_table(C.split_credit_risk(C.by_entity(exposures(spark, dict()))))
-    joined = O.waterfall_join(dated(spark, sheet), factors, broadcast_rows=0)
+    joined = O.waterfall_join(dated(spark, sheet), factors, broadcast_bytes=0)
     assert tuple(joined.agg(F.count("*"), F.count("sa_rwf_key5")).first()) == (2000, 500)
 
 
@@ -188,8 +199,8 @@ def test_salted_join_equals_broadcast_join(spark, rows):
     left = spark.range(300).select("id", F.when(F.col("id") < 200, "hot").when(F.col("id") < 290, F.concat(F.lit("k"), F.col("id") % 40)).alias("k"))
     lookup = spark.createDataFrame([("hot", 1), ("hot", 2), ("k1", 3), ("k2", None), ("unused", 5)], "lk string, v int")
     assert rows(J.hot_keys(left, ["k"], 300, 10)) == [("hot",)]
-    plain = J.lookup_join(left, lookup, {"k": "lk"}, 5)
-    salted = J.lookup_join(left, lookup, {"k": "lk"}, 5, broadcast_rows=0, hot_share=10, salts=7)
+    plain = J.lookup_join(left, lookup, {"k": "lk"}, True)
+    salted = J.lookup_join(left, lookup, {"k": "lk"}, False, hot_share=10, salts=7)
     assert salted.columns == plain.columns == ["id", "k", "v"]
     assert rows(salted) == rows(plain)
     assert salted.count() == 500
@@ -246,7 +257,9 @@ def test_inverse_join_and_bad_quarters(spark, rows):
     assert rows(O.quarter_inverse_join(df, calendar), "quarter_id", "year", "month") == [
         (None, None, None), (0, 2025, "Mar"), (1, 2025, "Jun"), (9, None, None),
     ]
-    assert rows(O.bad_quarters(df, calendar)) == [(9, 1)]
+    parsed = spark.createDataFrame([("1Q25", 0, 5), ("9Q99", None, 2), ("x", None, 1), ("9Q99", None, 3)], "projected_quarter string, quarter_id long, n_rows long")
+    assert rows(O.bad_quarters(parsed)) == [("9Q99", 5), ("x", 1)]
+    assert rows(O.bad_quarters(parsed.drop("n_rows"))) == [("9Q99", 2), ("x", 1)]
 
 
 def test_keys_are_configurable(spark, rows):

@@ -137,7 +137,7 @@ def test_controls_agree(spark, rows):
     df = frm(spark, *[dict(quarter_id=q, sa_rwa=float(q), aa_rwa=1.0, seg_l2_desc=s) for q in range(4) for s in ("a", "b")])
     labels = list(quarter_labels("Mar 2025", 4).values())
     upload = K.control_upload(template(spark, df), labels)
-    raw = K.control_raw(df, [0, 1, 2, 3])
+    raw = K.control_raw(df)
     assert rows(upload, "Managed Segment L2 Descr", "RWA Calc", *labels) == rows(
         raw, "seg_l2_desc", "rwa_calc", "q0", "q1", "q2", "q3"
     )
@@ -151,8 +151,13 @@ def test_convergence_control_nulls(spark, rows):
         ],
         "entity string, seg_l2_desc string, quarter_id long, sa_rwa_amt double, adv_rwa_amt double",
     )
-    assert rows(K.control_convergence(df, [0, 1, 2])) == [
-        ("CG", "a", "AA RWA", 0.0, None, 5.0), ("CG", "a", "SA RWA", 1.0, None, 4.0),
+    # Every quarter that occurs has a column, also one beyond any calendar.
+    far = df.union(spark.createDataFrame([("CG", "b", 5000, 7.0, 8.0)], df.schema))
+    totals = K.control_convergence(far)
+    assert totals.columns == ["entity", "seg_l2_desc", "rwa_calc", "q0", "q2", "q5000"]
+    assert rows(totals) == [
+        ("CG", "a", "AA RWA", 0.0, 5.0, None), ("CG", "a", "SA RWA", 1.0, 4.0, None),
+        ("CG", "b", "AA RWA", None, None, 8.0), ("CG", "b", "SA RWA", None, None, 7.0),
     ]
     long = K.control_summary(df)
     assert ("CG", "a", None, "SA RWA", 9.0) in rows(long, "entity", "segment_l2", "quarter_id", "rwa_calc", "rwa_amount")

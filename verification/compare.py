@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -52,7 +53,7 @@ def difference(spark_rows: pd.DataFrame, sql_rows: pd.DataFrame) -> str:
 def main(sf_dir: str = "/root/testdata/sf0.01", *names: str) -> int:
     spark = build_session(
         master="local[8]",
-        **{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g"},
+        **{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="staging-")},
     )
     spark.sparkContext.setLogLevel("ERROR")
     con, checks, failed = connect(sf_dir), oracle_sql(), 0

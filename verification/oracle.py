@@ -73,6 +73,18 @@ def level_sums(level: int) -> str:
       FROM credit_risk WHERE {present([*used, 'quarter_id'])} GROUP BY entity, quarter_id, {cols(used)}"""
 
 
+def level_factors(level: int) -> str:
+    """The factors of one key level, as a table of its own."""
+    keys = list(LEVELS[level])
+    return f"""SELECT entity, quarter_id, {cols(keys)}, CASE WHEN {IS_MARKETS} THEN NULL ELSE {ratio('sa_rwa_amt', 'gaap_amt')} END AS sa_rwf,
+        CASE WHEN {IS_MARKETS} THEN NULL ELSE {ratio('adv_rwa_amt', 'gaap_amt')} END AS aa_rwf FROM ({level_sums(level)}) s"""
+
+
+def num(column: str) -> str:
+    """A number; the text NaN is none."""
+    return f"NULLIF(TRY_CAST({column} AS DOUBLE), 'NaN'::DOUBLE)"
+
+
 def waterfall() -> str:
     shown, joins = [], []
     for i, key in LEVELS.items():
@@ -80,8 +92,7 @@ def waterfall() -> str:
         shown += [f"f{i}.sa_rwf AS sa_rwf{suffix}", f"f{i}.aa_rwf AS aa_rwf{suffix}"]
         on = " AND ".join(f"o.{right} = f{i}.{left}" for left, right in key.items())
         joins.append(
-            f"LEFT JOIN factors f{i} ON f{i}.key_level = {i} AND f{i}.entity = o.entity"
-            f" AND f{i}.quarter_id = o.quarter_id AND {on}"
+            f"LEFT JOIN factor_{i} f{i} ON f{i}.entity = o.entity AND f{i}.quarter_id = o.quarter_id AND {on}"
         )
     return f"SELECT o.*, {', '.join(shown)} FROM keyed o {' '.join(joins)}"
 
@@ -97,17 +108,20 @@ def conditional(calc: str, column: str, names: dict[int, str], empty: str) -> st
 
 Q_NAMES = {q: f"q{q}" for q in range(8)}
 Q_LABELS = dict(enumerate(LABELS))
+# Quarters beyond the calendar occur in the exposures and in the adjustments.
+HISTORY_QUARTERS = {**Q_NAMES, 9: "q9"}
+RAW_QUARTERS = {**Q_NAMES, 5000: "q5000"}
 
 
 def union(parts: list[str], by_name: bool = False) -> str:
     return f" UNION ALL {'BY NAME ' if by_name else ''}".join(parts)
 
 
-def control(rows: str, sa: str, aa: str, extra: str = "") -> str:
+def control(rows: str, sa: str, aa: str, names: dict[int, str], extra: str = "") -> str:
     dims = "entity, seg_l2_desc"
     return union(
         [
-            f"SELECT {dims}, {conditional(calc, column, Q_NAMES, 'NULL')} FROM {rows}"
+            f"SELECT {dims}, {conditional(calc, column, names, 'NULL')} FROM {rows}"
             f" WHERE {present(['seg_l2_desc', 'quarter_id'])} {extra} GROUP BY {dims}"
             for calc, column in (("SA RWA", sa), ("AA RWA", aa))
         ]
@@ -214,8 +228,8 @@ COVERAGE = check(
     "CASE WHEN len(missing) > 0 THEN 'FAIL' ELSE 'PASS' END",
 )
 ABSENT = [
-    "ccar_cycle", "scope", "managed_segment_level_1_code", "version_number", "data_category",
-    "fiscal_year_accounting_period", "scenario_id", "scenario_name", "error_flag",
+    "ccar_cycle", "scope", "managed_segment_level_1_code", "version_number", "fiscal_year_accounting_period",
+    "data_category", "scenario_id", "scenario_name", "error_flag",
     "managed_segment_level_1_description", "comments",
 ]
 REQUIRED = check(
@@ -291,9 +305,10 @@ CTES = {
         seg_l3_id || geo_l3_desc || pmf_l5 || COALESCE(CAST(quarter_id AS VARCHAR), 'Unknown') AS key4,
         seg_l3_id || pmf_l5 || COALESCE(CAST(quarter_id AS VARCHAR), 'Unknown') AS key5
         FROM dated""",
+    **{f"factor_{i}": level_factors(i) for i in LEVELS},
     "fallen": waterfall(),
-    "adjusted": """SELECT o.*, a.exposure_type, TRY_CAST(a.sa_rwf AS DOUBLE) AS sa_rwf_adj, TRY_CAST(a.aa_rwf AS DOUBLE) AS aa_rwf_adj,
-        TRY_CAST(a.sa_rwf_key2 AS DOUBLE) AS sa_rwf_key2_adj, TRY_CAST(a.aa_rwf_key2 AS DOUBLE) AS aa_rwf_key2_adj
+    "adjusted": f"""SELECT o.*, a.exposure_type, {num('a.sa_rwf')} AS sa_rwf_adj, {num('a.aa_rwf')} AS aa_rwf_adj,
+        {num('a.sa_rwf_key2')} AS sa_rwf_key2_adj, {num('a.aa_rwf_key2')} AS aa_rwf_key2_adj
         FROM fallen o LEFT JOIN adjustments a ON a.entity = o.entity AND a.seg_l4_id = o.seg_l4_id
           AND a.geo_l4_desc = o.geo_l4_desc AND COALESCE(a.pmf_l5, 'None') = o.pmf_l5
           AND TRY_CAST(a.quarter_id AS BIGINT) = o.quarter_id""",
@@ -318,14 +333,14 @@ CTES = {
     "addon": """SELECT s.*, CASE WHEN s.quarter_id IN (5, 6) THEN sa_rwa_amt END AS erba_rwa, '' AS comment, m.year, m.month
         FROM (SELECT * FROM markets_sums UNION ALL SELECT * FROM other_sums) s
         LEFT JOIN quarter_map m ON m.quarter_id = s.quarter_id""",
-    "filled_adjustments": """SELECT entity, year, COALESCE(seg_l4_desc, 'N/A') AS seg_l4_desc, COALESCE(seg_l3_desc, 'N/A') AS seg_l3_desc,
+    "filled_adjustments": f"""SELECT entity, year, COALESCE(seg_l4_desc, 'N/A') AS seg_l4_desc, COALESCE(seg_l3_desc, 'N/A') AS seg_l3_desc,
         COALESCE(seg_l2_desc, 'N/A') AS seg_l2_desc, COALESCE(geo_l4_desc, 'N/A') AS geo_l4_desc,
         COALESCE(geo_l3_desc, 'N/A') AS geo_l3_desc, COALESCE(pmf_l5, 'N/A') AS pmf_l5, seg_l4_id, seg_l3_id, seg_l2_id, month,
-        COALESCE(TRY_CAST(balances AS DOUBLE), 0) AS balances, COALESCE(NULLIF(quarter_id, ''), 'N/A') AS quarter_id,
+        COALESCE({num('balances')}, 0) AS balances, COALESCE(NULLIF(quarter_id, ''), 'N/A') AS quarter_id,
         COALESCE(sa_rwa, 0) AS sa_rwa, COALESCE(aa_rwa, 0) AS aa_rwa, COALESCE(erba_rwa, 0) AS erba_rwa,
         COALESCE(NULLIF(comment, ''), 'N/A') AS comment, COALESCE(NULLIF(exposure_type, ''), 'N/A') AS exposure_type,
-        COALESCE(TRY_CAST(sa_rwf AS DOUBLE), 0) AS sa_rwf, COALESCE(TRY_CAST(aa_rwf AS DOUBLE), 0) AS aa_rwf,
-        COALESCE(TRY_CAST(sa_rwf_key2 AS DOUBLE), 0) AS sa_rwf_key2, COALESCE(TRY_CAST(aa_rwf_key2 AS DOUBLE), 0) AS aa_rwf_key2
+        COALESCE({num('sa_rwf')}, 0) AS sa_rwf, COALESCE({num('aa_rwf')}, 0) AS aa_rwf,
+        COALESCE({num('sa_rwf_key2')}, 0) AS sa_rwf_key2, COALESCE({num('aa_rwf_key2')}, 0) AS aa_rwf_key2
         FROM adjustments""",
     "stacked": """SELECT entity, TRY_CAST(quarter_id AS BIGINT) AS quarter_id, month, seg_l4_desc, seg_l3_desc, seg_l2_desc,
           geo_l4_desc, geo_l3_desc, pmf_l5, CAST(balances AS DOUBLE) AS balances, CAST(sa_rwa AS DOUBLE) AS sa_rwa,
@@ -372,9 +387,9 @@ CTES = {
         '' AS "ReasonCode", '' AS "Comments", {', '.join(f'{Q_NAMES[q]} AS "{n}"' for q, n in Q_LABELS.items())},
         comment AS "Comment", exposure_type AS "RWA Exposure Type", markets_filter AS "Markets Filter" FROM labelled""",
     "control_conv": control(
-        "entity_rows", "sa_rwa_amt", "adv_rwa_amt", "AND seg_l2_desc <> 'Discontinued Ops [L2]'"
+        "entity_rows", "sa_rwa_amt", "adv_rwa_amt", HISTORY_QUARTERS, "AND seg_l2_desc <> 'Discontinued Ops [L2]'"
     ),
-    "control_stacked": control("raw", "sa_rwa", "aa_rwa"),
+    "control_stacked": control("raw", "sa_rwa", "aa_rwa", RAW_QUARTERS),
     "control_template": f"""SELECT "Entity", "Managed Segment L2 Descr", "RWA Calc" || ' RWA' AS "RWA Calc",
         {', '.join(f'SUM("{n}") AS "{n}"' for n in LABELS)} FROM template WHERE "RWA Calc" IN ('AA', 'SA')
         GROUP BY "Entity", "Managed Segment L2 Descr", "RWA Calc" """,
@@ -552,14 +567,15 @@ CHECKS = {
         FROM labelled GROUP BY 1, 2, 3, 4""",
     "waterfall_join": f"SELECT {LONG_SQL}, seg_l4_id, seg_l3_id, seg_l2_id, quarter_id, {dbl('balances')}, {cols(RWF)} FROM fallen",
     "quarter_join": f"SELECT {LONG_SQL}, quarter_id, {dbl('balances')} FROM dated",
-    "quarter_inverse_join": """SELECT m.quarter_id, m.year, m.month, COUNT(*) AS n_rows FROM adjustments a
-        JOIN quarter_map m ON TRY_CAST(a.quarter_id AS BIGINT) = m.quarter_id GROUP BY 1, 2, 3""",
+    "quarter_inverse_join": """SELECT a.q AS quarter_id, m.year, m.month, COUNT(*) AS n_rows
+        FROM (SELECT TRY_CAST(quarter_id AS BIGINT) AS q FROM adjustments) a LEFT JOIN quarter_map m ON a.q = m.quarter_id
+        WHERE a.q IS NOT NULL GROUP BY 1, 2, 3""",
     "geo_enrich": """SELECT p.geo_l3_desc, c.geo_l4_desc, COUNT(*) AS n_rows, CAST(SUM(gaap_amt) AS DOUBLE) AS gaap_amt
         FROM convergence c LEFT JOIN (SELECT geo_l4_desc, MIN(geo_l3_desc) AS geo_l3_desc FROM balance_sheet
           WHERE entity = 'CG' GROUP BY 1) p ON c.geo_l4_desc IS NOT DISTINCT FROM p.geo_l4_desc GROUP BY 1, 2""",
     "adjustment_join": f"""SELECT {cols(LONG, 'o.')}, o.quarter_id, CAST(o.balances AS DOUBLE) AS balances, a.exposure_type,
-        TRY_CAST(a.sa_rwf AS DOUBLE) AS sa_rwf, TRY_CAST(a.aa_rwf AS DOUBLE) AS aa_rwf,
-        TRY_CAST(a.sa_rwf_key2 AS DOUBLE) AS sa_rwf_key2, TRY_CAST(a.aa_rwf_key2 AS DOUBLE) AS aa_rwf_key2
+        {num('a.sa_rwf')} AS sa_rwf, {num('a.aa_rwf')} AS aa_rwf,
+        {num('a.sa_rwf_key2')} AS sa_rwf_key2, {num('a.aa_rwf_key2')} AS aa_rwf_key2
         FROM dated o LEFT JOIN adjustments a ON a.entity = o.entity AND a.seg_l4_id = o.seg_l4_id
           AND a.geo_l4_desc = o.geo_l4_desc AND COALESCE(a.pmf_l5, 'None') = o.pmf_l5
           AND TRY_CAST(a.quarter_id AS BIGINT) = o.quarter_id""",
@@ -580,10 +596,10 @@ CHECKS = {
         CASE WHEN quarter_id IN (5, 6) THEN CAST(sa_rwa_amt AS DOUBLE) END AS erba_rwa, '' AS comment FROM other_sums""",
     "addon_sum_sql": f"""SELECT entity, quarter_id, seg_l2_desc, pmf_l5, {dbl('sa_rwa_amt', 'aa_rwa_amt', 'erba_rwa')}
         FROM coarse_addon""",
-    "control_convergence": f"SELECT entity, seg_l2_desc, rwa_calc, {dbl(*Q_LIST)} FROM control_conv",
+    "control_convergence": f"SELECT entity, seg_l2_desc, rwa_calc, {dbl(*HISTORY_QUARTERS.values())} FROM control_conv",
     "control_summary": f"SELECT entity, segment_l2, quarter_id, rwa_calc, {dbl('rwa_amount')} FROM coarse_control",
     "control_upload": f'SELECT "Entity", "Managed Segment L2 Descr", "RWA Calc", {cents(LABELS)} FROM control_template',
-    "control_raw": f"SELECT entity, seg_l2_desc, rwa_calc, {cents(Q_LIST)} FROM control_stacked",
+    "control_raw": f"SELECT entity, seg_l2_desc, rwa_calc, {cents(list(RAW_QUARTERS.values()))} FROM control_stacked",
     "quarter_counts": f"""SELECT *, convergence = cg_outlook AND cg_outlook = cbna_outlook AS agree,
           greatest(convergence, cg_outlook, cbna_outlook) AS max_quarters
         FROM (SELECT (SELECT COUNT(*) FROM (SELECT DISTINCT quarter_id FROM convergence) q) AS convergence,
@@ -593,7 +609,8 @@ CHECKS = {
         FROM (SELECT i, DATE '2025-03-01' + to_months(CAST(3 * i AS INTEGER)) AS d FROM (SELECT unnest(range(n)) AS i
           FROM (SELECT greatest((SELECT COUNT(DISTINCT quarter_id) FROM convergence),
             (SELECT MAX(n) FROM (SELECT COUNT(DISTINCT (year, month)) AS n FROM outlook_long GROUP BY entity) e)) AS n) g) t) days""",
-    "duplicate_keys": "SELECT pug, COUNT(*) AS n_rows FROM pug_mapping GROUP BY pug HAVING COUNT(*) > 1",
+    "duplicate_keys": """SELECT 'pug' AS mapping, seg_l4_desc AS key, COUNT(*) AS n_rows FROM pug_mapping GROUP BY ALL HAVING COUNT(*) > 1
+        UNION ALL SELECT 'pmf', pmf_l5, COUNT(*) FROM pmf_mapping GROUP BY ALL HAVING COUNT(*) > 1""",
     "melt_balances": f"SELECT {cols(GRAIN)}, month, {dbl('balances')} FROM outlook_long",
     "upload_pivot": f"SELECT {cols(UPLOAD)}, rwa_calc, {cents(Q_LIST)} FROM calc_pivot",
     "upload_pivot_sql": f"SELECT entity, seg_l2_desc, pmf_l5, rwa_calc, {cents(['rwa_actuals', *Q_LIST[1:]])} FROM coarse_pivot",
@@ -633,6 +650,7 @@ CHECKS = {
             REQUIRED,
             check("(SELECT 1 FROM convergence LIMIT 1) s", "'required_columns'", "'convergence'", "0", "2",
                   "'All 2 required columns present'", "'PASS'"),
+            row_count("(SELECT COUNT(*) AS n FROM convergence) s", "'convergence'"),
         ]
     ),
     "dq_null_rate": union(
@@ -661,9 +679,14 @@ CHECKS = {
           COUNT(*) FILTER (WHERE sa_account IS NULL AND pmf_l5 IS NOT NULL) AS n_unmatched FROM frm GROUP BY 1) b ON a.entity = b.entity""",
     "diff_key_normalise": """SELECT COALESCE(CAST(seg_l4_id AS VARCHAR), '') AS id, geo_l4_desc AS geo, COALESCE(pmf_l5, 'None') AS account,
         COUNT(*) AS n_rows FROM balance_sheet GROUP BY 1, 2, 3""",
-    "diff_schema": """SELECT * FROM (VALUES ('entity', 'both'), ('year', 'both'), ('seg_l4_desc', 'both'), ('geo_l4_desc', 'both'),
-        ('geo_l3_desc', 'both'), ('pmf_l5', 'both'), ('m3', 'both'), ('m6', 'both'), ('seg_l2_desc', 'both'), ('note', 'both'),
-        ('added', 'B')) t(column_name, side)""",
+    "diff_schema": union(
+        [
+            f"""SELECT '{c}' AS column_name, 'both' AS side, (SELECT COUNT({c}) FROM pair_a) AS n_filled_a,
+              (SELECT COUNT({c}) FROM pair_b) AS n_filled_b"""
+            for c in [*DIFF_KEY, "m3", "m6", "seg_l2_desc", "note"]
+        ]
+        + ["SELECT 'added', 'B', NULL, (SELECT COUNT(added) FROM pair_b)"]
+    ),
     "diff_dup_keys": f"""SELECT 'A' AS side, CAST(SUM(n - 1) AS BIGINT) AS duplicate_rows
         FROM (SELECT COUNT(*) AS n FROM balance_sheet GROUP BY {cols(DIFF_KEY)}) a
         UNION ALL SELECT 'B', CAST(SUM(n - 1) AS BIGINT) FROM (SELECT COUNT(*) AS n FROM pair_b GROUP BY {cols(DIFF_KEY)}) b""",
@@ -694,14 +717,14 @@ CHECKS = {
         round(SUM(aa_rwa)) AS aa_rwa FROM raw GROUP BY 1, 2, 3, 4""",
     "control_file": union(
         [
-            f"""SELECT '{name}' AS control, {dims}, '{Q_NAMES[q]}' AS quarter, round("{columns[q]}") AS amount FROM {table}"""
+            f"""SELECT '{name}' AS control, {dims}, 'q{q}' AS quarter, round("{columns[q]}") AS amount FROM {table}"""
             for name, table, dims, columns in (
                 ("upload", "control_template",
                  '"Entity" AS entity, "Managed Segment L2 Descr" AS seg_l2_desc, "RWA Calc" AS rwa_calc', Q_LABELS),
-                ("convergence", "control_conv", "entity, seg_l2_desc, rwa_calc", Q_NAMES),
-                ("raw", "control_stacked", "entity, seg_l2_desc, rwa_calc", Q_NAMES),
+                ("convergence", "control_conv", "entity, seg_l2_desc, rwa_calc", HISTORY_QUARTERS),
+                ("raw", "control_stacked", "entity, seg_l2_desc, rwa_calc", RAW_QUARTERS),
             )
-            for q in range(8)
+            for q in columns
         ]
     ),
     "sql_pipeline": union(
@@ -727,6 +750,9 @@ def _mentioned(sql: str) -> set[str]:
     return set(re.findall(r"(?:FROM|JOIN|,)\s+([a-z_0-9]+)", bare)) & set(CTES)
 
 
+KEPT = {"keyed", "fallen", *[f"factor_{i}" for i in LEVELS]}
+
+
 def statement(sql: str) -> str:
     """The query with the expressions it needs in front, in dependency order."""
     ordered: list[str] = []
@@ -742,7 +768,9 @@ def statement(sql: str) -> str:
         add(name)
     if not ordered:
         return sql
-    return "WITH " + ",\n".join(f"{n} AS ({CTES[n]})" for n in ordered) + f"\n{sql}"
+    # Tables read more than once are kept, so that no join is planned over their definitions again.
+    kept = {n: "MATERIALIZED " if sum(n in _mentioned(CTES[o]) for o in ordered) + (n in _mentioned(sql)) > 1 or n in KEPT else "" for n in ordered}
+    return "WITH " + ",\n".join(f"{n} AS {kept[n]}({CTES[n]})" for n in ordered) + f"\n{sql}"
 
 
 def oracle_sql() -> dict[str, str]:

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from factorfall import rules
 from factorfall.functions import quarters as Q
@@ -24,6 +24,7 @@ from factorfall.operators import profile as P
 from factorfall.operators import upload as U
 from factorfall.plans import pipeline, stages, summary
 from factorfall.plans.config import Parameters
+from factorfall.schemas import REGISTRY, canonical
 from factorfall.session import stage_table, staging_path
 from factorfall.sources import catalog, sinks
 from verification.views import view
@@ -45,6 +46,10 @@ def cents(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(F.col(f"`{c}`")) for c in columns})
 
 
+def quarter_columns(df: DataFrame) -> list[str]:
+    return [c for c in df.columns if re.fullmatch(r"q\d+", c)]
+
+
 class Tables:
     """Input tables and shared steps for one session and data folder."""
 
@@ -153,6 +158,12 @@ class Tables:
             self.convergence, self.balance_sheet, self.calendar, list(range(N_QUARTERS))
         )
 
+    @cached_property
+    def staged_steps(self) -> dict[str, DataFrame]:
+        return summary.summary_steps(
+            self.convergence, self.balance_sheet, self.calendar, list(range(N_QUARTERS)), staged=True
+        )
+
     @cached_property
     def pair(self) -> tuple[DataFrame, DataFrame]:
         """A balance table and an edited copy: changed, missing and added rows, blank text, a new column."""
@@ -162,6 +173,7 @@ class Tables:
             .agg(F.sum("m3").alias("m3"), F.sum("m6").alias("m6"), F.max("seg_l2_desc").alias("seg_l2_desc"))
             .withColumn("note", F.when(F.col("year") == 2026, F.lit("")).otherwise(F.lit("x")))
         )
+        a = stage_table(a, "pair")  # blank text included
         b = (
             a.filter((F.col("year") != 2027) | (F.col("pmf_l5") != "Investments (L2)"))
             .withColumn("m3", F.when(F.col("geo_l3_desc") == "EUROPE", F.col("m3") * 2).otherwise(F.col("m3")))
@@ -183,22 +195,15 @@ def register(fn: Query) -> Query:
 
 # -- sources and sinks ------------------------------------------------------
 
-SHEET_TYPES = T.StructType(
-    [
-        T.StructField("YEAR", T.LongType()),
-        T.StructField("Managed Segment L4 Descr", T.StringType()),
-        T.StructField("Managed Segment L4 Id", T.LongType()),
-        T.StructField("M3_USDOLLAR", T.DoubleType()),
-        T.StructField("M12_USDOLLAR", T.DoubleType()),
-    ]
-)
-
-
 def landed_sheet(t: Tables) -> DataFrame:
-    """Balance rows under source headers, every value as text."""
-    text = {"year": "YEAR", "seg_l4_desc": "Managed Segment L4  Descr", "seg_l4_id": "Managed Segment L4 Id"}
-    text |= {"m3": "M3_USDOLLAR", "m12": "M12_USDOLLAR"}
-    return t.balance_sheet.select(*[F.col(c).cast("string").alias(h) for c, h in text.items()])
+    """Balance rows under every source header, one of them spaced twice, all values as text."""
+    held = {canonical(f.name): f.name for f in REGISTRY["balance_sheet"].fields}
+    sheet = t.balance_sheet
+    values = [
+        (F.col(c) if c in sheet.columns else F.lit(None)).cast("string").alias(h.replace("L4 Descr", "L4  Descr"))
+        for c, h in held.items()
+    ]
+    return sheet.select(*values)
 
 
 def sheet_totals(df: DataFrame) -> DataFrame:
@@ -215,14 +220,14 @@ def sheet_totals(df: DataFrame) -> DataFrame:
 def scan_typed(t: Tables) -> DataFrame:
     path = staging_path(t.spark, "landed")
     landed_sheet(t).write.parquet(path)
-    return sheet_totals(catalog.scan_typed(t.spark, path, SHEET_TYPES))
+    return sheet_totals(catalog.scan_typed(t.spark, path, REGISTRY["balance_sheet"]))
 
 
 @register
 def scan_csv(t: Tables) -> DataFrame:
     path = staging_path(t.spark, "landed")
     landed_sheet(t).write.option("header", True).csv(path)
-    return sheet_totals(catalog.scan_csv(t.spark, path, SHEET_TYPES))
+    return sheet_totals(catalog.scan_csv(t.spark, path, REGISTRY["balance_sheet"]))
 
 
 @register
@@ -486,7 +491,7 @@ def addon_sum_sql(t: Tables) -> DataFrame:
 
 @register
 def control_convergence(t: Tables) -> DataFrame:
-    return K.control_convergence(t.rows, sorted(QUARTERS))
+    return K.control_convergence(t.rows)
 
 
 @register
@@ -502,8 +507,8 @@ def control_upload(t: Tables) -> DataFrame:
 
 @register
 def control_raw(t: Tables) -> DataFrame:
-    columns = [U.quarter_column(q) for q in QUARTERS]
-    return cents(K.control_raw(t.raw, QUARTERS), *columns)
+    totals = K.control_raw(t.raw)
+    return cents(totals, *quarter_columns(totals))
 
 
 @register
@@ -513,14 +518,12 @@ def quarter_counts(t: Tables) -> DataFrame:
 
 @register
 def quarter_map(t: Tables) -> DataFrame:
-    counts = O.quarter_counts(t.convergence, t.balances)
-    ids = counts.select(F.explode(F.sequence(F.lit(0), F.col("max_quarters") - 1)).alias("quarter_id"))
-    return Q.calendar_rows(ids, Q0)
+    return Q.quarter_map(t.spark, Q0, stages.calendar_size(t.given, Parameters(q0=Q0)))
 
 
 @register
 def duplicate_keys(t: Tables) -> DataFrame:
-    return M.duplicate_keys(t.pug, "pug")
+    return pipeline.mapping_repeats(t.given)
 
 
 # -- reshape ----------------------------------------------------------------
@@ -687,7 +690,8 @@ def dq_row_count(t: Tables) -> DataFrame:
 @register
 def dq_required_cols(t: Tables) -> DataFrame:
     checked = D.dq_required_cols(t.convergence, pipeline.REQUIRED, "convergence")
-    return checked.unionByName(D.dq_required_cols(t.convergence, ["quarter_id", "pmf_l5"], "convergence"))
+    checked = checked.unionByName(D.dq_required_cols(t.convergence, ["quarter_id", "pmf_l5"], "convergence"))
+    return checked.unionByName(D.dq_row_count({"convergence": t.convergence}))
 
 
 @register
@@ -698,8 +702,9 @@ def dq_null_rate(t: Tables) -> DataFrame:
 
 @register
 def dq_allowed_values(t: Tables) -> DataFrame:
-    good = D.dq_allowed_values(t.convergence, "is_cg", ["Y", "N"], "convergence", "flags")
-    bad = D.dq_allowed_values(t.convergence, "geo_l4_desc", ["NATION_1", "NATION_2"], "convergence", "geo")
+    values = D.allowed_totals(t.convergence, ["is_cg", "geo_l4_desc"])
+    good = D.dq_allowed_values(values, "is_cg", ["Y", "N"], "convergence", "flags", "n_rows")
+    bad = D.dq_allowed_values(values, "geo_l4_desc", ["NATION_1", "NATION_2"], "convergence", "geo", "n_rows")
     return good.unionByName(bad)
 
 
@@ -758,7 +763,7 @@ def diff_key_normalise(t: Tables) -> DataFrame:
 
 @register
 def diff_schema(t: Tables) -> DataFrame:
-    return X.diff_schema(*t.pair)
+    return X.filled_counts(*t.pair)
 
 
 @register
@@ -850,9 +855,9 @@ def control_file(t: Tables) -> DataFrame:
         | {label: U.quarter_column(q) for q, label in labels.items()}
     )
     parts = {"upload": upload, "convergence": tables["control_convergence"], "raw": tables["control_raw"]}
-    columns = [U.quarter_column(q) for q in sorted(QUARTERS)]
     out = None
     for name, df in parts.items():
+        columns = quarter_columns(df)
         long = (
             df.select("entity", "seg_l2_desc", "rwa_calc", *[F.col(c).cast("double").alias(c) for c in columns])
             .unpivot(["entity", "seg_l2_desc", "rwa_calc"], columns, "quarter", "amount")
@@ -865,7 +870,7 @@ def control_file(t: Tables) -> DataFrame:
 @register
 def sql_pipeline(t: Tables) -> DataFrame:
     """Rows and filled amounts of every coarse step, from the steps registered as views."""
-    catalog.load_tables(t.steps)
+    catalog.load_tables(t.staged_steps)
     counts = {
         "conv_credit_risk": "sa_rwa_amt",
         "conv_markets_addon": "sa_rwa_amt",

@@ -36,12 +36,13 @@ VIEWS = {
           (3, 'Letters of Credit (L2)'), (4, 'Unused Commitments (L2)'), (5, 'Trading Account Assets (L2)'),
           (6, 'Other Liabilities (L2)'), (7, CAST(NULL AS VARCHAR(60)))) t(pid, pmf_l5)""",
     "convergence": """
-        SELECT CAST(l_orderkey % 8 AS BIGINT) AS quarter_id,
+        SELECT CAST(CASE WHEN l_orderkey % 89 = 0 THEN 9 ELSE l_orderkey % 8 END AS BIGINT) AS quarter_id,
           CASE WHEN l_orderkey % 97 = 0 THEN '9Q99'
             ELSE concat(CAST(1 + (l_orderkey % 8) % 4 AS VARCHAR(9)), 'Q',
               CASE WHEN l_orderkey % 8 < 4 THEN '25' ELSE '26' END) END AS projected_quarter,
           seg_l4_code, seg_l3_code, seg_l2_code, seg_l4_desc, seg_l3_desc,
-          CASE WHEN l_orderkey % 53 = 0 THEN NULL ELSE seg_l2_desc END AS seg_l2_desc,
+          CASE WHEN l_orderkey % 53 = 0 THEN NULL WHEN l4 = 1 AND n_nationkey = 1 AND l_orderkey % 3 = 0 THEN 'All Other [L2]'
+            ELSE seg_l2_desc END AS seg_l2_desc,
           geo_l4_desc, geo_l3_desc, pmf_l5,
           CASE WHEN l_returnflag = 'R' THEN 'N' ELSE 'Y' END AS is_cg,
           CASE WHEN l_linestatus = 'O' THEN 'Y' ELSE 'N' END AS is_cbna,
@@ -72,30 +73,33 @@ VIEWS = {
           seg_l4_desc, seg_l3_desc, seg_l2_desc, geo_l4_desc, geo_l3_desc, pmf_l5,
           seg_l4_code AS seg_l4_id, seg_l3_code AS seg_l3_id, seg_l2_code AS seg_l2_id,
           'Mar' AS month,
-          CASE WHEN c_custkey % 13 = 0 THEN 'n/a'
+          CASE WHEN c_custkey % 13 = 0 THEN 'n/a' WHEN c_custkey % 14 = 0 THEN 'nan'
             ELSE CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR(30)) END AS balances,
           CASE WHEN c_custkey % 17 = 0 THEN 'Unknown' WHEN c_custkey % 19 = 0 THEN NULL
-            ELSE CAST((c_custkey * 3 + c_nationkey) % 8 AS VARCHAR(9)) END AS quarter_id,
+            WHEN c_custkey % 23 = 0 THEN '5000' ELSE CAST((c_custkey * 3 + c_nationkey) % 8 AS VARCHAR(9)) END AS quarter_id,
           round(c_acctbal * 100) AS sa_rwa,
           CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE round(c_acctbal * 100) END AS aa_rwa,
           round(c_acctbal * 100) * 2 AS erba_rwa,
           CASE WHEN c_custkey % 5 = 0 THEN '' ELSE c_mktsegment END AS comment,
           CASE WHEN c_custkey % 3 = 0 THEN 'Banking Book' WHEN c_custkey % 3 = 1 THEN '' ELSE NULL END AS exposure_type,
-          CASE WHEN c_custkey % 4 = 0 THEN '2' ELSE NULL END AS sa_rwf,
+          CASE WHEN c_custkey % 4 = 0 THEN '2' WHEN c_custkey % 4 = 1 THEN 'NaN' ELSE NULL END AS sa_rwf,
           CAST(NULL AS VARCHAR(9)) AS aa_rwf,
-          CASE WHEN c_custkey % 6 = 0 THEN '3' WHEN c_custkey % 6 = 1 THEN 'none' ELSE NULL END AS sa_rwf_key2,
+          CASE WHEN c_custkey % 6 = 0 THEN '3' WHEN c_custkey % 6 = 1 THEN 'none' WHEN c_custkey % 6 = 3 THEN 'nan'
+            ELSE NULL END AS sa_rwf_key2,
           CASE WHEN c_custkey % 6 = 2 THEN '4' ELSE NULL END AS aa_rwf_key2
         FROM {customer} JOIN geo ON c_nationkey = n_nationkey
           JOIN seg ON c_custkey % 36 = l4 JOIN pmf ON pid = c_custkey % 8""",
     "pug_mapping": """
         SELECT CASE WHEN l4 % 9 = 0 THEN concat('Former ', seg_l4_desc) ELSE seg_l4_desc END AS seg_l4_desc,
           concat('P', CAST(l4 % 5 AS VARCHAR(9))) AS pug
-        FROM seg""",
+        FROM seg
+        UNION ALL SELECT seg_l4_desc, 'P9' AS pug FROM seg WHERE l4 = 5""",
     "pmf_mapping": """
         SELECT CASE WHEN pid IN (4, 6) THEN concat('Former ', pmf_l5) ELSE pmf_l5 END AS pmf_l5,
           concat('SA-', CAST(pid AS VARCHAR(9))) AS sa_account,
           concat('AA-', CAST(pid AS VARCHAR(9))) AS aa_account
-        FROM pmf""",
+        FROM pmf
+        UNION ALL SELECT pmf_l5, 'SA-9' AS sa_account, 'AA-9' AS aa_account FROM pmf WHERE pid = 1""",
 }
 
 # Views each view reads, itself included, in order.
