@@ -1,0 +1,73 @@
+import math
+import random
+
+import numpy as np
+import pytest
+
+from factorfall.llm import exact_topk as m
+
+
+def plain(rows, every=50, k=5):
+    clean = {}
+    for i, x in rows:
+        if i is None or not x or any(v is None or not math.isfinite(v) for v in x):
+            continue
+        x = [math.floor(256 * v) for v in x]
+        clean[i] = min(clean.get(i, x), x)
+    out = []
+    for q, x in clean.items():
+        if q % every == 0:
+            scores = sorted((-sum(a * b for a, b in zip(x, y)), i) for i, y in clean.items() if i != q and len(y) == len(x))[:k]
+            out += [(q, rank, i, -s) for rank, (s, i) in enumerate(scores, 1)]
+    return sorted(out)
+
+
+def found(df, **more):
+    return sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in m.top_k(df, **more).collect())
+
+
+def test_whole_table(spark, table):
+    df = table("embeddings")
+    assert found(df) == plain([(r["vec_id"], r["embedding"]) for r in df.collect()])
+
+
+def test_ties_copies_and_blocks(spark, monkeypatch):
+    monkeypatch.setattr(m, "CANDIDATE_BLOCK", 40)
+    monkeypatch.setattr(m, "QUERY_BLOCK", 2)
+    rng = random.Random(2)
+    same = [rng.uniform(-1, 1) for _ in range(16)]
+    rows = [(i, same if i % 3 else [rng.uniform(-1, 1) for _ in range(16)]) for i in range(300)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert found(df, every=20) == plain(rows, 20)
+
+
+def test_odd_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [0.5, 1.0]), (0, [0.5, 1.0]), (1, [1.0, None]), (2, [nan, 1.0]), (3, [inf, 0.0]), (4, None), (5, []), (None, [1.0, 1.0]), (50, [0.1, -0.2]), (7, [1.0, 2.0, 3.0]), (8, [0.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").selectExpr("*", "'x' AS score", "1 AS q_block")
+    assert found(df) == plain(rows)
+    assert m.top_k(df.filter("1 = 0")).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_bounds_never_lose_a_neighbour(seed):
+    rng = np.random.default_rng(seed)
+    c = np.floor(256 * rng.normal(size=(500, 24)) * rng.choice([0.01, 1, 5], size=(500, 1)))
+    c = np.sort(c, axis=1) if seed % 2 else c
+    ids = np.arange(500)
+    got = m.best_of_block(ids[:20], c[:20], ids, c)
+    expected = []
+    for q in range(20):
+        scores = c @ c[q]
+        order = sorted((i for i in range(500) if i != q), key=lambda i: (-scores[i], i))[:5]
+        expected += [(q, i, int(scores[i])) for i in order]
+    assert got == expected
+
+
+def test_segment_bound_holds():
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(50, 30))
+    for s in (1, 4, 7, 30):
+        stats = m.segment_statistics(x, s)
+        assert np.allclose((stats**2).sum(axis=1), (x**2).sum(axis=1))
+        assert (stats @ stats.T + 1e-9 >= x @ x.T).all()

@@ -1,0 +1,57 @@
+import importlib
+from collections import Counter
+
+import duckdb
+import pytest
+
+import corpus_pipeline
+from factorfall.llm import registered, secret_scan, simhash_bktree, toxicity
+from factorfall.llm.checking_sql import checking_sql
+from verification.compare import difference
+
+TABLES = ("documents", "embeddings", "pages", "benchmark", "labels", "conversations")
+SF = "/root/testdata/sf0.001"
+
+
+def test_ten_operators_and_the_pipeline_are_registered():
+    entry = importlib.import_module("__spark_entry__")
+    names = [n for n in entry.queries() if n.startswith("op") and n[2].isdigit()]
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert "pipeline" in entry.queries() and set(checking_sql()) <= set(entry.oracle_sql())
+
+
+@pytest.mark.parametrize("name", checking_sql())
+def test_query_equals_its_sql(spark, name):
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    assert difference(registered.queries()[name](spark, SF).toPandas(), con.execute(checking_sql()[name]).df()) == ""
+
+
+def test_stages(spark, table):
+    docs = table("documents")
+    columns = list(corpus_pipeline.COLUMNS)
+    stages = dict(corpus_pipeline.STAGES)
+    scores = {r["doc_id"]: r["predicted"] for r in toxicity.toxicity(docs, table("labels")).collect()}
+    clean = stages["toxicity"](spark, docs, SF)
+    assert clean.columns == columns
+    assert {r["doc_id"] for r in clean.collect()} == {i for i, p in scores.items() if not p}
+    single = stages["simhash near-dedup"](spark, clean, SF)
+    parts = {r["doc_id"]: r["component_id"] for r in simhash_bktree.near_duplicates(clean).collect()}
+    assert single.columns == columns and sorted(r["doc_id"] for r in single.collect()) == sorted(set(parts.values()))
+    masked = stages["secret scans"](spark, single, SF)
+    assert masked.columns == columns and masked.count() == single.count()
+    assert all(not r["base"] for r in secret_scan.secret_spans(masked).collect())
+    mixed = stages["mixing sources to target weights"](spark, masked, SF)
+    assert mixed.columns == columns
+    times = Counter(r["doc_id"] for r in mixed.collect())
+    assert set(times) == {r["doc_id"] for r in masked.collect()} and max(times.values()) <= 4
+
+
+def test_whole_run(spark):
+    rows = corpus_pipeline.run(spark, SF).collect()
+    used = Counter()
+    for r in rows:
+        used[r["sequence_id"]] += r["length"]
+    assert max(used.values()) <= 4096
+    assert len(used) <= -(-sum(used.values()) // 4096) + 2
