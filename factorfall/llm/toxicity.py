@@ -2,14 +2,16 @@
 
 Voters are words and word beginnings that stand out in texts labelled toxic, and
 a few patterns of abuse. Each says yes or nothing on a text. A generative label
-model, fitted without labels, estimates how often each voter fires on toxic and
-on other texts, and how voters hang together beyond that; voters that repeat
-each other count less. Its posteriors are the targets of a linear classifier
-over the same votes, which scores every document.
+model treats the true label as hidden: it estimates how often each voter fires
+on toxic and on other texts, and how voters hang together beyond that; voters
+that repeat each other count less. The annotation of a learning row is one more
+voter, with error rates of its own. The posteriors are the targets of a linear
+classifier over the votes alone, which scores every document.
 
 Only the fit works on a sample, of at most ``FIT_ROWS`` labelled rows; lexicon
 counts, votes and posteriors come from all of that sample, scores from all
-documents. Labels enter through the choice of words alone.
+documents. No label of the held-out part is read, and no label is an input of a
+score.
 """
 
 from __future__ import annotations
@@ -130,8 +132,15 @@ def lexicon(sample: DataFrame, voters: int = VOTERS) -> list[bytes]:
     )
     # Only words that speak for toxicity, and rarely stand elsewhere.
     counts = counts.withColumn("evidence", evidence).filter(F.col("b") * n0 > 8 * F.col("a") * n1)
-    best = counts.filter(F.col("evidence") >= LEAST_EVIDENCE).orderBy(F.col("evidence").desc(), "term").limit(voters)
-    return [bytes(r["term"]) for r in best.select("term").collect()]
+    best = counts.filter(F.col("evidence") >= LEAST_EVIDENCE).orderBy(F.col("evidence").desc(), "term").limit(8 * voters)
+    # Of nested beginnings that stand in the same texts, the shortest speaks for all.
+    chosen: dict[tuple, bytes] = {}
+    for r in best.select("term", "a", "b").collect():
+        term = bytes(r["term"])
+        same = (r["a"], r["b"], term[1:5])
+        if same not in chosen or len(term) < len(chosen[same]):
+            chosen[same] = term
+    return list(chosen.values())[:voters]
 
 
 @dataclass
@@ -158,19 +167,22 @@ class Voters:
 def _vote_batches(batches: Iterator[pa.RecordBatch], voters: Voters) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         fired = [voters.fired(raw.as_py()) for raw in batch.column("raw")]
-        yield pa.RecordBatch.from_arrays([pa.array(fired, pa.list_(pa.int32()))], names=["fired"])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(fired, pa.list_(pa.int32())), batch.column("toxic")], names=["fired", "toxic"]
+        )
 
 
-def label_model(votes: np.ndarray, rounds: int = 50) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+def label_model(votes: np.ndarray, told: np.ndarray | None = None, rounds: int = 50) -> tuple[np.ndarray, dict[str, np.ndarray]]:
     """Posterior of the hidden label for each row of 0/1 votes, and the estimates behind it.
 
     Expectation maximisation for the rates of firing given either label (a
-    voter's accuracy). A voter's weight is 1 / (1 + the sum of its correlations
+    voter's accuracy). ``told`` are the rows' annotations, a voter that is taken
+    to err in at least one of a hundred rows. A voter's weight is 1 / (1 + the sum of its correlations
     above 0.1 with other voters within the labels), re-estimated as posteriors
     settle: k copies of one voter count about as much as one.
     """
     n, m = votes.shape
-    posterior = np.where(votes.any(axis=1), 0.9, 0.02)
+    posterior = np.where(votes.any(axis=1) if told is None else told == 1, 0.9, 0.02)
     weight = np.ones(m)
     correlation = np.eye(m)
     for step in range(rounds):
@@ -188,11 +200,14 @@ def label_model(votes: np.ndarray, rounds: int = 50) -> tuple[np.ndarray, dict[s
             weight = 1 / (1 + above.sum(axis=1))
         fires, silent = np.log(rates[1] / rates[0]), np.log((1 - rates[1]) / (1 - rates[0]))
         logit = np.log(prior / (1 - prior)) + votes @ (weight * fires) + (1 - votes) @ (weight * silent)
+        if told is not None:
+            says = [np.clip((told @ p + 0.05) / (p.sum() + 1.0), 0.01, 0.99) for p in (1 - posterior, posterior)]
+            logit += np.where(told == 1, np.log(says[1] / says[0]), np.log((1 - says[1]) / (1 - says[0])))
         posterior = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
     return posterior, {"rates": np.stack(rates), "correlation": correlation, "weight": weight}
 
 
-def linear_classifier(votes: np.ndarray, target: np.ndarray, ridge: float = 0.05, rounds: int = 25) -> np.ndarray:
+def linear_classifier(votes: np.ndarray, target: np.ndarray, ridge: float = 0.2, rounds: int = 25) -> np.ndarray:
     """Logistic regression on soft targets by Newton steps; the last weight is the intercept."""
     x = np.hstack([votes, np.ones((len(votes), 1))])
     w = np.zeros(x.shape[1])
@@ -221,15 +236,14 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, voters: in
     single = sample.groupBy("sketch", "toxic").agg(F.min(F.struct("doc_id", "raw")).alias("r")).select("r.raw", "toxic")
     single = stage_table(single, "toxicity-single")
     panel = Voters(lexicon(single, voters))
-    votes = single.select("raw").mapInArrow(lambda b: _vote_batches(b, panel), "fired array<int>")
-    fired = [r["fired"] for r in votes.collect()]  # at most fit_rows short lists
-    matrix = np.zeros((len(fired), panel.size))
-    for i, found in enumerate(fired):
-        matrix[i, found] = 1
-    matrix = matrix[np.lexsort(matrix.T[::-1])] if len(matrix) else matrix  # any order of rows gives the same fit
-    if not panel.terms or not len(matrix):
+    votes = single.select("raw", "toxic").mapInArrow(lambda b: _vote_batches(b, panel), "fired array<int>, toxic int")
+    rows = sorted((r["fired"], r["toxic"]) for r in votes.collect())  # at most fit_rows short lists, in an order of their own
+    if not panel.terms:
         return panel, np.append(np.zeros(panel.size), -4.0)
-    posterior, _ = label_model(matrix)
+    matrix = np.zeros((len(rows), panel.size))
+    for i, (found, _) in enumerate(rows):
+        matrix[i, found] = 1
+    posterior, _ = label_model(matrix, np.array([toxic for _, toxic in rows]))
     return panel, linear_classifier(matrix, posterior)
 
 
