@@ -49,7 +49,7 @@ _TABLE = _class_table()
 
 
 def symbols(raw: bytes) -> np.ndarray:
-    """Classes of the text's characters; runs of white space are one."""
+    """Classes of the text's characters; runs of white space are one, and none at the start."""
     found = _TABLE[np.frombuffer(raw, dtype=np.uint8)]
     found = found[found != 255]
     space = found == _SPACE
@@ -167,8 +167,8 @@ def quality_by_perplexity(
     """One row per document: doc_id, lang, n_symbols, perplexity, threshold, kept.
 
     Trusted are documents whose label is 1 in any row of ``labels``. A
-    document is kept up to its language's threshold; an empty or null text has
-    no perplexity and is not kept. A null language, or one with fewer than
+    document is kept up to its language's threshold; an empty, blank or null text
+    has no perplexity and is not kept. A null language, or one with fewer than
     MIN_TRUSTED trusted documents, is held against the quantile of all trusted
     ones; with no trusted text at all there is no threshold and every document
     with text is kept. Repeated rows give repeated rows and count as often in
