@@ -30,8 +30,8 @@ from factorfall.session import stage_table
 
 CAPACITY = 4096
 END_ID = 1
-# Chunks remembered in one Python worker; the table is emptied when full.
-REMEMBERED = 1_500_000
+# Chunks remembered in one Python worker, some 200 bytes each; the table is emptied when full.
+REMEMBERED = 1_000_000
 # Pieces of one length and bucket, on average over evenly spread lengths.
 BUCKET_ROWS = 50_000
 MIN_BUCKETS = 64
@@ -39,6 +39,21 @@ MIN_BUCKETS = 64
 _TAIL = re.compile(rb"(.*[a-z])([!-/:-@\[-`{-~]+)", re.S)
 
 
+def _parts(chunk: bytes) -> tuple[bytes, ...]:
+    tail = _TAIL.fullmatch(chunk)
+    return tail.groups() if tail else (chunk,)
+
+
+class _Known(dict):
+    """Ids of chunks. Those of letters with trailing signs are put together and not held."""
+
+    def __missing__(self, chunk: bytes) -> bytes:
+        parts = _parts(chunk)
+        if len(parts) == 1:
+            raise KeyError(chunk)
+        return b"".join(self[p] for p in parts)
+
+
 class ChunkTokenizer:
     """Token ids of texts, with the ids of chunks between ASCII white space remembered.
 
@@ -52,33 +67,35 @@ class ChunkTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
-
-    def _learn(self, chunks: set[bytes]) -> None:
-        if len(self.known) + 2 * len(chunks) > REMEMBERED:
+        self.known = _Known()
+
+    def _learn(self, chunks: set[bytes]) -> bool:
+        """Hold the parts of the chunks; true if the table was emptied for them."""
+        parts = {part for c in chunks for part in _parts(c)}
+        new = [part for part in parts if part not in self.known]
+        full = len(self.known) + len(new) > REMEMBERED
+        if full:
             self.known.clear()
-        split = {c: m.groups() if (m := _TAIL.fullmatch(c)) else (c,) for c in chunks}
-        new = list({part for parts in split.values() for part in parts if part not in self.known})
+            new = list(parts)
+        self.known.update(zip(new, self._encoded(new)))
+        return full
+
+    def _encoded(self, chunks: list[bytes]) -> Iterator[bytes]:
         # A batch of texts, each one chunk: the library keeps their ids apart.
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            found = self.tokenizer.encode_batch_fast([c.decode("utf-8", "replace") for c in part], add_special_tokens=False)
-            for chunk, encoded in zip(part, found):
-                self.known[chunk] = np.array(encoded.ids, dtype="<u4").tobytes()
-        for chunk, parts in split.items():
-            if len(parts) > 1:
-                self.known[chunk] = b"".join(self.known[p] for p in parts)
+        for at in range(0, len(chunks), 4096):
+            texts = [c.decode("utf-8", "replace") for c in chunks[at : at + 4096]]
+            for encoded in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
+                yield np.array(encoded.ids, dtype="<u4").tobytes()
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text, without the end mark."""
         chunked = [t.lower().split() for t in texts]  # bytes: A-Z only
-        missing = {c for chunks in chunked for c in chunks if c not in self.known}
-        if missing:
-            self._learn(missing)
-            known = self.known
-            if any(c not in known for chunks in chunked for c in chunks):  # the table was emptied meanwhile
-                self._learn({c for chunks in chunked for c in chunks})
-        return [b"".join(map(self.known.__getitem__, chunks)) for chunks in chunked]
+        known, every = self.known, {c for chunks in chunked for c in chunks}
+        if self._learn({c for c in every if c not in known}):
+            # What was known before is wanted again. With a table smaller than one batch it stays until the next.
+            lost = {part for c in every for part in _parts(c) if part not in known}
+            known.update(zip(lost, self._encoded(list(lost))))
+        return [b"".join(map(known.__getitem__, chunks)) for chunks in chunked]
 
 
 @functools.lru_cache(maxsize=2)
