@@ -123,9 +123,9 @@ def host_verdicts(counts: DataFrame) -> DataFrame:
         rho = F.when(room > 0, (between - spread * (F.col("k") - 1)) / room).otherwise(0.0)
         rates[f"p_{r}"] = p
         rates[f"strength_{r}"] = 1 / F.least(F.greatest(rho, F.lit(1e-6)), F.lit(1 - 1e-6)) - 1
-    prior = prior.select(*[c.alias(name) for name, c in rates.items()])
-    # The prior is one row.
-    joined = hosts.join(F.broadcast(prior))
+    # The prior is one row, whatever the number of hosts.
+    prior = prior.select(*[c.alias(name) for name, c in rates.items()]).first().asDict()
+    joined = hosts.withColumns({name: F.lit(value).cast("double") for name, value in prior.items()})
     shrunk = {
         f"rate_{r}": (F.col(f"f_{r}") + F.col(f"p_{r}") * F.col(f"strength_{r}")) / (F.col("n") + F.col(f"strength_{r}"))
         for r in RULES

@@ -183,9 +183,9 @@ def quality_by_perplexity(
     limit = F.percentile_approx("perplexity", F.lit(quantile), F.lit(10_000))
     by_lang = known.groupBy("lang").agg(F.count("*").alias("n_trusted"), limit.alias("own")).filter(F.col("n_trusted") >= MIN_TRUSTED)
     by_lang = by_lang.select(F.col("lang").alias("l_lang"), "own")
-    whole = known.agg(limit.alias("overall"))  # one row
-    joined = found.join(by_lang, F.col("lang") == F.col("l_lang"), "left").join(F.broadcast(whole))
-    threshold = F.coalesce("own", "overall")
+    overall = F.lit(known.agg(limit).first()[0]).cast("double")  # one number
+    joined = found.join(by_lang, F.col("lang") == F.col("l_lang"), "left")
+    threshold = F.coalesce(F.col("own"), overall)
     return joined.select(
         "doc_id", "lang", "n_symbols", "perplexity", threshold.alias("threshold"),
         F.coalesce(F.col("perplexity") <= threshold, threshold.isNull() & F.col("perplexity").isNotNull(), F.lit(False)).alias("kept"),
