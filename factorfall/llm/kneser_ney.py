@@ -182,7 +182,8 @@ def quality_by_perplexity(
     known = found.join(ids, F.col("doc_id") == F.col("t_id"), "left_semi").filter("perplexity IS NOT NULL")
     limit = F.percentile_approx("perplexity", F.lit(quantile), F.lit(10_000))
     by_lang = known.groupBy("lang").agg(F.count("*").alias("n_trusted"), limit.alias("own")).filter(F.col("n_trusted") >= MIN_TRUSTED)
-    by_lang = by_lang.select(F.col("lang").alias("l_lang"), "own")
+    # One row a language, so documents of a common language stay where they are.
+    by_lang = broadcast_if_small(stage_table(by_lang.select(F.col("lang").alias("l_lang"), "own"), "limits"), 64)
     overall = F.lit(known.agg(limit).first()[0]).cast("double")  # one number
     joined = found.join(by_lang, F.col("lang") == F.col("l_lang"), "left")
     threshold = F.coalesce(F.col("own"), overall)
