@@ -1,7 +1,9 @@
 """Toxicity by weak supervision.
 
-Voters are words and word beginnings that stand out in texts labelled toxic, and
-a few patterns of abuse. Each says yes or nothing on a text. A generative label
+Voters are words and word beginnings that stand out in texts labelled toxic, a
+few patterns of abuse, and how much of a text that lexicon makes up: a word
+beginning met once in a long text says little, one word in fifty says a lot.
+Each says yes or nothing on a text. A generative label
 model treats the true label as hidden: it estimates how often each voter fires
 on toxic and on other texts, and how voters hang together beyond that; voters
 that repeat each other count less. The annotation of a learning row is one more
@@ -34,7 +36,10 @@ FIT_ROWS = 20_000
 VOTERS = 256
 # Likelihood-ratio statistic below which a word does not stand out.
 LEAST_EVIDENCE = 20.0
-PREFIXES = range(4, 9)
+PREFIXES = range(3, 9)
+# Voters on the lexicon as a whole: its share of a text's words, and its distinct words there.
+SHARES = (0.004, 0.008, 0.0125, 0.02)
+DISTINCT = (2, 3, 5)
 THRESHOLD = 0.7
 HELD_OUT = 1
 # Terms counted in one task before they are handed on.
@@ -54,15 +59,22 @@ PATTERNS = {
 }
 
 
-def words(raw: bytes) -> set[bytes]:
-    return set(raw.translate(_LETTERS).split())
+def words(raw: bytes) -> list[bytes]:
+    """The text's words in lower case, repeats included."""
+    if not raw.isascii():
+        raw = raw.decode("utf-8", "replace").lower().encode()
+    return raw.translate(_LETTERS).split()
 
 
-def terms(raw: bytes) -> set[bytes]:
-    """Words (marked ``=``) and their beginnings (``^``) of one text."""
-    found = set()
-    for word in words(raw):
-        found.add(b"=" + word[:40])
+def terms(raw: bytes) -> Counter:
+    """Words (marked ``=``) and their beginnings (``^``) of one text, with the distinct words that have them.
+
+    The empty term stands for all distinct words.
+    """
+    found: Counter = Counter()
+    for word in set(words(raw)):
+        found[b""] += 1
+        found[b"=" + word[:40]] += 1
         letters = word.decode("utf-8", "replace")
         found.update(b"^" + letters[:n].encode() for n in PREFIXES if n < len(letters))
     return found
@@ -82,19 +94,22 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def _term_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: tuple[Counter, Counter] = (Counter(), Counter())
+    texts: tuple[Counter, Counter] = (Counter(), Counter())
+    distinct: tuple[Counter, Counter] = (Counter(), Counter())
 
     def rows() -> pa.RecordBatch:
-        every = list(counts[0].keys() | counts[1].keys())
-        columns = [pa.array([c[t] for t in every], pa.int64()) for c in counts]
-        for c in counts:
+        every = list(texts[0].keys() | texts[1].keys())
+        columns = [pa.array([c[t] for t in every], pa.int64()) for c in (*texts, *distinct)]
+        for c in (*texts, *distinct):
             c.clear()
-        return pa.RecordBatch.from_arrays([pa.array(every, pa.binary()), *columns], names=["term", "n_other", "n_toxic"])
+        return pa.RecordBatch.from_arrays([pa.array(every, pa.binary()), *columns], names=["term", "a", "b", "words_a", "words_b"])
 
     for batch in batches:
         for raw, toxic in zip(batch.column("raw"), batch.column("toxic").to_pylist()):
-            counts[toxic].update(terms(raw.as_py()))
-            if sum(map(len, counts)) > TERMS_HELD:
+            found = terms(raw.as_py())
+            texts[toxic].update(found.keys())
+            distinct[toxic].update(found)
+            if sum(map(len, texts)) > TERMS_HELD:
                 yield rows()
     yield rows()
 
@@ -114,38 +129,47 @@ def held_out(doc_id: Column) -> Column:
 
 
 def lexicon(sample: DataFrame, voters: int = VOTERS) -> list[bytes]:
-    """The terms with the strongest evidence of standing out in toxic texts, one text of each group of near copies."""
+    """The terms with the strongest evidence of standing out in toxic texts, one text of each group of near copies.
+
+    A term must stand out by the texts that have it. Of terms of which one
+    begins with the other, the one that stands out most by its distinct words
+    speaks for all; the longest, where several stand out alike.
+    """
     totals = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     n1, n0 = totals.get(1, 0), totals.get(0, 0)
     if not n1 or not n0:
         return []
-    counts = sample.select("raw", "toxic").mapInArrow(_term_batches, "term binary, n_other long, n_toxic long")
-    counts = counts.groupBy("term").agg(F.sum("n_other").alias("a"), F.sum("n_toxic").alias("b")).filter("b >= 3")
+    counts = sample.select("raw", "toxic").mapInArrow(_term_batches, "term binary, a long, b long, words_a long, words_b long")
+    counts = counts.groupBy("term").agg(*[F.sum(c).alias(c) for c in ("a", "b", "words_a", "words_b")])
+    counts = stage_table(counts.filter("b >= 3 OR term = X''"), "toxicity-terms")
+    every = counts.filter("term = X''").first()
+    if every is None or not every["words_a"] or not every["words_b"]:
+        return []
 
-    def part(seen: Column, rows: int, expected: Column) -> Column:
-        return F.when(seen > 0, seen * F.log(seen / (rows * expected))).otherwise(0.0)
+    def part(seen: Column, expected: Column) -> Column:
+        return F.when(seen > 0, 2 * seen * F.log(seen / expected)).otherwise(0.0)
 
     rate = (F.col("a") + F.col("b")) / (n0 + n1)
-    evidence = 2 * (
-        part(F.col("a"), n0, rate) + part(F.col("b"), n1, rate)
-        + part(n0 - F.col("a"), n0, 1 - rate) + part(n1 - F.col("b"), n1, 1 - rate)
+    by_texts = (
+        part(F.col("a"), n0 * rate) + part(F.col("b"), n1 * rate)
+        + part(n0 - F.col("a"), n0 * (1 - rate)) + part(n1 - F.col("b"), n1 * (1 - rate))
     )
+    share = (F.col("words_a") + F.col("words_b")) / (every["words_a"] + every["words_b"])
+    by_words = part(F.col("words_a"), every["words_a"] * share) + part(F.col("words_b"), every["words_b"] * share)
     # Only words that speak for toxicity, and rarely stand elsewhere.
-    counts = counts.withColumn("evidence", evidence).filter(F.col("b") * n0 > 8 * F.col("a") * n1)
-    best = counts.filter(F.col("evidence") >= LEAST_EVIDENCE).orderBy(F.col("evidence").desc(), "term").limit(8 * voters)
-    # Of nested beginnings that stand in the same texts, the shortest speaks for all.
-    chosen: dict[tuple, bytes] = {}
-    for r in best.select("term", "a", "b").collect():
-        term = bytes(r["term"])
-        same = (r["a"], r["b"], term[1:5])
-        if same not in chosen or len(term) < len(chosen[same]):
-            chosen[same] = term
-    return list(chosen.values())[:voters]
+    counts = counts.filter(F.col("term") != F.lit(b"")).filter(F.col("b") * n0 > 8 * F.col("a") * n1)
+    counts = counts.filter(by_texts >= LEAST_EVIDENCE).withColumn("evidence", by_words)
+    chosen: list[bytes] = []
+    for r in counts.orderBy(F.col("evidence").desc(), F.length("term").desc(), "term").limit(16 * voters).select("term").collect():
+        letters = bytes(r["term"])[1:]
+        if not any(letters.startswith(c[1:]) or c[1:].startswith(letters) for c in chosen):
+            chosen.append(bytes(r["term"]))
+    return chosen[:voters]
 
 
 @dataclass
 class Voters:
-    """Votes of a text: one per term, one per pattern."""
+    """Votes of a text: one per term, one per pattern, one per share and number of lexicon words."""
 
     terms: list[bytes]
 
@@ -153,20 +177,40 @@ class Voters:
         self.whole = {t[1:]: i for i, t in enumerate(self.terms) if t[:1] == b"="}
         self.starts = {t[1:]: i for i, t in enumerate(self.terms) if t[:1] == b"^"}
         self.lengths = sorted({len(t) for t in self.starts})
-        self.size = len(self.terms) + len(PATTERNS)
+        self.size = len(self.terms) + len(PATTERNS) + len(SHARES) + len(DISTINCT)
 
-    def fired(self, raw: bytes) -> list[int]:
-        seen = words(raw)
-        found = {self.whole[w] for w in self.whole.keys() & seen}
+    def _hits(self, tokens: list[bytes]) -> dict[bytes, int]:
+        """Lexicon words among the tokens, each with its term."""
+        seen = set(tokens)
+        hits = {w: self.whole[w] for w in self.whole.keys() & seen}
         for n in self.lengths:
-            found.update(self.starts[p] for p in self.starts.keys() & {w[:n] for w in seen if len(w) > n})
-        found.update(len(self.terms) + i for i, p in enumerate(PATTERNS.values()) if p.search(raw))
+            hits.update({w: self.starts[w[:n]] for w in seen if w[:n] in self.starts and len(w) > n})
+        return hits
+
+    def _of_patterns(self, raw: bytes) -> list[int]:
+        return [len(self.terms) + i for i, p in enumerate(PATTERNS.values()) if p.search(raw)]
+
+    def fired(self, raw: bytes) -> list[int]:
+        """Terms and patterns that the text has."""
+        return sorted({*self._hits(words(raw)).values(), *self._of_patterns(raw)})
+
+    def votes(self, raw: bytes) -> list[int]:
+        """All that say yes on the text."""
+        tokens = words(raw)
+        hits = self._hits(tokens)
+        found = {*hits.values(), *self._of_patterns(raw)}
+        if hits:
+            at = len(self.terms) + len(PATTERNS)
+            share = sum(1 for w in tokens if w in hits) / len(tokens)
+            found.update(at + i for i, least in enumerate(SHARES) if share >= least)
+            at += len(SHARES)
+            found.update(at + i for i, least in enumerate(DISTINCT) if len(hits) >= least)
         return sorted(found)
 
 
 def _vote_batches(batches: Iterator[pa.RecordBatch], voters: Voters) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        fired = [voters.fired(raw.as_py()) for raw in batch.column("raw")]
+        fired = [voters.votes(raw.as_py()) for raw in batch.column("raw")]
         yield pa.RecordBatch.from_arrays(
             [pa.array(fired, pa.list_(pa.int32())), batch.column("toxic")], names=["fired", "toxic"]
         )
@@ -249,7 +293,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, voters: in
 
 def _score_batches(batches: Iterator[pa.RecordBatch], voters: Voters, weights: np.ndarray) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        logits = [weights[voters.fired(raw.as_py())].sum() + weights[-1] for raw in batch.column("raw")]
+        logits = [weights[voters.votes(raw.as_py())].sum() + weights[-1] for raw in batch.column("raw")]
         scores = 1 / (1 + np.exp(-np.clip(np.array(logits, dtype=np.float64), -30, 30)))
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64())], names=["doc_id", "score"])
 
@@ -278,7 +322,7 @@ def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
     def score(texts):
         import pandas as pd
 
-        logits = [weights[voters.fired(t.encode() if t is not None else b"")].sum() + weights[-1] for t in texts]
+        logits = [weights[voters.votes(t.encode() if t is not None else b"")].sum() + weights[-1] for t in texts]
         return pd.Series(1 / (1 + np.exp(-np.clip(np.array(logits, dtype=np.float64), -30, 30))))
 
     return docs.filter(score(docs["text"].cast("string")) < threshold)

@@ -71,3 +71,21 @@ def test_voters_fire_on_words_and_beginnings():
     assert voters.fired("An IDIOT! clowns; réou".encode()) == [0, 1, 2]
     assert voters.fired(b"idiots clow r") == []
     assert voters.fired(b"") == []
+
+
+def test_share_of_lexicon_words_votes():
+    voters = m.Voters([b"=idiot", b"^clow"])
+    first = len(voters.terms) + len(m.PATTERNS)
+    shares, distinct = len(m.SHARES), len(m.DISTINCT)
+    assert voters.votes(b"idiot " + b"x " * 9) == [0, *range(first, first + shares)]
+    assert voters.votes(b"idiot " + b"x " * 999) == [0]
+    many = voters.votes(b"idiot clown clowns clowning clowned " + b"x " * 99_995)
+    assert many == [0, 1, *range(first + shares, first + shares + distinct)]
+    assert voters.votes(b"") == [] and voters.votes(b"ordinary words") == []
+
+
+def test_nested_terms_speak_once(spark):
+    toxic = [(f"grumf{c} and so on", 1) for c in "abcdefgh"]
+    clean = [(f"grum and {c} so on", 0) for c in "abcdefghijklmnopqrstuvwxyz"]
+    rows = spark.createDataFrame(toxic + clean, "text string, toxic int").selectExpr("CAST(text AS BINARY) AS raw", "toxic")
+    assert m.lexicon(rows) == [b"^grumf"]
