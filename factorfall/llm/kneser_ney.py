@@ -1,25 +1,33 @@
 """Quality by perplexity under an interpolated modified Kneser-Ney model.
 
-The model is an n-gram model of order 4 over character classes: the letters a
-to z, other letters, digits, white space, sentence punctuation, other signs and
-a begin mark, 32 in all. It is trained on all trusted texts. Every task counts
-its own n-grams and hands on the distinct ones; counts of the four orders, their
-contexts and continuations are then joined, sharded by n-gram, into one
-probability for each seen n-gram and one back-off weight for each context. There
-are at most 32^4 of them whatever the corpus, so that result, and nothing else,
-goes to every executor, where a document is scored in place.
-
-A document's perplexity is held against a quantile of the trusted documents'
-own, taken for its language.
+The model is an n-gram model of order 3 over words, trained on all trusted texts.
+A word is a run of letters and digits or a run of signs; in scripts written
+without spaces each character is one. Every task counts its own n-grams over
+hashed words and hands on the distinct ones; counts, contexts and continuations
+are joined in Spark, sharded by n-gram. The distinct n-grams of each document are
+joined to that model and summed by document, so nothing that grows with the
+corpus is held in one place.
+
+Below the words lies a model of their spelling: n-grams of order 4 over character
+classes (a to z, other letters, digits, white space, sentence punctuation, other
+signs and a begin mark, 32 in all), likewise from all trusted texts. It gives a
+word that no trusted text has its probability, each class shared evenly by its
+characters. Its table of 32^4 costs goes to every executor.
+
+A trusted document is scored as if its own text had not been counted: an n-gram or
+context no other trusted text has is unseen to it. A document's perplexity is held
+against a quantile of the trusted documents' own, taken for its language.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from factorfall.llm.common import broadcast_if_small, raw_text
@@ -137,27 +145,195 @@ def dense_costs(tables: list[DataFrame]) -> np.ndarray:
     return (-np.log2(np.maximum(p, 1e-12))).astype(np.float32)
 
 
-def _score_batches(batches: Iterator[pa.RecordBatch], costs) -> Iterator[pa.RecordBatch]:
-    table = costs.value
-    for batch in batches:
-        n, bits = [], []
-        for raw in batch.column("raw"):
-            codes = ngram_codes(raw.as_py())
-            n.append(len(codes))
-            bits.append(float(table[codes].sum(dtype=np.float64)))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("lang"), pa.array(n, pa.int64()), pa.array(bits, pa.float64())],
-            names=["doc_id", "lang", "n_symbols", "bits"],
+_WORD = re.compile(rb"[a-z0-9_\x80-\xff]+|[^a-z0-9_\x80-\xff\x20\x09-\x0D]+")
+# Thai, Lao, kana and Chinese characters: written without spaces.
+_UNSPACED = re.compile("([\u0e00-\u0eff\u3000-\u9fff\U00020000-\U0003ffff])")
+# Bits that tell a character of a class from the others.
+_WITHIN = np.zeros(256)
+_WITHIN[_DIGIT], _WITHIN[_STOP], _WITHIN[_SIGN], _WITHIN[_OTHER_LETTER] = np.log2([10, 11, 85, 1_111_936])
+_NO_WORD = 0
+# Words remembered in one Python worker, and n-grams put together before they are handed on.
+REMEMBERED = 500_000
+GRAMS_AT_ONCE = 1_000_000
+_GRAM = "a long, b long, c long"
+
+
+def words(raw: bytes) -> list[bytes]:
+    if raw.isascii():
+        return _WORD.findall(raw.lower())
+    return _WORD.findall(_UNSPACED.sub(r" \1 ", raw.decode("utf-8", "replace").lower()).encode())
+
+
+def spelling_bits(found: list[bytes], costs: np.ndarray) -> np.ndarray:
+    """-log2 of the probability that each word is spelled so, its end included."""
+    if not found:
+        return np.zeros(0)
+    stream = _TABLE[np.frombuffer(b"   " + b"   ".join(found) + b" ", dtype=np.uint8)]
+    stream = stream[stream != 255].astype(np.int64)
+    codes = np.zeros(len(stream) - ORDER + 1, dtype=np.int64)
+    for i in range(ORDER):
+        codes = codes * CLASSES + stream[i : len(codes) + i]
+    last, before = stream[ORDER - 1 :], stream[ORDER - 2 : -1]
+    # Of the white space after a word, the first is its end; what follows is only context.
+    bits = np.where((last == _SPACE) & (before == _SPACE), 0.0, costs[codes] + _WITHIN[last])
+    return np.add.reduceat(bits, np.flatnonzero((last != _SPACE) & (before == _SPACE)))
+
+
+class Words:
+    """Hash and spelling bits of words, those met before remembered."""
+
+    def __init__(self, costs: np.ndarray) -> None:
+        self.costs, self.known = costs, {}
+
+    def grams(self, raw: bytes) -> tuple[np.ndarray, ...]:
+        """The distinct n-grams of a text: hashes of the three words, bits of the last, how often."""
+        found = words(raw)
+        new = [w for w in dict.fromkeys(found) if w not in self.known]
+        if new:
+            if len(self.known) + len(new) > REMEMBERED:
+                self.known.clear()
+                new = list(dict.fromkeys(found))
+            bits = spelling_bits(new, self.costs).tolist()
+            self.known.update((w, (xxhash.xxh64_intdigest(w) - (1 << 63), s)) for w, s in zip(new, bits))
+        pairs = [self.known[w] for w in found]
+        hashes = np.array([_NO_WORD, _NO_WORD, *[h for h, _ in pairs]], dtype=np.int64)
+        spelled = np.array([s for _, s in pairs], dtype=np.float64)
+        a, b, c = hashes[:-2], hashes[1:-1], hashes[2:]
+        _, first, n = np.unique(_mixed(a, b, c), return_index=True, return_counts=True)
+        return a[first], b[first], c[first], spelled[first], n.astype(np.int64)
+
+
+def _mixed(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """One number for three, to sort by."""
+    return (a * np.int64(0x2545F4914F6CDD1D) + b) * np.int64(0x1B873593CC9E2D53) + c
+
+
+def _word_counts(batches: Iterator[pa.RecordBatch], costs) -> Iterator[pa.RecordBatch]:
+    known, held, size = Words(costs.value), [], 0
+
+    def out() -> pa.RecordBatch:
+        a, b, c, spelled, n, doc = (np.concatenate(x) for x in zip(*held))
+        _, first, at = np.unique(_mixed(a, b, c), return_index=True, return_inverse=True)
+        total = np.bincount(at, weights=n, minlength=len(first)).astype(np.int64)
+        other = np.zeros(len(first), dtype=bool)
+        other[at[doc != doc[first][at]]] = True
+        columns = [pa.array(x[first]) for x in (a, b, c, spelled)]
+        return pa.RecordBatch.from_arrays(
+            [*columns, pa.array(total), pa.array(doc[first], mask=other)], names=["a", "b", "c", "spelled", "n", "doc"]
         )
 
+    for batch in batches:
+        for raw, doc in zip(batch.column("raw"), batch.column("key").to_pylist()):
+            found = known.grams(raw.as_py())
+            held.append((*found, np.full(len(found[0]), doc, dtype=np.int64)))
+            size += len(found[0])
+            if size >= GRAMS_AT_ONCE:
+                yield out()
+                held, size = [], 0
+    if size:
+        yield out()
+
+
+def _word_rows(batches: Iterator[pa.RecordBatch], costs) -> Iterator[pa.RecordBatch]:
+    known = Words(costs.value)
+    for batch in batches:
+        for raw, key, good in zip(batch.column("raw"), batch.column("key").to_pylist(), batch.column("good").to_pylist()):
+            found = known.grams(raw.as_py())
+            size = len(found[0])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(size, key, dtype=np.int64)), pa.array(np.full(size, good)), *map(pa.array, found)],
+                names=["key", "good", "a", "b", "c", "spelled", "k"],
+            )
+
+
+def _one_text() -> Column:
+    """The only text that has all rows of a group; null if there are several."""
+    same = (F.count("*") == F.count("doc")) & (F.min("doc") == F.max("doc"))
+    return F.when(same, F.min("doc")).alias("doc")
+
 
-def scored(docs: DataFrame, costs: np.ndarray, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """doc_id, lang, n_symbols, perplexity (per character; null for an empty text)."""
+def word_model(counts: DataFrame) -> dict[str, DataFrame]:
+    """Probabilities of seen n-grams by order (p1 to p3) and back-off weights of their contexts (w2, w3).
+
+    ``counts`` has a, b, c, spelled, n and doc, the only text with the n-gram or null. Columns named own are
+    those for that text, left out itself. w1 has one row.
+    """
+    grams = {3: counts}
+    for order, keys in ((2, ["b", "c"]), (1, ["c"])):
+        rows = grams[order + 1].groupBy(*keys).agg(F.max("spelled").alias("spelled"), F.count("*").alias("n"), _one_text())
+        grams[order] = stage_table(rows, f"word-grams-{order}")
+    out: dict[str, DataFrame] = {}
+    for order, keys in ((1, ["c"]), (2, ["b", "c"]), (3, ["a", "b", "c"])):
+        d, n, lone = _discounts(grams[order]), F.col("n"), F.col("doc").isNotNull()
+        rows = grams[order].withColumn("d", F.when(n == 1, d[0]).when(n == 2, d[1]).otherwise(d[2]))
+        sums = [F.sum("n").cast("double").alias("total"), F.sum("d").alias("freed")]
+        if order == 1:
+            weights = rows.agg(*sums).select("total", F.coalesce(F.col("freed") / F.col("total"), F.lit(1.0)).alias("weight"))
+            out["w1"] = stage_table(weights, "word-weights-1")
+            total, weight = out["w1"].first()
+            rows = rows.withColumns({"total": F.lit(total).cast("double"), "weight": F.lit(weight), "weight_own": F.lit(weight)})
+            low = F.pow(F.lit(2.0), -F.col("spelled"))
+            rows = rows.withColumns({"low": low, "low_own": low})
+        else:
+            context = rows.groupBy(*keys[:-1]).agg(*sums, _one_text())
+            weight = F.col("freed") / F.col("total")
+            own = F.when(F.col("doc").isNotNull(), 1.0).otherwise(weight)
+            out[f"w{order}"] = stage_table(context.select(*keys[:-1], "total", weight.alias("weight"), own.alias("weight_own")), f"word-weights-{order}")
+            below = out[f"p{order - 1}"].select(*keys[1:], F.col("p").alias("low"), F.col("p_own").alias("low_own"))
+            rows = rows.join(out[f"w{order}"], keys[:-1]).join(below, keys[1:])
+        share = (n - F.col("d")) / F.col("total")
+        p = share + F.col("weight") * F.col("low")
+        p_own = F.when(lone, F.col("weight_own") * F.col("low_own")).otherwise(share + F.col("weight") * F.col("low_own"))
+        out[f"p{order}"] = stage_table(rows.select(*keys, p.alias("p"), p_own.alias("p_own")), f"word-probabilities-{order}")
+    return out
+
+
+def word_bits(rows: DataFrame, model: dict[str, DataFrame]) -> DataFrame:
+    """key, good, n and bits of the texts whose n-grams (key, good, a, b, c, spelled, k) ``rows`` has."""
+    joined = stage_table(rows.join(model["p3"], ["a", "b", "c"], "left"), "word-rows")
+    p = F.when(F.col("good"), F.col("p_own")).otherwise(F.col("p"))
+    bits = F.col("k") * -F.log2(p)
+    seen = joined.filter("p IS NOT NULL").select("key", "good", "k", bits.alias("bits"))
+    rest = joined.filter("p IS NULL").drop("p", "p_own")
+    for name, keys in (("p2", ["b", "c"]), ("w3", ["a", "b"]), ("p1", ["c"]), ("w2", ["b"])):
+        value = F.col("p" if name[0] == "p" else "weight").alias(name)
+        rest = rest.join(model[name].select(*keys, value), keys, "left")
+    one = F.lit(1.0)
+    spelled = F.lit(model["w1"].first()["weight"]) * F.pow(F.lit(2.0), -F.col("spelled"))
+    p2 = F.coalesce("p2", F.coalesce("w2", one) * F.coalesce("p1", spelled))
+    bits = F.col("k") * -F.log2(F.greatest(F.coalesce("w3", one) * p2, F.lit(1e-300)))
+    rest = rest.select("key", "good", "k", bits.alias("bits"))
+    return seen.unionByName(rest).groupBy("key", "good").agg(F.sum("k").alias("n"), F.sum("bits").alias("bits"))
+
+
+def scored(
+    docs: DataFrame, ids: DataFrame, costs: np.ndarray, doc_id: str = "doc_id", text: str = "text", lang: str = "lang"
+) -> DataFrame:
+    """doc_id, lang, n_symbols (words), perplexity (per word; null for a text without words).
+
+    ``ids`` has the trusted t_id. Rows of one text are left out of the model together.
+    """
     held = docs.sparkSession.sparkContext.broadcast(costs)
     rows = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[lang].cast("string").alias("lang"), raw_text(docs, text).alias("raw"))
-    found = rows.mapInArrow(lambda batches: _score_batches(batches, held), "doc_id long, lang string, n_symbols long, bits double")
-    perplexity = F.when(F.col("n_symbols") > 0, F.pow(F.lit(2.0), F.col("bits") / F.col("n_symbols")))
-    return found.select("doc_id", "lang", "n_symbols", perplexity.alias("perplexity"))
+    rows = rows.withColumn("key", F.xxhash64("raw")).join(ids.withColumn("in", F.lit(True)), F.col("doc_id") == F.col("t_id"), "left")
+    rows = rows.withColumn("good", F.col("in").isNotNull())
+    counted = rows.filter("good").select("raw", "key").mapInArrow(
+        lambda batches: _word_counts(batches, held), _GRAM + ", spelled double, n long, doc long"
+    )
+    counts = counted.groupBy("a", "b", "c").agg(F.max("spelled").alias("spelled"), F.sum("n").alias("n"), _one_text())
+    model = word_model(stage_table(counts, "word-grams-3"))
+    grams = rows.select("raw", "key", "good").mapInArrow(
+        lambda batches: _word_rows(batches, held), f"key long, good boolean, {_GRAM}, spelled double, k long"
+    )
+    bits = word_bits(grams, model)
+    # Equal texts are summed together.
+    copies = rows.groupBy("key", "good").agg(F.count("*").alias("copies"))
+    per_text = stage_table(bits.join(copies, ["key", "good"]), "word-bits")
+    per_text = per_text.select("key", "good", F.expr("n DIV copies").alias("n"), F.round(F.col("bits") / F.col("n"), 9).alias("rate"))
+    found = rows.drop("raw").join(per_text, ["key", "good"], "left")
+    return found.select(
+        "doc_id", "lang", F.coalesce("n", F.lit(0).cast("long")).alias("n_symbols"), F.pow(F.lit(2.0), F.col("rate")).alias("perplexity")
+    )
 
 
 def quality_by_perplexity(
@@ -172,13 +348,13 @@ def quality_by_perplexity(
     MIN_TRUSTED trusted documents, is held against the quantile of all trusted
     ones; with no trusted text at all there is no threshold and every document
     with text is kept. Repeated rows give repeated rows and count as often in
-    the model. Empty tables give no rows. Other columns are not read.
+    the model, but a trusted text is held against the others only. Empty tables give no rows. Other columns are not read.
     """
     ids = labels.filter(F.col(trusted) == 1).select(labels[doc_id].cast("long").alias("t_id")).distinct()
     ids = broadcast_if_small(stage_table(ids, "trusted-ids"), 8)
     good = docs.join(ids, docs[doc_id].cast("long") == F.col("t_id"), "left_semi")
     costs = dense_costs(model(stage_table(ngram_counts(good, text), "gram-counts")))
-    found = stage_table(scored(docs, costs, doc_id, text, lang), "perplexities")
+    found = stage_table(scored(docs, ids, costs, doc_id, text, lang), "perplexities")
     known = found.join(ids, F.col("doc_id") == F.col("t_id"), "left_semi").filter("perplexity IS NOT NULL")
     limit = F.percentile_approx("perplexity", F.lit(quantile), F.lit(10_000))
     by_lang = known.groupBy("lang").agg(F.count("*").alias("n_trusted"), limit.alias("own")).filter(F.col("n_trusted") >= MIN_TRUSTED)

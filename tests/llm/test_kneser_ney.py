@@ -72,3 +72,68 @@ def test_odd_rows(spark, odd_docs):
 def test_symbols():
     assert m.symbols("aB  é1,%\n".encode()).tolist() == [0, 1, m._SPACE, m._OTHER_LETTER, m._DIGIT, m._STOP, m._SIGN, m._SPACE]
     assert len(m.ngram_codes(b"")) == 0
+
+
+def plain_bits(texts, costs, own, text):
+    """Bits of a text under the word model with dictionaries; ``own`` leaves the text itself out."""
+    grams, texts_with = {3: Counter()}, defaultdict(set)
+    for t in texts:
+        w = [None, None, *m.words(t.encode())]
+        grams[3].update(tuple(w[i : i + 3]) for i in range(len(w) - 2))
+        for i in range(len(w) - 2):
+            for g in (tuple(w[i : i + 3]), tuple(w[i + 1 : i + 3]), (w[i + 2],)):
+                texts_with[g].add(t)
+                texts_with["context", g[:-1]].add(t)
+    for n in (2, 1):
+        grams[n] = Counter(g[1:] for g in grams[n + 1])
+    discounts, contexts = {}, {}
+    for n, c in grams.items():
+        r = Counter(c.values())
+        y = r[1] / (r[1] + 2 * r[2]) if r[1] else 0.5
+        discounts[n] = [min(max(i - (i + 1) * y * r[i + 1] / r[i], 0.1), i - 0.1) if r[i] else i / 2 for i in (1, 2, 3)]
+        contexts[n] = defaultdict(list)
+        for g, k in c.items():
+            contexts[n][g[:-1]].append(k)
+
+    def p(g):
+        lower = p(g[1:]) if len(g) > 1 else 2.0 ** -m.spelling_bits([g[-1]], costs)[0]
+        seen, k = contexts[len(g)].get(g[:-1]), grams[len(g)].get(g, 0)
+        if not seen or own and len(g) > 1 and texts_with["context", g[:-1]] == {text}:
+            return lower
+        d = lambda k: discounts[len(g)][min(k, 3) - 1]
+        if own and texts_with[g] == {text}:
+            k = 0
+        return (k - d(k) if k else 0) / sum(seen) + sum(map(d, seen)) / sum(seen) * lower
+
+    w = [None, None, *m.words(text.encode())]
+    return -sum(np.log2(p(tuple(w[i : i + 3]))) for i in range(len(w) - 2)), len(w) - 2
+
+
+def test_words_against_dictionaries(spark, table):
+    texts = [r["text"][:300] for r in table("documents").limit(20).collect()] + ["Мир и труд. Мир и май!", "мир и труд и май"]
+    texts.append(texts[0])
+    fresh = ["Труд и мир", "кщзф ыъйц", texts[1][:100] + " zzqx", texts[0]]
+    rows = [(i, t, "en") for i, t in enumerate(texts + fresh)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    ids = spark.createDataFrame([(i,) for i in range(len(texts))], "t_id long")
+    costs = m.dense_costs(m.model(m.ngram_counts(docs.filter(f"doc_id < {len(texts)}"))))
+    found = {r["doc_id"]: r for r in m.scored(docs, ids, costs).collect()}
+    assert len(found) == len(rows)
+    for i, t, _ in rows:
+        bits, n = plain_bits(texts, costs, i < len(texts), t)
+        assert found[i]["n_symbols"] == n
+        assert abs(np.log2(found[i]["perplexity"]) - bits / n) < 1e-4, t
+
+
+def test_words_and_their_order_count(spark):
+    """Character classes cannot tell these apart."""
+    clean = ["мир труд май", "труд май мир и мир труд май", "мир труд май и труд"] * 3
+    rows = [(i, f"{t} {i}", "ru") for i, t in enumerate(clean)] + [(90, "рим дурт йам", "ru"), (91, "май труд мир", "ru"), (92, "мир труд май", "ru")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i in range(9)], "doc_id long, quality int")
+    found = {r["doc_id"]: r["perplexity"] for r in m.quality_by_perplexity(docs, labels).collect()}
+    assert found[92] < found[91] < found[90]
+
+
+def test_words():
+    assert m.words("Don't СТОП! 東京 a_1".encode()) == [w.encode() for w in ("don", "'", "t", "стоп", "!", "東", "京", "a_1")]
