@@ -93,19 +93,22 @@ def budgets(shares: DataFrame, power: float, budget_tokens: int | None = None) -
     """The sources with weight, budget, whole epochs and the tokens of the epoch that is cut.
 
     Without a budget the whole is as large as it takes to see every document at
-    least once: the source that would be seen least is seen exactly once.
+    least once: the source that would be seen least is seen exactly once. Only the
+    reported weight is rounded: a source may be smaller than its last digit.
     """
     total = float(shares.agg(F.sum("source_tokens")).first()[0] or 0)
     if not total:
         return shares.select("*", F.lit(0.0).alias("weight"), F.lit(0).cast("long").alias("budget"), F.lit(1).cast("long").alias("epochs"), F.lit(0).cast("long").alias("cut_tokens"))
     raised = F.when(F.col("source_tokens") > 0, F.pow(F.col("source_tokens") / F.lit(total), F.lit(power))).otherwise(0.0)
     scale = float(shares.agg(F.sum(raised)).first()[0])
-    weighted = shares.withColumn("weight", F.round(raised / F.lit(scale), 9))
-    if budget_tokens is None:
-        need = weighted.filter("source_tokens > 0").agg(F.max(F.col("source_tokens") / F.col("weight"))).first()[0]
-        budget_tokens = math.ceil(need)
-    budget = F.round(F.col("weight") * F.lit(float(budget_tokens)), 0).cast("long")
-    some = F.col("source_tokens") > 0
+    exact = raised / F.lit(scale)
+    weighted = shares.withColumn("weight", F.round(exact, 9))
+    some, whole = F.col("source_tokens") > 0, budget_tokens is None
+    if whole:
+        budget_tokens = math.ceil(shares.filter(some).agg(F.max(F.col("source_tokens") / exact)).first()[0])
+    budget = F.round(exact * F.lit(float(budget_tokens)), 0).cast("long")
+    if whole:
+        budget = F.greatest(budget, F.col("source_tokens"))
     weighted = weighted.withColumn("budget", budget)
     # A source without tokens costs nothing: it is seen once.
     return weighted.withColumns(

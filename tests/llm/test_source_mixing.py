@@ -86,3 +86,11 @@ def test_odd_rows(spark, odd_docs):
     assert Counter(r["doc_id"] for r in drawn.filter("mix_epoch = 0").collect()) == Counter([1, 1, 2, 3, 4, None, 6, 7])
     assert m.mixed(odd_docs.filter("1 = 0")).count() == 0
     assert m.mixed(odd_docs.filter("doc_id = 3")).count() == 1  # a source without tokens
+
+
+def test_sources_below_the_last_digit_of_a_weight(spark):
+    shares = spark.createDataFrame([("a", 1, 8_000_000_000, 1), ("b", 1, 1, 1), ("c", 1, 2, 1)], "source string, n_docs long, source_tokens long, n_blocks long")
+    found = {r["source"]: r for r in m.budgets(shares, m.exponent(shares)).collect()}
+    for tokens, source in ((8_000_000_000, "a"), (1, "b"), (2, "c")):
+        seen = found[source]["epochs"] + found[source]["cut_tokens"] / tokens
+        assert 1 <= seen <= m.REPEAT_LIMIT + 0.5 / tokens, found[source]
