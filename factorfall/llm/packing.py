@@ -59,7 +59,9 @@ class ChunkTokenizer:
 
     For a vocabulary that drops white space and lower-cases, ids of a text are
     those of its chunks one after the other, and those of a chunk are those of
-    its letters followed by those of its trailing ASCII punctuation.
+    its letters followed by those of its trailing ASCII punctuation. Added tokens
+    are matched before that, on the text as written: a chunk with one, in either
+    case, is tokenized whole and unchanged.
     """
 
     def __init__(self, path: str) -> None:
@@ -68,6 +70,18 @@ class ChunkTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known = _Known()
+        added = [t.content.encode().lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile(b"|".join(map(re.escape, added))) if added else None
+        self.spaced = re.compile(b"|".join(re.escape(a) for a in added if a.split() != [a]) or rb"(?!)")
+
+    def _chunks(self, text: bytes) -> list[bytes]:
+        """Chunks as they are held; those with an added token end in a space, which keeps them whole."""
+        low = text.lower()  # bytes: A-Z only
+        if self.added is None or not self.added.search(low):
+            return low.split()
+        if self.spaced.search(low):
+            return [text + b" "]
+        return [c + b" " if self.added.search(c.lower()) else c.lower() for c in text.split()]
 
     def _learn(self, chunks: set[bytes]) -> bool:
         """Hold the parts of the chunks; true if the table was emptied for them."""
@@ -89,7 +103,7 @@ class ChunkTokenizer:
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text, without the end mark."""
-        chunked = [t.lower().split() for t in texts]  # bytes: A-Z only
+        chunked = [self._chunks(t) for t in texts]
         known, every = self.known, {c for chunks in chunked for c in chunks}
         if self._learn({c for c in every if c not in known}):
             # What was known before is wanted again. With a table smaller than one batch it stays until the next.

@@ -134,3 +134,12 @@ def test_chunks_are_exact_on_odd_texts(plain_ids, monkeypatch):
     monkeypatch.setattr(m, "REMEMBERED", 4)  # forgets all the time
     got = [np.frombuffer(b, dtype="<u4").tolist() for b in encoder.ids([t.encode() for t in texts])]
     assert got == [ids[:-1] for ids in plain_ids(texts)]
+
+
+@pytest.mark.parametrize("token", ["<|endoftext|>", "<|startoftext|>"])
+def test_added_tokens_are_kept_whole(plain_ids, token):
+    forms = [token, token.upper(), token.title()]
+    texts = [f"{a}{t}{b}" for t in forms for a in ("", "Word ", "Word", "a!") for b in ("", "x", "X!", "...", " End.", f"{token}?", f" {token.upper()}")]
+    encoder = m.ChunkTokenizer(m.default_vocabulary())
+    got = [np.frombuffer(b, dtype="<u4").tolist() for b in encoder.ids([t.encode() for t in texts])]
+    assert got == [ids[:-1] for ids in plain_ids(texts)]
