@@ -1,7 +1,8 @@
 """Secret scans with multipart credential linking.
 
-Strong kinds are reported on their own. Weak parts (an account name, a short or
-unnamed secret, a service address) say little alone; they are reported when a
+Strong kinds are reported on their own. Weak parts (an account name, a short
+secret, one under a longer name or without any, user and password in an address, a
+service address) say little alone; they are reported when a
 complementary part stands within ``SCOPE`` characters of them. Parts of one text
 meet in an interval join over cells of the text: a cell is as long as the scope,
 a part is in the cells its scope touches, so a cell holds few parts however long
@@ -36,6 +37,8 @@ STRONG = {
     "access": ("AKIA[A-Z0-9]{16,}", 0, 20),
     "hex": ("[0-9a-f]{24,}", 0, 24),
 }
+_SCHEME = "[A-Za-z][A-Za-z0-9+.-]{0,30}://"
+_KEY_WORDS = "|".join(map(either_case, ("password", "passwd", "pwd", "secret", "token", "api_?key", "credential")))
 # Weak parts and what they need nearby.
 WEAK = {
     "account": (
@@ -53,9 +56,25 @@ WEAK = {
         "|(" + "|".join(map(either_case, ("host", "hostname", "server", "endpoint"))) + ")" + _ASSIGNED + "[A-Za-z0-9._-]+(:[0-9]+)?)",
         0, 8,
     ),
+    # A key word as part of a longer name. Words of a name are bounded, so that long runs cost no square.
+    "named": (
+        "([A-Za-z0-9_-]{1,64}(" + _KEY_WORDS + "|[_-]" + either_case("pass") + "|[_-]" + either_case("auth") + ")[A-Za-z0-9_-]{0,64}"
+        + "|(" + _KEY_WORDS + "|" + either_case("auth") + "[_-])[A-Za-z0-9_-]{1,64}"
+        + "|(" + "|".join(map(either_case, ("access", "account", "private", "signing", "shared", "storage", "encryption"))) + ")[_-]?" + either_case("key") + ")"
+        + _ASSIGNED + "([A-Za-z0-9+/_.=-]+)",
+        5, 4,
+    ),
+    # A run in mixed case. An address takes its characters first: its path is no secret.
+    "unnamed": (
+        _SCHEME + "[^\\x20\\x09-\\x0D\"'<>]*"
+        "|([A-Za-z0-9+/_-]{0,64}([a-z][0-9+/_-]{0,8}[A-Z]|[A-Z][0-9+/_-]{0,8}[a-z])[A-Za-z0-9+/_-]{16,}={0,2})",
+        1, 32,
+    ),
+    "userinfo": (_SCHEME + "([^\\x20\\x09-\\x0D/@:?#\"'<>]*:[^\\x20\\x09-\\x0D/@\"'<>]+)@", 1, 3),
 }
 KINDS = [*STRONG, *WEAK]
 ROLE = {"assign": "secret", "hex": "secret", "short": "secret", "access": "identifier", "account": "identifier", "endpoint": "endpoint"}
+ROLE |= {"named": "secret", "unnamed": "secret", "userinfo": "secret"}
 SCOPE = 200
 _SPAN = "array<struct<kind:string, start:int, end:int>>"
 

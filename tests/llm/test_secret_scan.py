@@ -113,3 +113,44 @@ def test_odd_rows(spark, odd_docs):
 def test_redact(spark):
     docs = spark.createDataFrame([(1, "a token=abcdefgh b user=al1 c"), (1, "clean"), (2, None)], "doc_id long, text string")
     assert sorted(str(r["text"]) for r in m.redact(docs).collect()) == ["None", "a [SECRET] b [SECRET] c", "clean"]
+
+
+KEY = "wJalrXUtnFEMI/K7MDENG+bPxRfiCYEXAMPLEKEY"
+ACCESS = "AKIA" + "Z" * 16
+
+
+@pytest.mark.parametrize("name", ["aws_secret_access_key", "secret_key", "access_key", "accountKey", "private_key", "AWS-Secret-Key", "db_pass", "auth_key"])
+def test_compound_names_are_linked(spark, name):
+    part = f"{name} = {KEY}"
+    found = spans_of(spark, f"{ACCESS} {part}")
+    assert ("access", ACCESS) in found and ("named", part) in found
+    assert spans_of(spark, f"id {name} = abcd1 alone") == set()
+    docs = spark.createDataFrame([(1, f'{ACCESS} "{name}": "{KEY}" end')], "doc_id long, text string")
+    assert KEY[:12] not in m.redact(docs).first()["text"]
+
+
+def test_unnamed_secrets_are_linked(spark):
+    assert spans_of(spark, f"{ACCESS}\n{KEY}\n") == {("access", ACCESS), ("unnamed", KEY)}
+    assert spans_of(spark, f"nothing near {KEY}") == set()
+    assert spans_of(spark, f"{ACCESS} {'plainwordsonly' * 3} see https://e.org/{KEY}") == {("access", ACCESS)}
+
+
+def test_password_in_an_address_is_linked(spark):
+    text = "use postgres://bob:hunter2!x@db.example.com/main now"
+    assert ("userinfo", "postgres://bob:hunter2!x@") in spans_of(spark, text)
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert m.redact(docs).first()["text"] == "use [SECRET]db.example.com/main now"
+
+
+def test_new_kinds_equal_the_sql(spark, tmp_path):
+    import duckdb
+
+    from factorfall.llm.checking_sql import checking_sql
+
+    texts = [f"{ACCESS} aws_secret_access_key = {KEY}", f"{ACCESS}\n{KEY}", "redis://:pw12@h.example.com x", f"é {ACCESS} http://a.bc/{KEY} {KEY}=="]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.write.parquet(str(tmp_path / "documents"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents/*.parquet'")
+    expected = {r["doc_id"]: r["spans"] for r in con.execute(checking_sql()["op8_secret_scan"]).df().to_dict("records")}
+    assert {r["doc_id"]: r["spans"] for r in m.secret_digest(docs).collect()} == expected
