@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from factorfall.llm import chat_format, exact_topk, host_rules, secret_scan, source_mixing, url_filters
+from factorfall.llm import chat_format, exact_topk, host_rules, pivot_dedup, secret_scan, source_divergence, source_mixing, url_filters
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -173,6 +173,50 @@ def _secret_scan() -> str:
     SELECT doc_id, {counts}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN joined USING (r)"""
 
 
+def _pivot_dedup() -> str:
+    return f"""
+    WITH RECURSIVE v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, label, [x::DOUBLE for x in embedding] AS x,
+        label IS NOT NULL AND len([1 for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0 AND len([1 for x in embedding if x <> 0]) > 0 AS ok
+      FROM embeddings),
+    links AS MATERIALIZED (SELECT a.r AS a, b.r AS b FROM v a JOIN v b ON a.label = b.label AND len(a.x) = len(b.x) AND a.r <> b.r
+      WHERE a.ok AND b.ok AND list_dot_product(a.x, b.x) / (sqrt(list_dot_product(a.x, a.x)) * sqrt(list_dot_product(b.x, b.x))) >= {pivot_dedup.COSINE}),
+    reach(a, b) AS (SELECT r, r FROM v UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
+    named AS (SELECT reach.a, min(vec_id) AS component_id FROM reach JOIN v ON r = b GROUP BY reach.a)
+    SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept
+    FROM v JOIN named ON a = r LEFT JOIN (SELECT a AS la, count(*) AS n FROM links GROUP BY a) ON la = r"""
+
+
+def _source_divergence() -> str:
+    m = source_divergence
+
+    def share(n: str) -> str:
+        return f"(1 + ({m.SCALE}::HUGEINT * ({n} + {m.PRIOR})) // (total + {m.PRIOR} * size))::BIGINT"
+
+    low = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return rf"""
+    WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        regexp_extract_all({low}, '{m.TERM}') AS terms FROM documents),
+    told AS MATERIALIZED (SELECT r, lang, source, unnest(terms) AS term FROM d),
+    kept AS MATERIALIZED (SELECT lang, term FROM told GROUP BY lang, term HAVING count(DISTINCT r) >= {m.MIN_DOCS}),
+    sizes AS (SELECT lang, count(*)::HUGEINT AS size FROM kept GROUP BY lang),
+    counts AS MATERIALIZED (SELECT lang, source, term, count(*)::HUGEINT AS n FROM told JOIN kept USING (lang, term) GROUP BY ALL),
+    groups AS MATERIALIZED (SELECT g.*, coalesce(size, 0) AS size, coalesce(total, 0) AS total FROM (SELECT DISTINCT lang, source FROM d) g
+      LEFT JOIN sizes USING (lang) LEFT JOIN (SELECT lang, source, sum(n) AS total FROM counts GROUP BY ALL) USING (lang, source)),
+    p AS MATERIALIZED (SELECT g.lang, g.source, k.term, coalesce(n, 0) AS n, {share("coalesce(n, 0)")} AS p
+      FROM groups g JOIN kept k USING (lang) LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+    q AS (SELECT lang, term, {share("n")} AS q FROM (SELECT lang, term, sum(n) AS n FROM counts GROUP BY ALL)
+      JOIN (SELECT lang, sum(total) AS total, max(size) AS size FROM groups GROUP BY lang) USING (lang)),
+    apart AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+      FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+    found AS (
+      SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+      FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+      LEFT JOIN apart x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+      UNION ALL SELECT lang, source, 'term', term, p - q FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q)
+    SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM found)
+    WHERE part = 'pair' OR rank <= {m.TOP_TERMS}"""
+
+
 def checking_sql() -> dict[str, str]:
     return {
         "op1_url_filters": _url_filters(),
@@ -181,4 +225,6 @@ def checking_sql() -> dict[str, str]:
         "op5_exact_topk": _exact_topk(),
         "op7_chat_format": _chat_format(),
         "op8_secret_scan": _secret_scan(),
+        "op12_pivot_dedup": _pivot_dedup(),
+        "op13_source_divergence": _source_divergence(),
     }

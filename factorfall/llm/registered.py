@@ -13,9 +13,12 @@ from factorfall.llm import (
     host_rules,
     kneser_ney,
     packing,
+    pivot_dedup,
     secret_scan,
     simhash_bktree,
+    source_divergence,
     source_mixing,
+    spelling_variants,
     toxicity,
     url_filters,
 )
@@ -73,6 +76,18 @@ def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser_ney.quality_by_perplexity(given(spark, sf_dir, "documents"), given(spark, sf_dir, "labels"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.spelling_variants(given(spark, sf_dir, "documents"))
+
+
+def op12_pivot_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_dedup.near_vectors(given(spark, sf_dir, "embeddings"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.source_divergence(given(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -81,7 +96,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OPERATORS = (
     op1_url_filters, op2_source_mixing, op3_host_rules, op4_toxicity, op5_exact_topk, op6_packing, op7_chat_format,
-    op8_secret_scan, op9_simhash_bktree, op10_kneser_ney, pipeline,
+    op8_secret_scan, op9_simhash_bktree, op10_kneser_ney, op11_spelling_variants, op12_pivot_dedup, op13_source_divergence, pipeline,
 )
 
 
