@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factorfall import rules
-from factorfall.functions.joins import broadcast_limit, lookup_join, row_bytes
 from factorfall.functions.rwa import erba_rwa, first_valid, projected_rwa
 from factorfall.functions.values import (
     grouped_sum,
@@ -111,56 +110,62 @@ def outlook_keys(outlook: DataFrame, keys=rules.WATERFALL_KEYS) -> DataFrame:
     return outlook.withColumns(columns)
 
 
-def _first_segment(lookup: DataFrame, factors: list[str]) -> DataFrame:
-    """One row per key: the factors of the segment that comes first by name."""
-    keys = [c for c in lookup.columns if c not in ("__segment", *factors)]
-    first = lookup.groupBy(*keys).agg(F.min(F.struct("__segment", *factors)).alias("__first"))
-    return first.select(*keys, *[F.col("__first")[c].alias(c) for c in factors])
+def key_dictionary(combos: DataFrame, factors: DataFrame, keys=rules.WATERFALL_KEYS, dedupe: bool = False) -> DataFrame:
+    """Every level's factors for each combination of key parts that has any, from one join.
+
+    ``combos`` has one ``combo`` column, a struct of entity, quarter and the parts
+    by their outlook names. Each combination is asked at every level at once; a
+    level whose parts hold a null finds nothing. A combination with several
+    segments at a level gets a row for each, multiplied over the levels, or with
+    ``dedupe`` the one that comes first by name.
+    """
+    levels = [[f for f in key if f.outlook is not None] for key in keys]
+    asked = [F.struct(F.lit(i).alias("level"), F.array(*[F.col(f"combo.{f.outlook}") for f in fields]).alias("parts")) for i, fields in enumerate(levels, 1)]
+    asked = combos.select("combo", F.explode(F.array(*asked)).alias("key")).select(
+        "combo", F.col("combo.entity").alias("entity"), F.col("combo.quarter_id").alias("quarter_id"), "key.level", "key.parts"
+    )
+    asked = asked.filter(~F.exists("parts", lambda x: x.isNull()))
+    parts = F.when(F.lit(False), F.array().cast("array<string>"))
+    for i, fields in enumerate(levels, 1):
+        named = [id_of(factors, f.lookup).cast("string") if f.whole else F.col(f.lookup) for f in fields]
+        parts = parts.when(F.col("key_level") == i, F.array(*named))
+    offered = factors.select(
+        F.col("key_level").alias("__level"),
+        F.col("entity").alias("__entity"),
+        F.col("quarter_id").cast("bigint").alias("__quarter"),
+        parts.alias("__parts"),
+        F.struct(F.col("key_level").alias("level"), F.col("seg_l2_desc").alias("segment"), F.col("sa_rwf").alias("sa"), F.col("aa_rwf").alias("aa")).alias("factor"),
+    )
+    met = (
+        (F.col("level") == F.col("__level"))
+        & (F.col("entity") == F.col("__entity"))
+        & (F.col("quarter_id") == F.col("__quarter"))
+        & (F.col("parts") == F.col("__parts"))
+    )
+    found = asked.join(offered, met).groupBy("combo").agg(F.collect_list("factor").alias("found"))
+    columns = []
+    for i in range(1, len(levels) + 1):
+        mine, suffix = F.expr(f"filter(found, x -> x.level = {i})"), "" if i == 1 else f"_key{i}"
+        found = found.withColumn(f"level{i}", F.explode_outer(F.slice(F.array_sort(mine), 1, 1) if dedupe else mine))
+        columns += [F.col(f"level{i}.{c}").alias(f"{c}_rwf{suffix}") for c in ("sa", "aa")]
+    return found.select("combo", *columns)
 
 
-def waterfall_join(
-    outlook: DataFrame,
-    factors: DataFrame,
-    keys=rules.WATERFALL_KEYS,
-    broadcast_bytes: int | None = None,
-    dedupe: bool = False,
-) -> DataFrame:
+def waterfall_join(outlook: DataFrame, factors: DataFrame, keys=rules.WATERFALL_KEYS, dedupe: bool = False) -> DataFrame:
     """Left join every key level's factors, most specific first.
 
     A key that holds several segments keeps one row per segment, as a lookup
     with repeated keys does; over the levels these rows multiply. With
     ``dedupe`` each key keeps the segment that comes first by name, and no row
-    is repeated. ``factors`` should be a staged table: its levels are counted
-    first (one number each), and they are broadcast as long as all of them
-    together stay within ``broadcast_bytes``, by default the session's
-    broadcast threshold.
+    is repeated. The outlook is reduced to its distinct combinations of key
+    parts first, so that a key holding a large share of the rows is one row
+    when the levels are looked up; the outlook itself is joined once.
     """
-    limit = broadcast_limit(factors.sparkSession) if broadcast_bytes is None else broadcast_bytes
-    sizes = {r["key_level"]: r["n"] for r in factors.groupBy("key_level").agg(F.count("*").alias("n")).collect()}
-    ids = {f"__left_{f.outlook}": id_of(outlook, f.outlook) for key in keys for f in key if f.outlook and f.whole}
-    outlook = base = outlook.withColumns(ids)
-    # Broadcast tables of all levels are held side by side.
-    small = sum(sizes.values()) * row_bytes(factors) <= limit
-    n_base = None if small else base.count()
-    for i, key in enumerate(keys, 1):
-        suffix = "" if i == 1 else f"_key{i}"
-        joined = [f for f in key if f.outlook is not None]
-        lookup = factors.filter(F.col("key_level") == i).select(
-            F.col("entity").alias("__entity"),
-            F.col("quarter_id").cast("bigint").alias("__quarter"),
-            *[(id_of(factors, f.lookup) if f.whole else F.col(f.lookup)).alias(f"__{f.lookup}") for f in joined],
-            F.col("seg_l2_desc").alias("__segment"),
-            F.col("sa_rwf").alias(f"sa_rwf{suffix}"),
-            F.col("aa_rwf").alias(f"aa_rwf{suffix}"),
-        )
-        if dedupe:
-            lookup = _first_segment(lookup, [f"sa_rwf{suffix}", f"aa_rwf{suffix}"])
-        else:
-            lookup = lookup.drop("__segment")
-        on = {"entity": "__entity", "quarter_id": "__quarter"}
-        on |= {f"__left_{f.outlook}" if f.whole else f.outlook: f"__{f.lookup}" for f in joined}
-        outlook = lookup_join(outlook, lookup, on, small, base, n_base)
-    return outlook.drop(*ids)
+    fields = {f.outlook: f for key in keys for f in key if f.outlook is not None}
+    parts = [(id_of(outlook, c).cast("string") if f.whole else F.col(c)).alias(c) for c, f in fields.items()]
+    combo = F.struct("entity", F.col("quarter_id").cast("bigint").alias("quarter_id"), *parts)
+    resolved = key_dictionary(outlook.select(combo.alias("combo")).distinct(), factors, keys, dedupe)
+    return outlook.withColumn("__combo", combo).join(resolved, F.col("__combo") == F.col("combo"), "left").drop("__combo", "combo")
 
 
 def adjustment_join(outlook: DataFrame, adjustments: DataFrame, keys=rules.WATERFALL_KEYS) -> DataFrame:

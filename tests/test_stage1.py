@@ -2,11 +2,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from factorfall import rules
-from factorfall.functions import joins as J
 from factorfall.functions.quarters import quarter_map
 from factorfall.operators import addon as A
 from factorfall.operators import convergence as C
 from factorfall.operators import outlook as O
+from factorfall.session import stage_table
 
 LOANS = "Total Loans & Leases Net of Unearned (L2)"
 FIELDS = (
@@ -154,8 +154,7 @@ def test_outlook_keys(spark, rows):
     ]
 
 
-@pytest.mark.parametrize("broadcast_bytes", [None, 0])
-def test_waterfall_falls_through_and_fans_out(spark, rows, broadcast_bytes):
+def test_waterfall_falls_through_and_fans_out(spark, rows):
     df = C.by_entity(
         exposures(
             spark,
@@ -167,43 +166,56 @@ def test_waterfall_falls_through_and_fans_out(spark, rows, broadcast_bytes):
     )
     factors = C.factor_table(C.split_credit_risk(df))
     outlook = dated(spark, balances(spark, dict()))
-    joined = O.final_factors(O.waterfall_join(outlook, factors, broadcast_bytes=broadcast_bytes))
+    joined = O.final_factors(O.waterfall_join(outlook, factors))
     got = rows(joined, "quarter_id", "sa_rwf", "sa_rwf_key2", "final_sa_rwf")
     assert [g for g in got if g[0] == 0] == [(0, 0.0, 0.0, 0.0)]
     assert [g for g in got if g[0] == 1] == [(1, None, 0.5, 0.5)]
     assert [g for g in got if g[0] == 2] == [(2, None, None, None)]
     # Two lookup rows at each of five levels.
     assert len([g for g in got if g[0] == 3]) == 2**5
-    once = O.final_factors(O.waterfall_join(outlook, factors, broadcast_bytes=broadcast_bytes, dedupe=True))
+    once = O.final_factors(O.waterfall_join(outlook, factors, dedupe=True))
     # The segment that comes first by name, Banking, with 25 over 100.
     assert [g for g in rows(once, "quarter_id", "sa_rwf", "sa_rwf_key2", "final_sa_rwf") if g[0] == 3] == [(3, 0.25, 0.25, 0.25)]
 
 
-def test_broadcast_limit_reads_sizes(spark):
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    for text, size in (("256k", 256 << 10), ("10MB", 10 << 20), ("10485760b", 10 << 20), ("-1", -1)):
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", text)
-        assert J.broadcast_limit(spark) == size
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-
-
-def test_hot_key_without_broadcast_keeps_every_row(spark):
+def test_hot_key_is_one_row_of_the_dictionary(spark, rows, monkeypatch):
     many = F.explode(F.sequence(F.lit(1), F.lit(500)))
     sheet = balances(spark, dict()).withColumn("i", many).withColumn("seg_l4_desc", F.concat(F.lit("s"), "i"))
     factors = C.factor_table(C.split_credit_risk(C.by_entity(exposures(spark, dict()))))
-    joined = O.waterfall_join(dated(spark, sheet), factors, broadcast_bytes=0)
+    asked, inner = [], O.key_dictionary
+
+    def counted(combos, *rest):
+        asked.append(combos.count())
+        return inner(combos, *rest)
+
+    monkeypatch.setattr(O, "key_dictionary", counted)
+    joined = O.waterfall_join(dated(spark, sheet), factors)
     assert tuple(joined.agg(F.count("*"), F.count("sa_rwf_key5")).first()) == (2000, 500)
+    assert asked == [4]  # one combination a quarter
 
 
-def test_salted_join_equals_broadcast_join(spark, rows):
-    left = spark.range(300).select("id", F.when(F.col("id") < 200, "hot").when(F.col("id") < 290, F.concat(F.lit("k"), F.col("id") % 40)).alias("k"))
-    lookup = spark.createDataFrame([("hot", 1), ("hot", 2), ("k1", 3), ("k2", None), ("unused", 5)], "lk string, v int")
-    assert rows(J.hot_keys(left, ["k"], 300, 10)) == [("hot",)]
-    plain = J.lookup_join(left, lookup, {"k": "lk"}, True)
-    salted = J.lookup_join(left, lookup, {"k": "lk"}, False, hot_share=10, salts=7)
-    assert salted.columns == plain.columns == ["id", "k", "v"]
-    assert rows(salted) == rows(plain)
-    assert salted.count() == 500
+def test_a_null_part_skips_its_levels_only(spark, rows):
+    factors = C.factor_table(C.split_credit_risk(C.by_entity(exposures(spark, dict(), dict(geo_l4_desc=None), dict(seg_l4_code=None)))))
+    outlook = dated(spark, balances(spark, dict())).withColumn("geo_l4_desc", F.lit(None).cast("string"))
+    joined = O.waterfall_join(outlook, factors).filter("quarter_id = 0")
+    assert rows(joined, "sa_rwf", "sa_rwf_key2", "sa_rwf_key3", "sa_rwf_key4", "sa_rwf_key5") == [(None, None, None, 0.5, 0.5)]
+    unknown = outlook.withColumn("quarter_id", F.lit(None).cast("bigint"))
+    assert O.waterfall_join(unknown, factors).filter("sa_rwf_key5 IS NOT NULL").count() == 0
+
+
+def test_shuffles_do_not_grow_with_the_levels(spark):
+    """One join for all levels and one for the outlook, without a job before the result is asked for."""
+    factors = stage_table(C.factor_table(C.split_credit_risk(C.by_entity(exposures(spark, dict())))), "factors")
+    outlook = stage_table(dated(spark, balances(spark, dict())), "outlook")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plans = [
+        O.waterfall_join(outlook, factors, keys)._jdf.queryExecution().executedPlan().toString()
+        for keys in (rules.WATERFALL_KEYS[:1], rules.WATERFALL_KEYS)
+    ]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert [p.count("Exchange hashpartitioning") for p in plans] == [5, 5]
+    assert [p.count("SortMergeJoin") for p in plans] == [2, 2]
 
 
 def test_adjustment_join_by_quarter_number(spark, rows):
