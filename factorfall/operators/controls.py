@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factorfall import rules
-from factorfall.functions.values import filled_sum, whole
+from factorfall.functions.values import exact_sum, filled_sum, whole
 from factorfall.operators.convergence import exclude_discontinued
 from factorfall.operators.upload import calc_rows, quarter_column
 from factorfall.session import stage_table
@@ -23,7 +23,7 @@ def _control_totals(rows: DataFrame) -> DataFrame:
     are then read off that small table, so none can be left out.
     """
     dims = ["entity", "seg_l2_desc"]
-    sums = [F.sum(F.coalesce(F.col(column), F.lit(0))).alias(calc) for calc, column in CONTROL_CALCS.items()]
+    sums = [filled_sum(column).alias(calc) for calc, column in CONTROL_CALCS.items()]
     totals = stage_table(rows.dropna(subset=[*dims, "quarter_id"]).groupBy(*dims, "quarter_id").agg(*sums), "control")
     quarters = sorted(r["quarter_id"] for r in totals.select("quarter_id").distinct().collect())
     wide = totals.groupBy(*dims).agg(
@@ -46,7 +46,7 @@ def control_summary(rows: DataFrame) -> DataFrame:
     """The same totals in long form: (entity, segment_l2, rwa_calc, quarter_id, rwa_amount)."""
     kept = rows.filter(F.col("seg_l2_desc") != rules.DISCONTINUED_L2)
     totals = kept.groupBy("entity", F.col("seg_l2_desc").alias("segment_l2"), "quarter_id").agg(
-        F.sum("sa_rwa_amt").alias("sa"), F.sum("adv_rwa_amt").alias("aa")
+        exact_sum("sa_rwa_amt").alias("sa"), exact_sum("adv_rwa_amt").alias("aa")
     )
     calcs = F.stack(F.lit(2), F.lit("SA RWA"), F.col("sa"), F.lit("AA RWA"), F.col("aa"))
     return totals.select("entity", "segment_l2", "quarter_id", calcs.alias("rwa_calc", "rwa_amount"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from factorfall import rules
 from factorfall.functions.rwa import capped_ratio
-from factorfall.functions.values import filled_sum, left_join, text
+from factorfall.functions.values import exact_sum, filled_sum, left_join, text
 
 
 EXPOSURE_DIMS = (
@@ -119,7 +119,7 @@ def key_pivots(credit_risk: DataFrame, keys=rules.WATERFALL_KEYS) -> DataFrame:
     base = (
         credit_risk.dropna(subset=["entity", "quarter_id"])
         .groupBy("entity", "quarter_id", *dims)
-        .agg(*[F.sum(a).alias(a) for a in amounts])
+        .agg(*[exact_sum(a).alias(a) for a in amounts])
     )
     levels = base.withColumn("key_level", F.explode(F.sequence(F.lit(1), F.lit(len(keys)))))
     columns = []

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from factorfall import rules
 from factorfall.functions import rwa
 from factorfall.functions.quarters import ordered_quarters, period_label, quarter_labels
-from factorfall.functions.values import fill_zero, numeric_columns, whole
+from factorfall.functions.values import fill_zero, filled_sum, numeric_columns, whole
 from factorfall.schemas import output_header
 
 UPLOAD_DIMS = (
@@ -44,19 +44,20 @@ def calc_rows(dims: Sequence[str], calcs: Sequence[str], names: Sequence[str]) -
 def upload_pivot(df: DataFrame, quarters: Sequence[int]) -> DataFrame:
     """RWA per calc and upload grain, one column per quarter, absent cells 0.
 
-    Rows of quarters not listed keep their grain, with zeros. All calcs and
-    quarters are conditional sums of one aggregation, so the input is shuffled
-    once at the output grain instead of once per calc.
+    Rows of quarters not listed keep their grain, with zeros. The rows shrink to
+    one per grain and quarter first, in exact sums of the three calcs; those few
+    rows are then turned into columns.
     """
     dims = [d for d in UPLOAD_DIMS if d in df.columns]
     keep = df.select(*dims, "quarter_id", *CALCS.values())
     filled = fill_zero(keep.withColumn("quarter_id", whole("quarter_id")))
-    sums = [
-        F.expr(f"coalesce(sum(CASE WHEN quarter_id = {q} THEN double({column}) END), 0D) AS {calc}_{quarter_column(q)}")
+    totals = filled.groupBy(*dims, "quarter_id").agg(*[filled_sum(column).alias(column) for column in CALCS.values()])
+    cells = [
+        F.expr(f"coalesce(max(CASE WHEN quarter_id = {q} THEN {column} END), 0D) AS {calc}_{quarter_column(q)}")
         for calc, column in CALCS.items()
         for q in quarters
     ]
-    wide = filled.groupBy(*dims).agg(*sums)
+    wide = totals.groupBy(*dims).agg(*cells)
     return wide.select(*calc_rows(dims, list(CALCS), [quarter_column(q) for q in quarters]))
 
 

@@ -1,3 +1,7 @@
+import math
+import random
+from fractions import Fraction
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -5,7 +9,9 @@ from factorfall.functions import quarters as Q
 from factorfall.functions import rwa as R
 from factorfall.functions import values as V
 from factorfall.operators import addon as A
+from factorfall.operators import convergence as C
 from factorfall.operators import outlook as O
+from factorfall.operators import upload as U
 
 
 @pytest.mark.parametrize(
@@ -121,3 +127,35 @@ def test_projected_rwa_zero_accounts_and_missing_factor(spark):
         "pmf_l5 string, balances double, f double",
     )
     assert [r[0] for r in df.select(R.projected_rwa("f")).collect()] == [0.0, 5.0, None]
+
+
+def test_exact_sums_of_any_order(spark):
+    rng = random.Random(7)
+    values = [rng.uniform(-1, 1) * 10 ** rng.randint(-6, 12) for _ in range(3000)] + [1e15, -1e15, 0.1, None]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    floored = sum((Fraction(math.floor(v)) + Fraction(math.floor((v - math.floor(v)) * 2**52), 2**52) for v in values if v is not None), Fraction(0))
+    sums = {df.repartition(n).agg(V.exact_sum("x")).first()[0] for n in (1, 7, 211)}
+    assert len(sums) == 1 and math.isclose(sums.pop(), float(floored), rel_tol=1e-15)
+
+
+def test_exact_sums_of_odd_values(spark):
+    def total(*values):
+        return spark.createDataFrame([(v,) for v in values], "x double").agg(V.exact_sum("x"), V.filled_sum("x")).first()
+
+    assert tuple(total(None, None)) == (None, 0.0)
+    assert tuple(total(0.1, 0.2, None, -0.3))[0] == 2.0**-52 * math.floor(0.1 * 2**52) + 2.0**-52 * math.floor(0.2 * 2**52) - 1 + 2.0**-52 * math.floor(0.7 * 2**52)
+    assert total(-0.5, -1.25)[0] == -1.75 and total(2.0**60, 1.5)[0] == 2.0**60 + 1.5
+    assert total(float("inf"), 1.0)[0] == float("inf") and math.isnan(total(float("nan"), 1.0)[0])
+
+
+def test_pivot_and_factors_have_the_same_bits_in_any_partitioning(spark):
+    rng = random.Random(3)
+    rows = [("s", "t", "u", "p", "c", "e", "BA", "l", "1", "2", "P", rng.randint(0, 3), *(rng.uniform(-1e7, 1e7) for _ in range(3))) for _ in range(2000)]
+    df = spark.createDataFrame(rows, [*U.UPLOAD_DIMS, "quarter_id", *U.CALCS.values()])
+    pivots = {tuple(sorted(map(tuple, U.upload_pivot(df.repartition(n), range(4)).collect()))) for n in (1, 7, 211)}
+    assert len(pivots) == 1 and len(pivots.pop()) == 3
+    fields = "entity string, quarter_id long, seg_l4_code long, seg_l3_code long, seg_l2_code long, geo_l4_desc string, geo_l3_desc string, pmf_l5 string, seg_l2_desc string, gaap_amt double, sa_rwa_amt double, adv_rwa_amt double"
+    rows = [("CG", 0, rng.randint(1, 2), 3, 2, "US", "NAM", "Loans", "Banking [L2]", *(rng.uniform(0, 1e6) for _ in range(3))) for _ in range(1000)]
+    df = spark.createDataFrame(rows, fields)
+    factors = {tuple(sorted(map(str, C.factor_table(df.repartition(n)).collect()))) for n in (1, 7, 211)}
+    assert len(factors) == 1
