@@ -30,8 +30,10 @@ from factorfall.session import stage_table
 
 CAPACITY = 4096
 END_ID = 1
-# Chunks remembered in one Python worker, some 200 bytes each; the table is emptied when full.
-REMEMBERED = 1_000_000
+# Bytes of chunks remembered in one Python worker, each counted as itself, its ids and ``ENTRY``; past
+# that the table is emptied before the next batch.
+REMEMBERED = 160 << 20
+ENTRY = 170
 # Pieces of one length and bucket, on average over evenly spread lengths.
 BUCKET_ROWS = 50_000
 MIN_BUCKETS = 64
@@ -44,16 +46,6 @@ def _parts(chunk: bytes) -> tuple[bytes, ...]:
     return tail.groups() if tail else (chunk,)
 
 
-class _Known(dict):
-    """Ids of chunks. Those of letters with trailing signs are put together and not held."""
-
-    def __missing__(self, chunk: bytes) -> bytes:
-        parts = _parts(chunk)
-        if len(parts) == 1:
-            raise KeyError(chunk)
-        return b"".join(self[p] for p in parts)
-
-
 class ChunkTokenizer:
     """Token ids of texts, with the ids of chunks between ASCII white space remembered.
 
@@ -69,7 +61,8 @@ class ChunkTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known = _Known()
+        self.known: dict[bytes, bytes] = {}
+        self.held = 0
         added = [t.content.encode().lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.added = re.compile(b"|".join(map(re.escape, added))) if added else None
         self.spaced = re.compile(b"|".join(re.escape(a) for a in added if a.split() != [a]) or rb"(?!)")
@@ -83,16 +76,16 @@ class ChunkTokenizer:
             return [text + b" "]
         return [c + b" " if self.added.search(c.lower()) else c.lower() for c in text.split()]
 
-    def _learn(self, chunks: set[bytes]) -> bool:
-        """Hold the parts of the chunks; true if the table was emptied for them."""
-        parts = {part for c in chunks for part in _parts(c)}
-        new = [part for part in parts if part not in self.known]
-        full = len(self.known) + len(new) > REMEMBERED
-        if full:
-            self.known.clear()
-            new = list(parts)
-        self.known.update(zip(new, self._encoded(new)))
-        return full
+    def _learn(self, chunks: list[bytes]) -> None:
+        """Hold the chunks, and the parts of those with trailing signs."""
+        known = self.known
+        cut = {c: parts for c in chunks if len(parts := _parts(c)) > 1}
+        new = {part for c in chunks for part in cut.get(c, (c,))}.difference(known)
+        found = dict(zip(new, self._encoded(list(new))))
+        known.update(found)
+        whole = {c: b"".join([known[part] for part in parts]) for c, parts in cut.items()}
+        known.update(whole)
+        self.held += sum(len(c) + len(ids) + ENTRY for part in (found, whole) for c, ids in part.items())
 
     def _encoded(self, chunks: list[bytes]) -> Iterator[bytes]:
         # A batch of texts, each one chunk: the library keeps their ids apart.
@@ -105,10 +98,11 @@ class ChunkTokenizer:
         """Little-endian unsigned 32-bit ids of each text, without the end mark."""
         chunked = [self._chunks(t) for t in texts]
         known, every = self.known, {c for chunks in chunked for c in chunks}
-        if self._learn({c for c in every if c not in known}):
-            # What was known before is wanted again. With a table smaller than one batch it stays until the next.
-            lost = {part for c in every for part in _parts(c) if part not in known}
-            known.update(zip(lost, self._encoded(list(lost))))
+        missing = [c for c in every if c not in known]
+        if missing and self.held > REMEMBERED:
+            known.clear()
+            self.held, missing = 0, list(every)
+        self._learn(missing)
         return [b"".join(map(known.__getitem__, chunks)) for chunks in chunked]
 
 
