@@ -14,6 +14,8 @@ Column functions only. Positions are code points, ends exclusive.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -72,6 +74,11 @@ WEAK = {
     ),
     "userinfo": (_SCHEME + "([^\\x20\\x09-\\x0D/@:?#\"'<>]*:[^\\x20\\x09-\\x0D/@\"'<>]+)@", 1, 3),
 }
+# What a text with a match must have, quicker to look for: a key word with the rest of a name and a sign, a long run.
+NEEDS = {
+    "named": "(" + _KEY_WORDS + "|" + "|".join(map(either_case, ("pass", "auth", "key"))) + ")[A-Za-z0-9_-]{0,65}[\"']?\\x20*[:=]",
+    "unnamed": "[A-Za-z0-9+/_-]{30}",
+}
 KINDS = [*STRONG, *WEAK]
 ROLE = {"assign": "secret", "hex": "secret", "short": "secret", "access": "identifier", "account": "identifier", "endpoint": "endpoint"}
 ROLE |= {"named": "secret", "unnamed": "secret", "userinfo": "secret"}
@@ -79,8 +86,8 @@ SCOPE = 200
 _SPAN = "array<struct<kind:string, start:int, end:int>>"
 
 
-def matches(text: Column, kind: str, pattern: str, group: int, least: int) -> Column:
-    """Leftmost non-overlapping matches as spans of (kind, start, end).
+def matches(text: Column, kind: str, pattern: str, group: int, least: int, where: Column | None = None) -> Column:
+    """Leftmost non-overlapping matches as spans of (kind, start, end); none outside ``where``.
 
     The text between matches and the matches themselves alternate, so their
     lengths give the positions. A match whose group is too short drops out after
@@ -102,15 +109,28 @@ def matches(text: Column, kind: str, pattern: str, group: int, least: int) -> Co
         return F.struct(end.alias("end"), spans.alias("spans"))
 
     none = F.expr(f"CAST(array() AS {_SPAN})")
-    return F.when(text.rlike(pattern), F.aggregate(rows, start, step, lambda s: s["spans"])).otherwise(none)
+    asked = text.rlike(pattern)
+    if kind in NEEDS:
+        asked = text.rlike(NEEDS[kind]) & asked
+    if where is not None:
+        asked = where & asked
+    return F.when(asked, F.aggregate(rows, start, step, lambda s: s["spans"])).otherwise(none)
 
 
 def scanned(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, a key of the row's content, its strong spans and its weak parts; texts are read once."""
+    """doc_id, a key of the row's content, its strong spans and its weak parts; texts are read once.
+
+    A weak secret is reported only beside a name or an address, so it is looked
+    for only in texts that have one.
+    """
     body = F.coalesce(docs[text].cast("string"), F.lit(""))
     rows = docs.select(docs[doc_id].cast("long").alias("doc_id"), body.alias("body"))
-    parts = {k: matches(F.col("body"), k, *p) for k, p in {**STRONG, **WEAK}.items()}
-    return rows.withColumns({f"k_{k}": c for k, c in parts.items()}).select(
+    kinds = {**STRONG, **WEAK}
+    late = [k for k in WEAK if ROLE[k] == "secret"]
+    rows = rows.withColumns({f"k_{k}": matches(F.col("body"), k, *p) for k, p in kinds.items() if k not in late})
+    named = [F.size(f"k_{k}") > 0 for k in kinds if ROLE[k] != "secret"]
+    rows = rows.withColumn("named", reduce(Column.__or__, named))
+    return rows.withColumns({f"k_{k}": matches(F.col("body"), k, *kinds[k], F.col("named")) for k in late}).select(
         "doc_id",
         F.sha2("body", 256).alias("content"),
         F.concat(*[F.col(f"k_{k}") for k in STRONG]).alias("strong"),
