@@ -28,7 +28,7 @@ def _url_filters() -> str:
       FROM (SELECT *, unnest(range(1, len(l) + 1)) AS k FROM labels)
       UNION ALL SELECT host, segment, 'prefix', len(l) + 1, host || '/' || segment FROM labels WHERE segment IS NOT NULL),
     numbered AS (SELECT kind, pattern, kind || ':' || pattern || ':' || k AS key
-      FROM (SELECT DISTINCT kind, pattern FROM patterns WHERE depth > 2), range(5) r(k)),
+      FROM (SELECT DISTINCT kind, pattern FROM patterns WHERE depth > 1), range(5) r(k)),
     entries AS (SELECT DISTINCT ['adult', 'allow', 'malware', 'spam'][1 + {digits("key", 7)} % 4] AS list, kind, pattern,
         ({day} + {digits("key", 13)} % {url_filters._DAYS})::DATE AS dated,
         CASE WHEN {digits("key", 19)} % 4 < 3 THEN 'add' ELSE 'remove' END AS action

@@ -128,9 +128,9 @@ def dated_captures(pages: DataFrame) -> DataFrame:
 
 
 def dated_entries(pages: DataFrame) -> DataFrame:
-    """Up to five entries for every host, parent domain and host with segment that occurs."""
+    """Up to five entries for every host, parent domain of two labels or more, and host with segment that occurs."""
     places = located(pages.select("url")).groupBy("host", "segment").agg(F.count("*").alias("n"))
-    patterns = candidates(places.withColumn("fetched_on", F.lit(None).cast("date"))).filter("depth > 2").select("kind", "pattern").distinct()
+    patterns = candidates(places.withColumn("fetched_on", F.lit(None).cast("date"))).filter("depth > 1").select("kind", "pattern").distinct()
     numbered = patterns.select("*", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("k"))
     numbered = numbered.withColumn("key", F.expr("concat(kind, ':', pattern, ':', CAST(k AS STRING))"))
     return numbered.filter(F.expr(f"{_digits('key', 1)} % 3 = 0")).select(
