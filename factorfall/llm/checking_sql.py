@@ -120,11 +120,11 @@ def _exact_topk() -> str:
     return f"""
     WITH v AS (SELECT vec_id, [floor(x::DOUBLE * {exact_topk.SCALE}) for x in embedding] AS x FROM embeddings
       WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len([1 for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
-    u AS MATERIALIZED (SELECT vec_id, min(x) AS x FROM v GROUP BY vec_id),
-    scores AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.x, c.x)::BIGINT AS score
-      FROM u q JOIN u c ON len(q.x) = len(c.x) AND q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+    u AS MATERIALIZED (SELECT row_number() OVER () AS r, * FROM v),
+    scores AS (SELECT q.r, q.vec_id AS query_id, c.vec_id, list_dot_product(q.x, c.x)::BIGINT AS score
+      FROM u q JOIN u c ON len(q.x) = len(c.x) AND q.r <> c.r WHERE q.vec_id % 50 = 0)
     SELECT query_id, nth::INT AS rank, vec_id, score
-    FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS nth FROM scores) WHERE nth <= {exact_topk.K}"""
+    FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS nth FROM scores) WHERE nth <= {exact_topk.K}"""
 
 
 def _chat_format() -> str:

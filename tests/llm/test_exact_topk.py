@@ -8,16 +8,12 @@ from factorfall.llm import exact_topk as m
 
 
 def plain(rows, every=50, k=5):
-    clean = {}
-    for i, x in rows:
-        if i is None or not x or any(v is None or not math.isfinite(v) for v in x):
-            continue
-        x = [math.floor(256 * v) for v in x]
-        clean[i] = min(clean.get(i, x), x)
+    clean = [(i, [math.floor(256 * v) for v in x]) for i, x in rows if i is not None and x and all(v is not None and math.isfinite(v) for v in x)]
     out = []
-    for q, x in clean.items():
+    for at, (q, x) in enumerate(clean):
         if q % every == 0:
-            scores = sorted((-sum(a * b for a, b in zip(x, y)), i) for i, y in clean.items() if i != q and len(y) == len(x))[:k]
+            others = [(i, y) for n, (i, y) in enumerate(clean) if n != at and len(y) == len(x)]
+            scores = sorted((-sum(a * b for a, b in zip(x, y)), i) for i, y in others)[:k]
             out += [(q, rank, i, -s) for rank, (s, i) in enumerate(scores, 1)]
     return sorted(out)
 
@@ -71,3 +67,17 @@ def test_segment_bound_holds():
         stats = m.segment_statistics(x, s)
         assert np.allclose((stats**2).sum(axis=1), (x**2).sum(axis=1))
         assert (stats @ stats.T + 1e-9 >= x @ x.T).all()
+
+
+def test_rows_of_one_id_are_rows_each(spark, monkeypatch):
+    monkeypatch.setattr(m, "CANDIDATE_BLOCK", 3)
+    rows = [(50, [1.0, 2.0]), (50, [1.0, 2.0]), (50, [0.5, -1.0]), (1, [1.0, 1.0]), (1, [1.0, 1.0]), (2, [3.0, 0.0]), (100, [1.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert found(df) == plain(rows)
+
+
+def test_scores_beyond_what_a_double_holds(spark):
+    big = float((1 << 27) + 1) / 256
+    rows = [(0, [big, big]), (1, [big, big - 1 / 256]), (2, [big, big]), (3, [big - 1 / 256, big]), (4, [big, -big])] + [(i, [1.0, 1.0]) for i in range(5, 40)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert found(df) == plain(rows)
