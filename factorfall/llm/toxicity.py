@@ -10,14 +10,15 @@ that repeat each other count less. The annotation of a learning row is one more
 voter, with error rates of its own. The posteriors are the targets of a linear
 classifier over the votes alone, which scores every document.
 
-Only the fit works on a sample, of at most ``FIT_ROWS`` labelled rows; lexicon
-counts, votes and posteriors come from all of that sample, scores from all
-documents. No label of the held-out part is read, and no label is an input of a
+Only label model and classifier work on a sample, of at most ``FIT_ROWS`` texts;
+terms are counted over all labelled texts outside the held-out part, scores come
+from all documents. No label of the held-out part is read, and no label is an input of a
 score.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -29,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factorfall.llm.common import raw_text
+from factorfall.llm.common import broadcast_if_small, raw_text
 from factorfall.session import stage_table
 
 FIT_ROWS = 20_000
@@ -42,6 +43,8 @@ SHARES = (0.004, 0.008, 0.0125, 0.02)
 DISTINCT = (2, 3, 5)
 THRESHOLD = 0.7
 HELD_OUT = 1
+# Least shingle hashes that near copies agree on.
+SKETCHED = 4
 # Terms counted in one task before they are handed on.
 TERMS_HELD = 500_000
 
@@ -74,17 +77,18 @@ def terms(raw: bytes) -> Counter:
     found: Counter = Counter()
     for word in set(words(raw)):
         found[b""] += 1
-        found[b"=" + word[:40]] += 1
+        found[b"=" + word] += 1
         letters = word.decode("utf-8", "replace")
         found.update(b"^" + letters[:n].encode() for n in PREFIXES if n < len(letters))
     return found
 
 
 def _sketch(raw: bytes) -> int:
-    """The smallest hash of the text's 5-word shingles: near copies mostly share it."""
+    """A hash of the least hashes of the text's 5-word shingles: near copies mostly share it, texts with one passage in common do not."""
     seen = raw.lower().split()
-    shingles = (b" ".join(seen[i : i + 5]) for i in range(max(1, len(seen) - 4)))
-    return min(xxhash.xxh64_intdigest(s) for s in shingles) >> 1
+    shingles = {b" ".join(seen[i : i + 5]) for i in range(max(1, len(seen) - 4))}
+    least = heapq.nsmallest(SKETCHED, map(xxhash.xxh64_intdigest, shingles))
+    return xxhash.xxh64_intdigest(str(least)) >> 1
 
 
 def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,14 +118,13 @@ def _term_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     yield rows()
 
 
-def learning_labels(labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
-    """At most ``fit_rows`` of the labelled ids outside the held-out part, in an order that ids fix; (doc_id, toxic).
+def learning_labels(labels: DataFrame) -> DataFrame:
+    """The labelled ids outside the held-out part; (l_id, toxic).
 
     Ids with several labels are toxic if one says so; null labels do not count.
     """
     some = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").filter(~held_out(F.col("doc_id")))
-    per_id = some.groupBy(F.col("doc_id").cast("long").alias("l_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-    return per_id.orderBy(F.xxhash64("l_id"), "l_id").limit(fit_rows)
+    return some.groupBy(F.col("doc_id").cast("long").alias("l_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -133,7 +136,9 @@ def lexicon(sample: DataFrame, voters: int = VOTERS) -> list[bytes]:
 
     A term must stand out by the texts that have it. Of terms of which one
     begins with the other, the one that stands out most by its distinct words
-    speaks for all; the longest, where several stand out alike.
+    speaks for all; the longest, where several stand out alike. At most
+    ``voters`` terms are chosen, of the 16 times as many that stand out most: a
+    size of the model, which the matrix of votes depends on.
     """
     totals = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     n1, n0 = totals.get(1, 0), totals.get(0, 0)
@@ -270,17 +275,23 @@ def linear_classifier(votes: np.ndarray, target: np.ndarray, ridge: float = 0.2,
 
 
 def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, voters: int = VOTERS) -> tuple[Voters, np.ndarray]:
-    """The voters and the classifier's weights."""
-    # Bounded by fit_rows ids, so it may always be broadcast.
-    chosen = F.broadcast(stage_table(learning_labels(labels, fit_rows), "learning-labels"))
+    """The voters and the classifier's weights.
+
+    Terms are counted over all labelled texts; at most ``fit_rows`` of them, in
+    an order that their content fixes, make the matrix of votes.
+    """
+    chosen = broadcast_if_small(stage_table(learning_labels(labels), "learning-labels"), 16)
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), raw_text(docs).alias("raw"))
     rows = rows.join(chosen, F.col("doc_id") == F.col("l_id")).select("doc_id", "raw", "toxic")
     rows = rows.mapInArrow(_sketch_batches, "doc_id long, raw binary, toxic int, sketch long")
-    sample = stage_table(rows, "toxicity-sample")
-    single = sample.groupBy("sketch", "toxic").agg(F.min(F.struct("doc_id", "raw")).alias("r")).select("r.raw", "toxic")
+    # One text of each group, reduced in each task first.
+    single = rows.groupBy("sketch", "toxic").agg(F.min(F.struct("doc_id", "raw")).alias("r")).select("sketch", "toxic", "r.raw")
     single = stage_table(single, "toxicity-single")
     panel = Voters(lexicon(single, voters))
-    votes = single.select("raw", "toxic").mapInArrow(lambda b: _vote_batches(b, panel), "fired array<int>, toxic int")
+    # Bounded by fit_rows keys, so it may always be broadcast.
+    some = stage_table(single.select("sketch", "toxic").orderBy(F.xxhash64("sketch"), "sketch", "toxic").limit(fit_rows), "toxicity-sample")
+    sample = single.join(F.broadcast(some), ["sketch", "toxic"], "left_semi")
+    votes = sample.select("raw", "toxic").mapInArrow(lambda b: _vote_batches(b, panel), "fired array<int>, toxic int")
     rows = sorted((r["fired"], r["toxic"]) for r in votes.collect())  # at most fit_rows short lists, in an order of their own
     if not panel.terms:
         return panel, np.append(np.zeros(panel.size), -4.0)
@@ -315,7 +326,12 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, f
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents scored below the threshold; all columns, one pass over the texts once fitted."""
+    """The documents scored below the threshold; all columns, one pass over the texts once fitted.
+
+    Null and empty texts have the base score and stay, repeated rows share their
+    fate, long texts are scored whole, other columns are not read. Empty tables
+    give no rows.
+    """
     voters, weights = fit(docs, labels)
 
     @F.pandas_udf("double")

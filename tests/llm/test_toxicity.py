@@ -89,3 +89,38 @@ def test_nested_terms_speak_once(spark):
     clean = [(f"grum and {c} so on", 0) for c in "abcdefghijklmnopqrstuvwxyz"]
     rows = spark.createDataFrame(toxic + clean, "text string, toxic int").selectExpr("CAST(text AS BINARY) AS raw", "toxic")
     assert m.lexicon(rows) == [b"^grumf"]
+
+
+def test_long_words_are_terms_and_fire(spark):
+    for word in ("grumf" * 12, "дурак" * 5):
+        toxic = [(f"{word} {c} {c}q and on", 1) for c in "abcdefgh"]
+        clean = [(f"{word[:8]} and {c} so on", 0) for c in "abcdefghijklmnopqrstuvwxyz"]
+        rows = spark.createDataFrame(toxic + clean, "text string, toxic int").selectExpr("CAST(text AS BINARY) AS raw", "toxic")
+        chosen = m.lexicon(rows)
+        assert b"=" + word.encode() in chosen
+        assert m.Voters(chosen).fired(word.encode()) == [chosen.index(b"=" + word.encode())]
+
+
+def test_terms_come_from_all_labelled_rows(spark):
+    """One labelled row makes the votes; the lexicon still knows the others."""
+    rows = [(i, f"grumf {i} and {i}x words" if i % 4 == 0 else f"plain {i} and {i}y words") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "CAST(doc_id % 4 = 0 AS INT) AS toxic")
+    assert b"=grumf" in m.fit(docs, labels, fit_rows=1)[0].terms
+
+
+def test_votes_and_scores_by_hand():
+    """Scores of the batches against votes found by plain looking and weights added up."""
+    import pyarrow as pa
+
+    voters = m.Voters([b"=idiot", b"^clow"])
+    weights = np.linspace(-1, 2, voters.size + 1)
+    texts = [b"", b"idiot", b"a clown, an IDIOT and idiots", b"clow", b"x " * 500 + b"idiot"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(5), pa.int64()), pa.array(texts)], names=["doc_id", "raw"])
+    found = [s for b in m._score_batches(iter([batch]), voters, weights) for s in b.column("score").to_pylist()]
+    for raw, score in zip(texts, found):
+        tokens = "".join(c if c.isalpha() else " " for c in raw.decode().lower()).split()
+        hit = [t for t in tokens if t == "idiot" or t.startswith("clow") and t != "clow"]
+        votes = [any(t == "idiot" for t in hit), any(t != "idiot" for t in hit), *[p.search(raw) is not None for p in m.PATTERNS.values()]]
+        votes += [bool(hit) and len(hit) / len(tokens) >= s for s in m.SHARES] + [len(set(hit)) >= d for d in m.DISTINCT]
+        assert np.isclose(score, 1 / (1 + np.exp(-(weights[:-1][votes].sum() + weights[-1]))))
