@@ -36,7 +36,7 @@ def dq_status(failing: Column, total: Column, fail_pct: Column | float = rules.D
 
 
 def _check(
-    name: str,
+    name: str | Column,
     failing: Column,
     total: Column,
     detail: Column,
@@ -130,6 +130,17 @@ def dq_row_count(named: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def dq_lost_values(lost: DataFrame) -> DataFrame:
+    """One check per dataset and column of ``catalog.lost_values``: values a cast could not keep."""
+    failing, total = F.col("n_lost"), F.col("n_rows")
+    detail = F.concat(
+        _n(failing), F.lit("/"), _n(total), F.lit(" ("), _share(failing, total), F.lit("%) values of '"),
+        F.col("column_name"), F.lit("' do not fit its type"),
+    )
+    check = _check(F.concat("column_name", F.lit("_lost_values")), failing, total, detail)
+    return _report(lost, F.col("dataset"), [check])
+
+
 def dq_required_cols(df: DataFrame, required: Iterable[str], dataset: str) -> DataFrame:
     """Missing columns; reads the schema, not the rows."""
     required = list(required)
