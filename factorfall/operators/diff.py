@@ -77,33 +77,60 @@ def diff_dup_keys(a: DataFrame, b: DataFrame, key: Sequence[str]) -> DataFrame:
     return out
 
 
-def require_unique(a: DataFrame, b: DataFrame, key: Sequence[str]) -> None:
-    """Refuse a key that does not identify rows; null keys count as one key, so at most one row may have it.
-
-    Otherwise every row of a key on one side would meet every one on the other.
-    """
-    duplicates = {r["side"]: r["duplicate_rows"] for r in diff_dup_keys(a, b, key).collect()}
-    if any(duplicates.values()):
-        raise ValueError(f"key {list(key)} is not unique: duplicate rows {duplicates}")
+def _refuse_repeated(extra_a: int, extra_b: int, key: Sequence[str]) -> None:
+    """Refuse a key that does not identify rows; null keys count as one key, so at most one row may have it."""
+    if extra_a or extra_b:
+        raise ValueError(f"key {list(key)} is not unique: duplicate rows {{'A': {extra_a}, 'B': {extra_b}}}")
 
 
-def diff_rows(a: DataFrame, b: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Full outer join on the key: value columns as '<name>__a' / '<name>__b' and a presence tag.
+def paired_rows(a: DataFrame, b: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Both tables grouped by key at once: rows of each side as ``__n_a`` / ``__n_b``, values and a presence tag.
 
-    The key has to identify rows on both sides; this is checked first.
+    One shuffle of both tables tells which keys repeat and which rows belong
+    together. A key that repeats, null ones included, is one row per task
+    before the shuffle, where a join would meet all its rows with all. The
+    values of such a key are those of any of its rows.
     """
-    require_unique(a, b, key)
 
     def side(df: DataFrame, tag: str) -> DataFrame:
-        normal = diff_key_normalise(df, key)
-        values = [_c(c).alias(f"{c}__{tag}") for c in df.columns if c not in key]
-        return normal.select(*[_c(k) for k in key], *values, F.lit(True).alias(f"__in_{tag}"))
+        values = [
+            (_c(f.name).cast("string") if isinstance(f.dataType, T.NullType) else _c(f.name)).alias(f.name)
+            for f in df.schema.fields
+            if f.name not in key
+        ]
+        row = F.struct(F.lit(True).alias("__present"), *values)
+        return diff_key_normalise(df, key).select(*[_c(k) for k in key], row.alias(f"__{tag}"))
 
-    joined = side(a, "a").join(side(b, "b"), list(key), "full_outer")
-    presence = (
-        F.when(F.col("__in_a") & F.col("__in_b"), "both").when(F.col("__in_a"), "left_only").otherwise("right_only")
+    both = side(a, "a").unionByName(side(b, "b"), allowMissingColumns=True)
+    grouped = both.groupBy(*[_c(k) for k in key]).agg(
+        *[F.count(f"__{tag}").alias(f"__n_{tag}") for tag in "ab"],
+        *[F.first(f"__{tag}", ignorenulls=True).alias(f"__{tag}") for tag in "ab"],
     )
-    return joined.withColumn("presence", presence).drop("__in_a", "__in_b")
+    values = [
+        F.col(f"__{tag}").getField(c).alias(f"{c}__{tag}") for tag, df in (("a", a), ("b", b)) for c in df.columns if c not in key
+    ]
+    in_a, in_b = F.col("__n_a") > 0, F.col("__n_b") > 0
+    presence = F.when(in_a & in_b, "both").when(in_a, "left_only").otherwise("right_only")
+    return grouped.select(*[_c(k) for k in key], *values, presence.alias("presence"), "__n_a", "__n_b")
+
+
+def _extra_rows(paired: DataFrame) -> list[Column]:
+    """Rows beyond the first of each key, per side."""
+    return [
+        F.coalesce(F.sum(F.greatest(F.col(f"__n_{tag}") - 1, F.lit(0))), F.lit(0)).alias(f"__extra_{tag}") for tag in "ab"
+    ]
+
+
+def diff_rows(a: DataFrame, b: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Every key of either table: value columns as '<name>__a' / '<name>__b' and a presence tag.
+
+    The key has to identify rows on both sides; the staged pairs are checked
+    for that before they are returned.
+    """
+    paired = stage_table(paired_rows(a, b, key), "diff")
+    extra = paired.agg(*_extra_rows(paired)).first()
+    _refuse_repeated(extra["__extra_a"], extra["__extra_b"], key)
+    return paired.drop("__n_a", "__n_b")
 
 
 PRESENCE = ("both", "left_only", "right_only")
@@ -134,7 +161,7 @@ def _compared(a: DataFrame, b: DataFrame, key: Sequence[str]) -> dict[str, bool]
 def diff_counts(joined: DataFrame, compared: dict[str, bool], atol: float, rtol: float) -> DataFrame:
     """One row from one pass: rows by side, and per column its unequal rows and both totals.
 
-    With unique keys the outer join holds every row of each side once, so the
+    With unique keys the pairs hold every row of each side once, so the
     totals are those of the full tables.
     """
     matched = F.col("presence") == "both"
@@ -146,9 +173,21 @@ def diff_counts(joined: DataFrame, compared: dict[str, bool], atol: float, rtol:
             aggregates += [
                 F.coalesce(F.sum(v), F.lit(0)).cast("double").alias(f"{s}{i}") for s, v in (("a", x), ("b", y))
             ]
+    if "__n_a" in joined.columns:
+        aggregates += _extra_rows(joined)
     return joined.agg(*aggregates)
 
 
+def checked_counts(
+    a: DataFrame, b: DataFrame, key: Sequence[str], compared: dict[str, bool], atol: float, rtol: float
+) -> DataFrame:
+    """The counts of two tables, from one grouping of both; refuses a key that does not identify rows."""
+    counts = diff_counts(paired_rows(a, b, key), compared, atol, rtol)
+    row = counts.first()
+    _refuse_repeated(row["__extra_a"], row["__extra_b"], key)
+    return counts.sparkSession.createDataFrame([row], counts.schema).drop("__extra_a", "__extra_b")
+
+
 def column_report(counts: DataFrame, compared: dict[str, bool]) -> DataFrame:
     """Counts to one row per column."""
     rows = []
@@ -203,7 +242,7 @@ def diff_columns(
 ) -> DataFrame:
     """Per shared column: unequal matched rows, and the totals of both sides for numbers."""
     compared = _compared(a, b, key)
-    return column_report(diff_counts(diff_rows(a, b, key), compared, atol, rtol), compared)
+    return column_report(checked_counts(a, b, key, compared, atol, rtol), compared)
 
 
 def diff_totals(a: DataFrame, b: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -237,7 +276,89 @@ def diff_verdict(
 ) -> DataFrame:
     """One row: row counts by side, failing columns and totals, schema match, and the verdict."""
     compared = _compared(a, b, key)
-    counts = diff_counts(diff_rows(a, b, key), compared, atol, rtol)
+    counts = checked_counts(a, b, key, compared, atol, rtol)
+    return verdict(counts, compared, set(a.columns) == set(b.columns), atol, rtol)
+
+
+# -- comparison by digests --------------------------------------------------
+
+
+def bucket_digests(df: DataFrame, key: Sequence[str], compared: dict[str, bool], buckets: int) -> DataFrame:
+    """One row per bucket of keys: its rows, a digest of them that no order changes, and its totals.
+
+    A row's digest covers its key and compared values, with blank text as
+    null. A bucket's is the sum of its rows' first hash, in two limbs, and the
+    XOR of their second. Each task emits at most ``buckets`` rows.
+    """
+    normal = diff_key_normalise(df, key)
+    values = []
+    for c, numeric in compared.items():
+        x = _c(c).cast("double" if numeric else "string")
+        values.append(x if numeric else F.when(F.trim(x) != "", x))
+    # The place of each null goes in as well, since a hash passes over nulls.
+    nulls = F.concat(*[F.when(v.isNull(), "1").otherwise("0") for v in values]) if values else F.lit("")
+    hashes = [F.xxhash64(F.lit(seed), *[_c(k) for k in key], nulls, *values) for seed in (1, 2)]
+    rows = normal.select(
+        F.pmod(F.xxhash64(*[_c(k) for k in key]), F.lit(buckets)).alias("bucket"),
+        hashes[0].alias("h1"),
+        hashes[1].alias("h2"),
+        *[_c(c).alias(f"v{i}") for i, (c, numeric) in enumerate(compared.items()) if numeric],
+    )
+    return rows.groupBy("bucket").agg(
+        F.count("*").alias("n"),
+        F.sum(F.shiftright("h1", 32)).alias("high"),
+        F.sum(F.col("h1").bitwiseAND(F.lit((1 << 32) - 1))).alias("low"),
+        F.bit_xor("h2").alias("mix"),
+        *[F.sum(f"v{i}").alias(f"s{i}") for i, numeric in enumerate(compared.values()) if numeric],
+    )
+
+
+def digest_verdict(
+    a: DataFrame,
+    b: DataFrame,
+    key: Sequence[str],
+    atol: float = rules.DIFF_ATOL,
+    rtol: float = rules.DIFF_RTOL,
+    buckets: int = 4096,
+) -> DataFrame:
+    """The row of ``diff_verdict``, pairing only the rows of buckets whose digests differ.
+
+    Both tables are reduced to at most ``buckets`` digests before anything is
+    shuffled; equal tables end there. Rows of a bucket with equal digests are
+    equal row for row, so a key that repeats in it pairs equal rows and is not
+    refused; in buckets that differ it is.
+    """
+    compared = _compared(a, b, key)
+    numbers = [i for i, numeric in enumerate(compared.values()) if numeric]
+    sides = []
+    for tag, df in (("a", a), ("b", b)):
+        digests = bucket_digests(df, key, compared, buckets)
+        sides.append(digests.select("bucket", *[_c(c).alias(f"{c}_{tag}") for c in digests.columns if c != "bucket"]))
+    same = F.lit(True)
+    for part in ("n", "high", "low", "mix"):
+        same = same & F.col(f"{part}_a").eqNullSafe(F.col(f"{part}_b"))
+    met = stage_table(sides[0].join(sides[1], "bucket", "full_outer").withColumn("same", same), "digests")
+    totals = met.agg(
+        F.count(F.when(~F.col("same"), 1)).alias("differing"),
+        F.coalesce(F.sum(F.when(F.col("same"), F.col("n_a"))), F.lit(0)).alias("equal_rows"),
+        *[F.coalesce(F.sum(f"s{i}_{t}"), F.lit(0)).cast("double").alias(f"{t}{i}") for i in numbers for t in "ab"],
+    ).first()
+
+    def changed(df: DataFrame) -> DataFrame:
+        # At most ``buckets`` numbers, whatever the tables hold.
+        listed = F.broadcast(met.filter(~F.col("same")).select("bucket"))
+        normal = diff_key_normalise(df.select(*[_c(k) for k in key], *[_c(c) for c in compared]), key)
+        bucket = F.pmod(F.xxhash64(*[_c(k) for k in key]), F.lit(buckets))
+        return normal.withColumn("__bucket", bucket).join(listed.toDF("__bucket"), "__bucket", "left_semi").drop("__bucket")
+
+    if totals["differing"]:
+        found = checked_counts(changed(a), changed(b), key, compared, atol, rtol).first().asDict()
+    else:
+        found = dict.fromkeys([*PRESENCE, *[f"d{i}" for i in range(len(compared))]], 0)
+    found["both"] += totals["equal_rows"]
+    found |= {f"{t}{i}": totals[f"{t}{i}"] for i in numbers for t in "ab"}
+    fields = [T.StructField(n, T.DoubleType() if n[0] in "ab" and n[1:].isdigit() else T.LongType()) for n in found]
+    counts = a.sparkSession.createDataFrame([tuple(found.values())], T.StructType(fields))
     return verdict(counts, compared, set(a.columns) == set(b.columns), atol, rtol)
 
 
@@ -248,9 +369,9 @@ def compare_tables(
     atol: float = rules.DIFF_ATOL,
     rtol: float = rules.DIFF_RTOL,
 ) -> dict[str, DataFrame]:
-    """The whole comparison from one staged join; refuses a key that does not identify rows."""
+    """The whole comparison from one staged grouping; refuses a key that does not identify rows."""
     key = diff_key_detect(a.columns, b.columns, key)
-    joined = stage_table(diff_rows(a, b, key), "diff")
+    joined = diff_rows(a, b, key)
     compared = _compared(a, b, key)
     counts = stage_table(diff_counts(joined, compared, atol, rtol), "diff_counts")
     keys = [_c(k) for k in key]

@@ -131,6 +131,42 @@ def test_repeated_null_keys_are_refused(spark):
         X.diff_rows(a, a.limit(1), ["k"])
 
 
+def test_digests_give_the_same_verdict(spark):
+    a, b = tables(spark)
+    for x, y in ((a, b), (b, a), (a, a), (a, a.limit(0)), (a.limit(0), a.limit(0))):
+        for buckets in (1, 7, 4096):
+            assert X.digest_verdict(x, y, ["id"], buckets=buckets).first() == X.diff_verdict(x, y, ["id"]).first()
+
+
+def test_equal_tables_stop_at_their_digests(spark, monkeypatch):
+    a, _ = tables(spark)
+
+    def never(*_):
+        raise AssertionError("rows were paired")
+
+    monkeypatch.setattr(X, "paired_rows", never)
+    assert X.digest_verdict(a, a.repartition(3).orderBy("t"), ["id"]).first()["invariant"]
+    with pytest.raises(AssertionError, match="paired"):
+        X.digest_verdict(a, a.limit(2), ["id"])
+
+
+def test_digests_see_where_a_null_stands_and_refuse_repeats(spark):
+    fields = "k string, x string, y string"
+    a, b = (spark.createDataFrame([("1", *v)], fields) for v in (("p", None), (None, "p")))
+    assert X.digest_verdict(a, b, ["k"]).first()["failed_columns"] == 2
+    with pytest.raises(ValueError, match="not unique"):
+        X.digest_verdict(a.union(a), b, ["k"])
+
+
+def test_pairs_from_one_shuffle_with_a_repeated_key(spark):
+    rows = [(None, 1)] * 500 + [("k", 2)]
+    a = spark.createDataFrame(rows, "k string, v int").repartition(4)
+    paired = X.paired_rows(a, a.limit(0).withColumn("w", F.lit(None)), ["k"])
+    assert {r["k"]: (r["__n_a"], r["__n_b"]) for r in paired.collect()} == {"None": (500, 0), "k": (1, 0)}
+    plan = paired._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("== Initial Plan ==")[-1].count("Exchange hashpartitioning") == 1
+
+
 def test_identifiers():
     assert P.identifier("SA Account #") == "SA_ACCOUNT__"
     assert P.identifier("1st") == "COL_1ST"

@@ -526,11 +526,28 @@ LONG_SQL = cols(LONG)
 Q_LIST = list(Q_NAMES.values())
 TEMPLATE_SQL = f'SELECT * REPLACE ({cents(LABELS)}) FROM template'
 DQ_SQL = f"SELECT *, '{STAMP}' AS run_timestamp FROM ({DQ_REPORT}) r"
+DIFF_VERDICT = """SELECT 'edited' AS pair, "both", left_only, right_only, CAST((d3 > 0)::INT + (d6 > 0)::INT + (dl > 0)::INT + (dn > 0)::INT AS BIGINT) AS failed_columns,
+          CAST((abs(sa3 - sb3) > 1e-6 + 1e-5 * abs(sb3))::INT + (abs(sa6 - sb6) > 1e-6 + 1e-5 * abs(sb6))::INT AS BIGINT) AS failed_totals,
+          false AS same_schema, false AS invariant FROM verdicts, diffs
+        UNION ALL
+        SELECT 'same', (SELECT COUNT(*) FROM pair_a), 0, 0, 0, 0, true, true"""
 CHECKS = {
     "scan_typed": SHEET,
     "scan_csv": SHEET,
     "ingest_to_parquet": SHEET,
     "scan_fallback": SHEET,
+    "undeclared_types": """SELECT year, CAST(SUM(CAST(concat(year, COALESCE(seg_l4_id, 0)) AS BIGINT)) AS BIGINT) AS load_no,
+        CAST(SUM(CAST(m3 AS DECIMAL(18,0))) / 100 AS DOUBLE) AS rate, concat(year, '-03-31') AS as_of,
+        COUNT(*) FILTER (WHERE m12 IS NULL) AS n_closed, concat('00', year % 10) AS code,
+        MAX(CASE WHEN m12 IS NULL THEN 'n/a' ELSE CAST(year AS VARCHAR) END) AS mixed,
+        'bigint,double,date,boolean,string,string' AS types FROM balance_sheet GROUP BY year""",
+    "lost_values": """SELECT concat(c, '_lost_values') AS check_name, 'cg' AS dataset, n AS n_failing, total AS n_total,
+          CASE WHEN n * 100.0 / total > 5 THEN 'FAIL' WHEN n > 0 THEN 'WARN' ELSE 'PASS' END AS status,
+          printf('%s/%s (%.1f%%) values of ''%s'' do not fit its type', format('{:,}', n), format('{:,}', total),
+            n * 100.0::DOUBLE / total, c) AS detail, round(n * 100.0::DOUBLE / total, 2) AS pct_failing
+        FROM (SELECT COUNT(*) AS total, UNNEST(['YEAR', 'Managed Segment L4 Id', 'M3_USDOLLAR', 'M6_USDOLLAR', 'M9_USDOLLAR']) AS c,
+          UNNEST([COUNT(*) FILTER (WHERE m12 IS NULL), COUNT(seg_l4_id) FILTER (WHERE year = 2026), 0,
+            COUNT(*) FILTER (WHERE pmf_l5 IS NULL), 0]) AS n FROM balance_sheet) t""",
     "blank_to_null": """SELECT entity, NULLIF(exposure_type, '') AS exposure_type, COUNT(*) AS n_rows,
         COUNT(NULLIF(comment, '')) AS n_comment FROM adjustments GROUP BY 1, 2""",
     "sink_parquet": "SELECT entity, year, COUNT(*) AS n_rows, CAST(SUM(m3) AS DOUBLE) AS m3 FROM balance_sheet GROUP BY 1, 2",
@@ -699,11 +716,8 @@ CHECKS = {
     "diff_totals": """SELECT column_name, sum_a, sum_b, sum_b - sum_a AS delta FROM (
         SELECT 'm3' AS column_name, CAST((SELECT SUM(m3) FROM pair_a) AS DOUBLE) AS sum_a, CAST((SELECT SUM(m3) FROM pair_b) AS DOUBLE) AS sum_b
         UNION ALL SELECT 'm6', CAST((SELECT SUM(m6) FROM pair_a) AS DOUBLE), CAST((SELECT SUM(m6) FROM pair_b) AS DOUBLE)) t""",
-    "diff_verdict": """SELECT 'edited' AS pair, "both", left_only, right_only, CAST((d3 > 0)::INT + (d6 > 0)::INT + (dl > 0)::INT + (dn > 0)::INT AS BIGINT) AS failed_columns,
-          CAST((abs(sa3 - sb3) > 1e-6 + 1e-5 * abs(sb3))::INT + (abs(sa6 - sb6) > 1e-6 + 1e-5 * abs(sb6))::INT AS BIGINT) AS failed_totals,
-          false AS same_schema, false AS invariant FROM verdicts, diffs
-        UNION ALL
-        SELECT 'same', (SELECT COUNT(*) FROM pair_a), 0, 0, 0, 0, true, true""",
+    "diff_verdict": DIFF_VERDICT,
+    "digest_verdict": DIFF_VERDICT,
     "profile_columns": profile("balance_sheet", BALANCE_KINDS, BIG, position=True),
     "mapping_log": profile("adjustments", ADJUSTMENT_KINDS, {}, position=False),
     "stage1_outlook": f"""SELECT {LONG_SQL}, seg_l4_id, seg_l3_id, seg_l2_id, quarter_id, {dbl('balances')}, key1, {cols(RWF)},

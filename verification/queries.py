@@ -239,6 +239,50 @@ def ingest_to_parquet(t: Tables) -> DataFrame:
     return sheet_totals(t.spark.read.parquet(f"{path}/sheet.parquet"))
 
 
+@register
+def undeclared_types(t: Tables) -> DataFrame:
+    """Columns the schema does not name, each in the type its values show."""
+    path = staging_path(t.spark, "landed")
+    year, cents = F.col("YEAR"), F.col("`M3_USDOLLAR`").cast("double").cast("decimal(18,0)")
+    extra = {
+        "Load No": F.concat(year, F.coalesce("`Managed Segment L4 Id`", F.lit("0"))),
+        "Rate": (cents / 100).cast("decimal(18,2)").cast("string"),
+        "As  Of": F.concat(year, F.lit("-03-31")),
+        "Closed": F.col("`M12_USDOLLAR`").isNull().cast("string"),
+        "Code": F.concat(F.lit("00"), F.right(year, F.lit(1))),
+        "Mixed": F.when(F.col("`M12_USDOLLAR`").isNull(), "n/a").otherwise(year),
+    }
+    landed_sheet(t).withColumns(extra).write.option("header", True).csv(path)
+    read = catalog.scan_csv(t.spark, path, REGISTRY["balance_sheet"])
+    types = ",".join(read.schema[c].dataType.simpleString() for c in ("Load No", "Rate", "As Of", "Closed", "Code", "Mixed"))
+    return read.groupBy(F.col("YEAR").alias("year")).agg(
+        F.sum("Load No").alias("load_no"),
+        F.sum(F.col("Rate").cast("decimal(18,2)")).cast("double").alias("rate"),
+        F.date_format(F.max("As Of"), "yyyy-MM-dd").alias("as_of"),
+        F.count(F.when(F.col("Closed"), 1)).alias("n_closed"),
+        F.min("Code").alias("code"),
+        F.max("Mixed").alias("mixed"),
+        F.lit(types).alias("types"),
+    )
+
+
+@register
+def lost_values(t: Tables) -> DataFrame:
+    """Planted values that do not fit, as counted by the write of the copy."""
+    path = staging_path(t.spark, "landed")
+    planted = {
+        "YEAR": F.when(F.col("`M12_USDOLLAR`").isNull(), "soon").otherwise(F.col("YEAR")),
+        "Managed Segment L4 Id": F.concat("`Managed Segment L4 Id`", F.when(F.col("YEAR") == "2026", ".5").otherwise(".0")),
+        "M6_USDOLLAR": F.when(F.col("`PMF Account L5 Descr`").isNull(), "1,5").otherwise(F.col("`M6_USDOLLAR`")),
+        "M9_USDOLLAR": F.when(F.col("YEAR") == "2027", "NaN").otherwise(F.col("`M9_USDOLLAR`")),
+    }
+    landed_sheet(t).withColumns(planted).write.option("header", True).csv(f"{path}/sheet.csv")
+    spec = catalog.SourceSpec("cg", f"{path}/sheet.csv", "balance_sheet", "sheet.parquet")
+    catalog.ingest_to_parquet(t.spark, [spec], path)
+    counted = catalog.lost_values(t.spark, [spec], path)
+    return D.dq_lost_values(counted.filter(F.col("column_name").isin(*planted, "M3_USDOLLAR")))
+
+
 @register
 def scan_fallback(t: Tables) -> DataFrame:
     path = staging_path(t.spark, "landed")
@@ -794,6 +838,14 @@ def diff_verdict(t: Tables) -> DataFrame:
     )
 
 
+@register
+def digest_verdict(t: Tables) -> DataFrame:
+    a, b = t.pair
+    return X.digest_verdict(a, b, DIFF_KEY).withColumn("pair", F.lit("edited")).unionByName(
+        X.digest_verdict(a, a, DIFF_KEY).withColumn("pair", F.lit("same"))
+    )
+
+
 @register
 def profile_columns(t: Tables) -> DataFrame:
     return P.profile_columns(U.with_headers(t.balance_sheet))
