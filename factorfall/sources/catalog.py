@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException, PySparkException
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -158,8 +158,13 @@ MANIFEST = (
 STARTED, DONE = "started", "done"
 
 
-def _is_missing(error: AnalysisException) -> bool:
-    return "PATH_NOT_FOUND" in (error.getCondition() or str(error))
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether anything matches a path, on whichever file system it names.
+
+    Asked beforehand, as a read that fails is reported by every listener of the session.
+    """
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern))
 
 
 def fingerprint(spark: SparkSession, path: str) -> str | None:
@@ -168,12 +173,9 @@ def fingerprint(spark: SparkSession, path: str) -> str | None:
     The listing is Spark's own, so any file system it reads will do; contents
     are not read.
     """
-    try:
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    except AnalysisException as error:
-        if _is_missing(error):
-            return None
-        raise
+    if not _exists(spark, path):
+        return None
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     row = files.agg(
         F.count("*").alias("n"),
         F.coalesce(F.sum("length"), F.lit(0)).alias("size"),
@@ -187,18 +189,17 @@ def _manifest_path(output_dir: str, spec: SourceSpec) -> str:
 
 
 def _last_entry(spark: SparkSession, path: str) -> dict | None:
-    try:
-        entries = spark.read.schema(MANIFEST).parquet(path)
-    except AnalysisException as error:
-        if _is_missing(error):
-            return None
-        raise
+    if not _exists(spark, path):
+        return None
+    entries = spark.read.schema(MANIFEST).parquet(path)
     last = entries.agg(F.max_by(F.struct("*"), "written_at").alias("e")).first()["e"]
     return last.asDict() if last else None
 
 
 def _readable(spark: SparkSession, path: str) -> bool:
     """Whether a copy is there with at least one file of a schema; reads no rows."""
+    if not _exists(spark, path):
+        return False
     try:
         spark.read.parquet(path)
     except (PySparkException, Py4JJavaError):
@@ -206,10 +207,6 @@ def _readable(spark: SparkSession, path: str) -> bool:
     return True
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    return fingerprint(spark, path) is not None
-
-
 def land(spark: SparkSession, spec: SourceSpec, output_dir: str, registry: dict | None = None) -> str:
     """Bring one Parquet copy up to date and say what was done.
 
