@@ -72,3 +72,20 @@ def test_ties_go_by_utf8_and_sums_by_task_are_whole(spark, monkeypatch):
     rows += [("only here", "de", "s1")] * 4
     docs = spark.createDataFrame(rows, "text string, lang string, source string")
     assert result(m.source_divergence(docs, min_docs=2)) == brute(rows, 2)
+
+
+@pytest.mark.parametrize("piece", [1, 40, 1 << 20])
+def test_terms_by_byte_equal_the_expression(monkeypatch, piece):
+    import pyarrow as pa
+
+    monkeypatch.setattr(m, "PIECE_BYTES", piece)
+    texts = ["", "AbC", "abc", "x", "", "".join(map(chr, range(0x180))), "Öl ÖL\U0001f600a-b_c`d{e\x7ff @[x]", " ", "ends\n", " z", "東京1東", ""]
+    raw = pa.array([t.encode() for t in ["cut off", *texts, "cut off"]]).slice(1, len(texts))
+    batch = pa.RecordBatch.from_arrays([pa.array(["l"] * len(texts)), pa.array(["s"] * len(texts)), raw], names=["lang", "source", "raw"])
+    found = [t for out in m._term_batches(iter([batch])) for t in out.column("terms").to_pylist()]
+    expected = [re.findall(m.TERM, "".join(c.lower() if "A" <= c <= "Z" else c for c in t)) for t in texts]
+    assert found == expected
+    counts = Counter()
+    for out in m._document_counts(iter([batch])):
+        counts.update({(r["lang"], r["term"]): r["n"] for r in out.to_pylist()})
+    assert counts == Counter(("l", t) for terms in expected for t in set(terms))
