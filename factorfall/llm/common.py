@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,3 +43,15 @@ def broadcast_if_small(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYT
     join is the same either way.
     """
     return F.broadcast(df) if df.count() * row_bytes <= limit else df
+
+
+@contextmanager
+def small_batches(spark: SparkSession, size: int) -> Iterator[None]:
+    """The jobs run inside hand rows to Python in Arrow batches of about ``size`` bytes; a larger row is a batch of its own."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from factorfall.llm.common import raw_text
+from factorfall.llm.common import raw_text, small_batches
 from factorfall.session import stage_table
 
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
@@ -38,7 +38,11 @@ _LOWER = np.zeros(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] = _LOWER[ord("a") : ord("z") + 1] = np.arange(ord("a"), ord("z") + 1)
 _LOWER[0x80:] = np.arange(0x80, 0x100)
 # Texts cut into terms at once.
-PIECE_BYTES = 8 << 20
+PIECE_BYTES = 4 << 20
+# Of rows handed to a Python worker at once, where a task has one worker and where it has two. The
+# JVM and the workers hold several batches of a task, and the workers many times a batch in arrays.
+COUNT_BATCH_BYTES = 4 << 20
+SUM_BATCH_BYTES = 1 << 20
 MIN_DOCS = 30
 SCALE = 1_000_000_000
 PRIOR = 5
@@ -46,7 +50,7 @@ TOP_TERMS = 50
 # Of vocabulary in one model, on the driver and in each executor; an entry is its text and some 64 bytes.
 SLICE_BYTES = 64 << 20
 # Sums held by one task before it hands them on.
-HELD_SUMS = 2_000_000
+HELD_SUMS = 500_000
 # Sources and terms of a cell, on average.
 CELL_SOURCES = 64
 CELL_TERMS = 512
@@ -291,8 +295,10 @@ def source_divergence(
     columns are not read.
     """
     texts = document_texts(docs, text, lang, source)
-    kept = stage_table(vocabulary(texts, min_docs), "divergence-vocabulary")
-    counts = stage_table(group_sums(document_terms(texts), kept, slice_bytes), "divergence-counts")
+    with small_batches(docs.sparkSession, COUNT_BATCH_BYTES):
+        kept = stage_table(vocabulary(texts, min_docs), "divergence-vocabulary")
+    with small_batches(docs.sparkSession, SUM_BATCH_BYTES):
+        counts = stage_table(group_sums(document_terms(texts), kept, slice_bytes), "divergence-counts")
     sizes = kept.groupBy("lang").agg(F.count("*").alias("size"))
     totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     groups = texts.select("lang", "source").distinct().join(totals, ["lang", "source"], "left").join(sizes, "lang", "left")

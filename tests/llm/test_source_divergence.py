@@ -89,3 +89,27 @@ def test_terms_by_byte_equal_the_expression(monkeypatch, piece):
     for out in m._document_counts(iter([batch])):
         counts.update({(r["lang"], r["term"]): r["n"] for r in out.to_pylist()})
     assert counts == Counter(("l", t) for terms in expected for t in set(terms))
+
+
+def test_texts_reach_python_in_small_batches(spark, monkeypatch):
+    """Several batches of each task are held at a time; they came as large as Spark's 64 MB."""
+    import pyarrow as pa
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(["en"]), pa.array([str(batch.nbytes)]), pa.array([1])], names=["lang", "term", "n"])
+
+    staged, stage = {}, m.stage_table
+
+    def kept(df, name):
+        staged[name] = stage(df, name)
+        return staged[name]
+
+    monkeypatch.setattr(m, "_document_counts", sizes)
+    monkeypatch.setattr(m, "stage_table", kept)
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    docs = spark.range(0, 1000, 1, 1).selectExpr("repeat('words of a text ', 2500) AS text", "'en' AS lang", "'s' AS source")
+    m.source_divergence(docs, min_docs=1)
+    found = [int(r["term"]) for r in staged["divergence-vocabulary"].collect()]
+    assert found and max(found) <= 6 << 20, found
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before
