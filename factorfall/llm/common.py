@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -46,12 +46,20 @@ def broadcast_if_small(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYT
 
 
 @contextmanager
-def small_batches(spark: SparkSession, size: int) -> Iterator[None]:
-    """The jobs run inside hand rows to Python in Arrow batches of about ``size`` bytes; a larger row is a batch of its own."""
-    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+def _setting(spark: SparkSession, name: str, value: str | int) -> Iterator[None]:
     before = spark.conf.get(name)
-    spark.conf.set(name, size)
+    spark.conf.set(name, value)
     try:
         yield
     finally:
         spark.conf.set(name, before)
+
+
+def small_batches(spark: SparkSession, size: int) -> AbstractContextManager[None]:
+    """The jobs run inside hand rows to Python in Arrow batches of about ``size`` bytes; a larger row is a batch of its own."""
+    return _setting(spark, "spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
+def shuffles_removed(spark: SparkSession) -> AbstractContextManager[None]:
+    """The shuffle files of each query run inside are removed at its end, not when the driver's garbage is collected."""
+    return _setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")

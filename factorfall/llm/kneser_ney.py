@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factorfall.llm.common import broadcast_if_small, raw_text
+from factorfall.llm.common import broadcast_if_small, raw_text, shuffles_removed
 from factorfall.session import stage_table
 
 ORDER = 4
@@ -290,19 +290,29 @@ def word_model(counts: DataFrame) -> dict[str, DataFrame]:
 
 def word_bits(rows: DataFrame, model: dict[str, DataFrame]) -> DataFrame:
     """key, good, n and bits of the texts whose n-grams (key, good, a, b, c, spelled, k) ``rows`` has."""
-    joined = stage_table(rows.join(model["p3"], ["a", "b", "c"], "left"), "word-rows")
+    joined = rows.join(model["p3"], ["a", "b", "c"], "left")
+    unseen = F.col("p").isNull()
     p = F.when(F.col("good"), F.col("p_own")).otherwise(F.col("p"))
     bits = F.col("k") * -F.log2(p)
-    seen = joined.filter("p IS NOT NULL").select("key", "good", "k", bits.alias("bits"))
-    rest = joined.filter("p IS NULL").drop("p", "p_own")
-    for name, keys in (("p2", ["b", "c"]), ("w3", ["a", "b"]), ("p1", ["c"]), ("w2", ["b"])):
+    # Only unseen n-grams go on with their words.
+    kept = [F.when(unseen, F.col(x)).alias(x) for x in ("a", "b", "c", "spelled")]
+    joined = stage_table(joined.select("key", "good", "k", bits.alias("bits"), *kept), "word-rows")
+    seen = joined.filter("c IS NULL").select("key", "good", "k", "bits")
+    rest = joined.filter("c IS NOT NULL").drop("bits")
+
+    def with_value(rows: DataFrame, name: str, keys: list[str]) -> DataFrame:
         value = F.col("p" if name[0] == "p" else "weight").alias(name)
-        rest = rest.join(model[name].select(*keys, value), keys, "left")
+        return rows.join(model[name].select(*keys, value), keys, "left")
+
+    # Each join is a shuffle: what is done with is dropped or put together before the next.
     one = F.lit(1.0)
+    rest = with_value(rest, "w3", ["a", "b"]).withColumn("w3", F.coalesce("w3", one)).drop("a")
+    rest = with_value(with_value(rest, "p2", ["b", "c"]), "p1", ["c"])
     spelled = F.lit(model["w1"].first()["weight"]) * F.pow(F.lit(2.0), -F.col("spelled"))
-    p2 = F.coalesce("p2", F.coalesce("w2", one) * F.coalesce("p1", spelled))
-    bits = F.col("k") * -F.log2(F.greatest(F.coalesce("w3", one) * p2, F.lit(1e-300)))
-    rest = rest.select("key", "good", "k", bits.alias("bits"))
+    rest = rest.withColumn("p1", F.coalesce("p1", spelled)).drop("c", "spelled")
+    p2 = F.coalesce("p2", F.coalesce("w2", one) * F.col("p1"))
+    bits = F.col("k") * -F.log2(F.greatest(F.col("w3") * p2, F.lit(1e-300)))
+    rest = with_value(rest, "w2", ["b"]).select("key", "good", "k", bits.alias("bits"))
     return seen.unionByName(rest).groupBy("key", "good").agg(F.sum("k").alias("n"), F.sum("bits").alias("bits"))
 
 
@@ -350,17 +360,18 @@ def quality_by_perplexity(
     with text is kept. Repeated rows give repeated rows and count as often in
     the model, but a trusted text is held against the others only. Empty tables give no rows. Other columns are not read.
     """
-    ids = labels.filter(F.col(trusted) == 1).select(labels[doc_id].cast("long").alias("t_id")).distinct()
-    ids = broadcast_if_small(stage_table(ids, "trusted-ids"), 8)
-    good = docs.join(ids, docs[doc_id].cast("long") == F.col("t_id"), "left_semi")
-    costs = dense_costs(model(stage_table(ngram_counts(good, text), "gram-counts")))
-    found = stage_table(scored(docs, ids, costs, doc_id, text, lang), "perplexities")
-    known = found.join(ids, F.col("doc_id") == F.col("t_id"), "left_semi").filter("perplexity IS NOT NULL")
-    limit = F.percentile_approx("perplexity", F.lit(quantile), F.lit(10_000))
-    by_lang = known.groupBy("lang").agg(F.count("*").alias("n_trusted"), limit.alias("own")).filter(F.col("n_trusted") >= MIN_TRUSTED)
-    # One row a language, so documents of a common language stay where they are.
-    by_lang = broadcast_if_small(stage_table(by_lang.select(F.col("lang").alias("l_lang"), "own"), "limits"), 64)
-    overall = F.lit(known.agg(limit).first()[0]).cast("double")  # one number
+    with shuffles_removed(docs.sparkSession):
+        ids = labels.filter(F.col(trusted) == 1).select(labels[doc_id].cast("long").alias("t_id")).distinct()
+        ids = broadcast_if_small(stage_table(ids, "trusted-ids"), 8)
+        good = docs.join(ids, docs[doc_id].cast("long") == F.col("t_id"), "left_semi")
+        costs = dense_costs(model(stage_table(ngram_counts(good, text), "gram-counts")))
+        found = stage_table(scored(docs, ids, costs, doc_id, text, lang), "perplexities")
+        known = found.join(ids, F.col("doc_id") == F.col("t_id"), "left_semi").filter("perplexity IS NOT NULL")
+        limit = F.percentile_approx("perplexity", F.lit(quantile), F.lit(10_000))
+        by_lang = known.groupBy("lang").agg(F.count("*").alias("n_trusted"), limit.alias("own")).filter(F.col("n_trusted") >= MIN_TRUSTED)
+        # One row a language, so documents of a common language stay where they are.
+        by_lang = broadcast_if_small(stage_table(by_lang.select(F.col("lang").alias("l_lang"), "own"), "limits"), 64)
+        overall = F.lit(known.agg(limit).first()[0]).cast("double")  # one number
     joined = found.join(by_lang, F.col("lang") == F.col("l_lang"), "left")
     threshold = F.coalesce(F.col("own"), overall)
     return joined.select(

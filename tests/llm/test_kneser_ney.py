@@ -1,4 +1,6 @@
+import time
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 
@@ -137,3 +139,26 @@ def test_words_and_their_order_count(spark):
 
 def test_words():
     assert m.words("Don't СТОП! 東京 a_1".encode()) == [w.encode() for w in ("don", "'", "t", "стоп", "!", "東", "京", "a_1")]
+
+
+def test_shuffles_go_and_only_unseen_ngrams_keep_their_words(spark, odd_docs, monkeypatch):
+    """The files of every step stayed until the driver's garbage was collected, and every row kept its words."""
+    folders = [Path(str(d)) for d in spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirs()]
+    files = lambda: {f for d in folders for f in d.glob("*/shuffle_*.data")}
+    staged, stage = {}, m.stage_table
+
+    def kept(df, name):
+        staged[name] = stage(df, name)
+        return staged[name]
+
+    monkeypatch.setattr(m, "stage_table", kept)
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, setting = files(), spark.conf.get(name)
+    m.quality_by_perplexity(odd_docs, spark.createDataFrame([(1, 1), (4, 1)], "doc_id long, quality int"))
+    ends = time.time() + 20
+    while files() - before and time.time() < ends:  # they are removed in the background
+        time.sleep(0.2)
+    assert not files() - before
+    assert spark.conf.get(name) == setting
+    rows = staged["word-rows"].collect()
+    assert {(r["bits"] is None, r["a"] is None, r["c"] is None, r["spelled"] is None) for r in rows} == {(True, False, False, False), (False, True, True, True)}
