@@ -2,11 +2,11 @@
 
 The model is an n-gram model of order 3 over words, trained on all trusted texts.
 A word is a run of letters and digits or a run of signs; in scripts written
-without spaces each character is one. Every task counts its own n-grams over
-hashed words and hands on the distinct ones; counts, contexts and continuations
-are joined in Spark, sharded by n-gram. The distinct n-grams of each document are
-joined to that model and summed by document, so nothing that grows with the
-corpus is held in one place.
+without spaces each character is one. Texts are cut into words once. The n-grams
+then go through Spark in rounds, those with one middle word in one round, so that
+only a round's are on disk: dealt out by context for their counts, then by end for
+the continuations, in blocks of arrays (``ngram_blocks``). Bits are summed by text;
+nothing that grows with the corpus is held in one place.
 
 Below the words lies a model of their spelling: n-grams of order 4 over character
 classes (a to z, other letters, digits, white space, sentence punctuation, other
@@ -22,16 +22,21 @@ against a quantile of the trusted documents' own, taken for its language.
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
+from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factorfall.llm.common import broadcast_if_small, raw_text, shuffles_removed
-from factorfall.session import stage_table
+from factorfall.llm import ngram_blocks as blocks
+from factorfall.llm.common import broadcast_if_small, raw_text, shuffles_removed, small_batches
+from factorfall.session import remove_staged, stage_table
 
 ORDER = 4
 CLASSES = 32
@@ -90,9 +95,12 @@ def ngram_counts(trusted: DataFrame, text: str = "text") -> DataFrame:
 
 
 def _discounts(counts: DataFrame) -> list[float]:
-    """D1, D2 and D3+ from counts of counts, kept within 0 and their count."""
     ones = counts.agg(*[F.sum(F.when(F.col("n") == i, 1).otherwise(0)) for i in range(1, 5)]).first()
-    n = [float(x or 0) for x in ones]
+    return _from_counts([float(x or 0) for x in ones])
+
+
+def _from_counts(n: list[float]) -> list[float]:
+    """D1, D2 and D3+ from counts of counts, kept within 0 and their count."""
     y = n[0] / (n[0] + 2 * n[1]) if n[0] else 0.5
     return [min(max(i - (i + 1) * y * n[i] / n[i - 1], 0.1), i - 0.1) if n[i - 1] else i / 2 for i in range(1, 4)]
 
@@ -151,12 +159,13 @@ _UNSPACED = re.compile("([\u0e00-\u0eff\u3000-\u9fff\U00020000-\U0003ffff])")
 # Bits that tell a character of a class from the others.
 _WITHIN = np.zeros(256)
 _WITHIN[_DIGIT], _WITHIN[_STOP], _WITHIN[_SIGN], _WITHIN[_OTHER_LETTER] = np.log2([10, 11, 85, 1_111_936])
-_NO_WORD = 0
-# Words remembered in one Python worker, and n-grams put together before they are handed on.
-REMEMBERED = 500_000
-GRAMS_AT_ONCE = 1_000_000
-_GRAM = "a long, b long, c long"
-
+# Tokens of a round of the word model and of one task of it, at the largest number of rounds.
+ROUND_TOKENS = 4_000_000
+SHARD_TOKENS = 600_000
+MAX_ROUNDS = 24
+# Bytes of text in a block of tokens.
+BLOCK_BYTES = 12 << 20
+_TOKENS = "words binary, spelled binary, low binary, high binary, sizes binary, keys binary, good binary, n long"
 
 def words(raw: bytes) -> list[bytes]:
     if raw.isascii():
@@ -179,141 +188,118 @@ def spelling_bits(found: list[bytes], costs: np.ndarray) -> np.ndarray:
     return np.add.reduceat(bits, np.flatnonzero((last != _SPACE) & (before == _SPACE)))
 
 
-class Words:
-    """Hash and spelling bits of words, those met before remembered."""
-
-    def __init__(self, costs: np.ndarray) -> None:
-        self.costs, self.known = costs, {}
-
-    def grams(self, raw: bytes) -> tuple[np.ndarray, ...]:
-        """The distinct n-grams of a text: hashes of the three words, bits of the last, how often."""
-        found = words(raw)
-        new = [w for w in dict.fromkeys(found) if w not in self.known]
-        if new:
-            if len(self.known) + len(new) > REMEMBERED:
-                self.known.clear()
-                new = list(dict.fromkeys(found))
-            bits = spelling_bits(new, self.costs).tolist()
-            self.known.update((w, (xxhash.xxh64_intdigest(w) - (1 << 63), s)) for w, s in zip(new, bits))
-        pairs = [self.known[w] for w in found]
-        hashes = np.array([_NO_WORD, _NO_WORD, *[h for h, _ in pairs]], dtype=np.int64)
-        spelled = np.array([s for _, s in pairs], dtype=np.float64)
-        a, b, c = hashes[:-2], hashes[1:-1], hashes[2:]
-        _, first, n = np.unique(_mixed(a, b, c), return_index=True, return_counts=True)
-        return a[first], b[first], c[first], spelled[first], n.astype(np.int64)
-
-
-def _mixed(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
-    """One number for three, to sort by."""
-    return (a * np.int64(0x2545F4914F6CDD1D) + b) * np.int64(0x1B873593CC9E2D53) + c
-
-
-def _word_counts(batches: Iterator[pa.RecordBatch], costs) -> Iterator[pa.RecordBatch]:
-    known, held, size = Words(costs.value), [], 0
-
-    def out() -> pa.RecordBatch:
-        a, b, c, spelled, n, doc = (np.concatenate(x) for x in zip(*held))
-        _, first, at = np.unique(_mixed(a, b, c), return_index=True, return_inverse=True)
-        total = np.bincount(at, weights=n, minlength=len(first)).astype(np.int64)
-        other = np.zeros(len(first), dtype=bool)
-        other[at[doc != doc[first][at]]] = True
-        columns = [pa.array(x[first]) for x in (a, b, c, spelled)]
-        return pa.RecordBatch.from_arrays(
-            [*columns, pa.array(total), pa.array(doc[first], mask=other)], names=["a", "b", "c", "spelled", "n", "doc"]
-        )
-
+def _token_blocks(batches: Iterator[pa.RecordBatch], costs) -> Iterator[pa.RecordBatch]:
+    """The texts of a batch as places in the list of their words."""
     for batch in batches:
-        for raw, doc in zip(batch.column("raw"), batch.column("key").to_pylist()):
-            found = known.grams(raw.as_py())
-            held.append((*found, np.full(len(found[0]), doc, dtype=np.int64)))
-            size += len(found[0])
-            if size >= GRAMS_AT_ONCE:
-                yield out()
-                held, size = [], 0
-    if size:
-        yield out()
-
-
-def _word_rows(batches: Iterator[pa.RecordBatch], costs) -> Iterator[pa.RecordBatch]:
-    known = Words(costs.value)
+        place: defaultdict[bytes, int] = defaultdict()
+        place.default_factory = place.__len__  # a new word gets the next number
+        texts = [np.zeros(0, dtype=np.uint32)]
+        for raw in batch.column("raw"):
+            found = words(raw.as_py())
+            texts.append(np.fromiter(map(place.__getitem__, found), dtype=np.uint32, count=len(found)))
+        tokens, sizes = np.concatenate(texts), np.array([len(x) for x in texts[1:]], dtype=np.int64)
+        hashes = np.array([xxhash.xxh64_intdigest(w) - (1 << 63) for w in place], dtype=np.int64)
+        spelled = spelling_bits(list(place), costs.value).astype(np.float32)
+        keys, good = (np.asarray(batch.column(x).to_numpy(zero_copy_only=False)) for x in ("key", "good"))
+        # Compressed apart, the upper bytes take little room.
+        low, high = tokens.astype(np.uint16), blocks.narrow(tokens >> 16)
+        columns = [hashes, spelled, low, high, sizes, keys.astype(np.int64), good.astype(bool)]
+        arrays = [pa.array([blocks.pack(x)], pa.binary()) for x in columns]
+        yield pa.RecordBatch.from_arrays([*arrays, pa.array([len(tokens)], pa.int64())], names=[x.split()[0] for x in _TOKENS.split(", ")])
+
+
+def _common_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The words that are at least one in a thousand of a block's; how often."""
     for batch in batches:
-        for raw, key, good in zip(batch.column("raw"), batch.column("key").to_pylist(), batch.column("good").to_pylist()):
-            found = known.grams(raw.as_py())
-            size = len(found[0])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(size, key, dtype=np.int64)), pa.array(np.full(size, good)), *map(pa.array, found)],
-                names=["key", "good", "a", "b", "c", "spelled", "k"],
-            )
-
-
-def _one_text() -> Column:
-    """The only text that has all rows of a group; null if there are several."""
-    same = (F.count("*") == F.count("doc")) & (F.min("doc") == F.max("doc"))
-    return F.when(same, F.min("doc")).alias("doc")
-
+        for block in batch.to_pylist():
+            n = np.bincount(blocks.block_tokens(block))
+            common = np.flatnonzero(n * 1000 >= max(1, block["n"]))
+            yield pa.RecordBatch.from_arrays([pa.array(blocks.unpack(block["words"])[common]), pa.array(n[common])], names=["word", "n"])
 
-def word_model(counts: DataFrame) -> dict[str, DataFrame]:
-    """Probabilities of seen n-grams by order (p1 to p3) and back-off weights of their contexts (w2, w3).
 
-    ``counts`` has a, b, c, spelled, n and doc, the only text with the n-gram or null. Columns named own are
-    those for that text, left out itself. w1 has one row.
-    """
-    grams = {3: counts}
-    for order, keys in ((2, ["b", "c"]), (1, ["c"])):
-        rows = grams[order + 1].groupBy(*keys).agg(F.max("spelled").alias("spelled"), F.count("*").alias("n"), _one_text())
-        grams[order] = stage_table(rows, f"word-grams-{order}")
-    out: dict[str, DataFrame] = {}
-    for order, keys in ((1, ["c"]), (2, ["b", "c"]), (3, ["a", "b", "c"])):
-        d, n, lone = _discounts(grams[order]), F.col("n"), F.col("doc").isNotNull()
-        rows = grams[order].withColumn("d", F.when(n == 1, d[0]).when(n == 2, d[1]).otherwise(d[2]))
-        sums = [F.sum("n").cast("double").alias("total"), F.sum("d").alias("freed")]
-        if order == 1:
-            weights = rows.agg(*sums).select("total", F.coalesce(F.col("freed") / F.col("total"), F.lit(1.0)).alias("weight"))
-            out["w1"] = stage_table(weights, "word-weights-1")
-            total, weight = out["w1"].first()
-            rows = rows.withColumns({"total": F.lit(total).cast("double"), "weight": F.lit(weight), "weight_own": F.lit(weight)})
-            low = F.pow(F.lit(2.0), -F.col("spelled"))
-            rows = rows.withColumns({"low": low, "low_own": low})
-        else:
-            context = rows.groupBy(*keys[:-1]).agg(*sums, _one_text())
-            weight = F.col("freed") / F.col("total")
-            own = F.when(F.col("doc").isNotNull(), 1.0).otherwise(weight)
-            out[f"w{order}"] = stage_table(context.select(*keys[:-1], "total", weight.alias("weight"), own.alias("weight_own")), f"word-weights-{order}")
-            below = out[f"p{order - 1}"].select(*keys[1:], F.col("p").alias("low"), F.col("p_own").alias("low_own"))
-            rows = rows.join(out[f"w{order}"], keys[:-1]).join(below, keys[1:])
-        share = (n - F.col("d")) / F.col("total")
-        p = share + F.col("weight") * F.col("low")
-        p_own = F.when(lone, F.col("weight_own") * F.col("low_own")).otherwise(share + F.col("weight") * F.col("low_own"))
-        out[f"p{order}"] = stage_table(rows.select(*keys, p.alias("p"), p_own.alias("p_own")), f"word-probabilities-{order}")
-    return out
-
-
-def word_bits(rows: DataFrame, model: dict[str, DataFrame]) -> DataFrame:
-    """key, good, n and bits of the texts whose n-grams (key, good, a, b, c, spelled, k) ``rows`` has."""
-    joined = rows.join(model["p3"], ["a", "b", "c"], "left")
-    unseen = F.col("p").isNull()
-    p = F.when(F.col("good"), F.col("p_own")).otherwise(F.col("p"))
-    bits = F.col("k") * -F.log2(p)
-    # Only unseen n-grams go on with their words.
-    kept = [F.when(unseen, F.col(x)).alias(x) for x in ("a", "b", "c", "spelled")]
-    joined = stage_table(joined.select("key", "good", "k", bits.alias("bits"), *kept), "word-rows")
-    seen = joined.filter("c IS NULL").select("key", "good", "k", "bits")
-    rest = joined.filter("c IS NOT NULL").drop("bits")
-
-    def with_value(rows: DataFrame, name: str, keys: list[str]) -> DataFrame:
-        value = F.col("p" if name[0] == "p" else "weight").alias(name)
-        return rows.join(model[name].select(*keys, value), keys, "left")
-
-    # Each join is a shuffle: what is done with is dropped or put together before the next.
-    one = F.lit(1.0)
-    rest = with_value(rest, "w3", ["a", "b"]).withColumn("w3", F.coalesce("w3", one)).drop("a")
-    rest = with_value(with_value(rest, "p2", ["b", "c"]), "p1", ["c"])
-    spelled = F.lit(model["w1"].first()["weight"]) * F.pow(F.lit(2.0), -F.col("spelled"))
-    rest = rest.withColumn("p1", F.coalesce("p1", spelled)).drop("c", "spelled")
-    p2 = F.coalesce("p2", F.coalesce("w2", one) * F.col("p1"))
-    bits = F.col("k") * -F.log2(F.greatest(F.col("w3") * p2, F.lit(1e-300)))
-    rest = with_value(rest, "w2", ["b"]).select("key", "good", "k", bits.alias("bits"))
-    return seen.unionByName(rest).groupBy("key", "good").agg(F.sum("k").alias("n"), F.sum("bits").alias("bits"))
+def _text_sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for block in batch.to_pylist():
+            yield pa.RecordBatch.from_arrays([pa.array(blocks.unpack(block[x])) for x in ("keys", "good", "sizes")], names=["key", "good", "n"])
+
+
+def _plan(tokens: DataFrame) -> blocks.Plan:
+    total = tokens.agg(F.sum("n")).first()[0] or 0
+    rounds = min(MAX_ROUNDS, 1 + total // ROUND_TOKENS)
+    shards = 1 + total // rounds // SHARD_TOKENS
+    # Words that are half a task's n-grams or more: at most two for each task.
+    common = tokens.mapInArrow(_common_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    found = common.filter(F.col("n") * (2 * rounds * shards) >= max(total, 1)).collect()
+    return blocks.make_plan(rounds, shards, [(r["word"], r["n"]) for r in found], total)
+
+
+def word_counts(tokens: DataFrame, plan: blocks.Plan) -> DataFrame:
+    """COUNTS of ``ngram_blocks`` over all trusted texts."""
+    parts = blocks.make_plan(-(-plan.rounds // 4), 2 * plan.shards, [], 1)
+    counted = []
+    for number in range(parts.rounds):
+        rows = tokens.mapInArrow(lambda batches, number=number: blocks.block_rows(batches, parts, number, True), blocks.ENTRIES)
+        rows = rows.groupBy("shard").applyInArrow(blocks.count_rows, blocks.COUNTS)
+        counted.append(stage_table(_added(rows), "word-counts"))
+    total = stage_table(_added(reduce(DataFrame.unionByName, counted)), "word-counts")
+    for rows in counted:
+        remove_staged(rows)
+    return total
+
+
+def _added(counts: DataFrame) -> DataFrame:
+    sums = [F.sum(x).alias(x) for x in ("x1", "x2", "x3", "x4")]
+    return counts.groupBy("kind", "word").agg(*sums, F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+
+
+class WordModel(NamedTuple):
+    """Values of single words as last ones and as contexts, discounts of order 2 and 3, weight of the spelling."""
+
+    last: DataFrame
+    context: DataFrame
+    d2: list[float]
+    d3: list[float]
+    w1: float
+
+
+def word_model(counts: DataFrame, plan: blocks.Plan) -> WordModel:
+    """Of order 1 all there is; of orders 2 and 3 what the n-grams with one context or end do not tell themselves."""
+    of = {r["kind"]: [float(r[f"x{i}"]) for i in range(1, 5)] for r in counts.filter(F.col("kind") >= blocks.ORDER_2).collect()}
+    d3, d2 = (_from_counts(of.get(kind, [0.0] * 4)) for kind in (blocks.ORDER_3, blocks.ORDER_2))
+    last = counts.filter(F.col("kind") == blocks.LAST)
+    d1 = _discounts(last.select(F.col("x1").alias("n")))
+    n = F.col("x1")
+    d = F.when(n == 1, d1[0]).when(n == 2, d1[1]).otherwise(d1[2])
+    total, freed = last.agg(F.sum("x1").cast("double"), F.sum(d)).first()
+    lone = (F.col("lo") == F.col("hi")).alias("lone")
+    last = last.select("word", ((n - d) / F.lit(total or 1.0)).alias("x"), F.lit(0.0).alias("y"), lone)
+    w2 = (F.col("x1") * d2[0] + F.col("x2") * d2[1] + F.col("x3") * d2[2]) / F.col("x4")
+    context = counts.filter(F.col("kind") == blocks.CONTEXT).select("word", w2.alias("x"), F.col("x4").cast("double").alias("y"), lone)
+    values = [
+        stage_table(x.mapInArrow(lambda batches: blocks.value_rows(batches, plan), blocks.VALUES), name)
+        for x, name in ((last, "word-last"), (context, "word-context"))
+    ]
+    return WordModel(*values, d2, d3, freed / total if total else 1.0)
+
+
+def word_bits(tokens: DataFrame, model: WordModel, plan: blocks.Plan) -> DataFrame:
+    """key, good and bits of the texts, round by round; a round's n-grams are gone before the next but one."""
+    d2, d3, w1 = model.d2, model.d3, model.w1
+    sums, before = [], None
+    for number in range(plan.rounds):
+        rows = tokens.mapInArrow(lambda batches, number=number: blocks.block_rows(batches, plan, number, False), blocks.ENTRIES)
+        rows = rows.groupBy("shard").cogroup(model.context.groupBy("shard")).applyInArrow(
+            lambda entries, values: blocks.context_rows(entries, values, plan, d3), blocks.FORWARDED
+        )
+        if before is not None:
+            remove_staged(before)
+        before = rows = stage_table(rows, "word-rows")
+        ends = rows.filter("c IS NOT NULL").drop("bits").groupBy("shard").cogroup(model.last.groupBy("shard")).applyInArrow(
+            lambda entries, values: blocks.end_rows(entries, values, plan, d2, w1), blocks.SUMS
+        )
+        done = rows.filter("c IS NULL").select("shard", "keys", "good", "bits").unionByName(ends)
+        sums.append(stage_table(done.groupBy("shard").applyInArrow(lambda x: blocks.summed(x, plan.shards), blocks.SUMS), "word-sums"))
+    return reduce(DataFrame.unionByName, sums).groupBy("shard").applyInArrow(blocks.text_rows, "key long, good boolean, bits double")
 
 
 def scored(
@@ -323,22 +309,19 @@ def scored(
 
     ``ids`` has the trusted t_id. Rows of one text are left out of the model together.
     """
-    held = docs.sparkSession.sparkContext.broadcast(costs)
+    spark = docs.sparkSession
+    held = spark.sparkContext.broadcast(costs)
     rows = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[lang].cast("string").alias("lang"), raw_text(docs, text).alias("raw"))
     rows = rows.withColumn("key", F.xxhash64("raw")).join(ids.withColumn("in", F.lit(True)), F.col("doc_id") == F.col("t_id"), "left")
     rows = rows.withColumn("good", F.col("in").isNotNull())
-    counted = rows.filter("good").select("raw", "key").mapInArrow(
-        lambda batches: _word_counts(batches, held), _GRAM + ", spelled double, n long, doc long"
-    )
-    counts = counted.groupBy("a", "b", "c").agg(F.max("spelled").alias("spelled"), F.sum("n").alias("n"), _one_text())
-    model = word_model(stage_table(counts, "word-grams-3"))
-    grams = rows.select("raw", "key", "good").mapInArrow(
-        lambda batches: _word_rows(batches, held), f"key long, good boolean, {_GRAM}, spelled double, k long"
-    )
-    bits = word_bits(grams, model)
+    with small_batches(spark, BLOCK_BYTES):
+        tokens = stage_table(rows.select("raw", "key", "good").mapInArrow(lambda batches: _token_blocks(batches, held), _TOKENS), "word-tokens")
+    plan = _plan(tokens)
+    bits = word_bits(tokens, word_model(word_counts(tokens, plan), plan), plan)
     # Equal texts are summed together.
-    copies = rows.groupBy("key", "good").agg(F.count("*").alias("copies"))
-    per_text = stage_table(bits.join(copies, ["key", "good"]), "word-bits")
+    sizes = tokens.mapInArrow(_text_sizes, "key long, good boolean, n long").groupBy("key", "good")
+    sizes = sizes.agg(F.sum("n").alias("n"), F.count("*").alias("copies"))
+    per_text = stage_table(bits.join(sizes, ["key", "good"]), "word-bits")
     per_text = per_text.select("key", "good", F.expr("n DIV copies").alias("n"), F.round(F.col("bits") / F.col("n"), 9).alias("rate"))
     found = rows.drop("raw").join(per_text, ["key", "good"], "left")
     return found.select(

@@ -71,6 +71,14 @@ def stage_table(df: DataFrame, name: str, partition_by: str | None = None) -> Da
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove_staged(df: DataFrame) -> None:
+    """Remove a table made by ``stage_table`` that nothing reads any more; without files, nothing is done."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def run_together(spark: SparkSession, actions: Sequence[Callable[[], object]], at_once: int = 8) -> list:
     """Submit independent jobs side by side, so that the short ones fill idle executors."""
     with ThreadPoolExecutor(max_workers=max(1, min(at_once, len(actions)))) as pool:

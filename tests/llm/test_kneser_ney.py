@@ -162,3 +162,43 @@ def test_shuffles_go_and_only_unseen_ngrams_keep_their_words(spark, odd_docs, mo
     assert spark.conf.get(name) == setting
     rows = staged["word-rows"].collect()
     assert {(r["bits"] is None, r["a"] is None, r["c"] is None, r["spelled"] is None) for r in rows} == {(True, False, False, False), (False, True, True, True)}
+
+
+def test_rounds_and_shards_against_dictionaries_and_one_round_on_disk(spark, table, monkeypatch):
+    """All n-grams went through Spark at once, with 40 bytes each, and their tables stayed."""
+    monkeypatch.setattr(m, "ROUND_TOKENS", 200)
+    monkeypatch.setattr(m, "SHARD_TOKENS", 100)
+    monkeypatch.setattr(m, "MAX_ROUNDS", 5)
+    staged, stage = [], m.stage_table
+
+    def kept(df, name):
+        found = stage(df, name)
+        if name == "word-rows":
+            staged.append([Path(f.removeprefix("file:")) for f in found.inputFiles()])
+        return found
+
+    monkeypatch.setattr(m, "stage_table", kept)
+    texts = [r["text"][:300] for r in table("documents").limit(12).collect()] + ["the the the of the", "", "a", "one of the two"]
+    texts.append(texts[0])
+    fresh = [texts[1][:100] + " zzqx", "the of the, " * 30, texts[0]]
+    rows = [(i, t, "en") for i, t in enumerate(texts + fresh)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    ids = spark.createDataFrame([(i,) for i in range(len(texts))], "t_id long")
+    costs = m.dense_costs(m.model(m.ngram_counts(docs.filter(f"doc_id < {len(texts)}"))))
+    found = {r["doc_id"]: r for r in m.scored(docs, ids, costs).collect()}
+    assert len(found) == len(rows)
+    for i, t, _ in rows:
+        bits, n = plain_bits(texts, costs, i < len(texts), t)
+        assert found[i]["n_symbols"] == n
+        assert found[i]["perplexity"] is None if not n else abs(np.log2(found[i]["perplexity"]) - bits / n) < 1e-4, t
+    assert len(staged) == 5 and all(staged)
+    assert [any(f.exists() for f in files) for files in staged] == [False] * 4 + [True]
+
+
+def test_a_plan_deals_out_every_word_and_spreads_common_ones():
+    words = np.arange(1, 20_001, dtype=np.int64) * 7919
+    plan = m.blocks.make_plan(4, 3, [(int(words[0]), 5000), (int(words[5]), 4000)], 29_000)
+    load = np.bincount(plan.round_of(words), weights=np.where(np.arange(20_000) == 0, 5000, np.where(np.arange(20_000) == 5, 4000, 1)), minlength=4)
+    assert load.max() < 1.1 * load.mean()
+    assert set(plan.shard_of(np.full(200, words[0]), words[:200])) == {0, 1, 2}
+    assert len(set(plan.shard_of(np.full(200, words[1]), words[:200]))) == 1
