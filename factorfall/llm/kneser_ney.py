@@ -162,7 +162,7 @@ _WITHIN[_DIGIT], _WITHIN[_STOP], _WITHIN[_SIGN], _WITHIN[_OTHER_LETTER] = np.log
 # Tokens of a round of the word model and of one task of it, at the largest number of rounds.
 ROUND_TOKENS = 4_000_000
 SHARD_TOKENS = 600_000
-MAX_ROUNDS = 24
+MAX_ROUNDS = 16
 # Bytes of text in a block of tokens.
 BLOCK_BYTES = 12 << 20
 _TOKENS = "words binary, spelled binary, low binary, high binary, sizes binary, keys binary, good binary, n long"
@@ -272,12 +272,12 @@ def word_model(counts: DataFrame, plan: blocks.Plan) -> WordModel:
     d = F.when(n == 1, d1[0]).when(n == 2, d1[1]).otherwise(d1[2])
     total, freed = last.agg(F.sum("x1").cast("double"), F.sum(d)).first()
     lone = (F.col("lo") == F.col("hi")).alias("lone")
-    last = last.select("word", ((n - d) / F.lit(total or 1.0)).alias("x"), F.lit(0.0).alias("y"), lone)
+    last = last.select("word", ((n - d) / F.lit(total or 1.0)).cast("float").alias("x"), F.lit(0).cast("float").alias("y"), lone)
     w2 = (F.col("x1") * d2[0] + F.col("x2") * d2[1] + F.col("x3") * d2[2]) / F.col("x4")
-    context = counts.filter(F.col("kind") == blocks.CONTEXT).select("word", w2.alias("x"), F.col("x4").cast("double").alias("y"), lone)
+    context = counts.filter(F.col("kind") == blocks.CONTEXT).select("word", w2.cast("float").alias("x"), F.col("x4").cast("float").alias("y"), lone)
     values = [
-        stage_table(x.mapInArrow(lambda batches: blocks.value_rows(batches, plan), blocks.VALUES), name)
-        for x, name in ((last, "word-last"), (context, "word-context"))
+        stage_table(x.mapInArrow(lambda batches, by_round=by_round: blocks.value_rows(batches, plan, by_round), blocks.VALUES), name)
+        for x, name, by_round in ((last, "word-last", False), (context, "word-context", True))
     ]
     return WordModel(*values, d2, d3, freed / total if total else 1.0)
 
@@ -288,7 +288,8 @@ def word_bits(tokens: DataFrame, model: WordModel, plan: blocks.Plan) -> DataFra
     sums, before = [], None
     for number in range(plan.rounds):
         rows = tokens.mapInArrow(lambda batches, number=number: blocks.block_rows(batches, plan, number, False), blocks.ENTRIES)
-        rows = rows.groupBy("shard").cogroup(model.context.groupBy("shard")).applyInArrow(
+        context = model.context.filter(F.col("round") == number)
+        rows = rows.groupBy("shard").cogroup(context.groupBy("shard")).applyInArrow(
             lambda entries, values: blocks.context_rows(entries, values, plan, d3), blocks.FORWARDED
         )
         if before is not None:
@@ -317,7 +318,10 @@ def scored(
     with small_batches(spark, BLOCK_BYTES):
         tokens = stage_table(rows.select("raw", "key", "good").mapInArrow(lambda batches: _token_blocks(batches, held), _TOKENS), "word-tokens")
     plan = _plan(tokens)
-    bits = word_bits(tokens, word_model(word_counts(tokens, plan), plan), plan)
+    counts = word_counts(tokens, plan)
+    fitted = word_model(counts, plan)
+    remove_staged(counts)
+    bits = word_bits(tokens, fitted, plan)
     # Equal texts are summed together.
     sizes = tokens.mapInArrow(_text_sizes, "key long, good boolean, n long").groupBy("key", "good")
     sizes = sizes.agg(F.sum("n").alias("n"), F.count("*").alias("copies"))

@@ -20,12 +20,17 @@ import pyarrow as pa
 
 NO_WORD = 0
 ENTRIES = "shard int, words binary, spelled binary, a binary, b binary, c binary, doc binary, k binary, keys binary, good binary"
-VALUES = "shard int, words binary, x binary, y binary, lone binary"
-FORWARDED = ENTRIES + ", share binary, w binary, w2 binary, total2 binary, lone2 binary, bits binary"
+VALUES = "round int, shard int, words binary, x binary, y binary, lone binary"
+# Of a only whether it is the first with its n-gram in trusted texts; the middle words, which b counts, are apart.
+FORWARDED = ENTRIES + ", share binary, w binary, middle binary, w2 binary, total2 binary, lone2 binary, bits binary"
 SUMS = "shard int, keys binary, good binary, bits binary"
 COUNTS = "kind int, word long, x1 long, x2 long, x3 long, x4 long, lo long, hi long"
 # Kinds of COUNTS: of counts of n-grams of order 3 and 2, of a word as the last one, of a word as a context.
 ORDER_3, ORDER_2, LAST, CONTEXT = 3, 2, 1, 0
+# Odd numbers that tell the first, second and third word of an n-gram apart, and its text.
+_PLACES = tuple(np.int64(x) for x in (0x1E3779B97F4A7C15, 0x3F58476D1CE4E5B9, 0x14D049BB133111EB))
+_TEXT = np.int64(0x2545F4914F6CDD1D)
+_MOST = np.iinfo(np.int64)
 
 
 def pack(values: np.ndarray) -> bytes:
@@ -54,6 +59,11 @@ def mixed(*words: np.ndarray) -> np.ndarray:
     return total.view(np.int64)
 
 
+def coded(*words: np.ndarray) -> np.ndarray:
+    """One number for several words, in their order; each is given by its ``mixed`` number."""
+    return sum(x * number for x, number in zip(words, _PLACES))
+
+
 class Plan(NamedTuple):
     """Which round and shard n-grams belong to; ``hot`` are the very common words, in order."""
 
@@ -64,7 +74,9 @@ class Plan(NamedTuple):
     ends: np.ndarray  # the share of the other words in the rounds up to each
 
     def is_hot(self, words: np.ndarray) -> np.ndarray:
-        return np.isin(words, self.hot)
+        if not len(self.hot):
+            return np.zeros(len(words), dtype=bool)
+        return self.hot[np.minimum(np.searchsorted(self.hot, words), len(self.hot) - 1)] == words
 
     def round_of(self, words: np.ndarray) -> np.ndarray:
         at = np.searchsorted(self.ends, (mixed(words).view(np.uint64) >> np.uint64(11)).astype(np.float64) / (1 << 53), "right")
@@ -77,6 +89,13 @@ class Plan(NamedTuple):
         number = mixed(word, np.where(self.is_hot(word), other, 1))
         return (number.view(np.uint64) % np.uint64(self.shards)).astype(np.int64)
 
+    def shard_at(self, words: np.ndarray, at: np.ndarray, others: np.ndarray, other: np.ndarray) -> np.ndarray:
+        """``shard_of`` for places in lists of words."""
+        found = self.shard_of(words, words)[at]
+        hot = np.flatnonzero(self.is_hot(words)[at])
+        found[hot] = self.shard_of(words[at[hot]], others[other[hot]])
+        return found
+
 
 def make_plan(rounds: int, shards: int, common: list[tuple[int, int]], total: int) -> Plan:
     """Rounds of about the same size: a common word goes to the lightest, the others share what is left."""
@@ -113,8 +132,11 @@ def _used(size: int, *places: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
     seen = np.zeros(size, dtype=bool)
     for x in places:
         seen[x] = True
-    at = np.cumsum(seen) - 1
-    return np.flatnonzero(seen), [pack(narrow(at[x])) for x in places]
+    used = np.flatnonzero(seen)
+    at = np.empty(size, dtype=np.uint32)
+    at[used] = np.arange(len(used), dtype=np.uint32)
+    kind = narrow(at[used[-1:]]).dtype
+    return used, [pack(at[x].astype(kind)) for x in places]
 
 
 def _table(rows: list[dict], schema: str) -> pa.Table:
@@ -123,20 +145,32 @@ def _table(rows: list[dict], schema: str) -> pa.Table:
     return pa.Table.from_pylist(rows, fields)
 
 
-def _entry_rows(g: dict, shard: np.ndarray, shards: int, columns: dict, by_word: dict) -> Iterator[dict]:
-    """One row a shard; ``columns`` has more values of n-grams, ``by_word`` of words."""
+def _entry_rows(g: dict, shard: np.ndarray, shards: int) -> Iterator[dict]:
+    """ENTRIES, one row a shard."""
     for s, at in _groups(shard, shards):
         words, places = _used(len(g["word"]), g["a"][at], g["b"][at], g["c"][at])
-        docs, doc = _used(len(g["key"]), g["doc"][at])
+        yield {"shard": s, "words": pack(g["word"][words]), "spelled": pack(g["spelled"][words]), **dict(zip("abc", places)), **_text_columns(g, at)}
+
+
+def _forwarded_rows(g: dict, shard: np.ndarray, shards: int, columns: dict, middle: dict) -> Iterator[dict]:
+    """FORWARDED n-grams, one row a shard; ``columns`` has more values of n-grams, ``middle`` of words as middle ones."""
+    for s, at in _groups(shard, shards):
+        (words, (c,)), (between, (b,)) = (_used(len(g["word"]), g[x][at]) for x in "cb")
         yield {
-            "shard": s, "words": pack(g["word"][words]), "spelled": pack(g["spelled"][words]), **dict(zip("abc", places)), "doc": doc[0],
-            "k": pack(narrow(g["k"][at])), "keys": pack(g["key"][docs]), "good": pack(g["good"][docs]),
-            **{name: pack(x[at]) for name, x in columns.items()}, **{name: pack(x[words]) for name, x in by_word.items()},
+            "shard": s, "words": pack(g["word"][words]), "spelled": pack(g["spelled"][words]), "b": b, "c": c, **_text_columns(g, at),
+            **{name: pack(x[at]) for name, x in columns.items()}, "middle": pack(g["word"][between]), **{name: pack(x[between]) for name, x in middle.items()},
         }
 
 
+def _text_columns(g: dict, at: np.ndarray) -> dict:
+    docs, doc = _used(len(g["key"]), g["doc"][at])
+    return {"doc": doc[0], "k": pack(narrow(g["k"][at])), "keys": pack(g["key"][docs]), "good": pack(g["good"][docs])}
+
+
 def block_tokens(block: dict) -> np.ndarray:
-    return unpack(block["low"]).astype(np.int64) | (unpack(block["high"]).astype(np.int64) << 16)
+    tokens = unpack(block["low"]).astype(np.int32)
+    tokens |= unpack(block["high"]).astype(np.int32) << 16
+    return tokens
 
 
 def _block_grams(block: dict, plan: Plan, number: int, only_good: bool) -> dict:
@@ -158,11 +192,13 @@ def _block_grams(block: dict, plan: Plan, number: int, only_good: bool) -> dict:
         first = np.flatnonzero((sizes > 0) & good if only_good else sizes > 0)
         mark = np.full(len(first), begin)
         a, b, c, doc = (np.concatenate(x) for x in ((mark, a), (mark, b), (tokens[starts[first]], c), (first, doc)))
-    number_of = mixed(word)
-    order, begins, _ = grouped(mixed(number_of[a] ^ (number_of[b] << 1), word[c], doc))
+    numbers = mixed(word)
+    order, begins, _ = grouped(coded(numbers[a], numbers[b], numbers[c]) + doc * _TEXT)
     first, k = order[begins], np.diff(np.append(begins, len(order)))
+    # Counting needs no spelling.
+    spelled = np.zeros(len(word), dtype=np.uint8) if only_good else np.append(unpack(block["spelled"]), np.float32(0))
     return {
-        "word": word, "spelled": np.append(unpack(block["spelled"]), np.float32(0)), "a": a[first], "b": b[first], "c": c[first],
+        "word": word, "spelled": spelled, "a": a[first], "b": b[first], "c": c[first],
         "doc": doc[first], "k": k, "key": unpack(block["keys"]), "good": good,
     }
 
@@ -172,13 +208,17 @@ def block_rows(batches: Iterator[pa.RecordBatch], plan: Plan, number: int, only_
     for batch in batches:
         for block in batch.to_pylist():
             g = _block_grams(block, plan, number, only_good)
-            a, b, c = (g["word"][g[x]] for x in "abc")
-            shard = (mixed(b, c).view(np.uint64) % np.uint64(plan.shards)).astype(np.int64) if only_good else plan.shard_of(b, a)
-            yield from _table(list(_entry_rows(g, shard, plan.shards, {}, {})), ENTRIES).to_batches()
+            word = g["word"]
+            if only_good:
+                numbers = mixed(word)
+                shard = (coded(numbers[g["b"]], numbers[g["c"]]).view(np.uint64) % np.uint64(plan.shards)).astype(np.int64)
+            else:
+                shard = plan.shard_at(word, g["b"], word, g["a"])
+            yield from _table(list(_entry_rows(g, shard, plan.shards)), ENTRIES).to_batches()
 
 
-def value_rows(batches: Iterator[pa.RecordBatch], plan: Plan) -> Iterator[pa.RecordBatch]:
-    """VALUES of words by shard; very common words go to each."""
+def value_rows(batches: Iterator[pa.RecordBatch], plan: Plan, by_round: bool) -> Iterator[pa.RecordBatch]:
+    """VALUES of words by shard; very common words go to each. Those of middle words only in their round, else round 0."""
     for batch in batches:
         word = np.asarray(batch.column("word"))
         columns = {"words": word} | {x: np.asarray(batch.column(x).to_numpy(zero_copy_only=False)) for x in ("x", "y", "lone")}
@@ -186,19 +226,34 @@ def value_rows(batches: Iterator[pa.RecordBatch], plan: Plan) -> Iterator[pa.Rec
         other = np.flatnonzero(~plan.is_hot(word))
         shard = plan.shard_of(word[other], word[other])
         shard, at = np.concatenate([shard, np.repeat(np.arange(plan.shards), len(hot))]), np.concatenate([other, np.tile(hot, plan.shards)])
-        rows = [{"shard": s, **{n: pack(x[at[i]]) for n, x in columns.items()}} for s, i in _groups(shard, plan.shards)]
+        if by_round:
+            shard += plan.round_of(word)[at] * plan.shards
+        rows = [
+            {"round": s // plan.shards, "shard": s % plan.shards, **{n: pack(x[at[i]]) for n, x in columns.items()}}
+            for s, i in _groups(shard, plan.shards * (plan.rounds if by_round else 1))
+        ]
         yield from _table(rows, VALUES).to_batches()
 
 
-def _read(table: pa.Table, columns: tuple = (), by_word: tuple = ()) -> dict:
-    """The n-grams of all rows, with the words and texts of the rows one after another."""
-    rows = {name: [unpack(x) for x in table.column(name).to_pylist()] for name in ("words", "a", "b", "c", "doc", "keys", "spelled", "k", "good", *columns, *by_word)}
-    joined = {name: np.concatenate(rows[name]) for name in ("spelled", "k", "good", *columns, *by_word)}
-    joined["k"] = joined["k"].astype(np.float64)  # the bytes have no sign
-    n = [len(x) for x in rows["k"]]
-    word_at, doc_at = (np.repeat(np.cumsum([0, *map(len, rows[x][:-1])]).astype(np.int32), n) for x in ("words", "keys"))
-    joined |= {x: np.concatenate(rows[x]) + word_at for x in "abc"} | {"doc": np.concatenate(rows["doc"]) + doc_at}
-    return joined | {"word": np.concatenate(rows["words"]), "key": np.concatenate(rows["keys"])}
+def _read(table: pa.Table, lists: dict, columns: tuple = ()) -> dict:
+    """The n-grams of all rows. ``lists`` names lists of words, the places in each and more values of its words.
+
+    A word is once in its list, in order; texts are those of the rows one after another.
+    """
+    rows = lambda name: [unpack(x) for x in table.column(name).to_pylist()]
+    g = {name: np.concatenate(rows(name)) for name in ("k", "good", *columns)}
+    g["k"] = g["k"].astype(np.float64)  # the bytes have no sign
+    docs, keys = rows("doc"), rows("keys")
+    n = [len(x) for x in docs]
+    after = lambda found: np.repeat(np.cumsum([0, *map(len, found[:-1])]).astype(np.int32), n)
+    g["doc"], g["key"] = np.concatenate(docs) + after(keys), np.concatenate(keys)
+    for name, (places, values) in lists.items():
+        words = rows(name)
+        start = after(words)
+        g[name], first, at = np.unique(np.concatenate(words), return_index=True, return_inverse=True)
+        g |= {x: at[np.concatenate(rows(x)) + start] for x in places}
+        g |= {x: np.concatenate(rows(x))[first] for x in values}
+    return g
 
 
 def _lone(group: np.ndarray, size: int, key: np.ndarray) -> np.ndarray:
@@ -213,13 +268,17 @@ def discounted(n: np.ndarray, d: list[float]) -> np.ndarray:
     return np.array([0.0, *d])[np.minimum(n, 3).astype(np.int64)]
 
 
+def _read_entries(entries: pa.Table) -> dict:
+    g = _read(entries, {"words": (("a", "b", "c"), ("spelled",))})
+    return g | {"word": g["words"]}
+
+
 def _grams_and_ends(g: dict, first: str, second: str) -> tuple:
     """Groups of n-grams and of two of their words: first rows, group of each row, pair of each group, number of pairs."""
-    a, b, c = (g["word"][g[x]] for x in "abc")
-    order, begins, gram = grouped(mixed(a, b, c))
+    numbers = mixed(g["word"])
+    order, begins, gram = grouped(coded(*(numbers[g[x]] for x in "abc")))
     at = order[begins]
-    two = {"a": a, "b": b, "c": c}
-    order, begins, pair = grouped(mixed(two[first][at], two[second][at]))
+    order, begins, pair = grouped(coded(numbers[g[first][at]], numbers[g[second][at]]))
     return at, gram, at[order[begins]], pair
 
 
@@ -228,6 +287,8 @@ def _word_counts(word: np.ndarray, key: np.ndarray, by: np.ndarray, columns: lis
     order, begins, _ = grouped(word)
     words, ordered = word[order[begins]], key[order]
     lo, hi = np.minimum.reduceat(ordered, begins), np.maximum.reduceat(ordered, begins)
+    several = lo != hi  # which ones does not matter
+    lo[several], hi[several] = _MOST.min, _MOST.max
     place = np.searchsorted(words, by)
     sums = [np.bincount(place, weights=x, minlength=len(words)).astype(np.int64) for x in columns]
     return [np.full(len(words), kind, dtype=np.int32), words, *sums, lo, hi]
@@ -235,7 +296,7 @@ def _word_counts(word: np.ndarray, key: np.ndarray, by: np.ndarray, columns: lis
 
 def count_rows(entries: pa.Table) -> pa.Table:
     """COUNTS of a shard of trusted n-grams that holds all with an end (b, c), if any."""
-    g = _read(entries)
+    g = _read_entries(entries)
     at, gram, pair_at, pair = _grams_and_ends(g, "b", "c")
     n3 = np.bincount(gram, weights=g["k"]).astype(np.int64)
     n2 = np.bincount(pair)
@@ -251,14 +312,16 @@ def count_rows(entries: pa.Table) -> pa.Table:
 
 
 def _values_of(word: np.ndarray, values: pa.Table) -> dict:
-    """Values x, y and lone of words, and whether they have any."""
+    """Values x, y and lone of words, and whether they have any; of words in order, each once."""
     rows = {name: np.concatenate([np.zeros(0, t), *map(unpack, values.column(name).to_pylist())]) for name, t in (("words", "q"), ("x", "d"), ("y", "d"), ("lone", "?"))}
-    order = np.argsort(rows["words"])
-    at = np.searchsorted(rows["words"], word, sorter=order)
-    at = order[np.minimum(at, len(order) - 1)] if len(order) else np.zeros(len(word), dtype=np.int64)
-    known = rows["words"][at] == word if len(order) else np.zeros(len(word), dtype=bool)
-    take = lambda x, none: np.where(known, x[at] if len(order) else none, none)
-    return {"known": known, "x": take(rows["x"], 0.0), "y": take(rows["y"], 0.0), "lone": take(rows["lone"], False).astype(bool)}
+    found = {"known": np.zeros(len(word), dtype=bool), "x": np.zeros(len(word)), "y": np.zeros(len(word)), "lone": np.zeros(len(word), dtype=bool)}
+    if len(rows["words"]):
+        order = np.argsort(rows["words"])
+        there = order[np.minimum(np.searchsorted(rows["words"][order], word), len(order) - 1)]
+        found["known"] = known = rows["words"][there] == word
+        for name in ("x", "y", "lone"):
+            found[name][known] = rows[name][there[known]]
+    return found
 
 
 def _sum_rows(g: dict, bits: np.ndarray, shards: int) -> list[dict]:
@@ -283,7 +346,7 @@ def context_rows(entries: pa.Table, values: pa.Table, plan: Plan, d3: list[float
     """
     if not entries.num_rows:
         return _table([], FORWARDED)
-    g = _read(entries)
+    g = _read_entries(entries)
     at, gram, _, pair = _grams_and_ends(g, "a", "b")
     good = g["good"][g["doc"]]
     key = g["key"][g["doc"]]
@@ -299,29 +362,33 @@ def context_rows(entries: pa.Table, values: pa.Table, plan: Plan, d3: list[float
     w = np.where(own, w3_own[pair][gram], w3[pair][gram])
     bits = np.where(share == 0, -np.log2(w) * g["k"], 0.0)
     w[share == 0] = 1
+    # One row of each n-gram that trusted texts have.
+    of, good_rows = np.full(len(at), -1), np.flatnonzero(good)
+    of[gram[good_rows]] = good_rows
+    first = np.zeros(len(gram), dtype=bool)
+    first[of[of >= 0]] = True
     b = _values_of(g["word"], values)
-    columns = {"share": share.astype(np.float32), "w": w.astype(np.float32)}
-    by_word = {"w2": np.where(b["known"], b["x"], 1.0).astype(np.float32), "total2": b["y"].astype(np.float32), "lone2": b["lone"]}
-    shard = plan.shard_of(g["word"][g["c"]], g["word"][g["b"]])
-    return _table([*_entry_rows(g, shard, plan.shards, columns, by_word), *_sum_rows(g, bits, plan.shards)], FORWARDED)
+    columns = {"a": first, "share": share.astype(np.float32), "w": w.astype(np.float32)}
+    middle = {"w2": np.where(b["known"], b["x"], 1.0).astype(np.float32), "total2": b["y"].astype(np.float32), "lone2": b["lone"]}
+    shard = plan.shard_at(g["word"], g["c"], g["word"], g["b"])
+    return _table([*_forwarded_rows(g, shard, plan.shards, columns, middle), *_sum_rows(g, bits, plan.shards)], FORWARDED)
 
 
 def end_rows(entries: pa.Table, values: pa.Table, plan: Plan, d2: list[float], w1: float) -> pa.Table:
     """SUMS of a shard that holds all n-grams with an end (b, c); ``values`` has the share of c."""
     if not entries.num_rows:
         return _table([], SUMS)
-    g = _read(entries, ("share", "w"), ("w2", "total2", "lone2"))
-    at, gram, pair_at, pair = _grams_and_ends(g, "b", "c")
+    g = _read(entries, {"words": (("c",), ("spelled",)), "middle": (("b",), ("w2", "total2", "lone2"))}, ("a", "share", "w"))
+    order, begins, pair = grouped(coded(mixed(g["middle"])[g["b"]], mixed(g["words"])[g["c"]]))
+    pair_at = order[begins]
     good = g["good"][g["doc"]]
     key = g["key"][g["doc"]]
-    seen = np.zeros(len(at), dtype=bool)
-    seen[gram[good]] = True
-    n2 = np.bincount(pair, weights=seen)
-    last = _values_of(g["word"], values)
+    n2 = np.bincount(pair, weights=g["a"])
+    last = _values_of(g["words"], values)
     b, c = g["b"][pair_at], g["c"][pair_at]
     share2 = (n2 - discounted(n2, d2)) / np.maximum(g["total2"][b], 1)
     w2, share1, spelled = g["w2"][b].astype(np.float64), last["x"][c], g["spelled"][c].astype(np.float64)
-    lone = _lone(pair[gram[good]], len(n2), key[good])
+    lone = _lone(pair[good], len(n2), key[good])
 
     def log_p2(share2: np.ndarray, w2: np.ndarray, share1: np.ndarray) -> np.ndarray:
         with np.errstate(divide="ignore"):
@@ -330,7 +397,7 @@ def end_rows(entries: pa.Table, values: pa.Table, plan: Plan, d2: list[float], w
 
     usual = log_p2(share2, w2, share1)
     alone = log_p2(np.where(lone, 0.0, share2), np.where(lone & g["lone2"][b], 1.0, w2), np.where(last["lone"][c], 0.0, share1))
-    log_end = np.where(good, alone[pair[gram]], usual[pair[gram]])
+    log_end = np.where(good, alone[pair], usual[pair])
     share, w = g["share"].astype(np.float64), g["w"].astype(np.float64)
     known = share > 0
     bits = -g["k"] * np.where(known, np.log2(share + w * np.exp2(log_end), where=known, out=np.zeros(len(share))), log_end)

@@ -202,3 +202,32 @@ def test_a_plan_deals_out_every_word_and_spreads_common_ones():
     assert load.max() < 1.1 * load.mean()
     assert set(plan.shard_of(np.full(200, words[0]), words[:200])) == {0, 1, 2}
     assert len(set(plan.shard_of(np.full(200, words[1]), words[:200]))) == 1
+
+
+def test_counts_go_before_the_rounds_and_a_round_has_only_its_own_middle_words(spark, table, monkeypatch):
+    """Counts of words stayed on disk, values of all middle words went through every round, and rows kept first words."""
+    monkeypatch.setattr(m, "ROUND_TOKENS", 200)
+    monkeypatch.setattr(m, "MAX_ROUNDS", 3)
+    staged, stage, left, plans = {}, m.stage_table, [], []
+
+    def kept(df, name):
+        if name == "word-rows":
+            left.append(sum(Path(f).exists() for f in staged["counts"]))
+        found = staged[name] = stage(df, name)
+        if name == "word-counts":
+            staged.setdefault("counts", []).extend(f.removeprefix("file:") for f in found.inputFiles())
+        return found
+
+    plan = m._plan
+    monkeypatch.setattr(m, "stage_table", kept)
+    monkeypatch.setattr(m, "_plan", lambda tokens: plans.append(plan(tokens)) or plans[0])
+    docs = table("documents").limit(12)
+    ids = docs.selectExpr("CAST(doc_id AS long) AS t_id")
+    m.scored(docs, ids, m.dense_costs(m.model(m.ngram_counts(docs))))
+    assert staged["counts"] and left == [0, 0, 0]
+    for r in staged["word-context"].collect():
+        words = m.blocks.unpack(r["words"])
+        assert set(plans[0].round_of(words[~plans[0].is_hot(words)])) <= {r["round"]}
+    for r in staged["word-rows"].filter("c IS NOT NULL").collect():
+        assert m.blocks.unpack(r["a"]).dtype == bool
+        assert len(m.blocks.unpack(r["words"])) == len(set(m.blocks.unpack(r["c"]).tolist()))
