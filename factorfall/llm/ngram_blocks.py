@@ -146,10 +146,14 @@ def _table(rows: list[dict], schema: str) -> pa.Table:
 
 
 def _entry_rows(g: dict, shard: np.ndarray, shards: int) -> Iterator[dict]:
-    """ENTRIES, one row a shard."""
+    """ENTRIES, one row a shard; only last words have their spelling."""
     for s, at in _groups(shard, shards):
         words, places = _used(len(g["word"]), g["a"][at], g["b"][at], g["c"][at])
-        yield {"shard": s, "words": pack(g["word"][words]), "spelled": pack(g["spelled"][words]), **dict(zip("abc", places)), **_text_columns(g, at)}
+        last = np.zeros(len(g["word"]), dtype=bool)
+        last[g["c"][at]] = True
+        spelled = g["spelled"][words]
+        spelled[~last[words]] = 0
+        yield {"shard": s, "words": pack(g["word"][words]), "spelled": pack(spelled), **dict(zip("abc", places)), **_text_columns(g, at)}
 
 
 def _forwarded_rows(g: dict, shard: np.ndarray, shards: int, columns: dict, middle: dict) -> Iterator[dict]:
@@ -194,7 +198,10 @@ def _block_grams(block: dict, plan: Plan, number: int, only_good: bool) -> dict:
         a, b, c, doc = (np.concatenate(x) for x in ((mark, a), (mark, b), (tokens[starts[first]], c), (first, doc)))
     numbers = mixed(word)
     order, begins, _ = grouped(coded(numbers[a], numbers[b], numbers[c]) + doc * _TEXT)
-    first, k = order[begins], np.diff(np.append(begins, len(order)))
+    times = np.zeros(len(order), dtype=np.int64)
+    times[order[begins]] = np.diff(np.append(begins, len(order)))
+    first = np.flatnonzero(times)  # in the order of the texts: their numbers then take little room
+    k = times[first]
     # Counting needs no spelling.
     spelled = np.zeros(len(word), dtype=np.uint8) if only_good else np.append(unpack(block["spelled"]), np.float32(0))
     return {
@@ -252,7 +259,10 @@ def _read(table: pa.Table, lists: dict, columns: tuple = ()) -> dict:
         start = after(words)
         g[name], first, at = np.unique(np.concatenate(words), return_index=True, return_inverse=True)
         g |= {x: at[np.concatenate(rows(x)) + start] for x in places}
-        g |= {x: np.concatenate(rows(x))[first] for x in values}
+        for x in values:  # what only some rows know is 0 in the others
+            given = np.concatenate(rows(x))
+            g[x] = given[first]
+            g[x][at[given != 0]] = given[given != 0]
     return g
 
 

@@ -231,3 +231,22 @@ def test_counts_go_before_the_rounds_and_a_round_has_only_its_own_middle_words(s
     for r in staged["word-rows"].filter("c IS NOT NULL").collect():
         assert m.blocks.unpack(r["a"]).dtype == bool
         assert len(m.blocks.unpack(r["words"])) == len(set(m.blocks.unpack(r["c"]).tolist()))
+
+
+def test_rows_keep_the_order_of_texts_and_only_last_words_their_spelling():
+    """Every word had its spelling in every row, and n-grams came in no order, so that nothing of them could be compressed."""
+    texts = [b"one two three one two three one two", b"four two five", b"", b"six one two"]
+
+    class Costs:
+        value = np.ones(m.CLASSES**m.ORDER, dtype=np.float32)
+
+    batch = m.pa.RecordBatch.from_pydict({"raw": texts, "key": [5, 6, 7, 8], "good": [True] * 4})
+    block = next(m._token_blocks(iter([batch]), Costs))
+    plan = m.blocks.make_plan(1, 1, [], 1)
+    (row,) = m.pa.Table.from_batches(m.blocks.block_rows(iter([block]), plan, 0, False)).to_pylist()
+    of = {x: m.blocks.unpack(row[x]) for x in ("words", "spelled", "c", "doc", "k", "keys")}
+    assert sum(of["k"]) == sum(len(m.words(t)) for t in texts)  # one n-gram a word
+    assert (np.diff(of["keys"][of["doc"]]) != 0).sum() <= 5  # first words of texts together, then text by text
+    assert set(np.flatnonzero(of["spelled"])) == set(of["c"].tolist()) and len(of["words"]) > len(set(of["c"].tolist()))
+    back = m.blocks._read_entries(m.pa.Table.from_pylist([row, {**row, "spelled": m.blocks.pack(of["spelled"] * 0)}]))
+    assert (back["spelled"][back["c"]] > 0).all()
